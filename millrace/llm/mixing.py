@@ -78,7 +78,7 @@ def _mend(groups: DataFrame, most: float) -> DataFrame:
     # two NULL sources match
     coins = (
         groups.join(off.select(F.col("source").alias("s"), "off"), F.col("source").eqNullSafe(F.col("s")))
-        .filter((F.col("size") > 0) & (F.col("size") <= F.abs("off") * 2) & (can > 0))
+        .filter((F.col("size") > 0) & (F.col("size") <= F.abs("off")) & (can > 0))
         .groupBy("source", "size")
         .agg(F.sum(can).alias("can"), F.first("off").alias("off"))
         .groupBy("source")
@@ -87,18 +87,11 @@ def _mend(groups: DataFrame, most: float) -> DataFrame:
     start = F.struct(F.abs("off").alias("left"), F.lit(2**62).alias("last"), F.expr("CAST(array() AS array<struct<size:bigint,k:bigint>>)").alias("taken"))
 
     def pay(acc: Column, _: Column) -> Column:
-        # the largest size below the last one used that brings the total nearer
-        coin = F.get(F.filter("coins", lambda c: (c["size"] < acc["last"]) & (c["size"] <= acc["left"] * 2)), F.lit(0))
-        k = F.least(coin["can"], F.greatest(F.lit(1), F.floor(acc["left"] / coin["size"]))).cast("bigint")
-        k = F.when(acc["left"] * 2 > coin["size"], k).otherwise(F.lit(0).cast("bigint"))
-        return F.when(coin.isNull(), acc).otherwise(
-            F.struct(
-                F.abs(acc["left"] - k * coin["size"]).alias("left"),
-                # once past the target, stop: a size below 0 never fits
-                F.when(acc["left"] < k * coin["size"], F.lit(0).cast("bigint")).otherwise(coin["size"]).alias("last"),
-                F.concat(acc["taken"], F.array(F.struct(coin["size"].alias("size"), k.alias("k")))).alias("taken"),
-            )
-        )
+        # the largest size that fits what is left, below the last one used
+        coin = F.get(F.filter("coins", lambda c: (c["size"] < acc["last"]) & (c["size"] <= acc["left"])), F.lit(0))
+        k = F.least(coin["can"], F.floor(acc["left"] / coin["size"])).cast("bigint")
+        paid = F.struct((acc["left"] - k * coin["size"]).alias("left"), coin["size"].alias("last"), F.concat(acc["taken"], F.array(F.struct(coin["size"].alias("size"), k.alias("k")))).alias("taken"))
+        return F.when(coin.isNull(), acc).otherwise(paid)
 
     paid = F.aggregate(F.sequence(F.lit(1), F.lit(MENDS)), start, pay)["taken"]
     return coins.select("source", F.signum("off").cast("long").alias("sign"), F.explode(paid).alias("c")).select("source", F.col("c.size").alias("size"), (F.col("c.k") * F.col("sign")).alias("mend"))
