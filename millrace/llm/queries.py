@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, idfile, media, mixing, reputation
+from millrace.llm import bpe, chat, idfile, lsh, media, mixing, ngram, pii, reputation
 from millrace.llm.common import stash, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +28,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    plain = F.filter("spans", lambda s: s["plain"])
+    count = lambda kind: F.size(F.filter(plain, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    n_added = (F.size("spans") - F.size(plain)).cast("long").alias("n_added")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.listed(plain), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"), n_added)
+
+
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh.links(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     says = "\\### Assistant: </turn> ok"
@@ -51,6 +63,10 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.features(index).select("doc_id", "n_bytes", *media.NEW, "digest", "shard", "offset", "length")
 
 
+def op8_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.join(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op9_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = idfile.write_ids(table(spark, sf_dir, "documents"), "doc_id", "text", WORD_BPE, idfile.folder(spark), 1)
     return idfile.read_ids(files, with_ids=False)
@@ -67,7 +83,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix, op2_bpe, op6_chat, op7_media, op9_ids, op10_urls)}
+    return {f.__name__: f for f in (op1_mix, op2_bpe, op3_pii, op5_embeddings, op6_chat, op7_media, op8_ngrams, op9_ids, op10_urls)}
 
 
 def oracle_sql() -> dict[str, str]:
