@@ -185,17 +185,25 @@ def _slot(ids: np.ndarray, size: int) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(_U)) & _U(size - 1)).astype(np.int64)
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame, expected: int) -> DataFrame:
-    """The texts of some documents; a bit map drops most others before the join."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bits(ids, expected))
+def _split(df: DataFrame, key: str, ids: DataFrame, expected: int, inside: bool) -> DataFrame:
+    """The rows whose number a bit map of ids holds (all in ids, and a few others), or the rest."""
+    shared = df.sparkSession.sparkContext.broadcast(_bits(ids, expected))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            at = _slot(batch.column(0).to_numpy(), len(bits) * 8)
-            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7)) & 1 == 1))
+            at = _slot(pa.compute.fill_null(batch.column(batch.schema.get_field_index(key)), 0).to_numpy(zero_copy_only=False), len(bits) * 8)
+            yield batch.filter(pa.array(((bits[at >> 3] >> (at & 7)) & 1 == 1) == inside))
 
-    return docs.mapInArrow(run, "id long, text string")
+    return df.mapInArrow(run, df.schema)
+
+
+def without(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """df without the rows of some numbers; only rows that a bit map can't clear are joined."""
+    n = ids.count()
+    clear = _split(df, key, ids, n, False)
+    rest = _split(df, key, ids, n, True).join(ids.select(F.col(key).alias("_gone")), F.col(key) == F.col("_gone"), "left_anti")
+    return clear.unionByName(rest)
 
 
 def _similar(pairs: DataFrame, near: DataFrame, n: int, similarity: int) -> DataFrame:
@@ -248,7 +256,7 @@ def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90)
 
     members = met.select(F.col("a").alias("id")).unionByName(met.select(F.col("b").alias("id"))).distinct()
     members = stash(members, "members")
-    near = stash(_texts_of(docs, members, members.count()), "near").join(members, "id", "left_semi").dropDuplicates(["id"])
+    near = stash(_split(docs, "id", members, members.count(), True), "near").join(members, "id", "left_semi").dropDuplicates(["id"])
 
     # one hub for every row, then the hubs that are still elsewhere, then pairs across a list
     first = cells.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")

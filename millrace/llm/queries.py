@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, idfile, lsh, media, mixing, ngram, pii, reputation
+from millrace.llm import bpe, chat, idfile, lsh, media, mixing, ngram, pii, quality, reputation
 from millrace.llm.common import stash, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +36,14 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.listed(plain), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"), n_added)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.train(docs, quality.learnable(labels), "doc_id", "text")
+    scores = quality.scored(docs, model, keep_text=False)
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh.links(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
@@ -83,7 +91,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix, op2_bpe, op3_pii, op5_embeddings, op6_chat, op7_media, op8_ngrams, op9_ids, op10_urls)}
+    return {f.__name__: f for f in (op1_mix, op2_bpe, op3_pii, op4_quality, op5_embeddings, op6_chat, op7_media, op8_ngrams, op9_ids, op10_urls)}
 
 
 def oracle_sql() -> dict[str, str]:
