@@ -120,6 +120,50 @@ def list_array(values: np.ndarray, lens: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)), pa.array(values))
 
 
+def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 20_000) -> Iterator[pa.Table]:
+    """The groups of rows that agree in keys, of batches sorted by them. Groups must be of bounded size."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(last: bool) -> Iterator[pa.Table]:
+        rows = pa.Table.from_batches(held)
+        new = np.zeros(rows.num_rows, bool)
+        new[0] = True
+        for k in keys:
+            c = rows.column(k).to_numpy()
+            new[1:] |= c[1:] != c[:-1]
+        ends = [*np.flatnonzero(new).tolist(), rows.num_rows]
+        if not last:
+            ends.pop()
+        held[:] = rows.slice(ends[-1]).to_batches()
+        for a, b in zip(ends, ends[1:]):
+            yield rows.slice(a, b - a)
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            if sum(b.num_rows for b in held) > most or sum(b.nbytes for b in held) > 32_000_000:
+                yield from cut(False)
+    if held:
+        yield from cut(True)
+
+
+def local_roots(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of some ids the smallest one reachable over links between positions i and j."""
+    order = np.argsort(ids, kind="stable")
+    at = np.argsort(order)
+    i, j = at[i], at[j]
+    root = np.arange(len(ids))
+    while True:
+        low = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if (new == root).all():
+            return ids[order[root[at]]]
+        root = new
+
+
 # ---- hashing of words, for whole batches at once
 
 _P = np.uint64(0x9E3779B97F4A7C55)  # odd, so that its powers have inverses modulo 2**64

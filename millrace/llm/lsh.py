@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mix, stash
+from millrace.llm.common import groups_of, local_roots, mix, stash
 from millrace.llm.components import components
 
 WIDTH = 1.5
@@ -81,20 +81,6 @@ def _unit(lists: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest node reachable over links i-j, for nodes 0..n-1."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def links(df: DataFrame, key: str, column: str, least: float = 0.95, miss: float = 1e-5, seed: int = 7) -> DataFrame:
     """key -> vec_id, n_links, component_id, kept for every vector."""
     vectors = df.select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<double>").alias("v")).dropDuplicates(["id"])
@@ -127,57 +113,26 @@ def links(df: DataFrame, key: str, column: str, least: float = 0.95, miss: float
     groups = groups.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def one(rows: pa.Table, columns: dict[str, np.ndarray], a: int, b: int) -> list[np.ndarray] | None:
-            got = _unit(rows.column("v").slice(a, b - a).to_pylist())
-            (place, unit) = next(iter(got.values()))
-            reps, copies, side = columns["rep"][a:b][place], columns["copies"][a:b][place], columns["piece"][a:b][place]
+        for rows in groups_of(batches, ["bucket", "low", "high"]):
+            if rows.num_rows < 2:
+                continue
+            columns = {c: rows.column(c).to_numpy() for c in ("t", "low", "high", "piece", "rep", "copies")}
+            place, unit = next(iter(_unit(rows.column("v").to_pylist()).values()))
+            reps, copies, side = columns["rep"][place], columns["copies"][place], columns["piece"][place]
             near = unit @ unit.T >= least
-            if columns["low"][a] != columns["high"][a]:
+            if columns["low"][0] != columns["high"][0]:
                 near &= side[:, None] != side[None, :]
             i, j = np.nonzero(np.triu(near, 1))
             if not i.size:
-                return None
+                continue
             who = np.unique(np.concatenate([i, j]))
             names = np.zeros((len(unit), tables), np.uint64)
             names[who] = hasher(unit[who])
-            first = np.argmax(names[i] == names[j], axis=1) == columns["t"][a]
+            first = np.argmax(names[i] == names[j], axis=1) == columns["t"][0]
             i, j = i[first], j[first]
             count = np.bincount(i, copies[j], len(unit)) + np.bincount(j, copies[i], len(unit))
-            order = np.argsort(reps)
-            at = np.argsort(order)
-            root = _roots(len(unit), at[i], at[j])
             hit = np.flatnonzero(count > 0)
-            return [reps[hit], count[hit].astype(np.int64), reps[order[root[at[hit]]]]]
-
-        def flush(rows: pa.Table, last: bool) -> tuple[pa.RecordBatch | None, pa.Table]:
-            columns = {n: rows.column(n).to_numpy() for n in ("bucket", "low", "high", "t", "piece", "rep", "copies")}
-            new = np.zeros(rows.num_rows, bool)
-            new[0] = True
-            for n in ("bucket", "low", "high"):
-                new[1:] |= columns[n][1:] != columns[n][:-1]
-            cuts = [*np.flatnonzero(new).tolist(), rows.num_rows]
-            if not last:
-                cuts.pop()
-            parts = [x for a, b in zip(cuts, cuts[1:]) if b - a > 1 and (x := one(rows, columns, a, b))]
-            out = [np.concatenate(x) for x in zip(*parts)] if parts else None
-            batch = pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["rep", "n", "root"]) if out else None
-            return batch, rows.slice(cuts[-1])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            if sum(b.num_rows for b in held) > 20_000:
-                done, rest = flush(pa.Table.from_batches(held), False)
-                held = rest.to_batches()
-                if done:
-                    yield done
-        if held:
-            done, _ = flush(pa.Table.from_batches(held), True)
-            if done:
-                yield done
+            yield pa.RecordBatch.from_arrays([pa.array(reps[hit]), pa.array(count[hit].astype(np.int64)), pa.array(local_roots(reps, i, j)[hit])], names=["rep", "n", "root"])
 
     found = stash(groups.mapInArrow(compare, "rep long, n long, root long"), "links")
     counts = found.groupBy(F.col("rep").alias("r")).agg(F.sum("n").alias("n"))

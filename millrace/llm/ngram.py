@@ -12,8 +12,9 @@ The number of blocks depends on the larger size, so rows are fingerprinted once
 they lie in and once for the next one; two sizes that can be similar are always in one or in adjacent bands.
 
 Links are needed up to connectivity only. Equal sets form classes first. In each list of rows with one
-fingerprint, every row is compared with the list's smallest row; then pairs across what is still
-unconnected in a list. Those are all pairs that could matter, and no list of copies is multiplied out.
+fingerprint, every row is compared with the list's smallest row. Lists that still hold several
+components then form clusters, whose rows are multiplied with each other block by block. Every pair
+that could matter is compared, no list of copies is multiplied out, and only links leave a block.
 
 Defined results: words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased; a document with 1 to n - 1
 words has its whole sequence as its one n-gram; one without words or with null text has an empty set,
@@ -30,9 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import hash_words, list_array, mix, slices, stash, texts
+from millrace.llm.common import groups_of, hash_words, list_array, local_roots, mix, slices, stash, texts
 from millrace.llm.components import components
 
+#: Rows of a cluster that meet in one group: two pieces at most, about.
+PIECE = 256
 #: Blocks beyond the bound: a row needs as many empty blocks before empty ones have to be told.
 SPARE = 3
 _U = np.uint64
@@ -232,6 +235,48 @@ def _similar(pairs: DataFrame, near: DataFrame, n: int, similarity: int) -> Data
     return both.mapInArrow(run, "a long, b long")
 
 
+def _products(rows: DataFrame, n: int, similarity: int) -> DataFrame:
+    """Links (a, b) within each cluster that keep its connectivity: blocks of the matrix times their transposes.
+
+    rows: id, cluster, text. A cluster is cut into pieces; each pair of pieces is a group of its own, so
+    what a task holds is bounded and a large cluster spreads over many tasks.
+    """
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("m")).select(F.col("cluster").alias("c"), F.ceil(F.col("m") / PIECE).cast("int").alias("pieces"))
+    others = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda p: F.struct(F.least(p, F.col("piece")).alias("low"), F.greatest(p, F.col("piece")).alias("high")))
+    cut = rows.join(sizes, F.col("cluster") == F.col("c")).withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
+    met = cut.select("cluster", "id", "piece", "text", F.explode(others).alias("m")).select("cluster", "m.low", "m.high", "piece", "id", "text")
+    met = met.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups_of(batches, ["cluster", "low", "high"], 2_000):
+            if group.num_rows < 2:
+                continue
+            ids, side = group.column("id").to_numpy(), group.column("piece").to_numpy()
+            gram, size = gram_sets([s or "" for s in group.column("text").to_pylist()], n)
+            _, column, count = np.unique(gram, return_inverse=True, return_counts=True)
+            owner = np.repeat(np.arange(len(size)), size)
+            shared = count[column] > 1  # a column with one entry adds to no overlap
+            owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+            overlap = np.zeros((len(size), len(size)), np.float32)
+            order = np.argsort(column, kind="stable")
+            owner, column = owner[order], column[order]
+            for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+                a, b = np.searchsorted(column, [start, start + 4096])
+                block = np.zeros((len(size), 4096), np.float32)
+                block[owner[a:b], column[a:b] - start] = 1
+                overlap += block @ block.T
+            linked = np.triu(100 * overlap >= similarity * (size[:, None] + size[None, :] - overlap), 1) & (overlap > 0)
+            if group.column("low")[0].as_py() != group.column("high")[0].as_py():
+                linked &= side[:, None] != side[None, :]
+            i, j = np.nonzero(linked)
+            if i.size:
+                root = local_roots(ids, i, j)
+                hit = np.flatnonzero(root != ids)
+                yield pa.RecordBatch.from_arrays([pa.array(root[hit]), pa.array(ids[hit])], names=["a", "b"])
+
+    return met.mapInArrow(run, "a long, b long")
+
+
 def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90) -> DataFrame:
     """doc_id, n_shingles and component_id of every document; similarity in per cent."""
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(column).alias("text"))
@@ -271,12 +316,13 @@ def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90)
     links = links.unionByName(stash(_similar(second, near, n, similarity), "links"))
     roots = components(links)
 
-    split = apart(met).select("print", F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("na").alias("n"), F.col("ra").alias("root")), F.struct(F.col("b").alias("id"), F.col("nb").alias("n"), F.col("rb").alias("root")))).alias("m")).select("print", "m.*").distinct()
-    mixed = split.groupBy("print").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select(F.col("print").alias("p"))
-    split = stash(split.join(mixed, F.col("print") == F.col("p"), "left_semi"), "split")
-    one, two = split.select("print", F.col("id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")), split.select(F.col("print").alias("p"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    third = one.join(two, (F.col("print") == F.col("p")) & (F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")) & fits).select("a", "b").distinct().join(cells, ["a", "b"], "left_anti")
-    links = links.unionByName(stash(_similar(third, near, n, similarity), "links"))
+    # lists that still hold several components: what they connect is a cluster, multiplied out in blocks
+    split = apart(met).select("print", F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("ra").alias("root")), F.struct(F.col("b").alias("id"), F.col("rb").alias("root")))).alias("m")).select("print", "m.*").distinct()
+    mixed = split.groupBy("print").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("id").alias("first")).filter("low < high").select(F.col("print").alias("p"), "first")
+    chains = stash(split.join(mixed, F.col("print") == F.col("p")).select("id", "first").distinct(), "chains")
+    clusters = components(chains.select(F.col("id").alias("a"), F.col("first").alias("b"))).select(F.col("id").alias("i"), F.col("root").alias("cluster"))
+    products = _products(near.join(clusters, F.col("id") == F.col("i")).select("id", "cluster", "text"), n, similarity)
+    links = links.unionByName(stash(products, "links"))
     roots = components(links)
 
     out = sets.dropDuplicates(["id"]).join(roots.select(F.col("id").alias("i"), "root"), F.col("id") == F.col("i"), "left")
