@@ -1,6 +1,6 @@
 """Token ids in binary files, packed by an adaptive context-mixing range coder.
 
-A file holds the ids of consecutive documents, cut into blocks of a fixed number of ids. Every
+A file holds the ids of consecutive documents, cut into blocks of equal numbers of ids. Every
 block is coded by itself: all models start afresh, and a CRC-32 of its ids guards it, so blocks
 can be read, checked and lost one by one. Inside a block three predictors work together: order-2
 and order-1 contexts each recall the id that followed last time and how often that held, and an
@@ -20,10 +20,12 @@ stay side by side, in any order; null numbers come first.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,178 +40,188 @@ HEAD = struct.Struct("<8sIIQI")
 BLOCK = 2048
 LANES = 2048
 #: Sizes of the tables that recall an id by its order-1 and order-2 context.
-ONE, TWO = 1024, 2048
-FULL = 1 << 16
+ONE, TWO = 512, 512
+#: Widths of the intervals: 16 bits for what the predictors share, 12 more for the rest of an unforeseen id.
+FULL, BITS, REST = 1 << 16, 28, 12
+#: The order-0 model's scale, and how fast it adapts.
+SCALE, SHIFT = 1 << 14, 5
 NULL = -(2**63)
 
 _U = np.uint64
+_ONE, _16, _48 = _U(1), _U(16), _U(48)
 _LOW32 = _U(2**32 - 1)
+#: From the confidence of a recollection: its share to begin with.
+_TRUST = np.array([0, 8, 20, 32, 40, 46, 50, 54], np.int32) * 1024
+#: The order-0 model's goal after each of the 16 classes; every class keeps a part.
+_GOAL = (np.arange(17) * 64 + (np.arange(17) > np.arange(16)[:, None]) * (SCALE - 16 * 64)).astype(np.int16)
 
 
 class _Model:
-    """The predictors of a group of blocks, one block a lane."""
+    """The predictors of a group of blocks, one block a lane.
+
+    A table's entry is the recalled id times 8 plus a confidence from 0 (nothing recalled) to 7.
+    """
 
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes)
-        self.tables = [(np.zeros(lanes * n, np.int32), np.zeros(lanes * n, np.uint8)) for n in (TWO, ONE)]
-        self.trust = [np.tile(np.array([0, 8, 20, 32, 40, 46, 50, 54], np.int64) * 1024, lanes) for _ in range(2)]
-        steps = np.arange(17)
-        self.cdf = np.tile((steps * 2048).astype(np.int32), (lanes, 1))
-        self.goal = (steps * 128 + (steps > np.arange(16)[:, None]) * (32768 - 16 * 128)).astype(np.int32)
-        self.back = np.zeros((2, lanes), np.int64)
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray]:
-        """The widths, of FULL, that the order-2 and the order-1 recollection get."""
-        one, two = self.back
-        self.slots = (self.lane * TWO + ((one * 40503 + two * 9973) >> 3) % TWO, self.lane * ONE + (one * 40503 >> 2) % ONE)
-        self.ids = [t[0][s] for t, s in zip(self.tables, self.slots)]
-        self.conf = [t[1][s] for t, s in zip(self.tables, self.slots)]
-        self.state = [self.lane * 8 + c for c in self.conf]
-        q2, q1 = (np.where(c > 0, t[s], 0) for t, s, c in zip(self.trust, self.state, self.conf))
-        q2, q1 = np.minimum(q2, FULL * 7 // 8), np.minimum(q1, FULL * 7 // 8)
+        self.bases = (self.lane * TWO, self.lane * ONE)
+        self.tables = (np.zeros(lanes * TWO, np.int32), np.zeros(lanes * ONE, np.int32))
+        self.states = self.lane * 8
+        self.trust = (np.tile(_TRUST, lanes).astype(np.int64), np.tile(_TRUST, lanes).astype(np.int64))
+        self.cdf = np.tile((np.arange(17) * (SCALE // 16)).astype(np.int16), (lanes, 1))
+        self.flat = self.cdf.reshape(-1)
+        self.rows = self.lane * 17
+        self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Recalled ids of order 2 and 1 and the widths, of FULL, that they get."""
+        h = self.one * 40503
+        self.slots = (self.bases[0] + ((h + self.two * 9973 >> 3) & (TWO - 1)), self.bases[1] + ((h >> 2) & (ONE - 1)))
+        e2, e1 = self.entries = (self.tables[0].take(self.slots[0]), self.tables[1].take(self.slots[1]))
+        self.known = (e2 >> 3, e1 >> 3)
+        self.at = (self.states + (e2 & 7), self.states + (e1 & 7))
+        q2, q1 = self.shares = (self.trust[0].take(self.at[0]), self.trust[1].take(self.at[1]))
+        # a recollection of confidence 0 has no share; the trust in it never moves
         rest = (FULL - q2) * q1 >> 16
-        same = (self.ids[0] == self.ids[1]) & (self.conf[0] > 0)
-        return np.minimum(np.where(same, q2 + rest, q2), FULL * 31 // 32), np.where(same, 0, rest)
-
-    def update(self, ids: np.ndarray) -> None:
-        for (known, conf), slot, state, trust, said, was in zip(self.tables, self.slots, self.state, self.trust, self.ids, self.conf):
-            hit = (said == ids) & (was > 0)
-            trust[state] += ((hit * 65535) - trust[state]) >> 5
-            less = was >> 1
-            known[slot] = np.where(hit | (less > 0), said, ids)
-            conf[slot] = np.where(hit, np.minimum(was + 1, 7), np.maximum(less, 1))
-        self.cdf += (self.goal[ids >> 12] - self.cdf) >> 5
-        self.back[1] = self.back[0]
-        self.back[0] = ids
-
-
-def encode_blocks(blocks: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """Code words (uint16) of every row of blocks; sizes: how many ids of a row count."""
+        same = self.known[0] == self.known[1]
+        two = np.where(same, np.minimum(q2 + rest, FULL * 31 // 32), q2)
+        return (*self.known, two, np.where(same, 0, rest))
+
+    def update(self, ids: np.ndarray, classes: np.ndarray) -> None:
+        for k in (0, 1):
+            entry, share = self.entries[k], self.shares[k]
+            conf = entry & 7
+            hit = (self.known[k] == ids) & (conf > 0)
+            # shares stay below 7/8 of the interval and above nothing
+            self.trust[k][self.at[k]] = np.where(conf > 0, share + ((hit * np.int64(FULL * 7 // 8) - share) >> 5), 0)
+            kept = np.where(hit, np.minimum(conf + 1, 7), conf >> 1)
+            self.tables[k][self.slots[k]] = np.where(kept > 0, entry - conf + kept, ids.astype(np.int32) * 8 + 1)
+        self.cdf += (_GOAL.take(classes, axis=0) - self.cdf) >> SHIFT
+        self.one, self.two = ids, self.one
+
+
+def _settle(lo: np.ndarray, r: np.ndarray, move) -> None:
+    """Shift out the top 16 bits of every lane where they are settled, or where the range got too small."""
+    who = None
+    while True:
+        a, b = (lo, r) if who is None else (lo[who], r[who])
+        settled = (a ^ (a + b)) < _U(1 << 48)
+        on = settled | (b < _U(1 << 32))
+        k = np.flatnonzero(on)
+        if not k.size:
+            return
+        a, b, settled = a[k], b[k], settled[k]
+        who = k if who is None else who[k]
+        b = np.where(settled, b, (~a + _ONE) & _LOW32)
+        move(who, a)
+        lo[who] = a << _16
+        r[who] = b << _16
+
+
+def encode_blocks(blocks: np.ndarray) -> list[np.ndarray]:
+    """Code words (uint16) of every row of blocks."""
     lanes, n = blocks.shape
     model = _Model(lanes)
-    low, rng = np.zeros(lanes, _U), np.full(lanes, _U(2**64 - 1))
+    lo, r = np.zeros(lanes, _U), np.full(lanes, _U(2**64 - 1))
     out = np.zeros((lanes, 4 * n + 8), np.uint16)
-    used = np.zeros(lanes, np.int64)
-
-    def put(who, start, freq, bits: int) -> None:
-        r = rng[who] >> _U(bits)
-        lo = low[who] + r * start
-        r = r * freq
-        while True:
-            settled = (lo ^ (lo + r)) >> _U(48) == 0
-            small = ~settled & (r < _U(2**32))
-            if not (move := settled | small).any():
-                break
-            r = np.where(small, (~lo + _U(1)) & _LOW32, r)
-            k = np.flatnonzero(move)
-            w = who[k]
-            out[w, used[w]] = lo[k] >> _U(48)
-            used[w] += 1
-            lo[k] <<= _U(16)
-            r[k] <<= _U(16)
-        low[who], rng[who] = lo, r
-
-    for i in range(n):
-        live = np.flatnonzero(i < sizes)
-        if not live.size:
-            break
-        ids = blocks[:, i]
-        two, one = model.predict()
-        hit2 = (model.ids[0] == ids) & (two > 0)
-        hit1 = ~hit2 & (model.ids[1] == ids) & (one > 0)
-        miss = ~hit2 & ~hit1
+    flat, place = out.reshape(-1), model.lane * (4 * n + 8)
+
+    def move(who: np.ndarray, low: np.ndarray) -> None:
+        at = place[who]
+        flat[at] = low >> _48
+        place[who] = at + 1
+
+    columns = np.ascontiguousarray(blocks.T)
+    for ids in columns:
+        k2, k1, two, one = model.predict()
+        hit2 = (k2 == ids) & (two > 0)
+        hit1 = (k1 == ids) & (one > 0) & ~hit2
+        classes = ids >> REST
         base = two + one
-        nib = ids >> 12
-        a, b = (base + ((FULL - base) * model.cdf[model.lane, nib + k] >> 15) for k in (0, 1))
-        start = np.where(hit2, 0, np.where(hit1, two, a))
-        freq = np.where(hit2, two, np.where(hit1, one, b - a))
-        put(live, start[live].astype(_U), freq[live].astype(_U), 16)
-        tail = live[miss[live]]
-        if tail.size:
-            put(tail, (ids[tail] & 4095).astype(_U), _U(1), 12)
-        model.update(ids)
+        a, b = (base + ((FULL - base) * model.flat.take(model.rows + classes + k).astype(np.int64) >> 14) for k in (0, 1))
+        start = np.where(hit2, 0, np.where(hit1, two << REST, (a << REST) + (b - a) * (ids & (1 << REST) - 1)))
+        freq = np.where(hit2, two << REST, np.where(hit1, one << REST, b - a))
+        r >>= _U(BITS)
+        lo += r * start.view(_U)
+        r *= freq.view(_U)
+        _settle(lo, r, move)
+        model.update(ids, classes)
+    used = place - model.lane * (4 * n + 8)
     for k in range(4):
-        out[model.lane, used + k] = (low >> _U(48 - 16 * k)).astype(np.uint16)
+        out[model.lane, used + k] = (lo >> _U(48 - 16 * k)).astype(np.uint16)
     return [out[k, : used[k] + 4] for k in range(lanes)]
 
 
-def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
-    """The blocks of encode_blocks; what lies beyond a block's size is 0."""
-    lanes, n = len(words), int(sizes.max())
+def decode_blocks(words: list[np.ndarray], n: int) -> np.ndarray:
+    """The blocks of encode_blocks, each of n ids."""
+    lanes = len(words)
     model = _Model(lanes)
-    data = np.zeros((lanes, max(map(len, words)) + 4), _U)
+    width = max(map(len, words)) + 4
+    data = np.zeros((lanes, width), np.uint16)
     for k, w in enumerate(words):
         data[k, : len(w)] = w
-    low, rng = np.zeros(lanes, _U), np.full(lanes, _U(2**64 - 1))
-    code = data[:, 0] << _U(48) | data[:, 1] << _U(32) | data[:, 2] << _U(16) | data[:, 3]
-    used = np.full(lanes, 4)
-    blocks = np.zeros((lanes, n), np.int64)
-
-    def take(who, r, start, freq) -> None:
-        lo = low[who] + r * start
-        r = r * freq
-        co = code[who]
-        while True:
-            settled = (lo ^ (lo + r)) >> _U(48) == 0
-            small = ~settled & (r < _U(2**32))
-            if not (move := settled | small).any():
-                break
-            r = np.where(small, (~lo + _U(1)) & _LOW32, r)
-            k = np.flatnonzero(move)
-            w = who[k]
-            lo[k] <<= _U(16)
-            r[k] <<= _U(16)
-            co[k] = co[k] << _U(16) | data[w, np.minimum(used[w], data.shape[1] - 1)]
-            used[w] += 1
-        low[who], rng[who], code[who] = lo, r, co
+    lo, r = np.zeros(lanes, _U), np.full(lanes, _U(2**64 - 1))
+    code = np.zeros(lanes, _U)
+    for k in range(4):
+        code = code << _16 | data[:, k]
+    flat, place = data.reshape(-1), model.lane * width + 4
+    last = model.lane * width + width - 1
+    out = np.zeros((n, lanes), np.int64)
+
+    def move(who: np.ndarray, _: np.ndarray) -> None:
+        at = place[who]
+        code[who] = code[who] << _16 | flat[at]
+        place[who] = np.minimum(at + 1, last[who])
 
     for i in range(n):
-        live = np.flatnonzero(i < sizes)
-        two, one = model.predict()
-        r = rng[live] >> _U(16)
-        value = np.minimum((code[live] - low[live]) // r, _U(FULL - 1)).astype(np.int64)
-        two, one = two[live], one[live]
+        k2, k1, two, one = model.predict()
+        r >>= _U(BITS)
+        value = np.minimum((code - lo) // r, _U((1 << BITS) - 1)).view(np.int64)
+        top = value >> REST
         base = two + one
-        hit2, hit1 = value < two, (value >= two) & (value < base)
-        edges = base[:, None] + ((FULL - base)[:, None] * model.cdf[live].astype(np.int64) >> 15)
-        nib = np.where(value < base, 0, (edges <= value[:, None]).sum(axis=1) - 1)
-        row = np.arange(len(live))
-        a, b = edges[row, nib], edges[row, nib + 1]
-        start = np.where(hit2, 0, np.where(hit1, two, a))
-        freq = np.where(hit2, two, np.where(hit1, one, b - a))
-        take(live, r, start.astype(_U), freq.astype(_U))
-        ids = np.where(hit2, model.ids[0][live], model.ids[1][live]).astype(np.int64)
-        miss = np.flatnonzero(value >= base)
-        if miss.size:
-            who = live[miss]
-            r = rng[who] >> _U(12)
-            rest = np.minimum((code[who] - low[who]) // r, _U(4095))
-            take(who, r, rest, _U(1))
-            ids[miss] = nib[miss] << 12 | rest.astype(np.int64)
-        blocks[live, i] = ids
-        model.update(blocks[:, i])
-    return blocks
+        hit2, miss = top < two, top >= base
+        left = FULL - base
+        # the class is the last whose edge, left * cdf / SCALE, is not beyond; the same in whole numbers
+        bound = np.minimum((((top - base + 1) << 14) - 1) // left, SCALE - 1).astype(np.int16)
+        classes = np.where(miss, (model.cdf[:, 1:] <= bound[:, None]).sum(axis=1), 0)
+        a, b = (base + (left * model.flat.take(model.rows + classes + k).astype(np.int64) >> 14) for k in (0, 1))
+        span = b - a
+        rest = np.where(miss, (value - (a << REST)) // np.maximum(span, 1), 0)
+        ids = np.where(hit2, k2, np.where(miss, classes << REST | rest, k1))
+        start = np.where(hit2, 0, np.where(miss, (a << REST) + span * rest, two << REST))
+        freq = np.where(hit2, two << REST, np.where(miss, span, one << REST))
+        lo += r * start.view(_U)
+        r *= freq.view(_U)
+        _settle(lo, r, move)
+        out[i] = ids
+        model.update(ids, ids >> REST)
+    return out.T
+
+
+def block_length(total: int) -> int:
+    """A power of two that leaves at least 64 blocks where there are that many ids, up to BLOCK."""
+    return min(BLOCK, max(64, 1 << max(0, (total // 64).bit_length())))
 
 
 def pack(docs: np.ndarray, lens: np.ndarray, ids: np.ndarray) -> bytes:
-    """A file image of documents' numbers, sizes and ids."""
-    count = -(-len(ids) // BLOCK)
-    padded = np.zeros(count * BLOCK, np.int64)
-    padded[: len(ids)] = ids
-    blocks = padded.reshape(count, BLOCK)
-    sizes = np.minimum(BLOCK, len(ids) - np.arange(count) * BLOCK)
+    """A file image of documents' numbers, sizes and ids. The last block is filled up with id 0."""
+    length = block_length(len(ids))
+    count = -(-len(ids) // length)
+    blocks = np.zeros((count, length), np.int64)
+    blocks.reshape(-1)[: len(ids)] = ids
     words: list[np.ndarray] = []
     for a in range(0, count, LANES):
-        words += encode_blocks(blocks[a : a + LANES], sizes[a : a + LANES])
-    crcs = [zlib.crc32(b[:s].astype("<u4").tobytes()) for b, s in zip(blocks, sizes)]
+        words += encode_blocks(blocks[a : a + LANES])
+    raw = memoryview(blocks.astype("<u4")).cast("B")
+    crcs = [zlib.crc32(raw[4 * length * k : 4 * length * (k + 1)]) for k in range(count)]
     index = zlib.compress(docs.astype("<i8").tobytes() + lens.astype("<u4").tobytes() + np.array([len(w) for w in words], "<u4").tobytes() + np.array(crcs, "<u4").tobytes(), 1)
-    head = HEAD.pack(MAGIC, BLOCK, len(docs), len(ids), count)
+    head = HEAD.pack(MAGIC, length, len(docs), len(ids), count)
     return head + struct.pack("<I", len(index)) + index + b"".join(w.astype("<u2").tobytes() for w in words)
 
 
 def unpack(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Documents' numbers, sizes and ids of a file image; ValueError if a block is damaged."""
-    magic, block, n, total, count = HEAD.unpack_from(image)
+    magic, length, n, total, count = HEAD.unpack_from(image)
     if magic != MAGIC:
         raise ValueError("not a file of ids")
     (size,) = struct.unpack_from("<I", image, HEAD.size)
@@ -219,27 +231,41 @@ def unpack(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lengths, crcs = np.frombuffer(index, "<u4", count, 12 * n), np.frombuffer(index, "<u4", count, 12 * n + 4 * count)
     data = np.frombuffer(image, "<u2", offset=at + size)
     ends = np.concatenate([[0], np.cumsum(lengths.astype(np.int64))])
-    sizes = np.minimum(block, total - np.arange(count) * block)
     parts = []
     for a in range(0, count, LANES):
         b = min(a + LANES, count)
-        got = decode_blocks([data[ends[k] : ends[k + 1]] for k in range(a, b)], sizes[a:b])
-        for k, row in zip(range(a, b), got):
-            if zlib.crc32(row[: sizes[k]].astype("<u4").tobytes()) != crcs[k]:
+        got = decode_blocks([data[ends[k] : ends[k + 1]] for k in range(a, b)], length).astype("<u4", order="C")
+        raw = memoryview(got).cast("B")
+        for k in range(a, b):
+            if zlib.crc32(raw[4 * length * (k - a) : 4 * length * (k - a + 1)]) != crcs[k]:
                 raise ValueError(f"block {k} is damaged")
-            parts.append(row[: sizes[k]])
-    return docs, lens.astype(np.int64), np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        parts.append(got.reshape(-1))
+    return docs, lens.astype(np.int64), np.concatenate(parts)[:total] if parts else np.zeros(0, np.uint32)
+
+
+class _Memory(dict):
+    """Numbers for texts, given in order of first sight; `new` lists those that still have to be encoded."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self.new.append(key)
+        number = self[key] = len(self)
+        return number
 
 
 class Chunks:
     """Encodes with the tokenizers library, asking it once for each distinct stretch between blanks.
 
     Blanks part tokens in this kind of tokenizer file (it drops white space), so the ids of a text
-    are the ids of its stretches. The separators U+001C to U+001F, blanks to Python but not to the
-    library, send a text to the library whole.
+    are the ids of its stretches; likewise marks at the end of a stretch of ASCII letters part from
+    them, and the case of such letters is dropped. The separators U+001C to U+001F, blanks to Python
+    but not to the library, send a text to the library whole.
     """
 
-    REMEMBERED = 400_000
+    REMEMBERED = 600_000
+    PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -250,23 +276,32 @@ class Chunks:
         self.forget()
 
     def forget(self) -> None:
-        self.memory: dict[str, int] = {}
+        self.memory = _Memory()
+        self.words: dict[str, list[int]] = {}
         self.ids, self.at, self.len = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _ask(self, keys: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(keys, add_special_tokens=False)]
+
+    def _learn(self) -> None:
+        split = [self.PLAIN.fullmatch(k) for k in self.memory.new]
+        parts = [(m[1].lower(), m[2]) if m else (k, "") for m, k in zip(split, self.memory.new)]
+        unknown = list(dict.fromkeys(w for p in parts for w in p if w and w not in self.words))
+        self.words.update(zip(unknown, self._ask(unknown)))
+        coded = [self.words[a] + self.words[b] if b else self.words[a] for a, b in parts]
+        lens = np.fromiter(map(len, coded), np.int64, len(coded))
+        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(lens) - lens])
+        self.len = np.concatenate([self.len, lens])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(coded), np.int32, int(lens.sum()))])
+        self.memory.new.clear()
+
     def encode(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.memory) > self.REMEMBERED:
             self.forget()
         parts = [[s] if any(c in s for c in "\x1c\x1d\x1e\x1f") else s.split() for s in strings]
-        memory = self.memory
-        new = list(dict.fromkeys(w for p in parts for w in p if w not in memory))
-        if new:
-            coded = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-            lens = np.fromiter(map(len, coded), np.int64, len(coded))
-            self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(lens) - lens])
-            self.len = np.concatenate([self.len, lens])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for c in coded for i in c), np.int32, int(lens.sum()))])
-            memory.update(zip(new, range(len(memory), len(memory) + len(new))))
-        which = np.fromiter((memory[w] for p in parts for w in p), np.int64)
+        which = np.array(list(map(self.memory.__getitem__, chain.from_iterable(parts))), np.int64)
+        if self.memory.new:
+            self._learn()
         lens = self.len[which]
         total = np.concatenate([[0], np.cumsum(lens)])
         bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
