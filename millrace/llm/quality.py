@@ -35,7 +35,9 @@ from millrace.llm.common import hash_words, list_array, mix, slices, texts, uid,
 
 #: Documents of either kind that the classifier is fitted on, at most.
 MOST = 20_000
-HIDDEN, STEPS, RATE, DECAY = 12, 400, 0.03, 1e-3
+HIDDEN, STEPS, RATE = 12, 400, 0.03
+#: Weight decay: a floor, and more the fewer positives there are.
+DECAY, DECAY_FEW = 1e-3, 2.0
 
 _CLASS = np.zeros(256, np.int64)  # 0: other ASCII letters and controls
 _CLASS[65:91] = 1
@@ -160,6 +162,7 @@ def fit(pos: np.ndarray, unl: np.ndarray, prior: float, seed: int = 5) -> Model:
     everything = np.concatenate([pos, unl])
     model = Model(everything.mean(0), everything.std(0) + 1e-6, np.random.default_rng(seed))
     zp, zu = model.scaled(pos), model.scaled(unl)
+    decay = DECAY + min(DECAY_FEW / len(pos), 0.1)
     m, v = [np.zeros_like(p) for p in model.p], [np.zeros_like(p) for p in model.p]
     for step in range(1, STEPS + 1):
         (op, hp), (ou, hu) = model.forward(zp), model.forward(zu)
@@ -167,7 +170,7 @@ def fit(pos: np.ndarray, unl: np.ndarray, prior: float, seed: int = 5) -> Model:
         sign = 1.0 if negative >= 0 else -1.0
         gp = (prior * (_sigmoid(op) - 1) * (sign > 0) - sign * prior * _sigmoid(op)) / len(op)
         gu = sign * _sigmoid(ou) / len(ou)
-        total = [a + b + DECAY * p for a, b, p in zip(model.grad(zp, hp, gp), model.grad(zu, hu, gu), model.p)]
+        total = [a + b + decay * p for a, b, p in zip(model.grad(zp, hp, gp), model.grad(zu, hu, gu), model.p)]
         for k, g in enumerate(total):
             m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.999 * v[k] + 0.001 * g * g
             model.p[k] = model.p[k] - RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
