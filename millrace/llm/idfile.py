@@ -212,8 +212,7 @@ def pack(docs: np.ndarray, lens: np.ndarray, ids: np.ndarray) -> bytes:
     words: list[np.ndarray] = []
     for a in range(0, count, LANES):
         words += encode_blocks(blocks[a : a + LANES])
-    raw = memoryview(blocks.astype("<u4")).cast("B")
-    crcs = [zlib.crc32(raw[4 * length * k : 4 * length * (k + 1)]) for k in range(count)]
+    crcs = [zlib.crc32(b) for b in blocks.astype("<u4")]
     index = zlib.compress(docs.astype("<i8").tobytes() + lens.astype("<u4").tobytes() + np.array([len(w) for w in words], "<u4").tobytes() + np.array(crcs, "<u4").tobytes(), 1)
     head = HEAD.pack(MAGIC, length, len(docs), len(ids), count)
     return head + struct.pack("<I", len(index)) + index + b"".join(w.astype("<u2").tobytes() for w in words)
@@ -235,25 +234,35 @@ def unpack(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for a in range(0, count, LANES):
         b = min(a + LANES, count)
         got = decode_blocks([data[ends[k] : ends[k + 1]] for k in range(a, b)], length).astype("<u4", order="C")
-        raw = memoryview(got).cast("B")
-        for k in range(a, b):
-            if zlib.crc32(raw[4 * length * (k - a) : 4 * length * (k - a + 1)]) != crcs[k]:
+        for k, block in enumerate(got, a):
+            if zlib.crc32(block) != crcs[k]:
                 raise ValueError(f"block {k} is damaged")
         parts.append(got.reshape(-1))
     return docs, lens.astype(np.int64), np.concatenate(parts)[:total] if parts else np.zeros(0, np.uint32)
 
 
 class _Memory(dict):
-    """Numbers for texts, given in order of first sight; `new` lists those that still have to be encoded."""
+    """Numbers for texts in order of first sight, and the ids of each; `new` lists those still to be encoded."""
 
     def __init__(self):
         self.new: list[str] = []
+        self.ids, self.at, self.len = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def __missing__(self, key: str) -> int:
         self.new.append(key)
         number = self[key] = len(self)
         return number
 
+    def learn(self, ids: np.ndarray, lens: np.ndarray) -> None:
+        """The ids of all that is new, one after the other."""
+        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(lens) - lens])
+        self.len = np.concatenate([self.len, lens])
+        self.ids = np.concatenate([self.ids, ids])
+        self.new = []
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        return self.ids[spread(self.at[numbers], self.len[numbers])]
+
 
 class Chunks:
     """Encodes with the tokenizers library, asking it once for each distinct stretch between blanks.
@@ -264,7 +273,8 @@ class Chunks:
     but not to the library, send a text to the library whole.
     """
 
-    REMEMBERED = 600_000
+    #: Stretches that a worker remembers; then it starts afresh. Bounds memory only.
+    REMEMBERED = 250_000
     PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]*)")
 
     def __init__(self, path: str):
@@ -276,24 +286,17 @@ class Chunks:
         self.forget()
 
     def forget(self) -> None:
-        self.memory = _Memory()
-        self.words: dict[str, list[int]] = {}
-        self.ids, self.at, self.len = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _ask(self, keys: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(keys, add_special_tokens=False)]
+        self.memory, self.words = _Memory(), _Memory()
 
     def _learn(self) -> None:
-        split = [self.PLAIN.fullmatch(k) for k in self.memory.new]
-        parts = [(m[1].lower(), m[2]) if m else (k, "") for m, k in zip(split, self.memory.new)]
-        unknown = list(dict.fromkeys(w for p in parts for w in p if w and w not in self.words))
-        self.words.update(zip(unknown, self._ask(unknown)))
-        coded = [self.words[a] + self.words[b] if b else self.words[a] for a, b in parts]
-        lens = np.fromiter(map(len, coded), np.int64, len(coded))
-        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(lens) - lens])
-        self.len = np.concatenate([self.len, lens])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(coded), np.int32, int(lens.sum()))])
-        self.memory.new.clear()
+        memory, words = self.memory, self.words
+        pairs = [(m[1].lower(), m[2]) if (m := self.PLAIN.fullmatch(k)) else (k, "") for k in memory.new]
+        which = np.array([words[w] for pair in pairs for w in pair], np.int64)
+        if words.new:
+            coded = [e.ids for e in self.library.encode_batch_fast(words.new, add_special_tokens=False)]
+            lens = np.fromiter(map(len, coded), np.int64, len(coded))
+            words.learn(np.fromiter(chain.from_iterable(coded), np.int32, int(lens.sum())), lens)
+        memory.learn(words.of(which), words.len[which].reshape(-1, 2).sum(axis=1))
 
     def encode(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.memory) > self.REMEMBERED:
@@ -302,10 +305,9 @@ class Chunks:
         which = np.array(list(map(self.memory.__getitem__, chain.from_iterable(parts))), np.int64)
         if self.memory.new:
             self._learn()
-        lens = self.len[which]
-        total = np.concatenate([[0], np.cumsum(lens)])
+        total = np.concatenate([[0], np.cumsum(self.memory.len[which])])
         bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-        return self.ids[spread(self.at[which], lens)], np.diff(total[bounds])
+        return self.memory.of(which), np.diff(total[bounds])
 
 
 @lru_cache(maxsize=2)
