@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, idfile, lsh, media, mixing, ngram, pii, quality, reputation
+from millrace.llm import bpe, chat, idfile, lsh, media, mixing, ngram, oracles, pii, quality, reputation
 from millrace.llm.common import stash, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -95,4 +95,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)

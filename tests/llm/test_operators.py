@@ -464,3 +464,17 @@ def test_rates_are_shrunk_towards_the_level_above(spark):
 
 def test_tokenizer_paths_are_public():
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_BPE
+
+
+def test_queries_with_sql_match_it(spark, tiny):
+    import duckdb
+
+    c = duckdb.connect()
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tiny}/{t}.parquet')")
+    for name, sql in queries.oracle_sql().items():
+        got = queries.queries()[name](spark, tiny)
+        want = c.execute(sql)
+        names = [d[0] for d in want.description]
+        assert sorted(got.columns) == sorted(names)
+        assert sorted(map(repr, (tuple(r[n] for n in names) for r in got.collect()))) == sorted(map(repr, want.fetchall())), name
