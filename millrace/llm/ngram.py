@@ -284,8 +284,9 @@ def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90)
     sets = rows.select("id", "n", "s1", "s2")
 
     # classes of equal sets; an empty set is in none
-    classes = sets.filter("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.count("*").alias("m"))
-    of = stash(sets.filter("n > 0").join(classes.filter("m > 1"), ["s1", "s2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "classes")
+    # (written first: a join of two plain exchanges is one that Spark splits at a class with very many copies)
+    classes = stash(sets.filter("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.count("*").alias("m")).filter("m > 1"), "copies")
+    of = stash(sets.filter("n > 0").join(classes, ["s1", "s2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "classes")
     equal = of.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
     # rows that agree in a block, as (fingerprint, its smallest row, another row)
