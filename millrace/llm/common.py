@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import posixpath
 import uuid
 from collections.abc import Iterator
@@ -13,33 +12,15 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from millrace.session import scratch, ship
+from millrace.sources.files import filesystem
 
-#: Used only where spark.checkpoint.dir is unset, as in tests on one machine.
-LOCAL_SCRATCH = "/tmp/checkpoints"
+__all__ = ["AtomicFile", "filesystem", "scratch", "ship", "slices", "stash", "table", "texts"]
 
 #: The characters that part words, as a Spark regular expression: space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def ship(spark: SparkSession) -> SparkSession:
-    """Let Python workers started from now on import this package."""
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
-    return spark
-
-
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path below the cluster's shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = LOCAL_SCRATCH
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-
-
 def stash(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession, tag)
@@ -51,17 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def filesystem(uri: str):
-    """The pyarrow file system of a URI or plain path, and the path inside it."""
-    from pyarrow import fs
-
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return fs.FileSystem.from_uri(uri)
-
-
 class AtomicFile:
     """A file that appears under its name only when it is closed without an error.
 
