@@ -13,17 +13,27 @@ from pyspark.sql import functions as F
 from millrace.llm.common import stash
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges (a, b) with m, from least (u, m) by u = a.
+
+    The key is changed alike on both sides, so that the join has exchanges of its own on either side:
+    only then can Spark split a node with very many edges among tasks.
+    """
+    key = lambda c: F.col(c).bitwiseXOR(F.lit(1))
+    return edges.withColumn("k", key("a")).join(least.select(key("u").alias("uk"), "m"), F.col("k") == F.col("uk"))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.join(least, F.col("a") == F.col("u")).filter("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return _with_least(both, least).filter("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Edges run from the larger to the smaller node."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-    hung = down.join(least, F.col("a") == F.col("u")).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    hung = _with_least(down, least).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return hung.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
 
