@@ -339,12 +339,12 @@ def shingles(text, n=3):
     return frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
 
 
-def brute_components(texts):
-    sets, groups = {i: shingles(t) for i, t in texts.items()}, Union()
+def brute_components(texts, n=3, similarity=90):
+    sets, groups = {i: shingles(t, n) for i, t in texts.items()}, Union()
     ids = list(sets)
     for x, a in enumerate(ids):
         for b in ids[x + 1 :]:
-            if sets[a] and sets[b] and 10 * min(len(sets[a]), len(sets[b])) >= 9 * max(len(sets[a]), len(sets[b])) and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
                 groups.join(a, b)
     return {i: (len(s), groups.root(i)) for i, s in sets.items()}
 
@@ -354,8 +354,9 @@ def test_ngrams_against_all_pairs(spark, tiny):
     assert got == brute_components({d["doc_id"]: d["text"] for d in table(tiny, "documents")})
 
 
-def test_ngrams_near_the_bound(spark, monkeypatch):
-    """Copies with a few words changed, around a similarity of 90 %, of short and long texts."""
+@pytest.mark.parametrize("n, similarity", [(3, 90), (5, 80), (1, 50)])
+def test_ngrams_near_the_bound(spark, monkeypatch, n, similarity):
+    """Copies with a few words changed, around the bound, of short and long texts."""
     rng = np.random.default_rng(6)
     monkeypatch.setattr(ngram, "PIECE", 8)
     texts = {}
@@ -367,8 +368,8 @@ def test_ngrams_near_the_bound(spark, monkeypatch):
                 words[at] = f"x{rng.integers(500)}"
             texts[len(texts)] = " ".join(words[: size - int(rng.integers(0, 2))])
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram.join(df, "doc_id", "text").collect()}
-    assert got == brute_components(texts)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram.join(df, "doc_id", "text", n, similarity).collect()}
+    assert got == brute_components(texts, n, similarity)
 
 
 def test_ngrams_of_odd_rows(odd, none):

@@ -20,7 +20,7 @@ def test_stages_keep_columns_and_take_effect(spark, tiny):
     good = [d for d, q in labels.items() if q == 1]
     assert sum(d in kept for d in good) >= 0.95 * len(good)
     sets = [shingles(r.text) for r in alone.collect()]
-    assert len(set(sets)) == len(sets)
+    assert all(100 * len(a & b) < 90 * len(a | b) for k, a in enumerate(sets) for b in sets[:k])
     assert all("@" not in r.text or "[email]" in r.text or True for r in clean.collect())
     assert tokens.count() > 0 and tokens.filter("NOT exact").count() == 0
 
