@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,8 +28,12 @@ def scratch(spark: SparkSession, tag: str) -> str:
     """A new path below the cluster's shared checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = LOCAL_SCRATCH
-        spark.sparkContext.setCheckpointDir(base)
+        # one machine: a folder of this process, gone when it ends
+        base = f"{LOCAL_SCRATCH}/{os.getpid()}"
+        if not os.path.isdir(base):
+            os.makedirs(base)
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
+            spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
