@@ -55,7 +55,7 @@ class AtomicFile:
             self.fs.delete_file(self.partial)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about `most` bytes of a text column, or a single row."""
     for batch in batches:
         if not batch.num_rows:
