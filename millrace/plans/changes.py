@@ -17,17 +17,17 @@ def now() -> Column:
 
 # ---- merges: customers known so far, and what a batch of orders says about them
 
-OLD = "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS name, c_mktsegment AS seg, c_acctbal AS first_seen FROM customer WHERE c_custkey % 4 <> 0"
-NEW = "SELECT o_custkey AS k, 'N' || CAST(min(o_orderkey) AS VARCHAR) AS name, CASE WHEN min(o_orderkey) % 2 = 0 THEN '' ELSE 'SEG' END AS seg, min(o_totalprice) / 100 AS first_seen FROM orders WHERE o_custkey % 2 = 0 GROUP BY 1"
+OLD = "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS name, c_mktsegment AS seg, c_acctbal AS first_seen FROM customer WHERE c_mktsegment <> 'BUILDING'"
+NEW = "SELECT o_custkey AS k, 'N' || CAST(min(o_orderkey) AS VARCHAR) AS name, CASE WHEN min(o_orderkey) % 2 = 0 THEN '' ELSE 'SEG' END AS seg, min(o_totalprice) / 100 AS first_seen FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1"
 
 
 def old(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_name"))
-    return read(spark, sf_dir, "customer").filter("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("k"), name.alias("name"), F.col("c_mktsegment").alias("seg"), F.col("c_acctbal").alias("first_seen"))
+    return read(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("k"), name.alias("name"), F.col("c_mktsegment").alias("seg"), F.col("c_acctbal").alias("first_seen"))
 
 
 def new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = read(spark, sf_dir, "orders").filter("o_custkey % 2 = 0").groupBy(F.col("o_custkey").alias("k")).agg(F.min("o_orderkey").alias("m"), (F.min("o_totalprice") / 100).alias("first_seen"))
+    got = read(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("k")).agg(F.min("o_orderkey").alias("m"), (F.min("o_totalprice") / 100).alias("first_seen"))
     return got.select("k", F.concat(F.lit("N"), F.col("m").cast("string")).alias("name"), F.when(F.col("m") % 2 == 0, "").otherwise("SEG").alias("seg"), "first_seen")
 
 
@@ -138,14 +138,14 @@ def provider_deactivate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH m AS (SELECT o_custkey AS k, date_trunc('year', o_orderdate) AS y, count(*) AS n FROM orders GROUP BY 1, 2),
 a AS (SELECT k, n FROM m WHERE y < TIMESTAMP '1998-01-01' QUALIFY row_number() OVER (PARTITION BY k ORDER BY y DESC) = 1), b AS (SELECT k, n FROM m WHERE y = TIMESTAMP '1998-01-01')
-SELECT b.k, b.n, a.n AS previous, CASE WHEN a.n IS NULL OR a.n = b.n THEN 'unchanged' WHEN b.k % 5 = 0 THEN 'already_queued' ELSE 'changed' END AS verdict FROM b LEFT JOIN a ON a.k = b.k
+SELECT b.k, b.n, a.n AS previous, CASE WHEN a.n IS NULL OR a.n = b.n THEN 'unchanged' WHEN b.n > 2 THEN 'already_queued' ELSE 'changed' END AS verdict FROM b LEFT JOIN a ON a.k = b.k
 """)
 def count_change_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.operators.dedup import keep_first
 
     yearly = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k"), F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n"))
     latest = keep_first(yearly.filter("y < 1998"), ["k"], [F.desc("y")])
-    jobs = yearly.filter("k % 5 = 0").select("k")
+    jobs = yearly.filter("y = 1998 AND n > 2").select("k")
     return diff.count_changes(latest, yearly.filter("y = 1998").drop("y"), ["k"], jobs).select("k", "n", "previous", "verdict")
 
 

@@ -182,10 +182,10 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT doc_id, array_to_string(list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda p: list_position(w, p[1]) = p[2]), lambda p: p[1]), ' ') AS names
-FROM (SELECT doc_id, list_filter(string_split(substr(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), 1, 200), ' '), lambda x: x <> '') AS w FROM documents)
+FROM (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents)
 """)
 def array_distinct_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.split(F.substring(F.regexp_replace(F.lower("text"), "[^a-z]+", " "), 1, 200), " ")
+    words = F.split(F.regexp_replace(F.lower("text"), "[^a-z]+", " "), " ")
     return read(spark, sf_dir, "documents").select("doc_id", F.array_join(values.distinct_texts(words), " ").alias("names"))
 
 
