@@ -145,7 +145,7 @@ def mix(df: DataFrame, key: str, text: str, source: str, weights: list[float], m
 
 
 def expand(df: DataFrame, mixed: DataFrame, key: str) -> DataFrame:
-    """df with each row as often as the mix takes it. Rows that share a number should share their fate: see mix."""
-    plan = mixed.filter("copies > 0").select(F.col(key).alias("_key"), F.col("copies").alias("_copies")).distinct()
+    """df with each row as often as the mix takes it; rows that share a number are all taken as often as any of them."""
+    plan = mixed.filter("copies > 0").groupBy(F.col(key).alias("_key")).agg(F.max("copies").alias("_copies"))
     out = df.join(plan, F.col(key).eqNullSafe(F.col("_key")))
     return out.select(*df.columns, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")).drop("_copy")
