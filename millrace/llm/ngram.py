@@ -302,7 +302,7 @@ def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90)
 
     members = met.select(F.col("a").alias("id")).unionByName(met.select(F.col("b").alias("id"))).distinct()
     members = stash(members, "members")
-    near = stash(_split(docs, "id", members, members.count(), True), "near").join(members, "id", "left_semi").dropDuplicates(["id"])
+    near = stash(_split(docs, "id", members, members.count(), True).join(members, "id", "left_semi").dropDuplicates(["id"]), "near")
 
     # one hub for every row, then the hubs that are still elsewhere, then pairs across a list
     first = cells.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
