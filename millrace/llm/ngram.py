@@ -16,6 +16,11 @@ fingerprint, every row is compared with the list's smallest row. Lists that stil
 components then form clusters, whose rows are multiplied with each other block by block. Every pair
 that could matter is compared, no list of copies is multiplied out, and only links leave a block.
 
+Blocks hold few n-grams where the bound is low, and rows with common passages meet in them. `rare` finds
+cells by prefixes instead: with n-grams in one order for all rows, those that a sample of documents
+repeats last, two similar rows share an n-gram among the first x - tx + 1 of each, and the first they
+share leaves enough behind it in both. Any order gives the same results; the sample only makes lists short.
+
 Defined results: words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased; a document with 1 to n - 1
 words has its whole sequence as its one n-gram; one without words or with null text has an empty set,
 links with nothing and is its own component; repeated rows with one number count once; extra columns
@@ -38,6 +43,10 @@ from millrace.llm.components import components
 PIECE = 256
 #: Blocks beyond the bound: a row needs as many empty blocks before empty ones have to be told.
 SPARE = 3
+#: Documents looked at for n-grams that many have, and the most such n-grams; neither grows with the input.
+SAMPLE, COMMON = 10_000, 100_000
+#: A list of at most so many rows has its pairs compared one by one.
+LIST = 64
 _U = np.uint64
 
 
@@ -134,9 +143,40 @@ def fingerprints(gram: np.ndarray, size: np.ndarray, bands: Bands) -> tuple[np.n
     return np.concatenate(docs), np.concatenate(prints)
 
 
-def _rows(n: int, similarity: int):
+def _common(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that most documents of a sample have, sorted, and how many have each."""
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    some = docs.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            gram, count = np.unique(gram_sets(texts(batch, "text"), n)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(count)], names=["gram", "m"])
+
+    top = some.mapInArrow(run, "gram long, m long").groupBy("gram").agg(F.sum("m").alias("m")).filter("m > 2")
+    rows = top.orderBy(F.desc("m"), "gram").limit(COMMON).toPandas()
+    gram, count = rows["gram"].to_numpy(np.int64).view(_U), rows["m"].to_numpy(np.int64)
+    order = np.argsort(gram)
+    return gram[order], count[order]
+
+
+def prefixes(gram: np.ndarray, size: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document number, n-gram) of each document's first n-grams in the common order, in that order."""
+    owner = np.repeat(np.arange(len(size)), size)
+    seen = np.zeros(len(gram), np.int64)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], gram), len(common[0]) - 1)
+        seen = np.where(common[0][at] == gram, common[1][at], 0)
+    gram = gram[np.lexsort((gram, seen, owner))]
+    most = np.where(size > 0, size + (-similarity * size) // 100 + 1, 0)
+    first = np.arange(len(gram)) - np.repeat(np.cumsum(size) - size, size) < most[owner]
+    return owner[first], gram[first]
+
+
+def _rows(n: int, similarity: int, common=None):
     """Per document: its set's size, two hashes that name the set, and its blocks' fingerprints.
 
+    With a broadcast of common n-grams, the first n-grams instead of fingerprints.
     A task tells the fingerprints of a set once, for the first document that has it.
     """
 
@@ -156,7 +196,8 @@ def _rows(n: int, similarity: int):
                     told.add(name)
                     fresh[k] = True
             some = np.repeat(fresh, size)
-            doc, prints = fingerprints(gram[some], np.where(fresh, size, 0), bands)
+            told_size = np.where(fresh, size, 0)
+            doc, prints = prefixes(gram[some], told_size, common.value, similarity) if common else fingerprints(gram[some], told_size, bands)
             order = np.argsort(doc, kind="stable")
             per = np.bincount(doc, minlength=len(size))
             yield pa.RecordBatch.from_arrays(
@@ -277,10 +318,14 @@ def _products(rows: DataFrame, n: int, similarity: int) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document; similarity in per cent."""
+def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90, rare: bool = False) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document; similarity in per cent.
+
+    rare: rows meet by their rare n-grams instead of by equal blocks; results are the same.
+    """
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(column).alias("text"))
-    rows = stash(docs.mapInArrow(_rows(n, similarity), "id long, n long, s1 long, s2 long, prints array<long>"), "rows")
+    common = df.sparkSession.sparkContext.broadcast(_common(docs, n)) if rare else None
+    rows = stash(docs.mapInArrow(_rows(n, similarity, common), "id long, n long, s1 long, s2 long, prints array<long>"), "rows")
     sets = rows.select("id", "n", "s1", "s2")
 
     # classes of equal sets; an empty set is in none
@@ -290,13 +335,22 @@ def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90)
     equal = of.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
     # rows that agree in a block, as (fingerprint, its smallest row, another row)
-    told = rows.select("id", F.explode("prints").alias("print"))
-    lists = told.groupBy("print").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select(F.col("print").alias("p"), "hub")
-    met = told.join(lists, F.col("print") == F.col("p")).filter("id <> hub").select("print", "hub", "id")
+    # (of rows that share a rare n-gram, also its places in both)
     name = of.select(F.col("id").alias("i"), F.col("n"), "rep")
-    met = met.join(name, F.col("id") == F.col("i")).select("print", "hub", F.col("rep").alias("b"), F.col("n").alias("nb"))
-    met = met.join(name, F.col("hub") == F.col("i")).select("print", F.col("rep").alias("a"), F.col("n").alias("na"), "b", "nb")
+    pa_, pb_ = (["pa"], ["pb"]) if rare else ([], [])
+    if rare:
+        told = rows.select("id", F.posexplode("prints").alias("place", "print"))
+        lists = told.groupBy("print").agg(F.min(F.struct("id", "place")).alias("h"), F.max("id").alias("top")).filter("h.id < top").select(F.col("print").alias("p"), F.col("h.id").alias("hub"), F.col("h.place").alias("pa"))
+        met = told.join(lists, F.col("print") == F.col("p")).filter("id <> hub").select("print", "hub", "pa", "id", F.col("place").alias("pb"))
+    else:
+        told = rows.select("id", F.explode("prints").alias("print"))
+        lists = told.groupBy("print").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select(F.col("print").alias("p"), "hub")
+        met = told.join(lists, F.col("print") == F.col("p")).filter("id <> hub").select("print", "hub", "id")
+    met = met.join(name, F.col("id") == F.col("i")).select("print", "hub", *pa_, F.col("rep").alias("b"), F.col("n").alias("nb"), *pb_)
+    met = met.join(name, F.col("hub") == F.col("i")).select("print", F.col("rep").alias("a"), F.col("n").alias("na"), *pa_, "b", "nb", *pb_)
     fits = 100 * F.least("na", "nb") >= similarity * F.greatest("na", "nb")
+    if rare:  # all that two rows can share lies from the first shared n-gram on
+        fits = (100 + similarity) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= similarity * (F.col("na") + F.col("nb"))
     met = stash(met.filter("a <> b").distinct(), "met")
     cells = met.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -317,6 +371,19 @@ def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90)
     links = links.unionByName(stash(_similar(second, near, n, similarity), "links"))
     roots = components(links)
 
+    if rare:
+        # short lists that still hold several components: their pairs that fit, but for those compared
+        sides = [F.struct(F.col(c).alias("id"), F.col(f"r{c}").alias("root"), F.col(f"n{c}").alias("n"), F.col(f"p{c}").alias("place")) for c in "ab"]
+        left = apart(met).select("print", F.explode(F.array(*sides)).alias("m")).select("print", "m.*").distinct()
+        mixed = left.groupBy("print").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).filter("low < high").select(F.col("print").alias("p"), "m")
+        left = stash(left.join(mixed, F.col("print") == F.col("p")).drop("p"), "mixed")
+        short = left.filter(F.col("m") <= LIST)
+        x, y = (short.select(F.col("print").alias(f"print{c}"), F.col("id").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"), F.col("place").alias(f"p{c}")) for c in "ab")
+        third = x.join(y, (F.col("printa") == F.col("printb")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits).select("a", "b").distinct().join(cells, ["a", "b"], "left_anti")
+        links = links.unionByName(stash(_similar(third, near, n, similarity), "links"))
+        roots = components(links)
+        met = met.join(left.filter(F.col("m") > LIST).select("print").distinct(), "print", "left_semi")
+
     # lists that still hold several components: what they connect is a cluster, multiplied out in blocks
     split = apart(met).select("print", F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("ra").alias("root")), F.struct(F.col("b").alias("id"), F.col("rb").alias("root")))).alias("m")).select("print", "m.*").distinct()
     mixed = split.groupBy("print").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("id").alias("first")).filter("low < high").select(F.col("print").alias("p"), "first")

@@ -372,6 +372,33 @@ def test_ngrams_near_the_bound(spark, monkeypatch, n, similarity):
     assert got == brute_components(texts, n, similarity)
 
 
+@pytest.mark.parametrize("most", [2, 64])
+@pytest.mark.parametrize("n, similarity", [(5, 80), (3, 90), (1, 50)])
+def test_ngrams_met_by_rare_ones(spark, monkeypatch, n, similarity, most):
+    """As near the bound, with a passage that all long texts share, with few and with many pairs taken one by one."""
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(ngram, "PIECE", 8)
+    monkeypatch.setattr(ngram, "LIST", most)
+    common = " ".join(f"c{k}" for k in range(20))
+    texts = {}
+    for size in (1, 4, 5, 11, 12, 33, 60, 150):
+        base = [f"w{rng.integers(500)}" for _ in range(size)]
+        for _ in range(14):
+            words = list(base)
+            for at in rng.integers(0, size, rng.integers(0, max(2, size // 20 + 2))):
+                words[at] = f"x{rng.integers(500)}"
+            texts[len(texts)] = " ".join(words[: size - int(rng.integers(0, 2))] + [common] * (size > 11) + [f"y{rng.integers(9)}"] * (size > 33))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram.join(df, "doc_id", "text", n, similarity, rare=True).collect()}
+    assert got == brute_components(texts, n, similarity)
+
+
+def test_rare_ngrams_of_odd_rows(odd, none):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram.join(odd, "doc_id", "text", 5, 80, rare=True).collect()}
+    assert got == brute_components({r.doc_id: r.text for r in odd.collect()}, 5, 80)
+    assert ngram.join(none, "doc_id", "text", 5, 80, rare=True).count() == 0
+
+
 def test_ngrams_of_odd_rows(odd, none):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram.join(odd, "doc_id", "text").collect()}
     assert got == brute_components({r.doc_id: r.text for r in odd.collect()})
