@@ -26,6 +26,8 @@ from millrace.llm.common import list_array, slices, spread, texts, with_columns
 
 #: Fixed value of the tokenizer's file format: how text is cut before merging.
 CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Two white-space characters that touch.
+TOUCHING = regex.compile(r"\s\s")
 
 #: Fixed values of the file format: bytes that stand for themselves in the vocabulary's strings.
 SELVES = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -263,10 +265,10 @@ class ByteBPE:
     def pieces(self, text: str) -> tuple[list[str], list[tuple[int, list[str]]]]:
         """A text without added tokens as (kind, pieces) groups that can be encoded one by one.
 
-        Cutting before a single space or line break that no other of them touches never changes
+        Cutting before a single space or line break that no other white space touches never changes
         what CUT finds; a text with touching ones is cut by CUT itself.
         """
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+        if TOUCHING.search(text):
             return [(0, CUT.findall(text))]
         groups = []
         for k, line in enumerate(text.split("\n")):

@@ -139,6 +139,13 @@ def test_bpe_words_of_all_kinds(library):
     assert own.decode(ids, lens) == library.decode_batch([ids[a:b].tolist() for a, b in zip(ends, ends[1:])], skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("text", ["x \u00a0 \u00a0 y", "x\t y", "x \ty z", "x\r\ny", "a\n\u00a0b c", "x\u3000 \u2003\n\u00a0", " \u00a0", "a \u00a0 b\u00a0c d"])
+def test_bpe_white_space_that_touches(library, text):
+    own = bpe.ByteBPE(BYTE_BPE)
+    for t in (text, f"one two {text} three\nfour"):
+        assert own.encode([t])[0].tolist() == library.encode(t, add_special_tokens=False).ids
+
+
 def test_decoding_ids_that_are_no_utf8():
     own = bpe.ByteBPE(BYTE_BPE)
     half = own.piece["é".encode()[:1]]
