@@ -176,10 +176,11 @@ DIGIT = {w: str(d) for d, names in enumerate(NAMES) for w in names.split("|")}
 #: "six" is a digit in two languages, so languages may mix.
 _NAME = "|".join(sorted(DIGIT, key=len, reverse=True))
 GAP = r"[\s,./()_–-]{0,3}"
-TOKEN = re.compile(rf"(?P<name>\b(?:{_NAME})\b)|(?P<times>\b(?:double|triple)\b)|(?P<plus>\bplus\b|\+)|(?P<dot>{BRACKET_DOT}|{WORD_DOT}|\bpoint\b)|(?P<digits>[0-9]+)|(?P<sep>[\s,./()_–-])", re.I)
+TOKEN = re.compile(rf"(?P<name>\b(?:{_NAME})\b)|(?P<times>\b(?:double|triple)\b)|(?P<plus>\bplus\b|\+)|(?P<dot>{BRACKET_DOT}|{WORD_DOT}|\b(?:dot|point)\b)|(?P<digits>[0-9]+)|(?P<sep>[\s,./()_–-])", re.I)
 RUN = re.compile(rf"(?:(?:\bplus\b|\+){GAP})?(?:\b(?:{_NAME}|double|triple|dot|point)\b|[0-9]{{1,64}}|{BRACKET_DOT})(?:{GAP}(?:\b(?:{_NAME}|double|triple|dot|point)\b|[0-9]{{1,64}}|{BRACKET_DOT}))+", re.I)
-#: Three digits' names in a row, or digits around a dot in words: only then are runs looked for.
-MAYBE_RUN = re.compile(rf"\b(?:{_NAME})\b{GAP}\b(?:{_NAME}|double|triple)\b{GAP}\b(?:{_NAME}|double|triple)\b|[0-9]\s{{0,3}}(?:[(\[{{<]\s{{0,3}}(?:dot|\.|punto|point|punkt)\s{{0,3}}[)\]}}>]|\bdot\b)\s{{0,3}}[0-9]", re.I)
+_WORD = rf"(?:\b(?:{_NAME}|double|triple|dot|point)\b|{OPEN}(?:dot|\.|punto|point|punkt){SHUT})"
+#: A digit's name or a dot's word next to another or to a figure: every run that isn't figures alone has it.
+MAYBE_RUN = re.compile(rf"{_WORD}{GAP}(?:{_WORD}|[0-9])|[0-9]{GAP}{_WORD}", re.I)
 
 
 def spelled(text: str) -> Iterator[Tape]:
@@ -202,6 +203,8 @@ def spelled(text: str) -> Iterator[Tape]:
             elif m["digits"]:
                 put, here = m[0], None
             else:
+                while m["dot"] and out and out[-1] in ("", " "):  # a dot's word takes the blanks before it along
+                    del spans[len(spans) - len(out.pop()) :]
                 put = "+" if m["plus"] else "." if m["dot"] else DIGIT[m["name"].lower()] * times
                 words += bool(m["name"] or m["dot"])
                 times, opened = 1, None

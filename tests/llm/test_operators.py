@@ -204,6 +204,23 @@ def test_disguises(text, kind, inside):
     assert (kind, inside) in [(k, text[a:b]) for k, a, b, plain in pii.scan(text) if not plain]
 
 
+@pytest.mark.parametrize(
+    "text, kind, inside",
+    [
+        ("at one two dot three four dot five six dot seven eight", "ip", "one two dot three four dot five six dot seven eight"),
+        ("card 4111 1111 1111 one one 11 ok", "card", "4111 1111 1111 one one 11"),
+        ("call +49 one two 3456789", "phone", "+49 one two 3456789"),
+        ("call plus 4 nine 1 two 3 four 5 six 7 eight 9", "phone", "plus 4 nine 1 two 3 four 5 six 7 eight 9"),
+        ("at 127 point 0 point 0 point 1", "ip", "127 point 0 point 0 point 1"),
+        ("at 10 [dot] zero dot 0 point one", "ip", "10 [dot] zero dot 0 point one"),
+    ],
+)
+def test_runs_are_judged_by_their_own_digits(text, kind, inside):
+    alone = pii.scan(text)
+    assert (kind, inside) in [(k, text[a:b]) for k, a, b, plain in alone if not plain]
+    assert set(alone) <= set(pii.scan(text + " and, one two three times over"))
+
+
 @pytest.mark.parametrize("text", ["look at example.com", "one two three", "he arrived at noon", "un un un un un un un un un un un", "2 at 3 dots", "the null one of two"])
 def test_plain_prose_is_left_alone(text):
     assert pii.scan(text) == []
