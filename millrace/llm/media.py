@@ -149,13 +149,15 @@ def metadata(index: DataFrame) -> DataFrame:
 def features(index: DataFrame) -> DataFrame:
     """index with what the stored bytes themselves give: sizes, digests, checksum and a feature string.
 
-    The feature holds the image's width and height and the samples' mean and deviation.
+    The feature holds the image's width and height, those of metadata's columns where index has them, and
+    the samples' mean and deviation.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, images in _ranges(batches, None):
             seen: dict[str, tuple] = {}
             digests = batch.column(batch.schema.get_field_index("digest")).to_pylist()
+            heads = list(zip(*(batch.column(c).to_pylist() for c in ("width", "height")))) if "width" in batch.schema.names else None
             rows = []
             for k, image in images:
                 if digests[k] not in seen:
@@ -163,7 +165,7 @@ def features(index: DataFrame) -> DataFrame:
                     digest = hashlib.sha256(payload).hexdigest()
                     if digest != digests[k]:
                         raise ValueError(f"member {digests[k]} holds other bytes")
-                    width, height = png_size(image[:HEADER])
+                    width, height = heads[k] if heads else png_size(image[:HEADER])
                     samples = np.frombuffer(payload, np.uint8)
                     feature = f"png:{width}x{height}:mean={samples.mean():.3f}:dev={samples.std():.3f}"
                     seen[digests[k]] = (len(payload), digest, zlib.crc32(payload[-LINE:]), len(image), hashlib.sha256(image).hexdigest(), feature)

@@ -67,7 +67,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = media.store(table(spark, sf_dir, "documents"), "doc_id", "text")
+    index = media.metadata(media.store(table(spark, sf_dir, "documents"), "doc_id", "text"))
     return media.features(index).select("doc_id", "n_bytes", *media.NEW, "digest")
 
 

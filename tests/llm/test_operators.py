@@ -346,6 +346,15 @@ def test_media_bytes_come_back(spark, tiny, odd, none):
     assert media.features(media.store(none, "doc_id", "text")).count() == 0
 
 
+def test_media_query_reads_headers(spark, tiny, monkeypatch):
+    asked = []
+    ranges, whole = media.metadata, media.features
+    monkeypatch.setattr(media, "metadata", lambda index: asked.append("heads") or ranges(index).withColumn("width", F.lit(7).cast("long")))
+    monkeypatch.setattr(media, "features", lambda index: asked.append("width" in index.columns) or whole(index))
+    rows = queries.op7_media(spark, tiny).collect()
+    assert asked == ["heads", True] and all(r.feature.startswith("png:7x") for r in rows)
+
+
 def test_damaged_media_are_found():
     image = media.to_png(bytes(128))
     assert media.from_png(image) == bytes(128)
