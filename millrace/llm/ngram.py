@@ -1,34 +1,38 @@
 """N-gram Jaccard join as a blocked sparse matrix product.
 
-A row of the incidence matrix is a document's set of word n-grams. Two sets of x and y n-grams at
-Jaccard similarity t or more differ in at most (x + y)(1 - t)/(1 + t) n-grams. So the n-grams, the
-matrix's columns, are dealt into a few blocks more than that bound, by hash: any two such rows agree in
-some whole block. A block's fingerprint stands for its part of the row, so cells of the product that
-could reach the bound are found by equality on fingerprints, with no cell made for rows that merely
-share a common passage; sizes that cannot fit are discarded. For the cells that remain, the product is
-computed exactly: overlaps of whole n-gram sets are counted, and pairs below the bound are dropped.
-
-The number of blocks depends on the larger size, so rows are fingerprinted once for the band of sizes
-they lie in and once for the next one; two sizes that can be similar are always in one or in adjacent bands.
-
-Links are needed up to connectivity only. Equal sets form classes first. In each list of rows with one
-fingerprint, every row is compared with the list's smallest row. Lists that still hold several
-components then form clusters, whose rows are multiplied with each other block by block. Every pair
-that could matter is compared, no list of copies is multiplied out, and only links leave a block.
-
-Blocks hold few n-grams where the bound is low, and rows with common passages meet in them. `rare` finds
-cells by prefixes instead: with n-grams in one order for all rows, those that a sample of documents
-repeats last, two similar rows share an n-gram among the first x - tx + 1 of each, and the first they
-share leaves enough behind it in both. Any order gives the same results; the sample only makes lists short.
+A row of the incidence matrix is a document's set of word n-grams, a column an n-gram. The product of
+the matrix with its transpose counts overlaps; only cells that could reach the bound are computed, and
+they are computed in blocks of columns (ranges of n-gram hashes): after every block, a cell whose count so
+far and what its two rows still hold can't reach the overlap that their sizes ask for is discarded.
+
+Which cells those are is found from compound columns, which join several n-grams, so that rows that
+merely share a passage make no cells. Rows that agree in a compound column form a list.
+
+* By default a row's n-grams are dealt into blocks, by hash. Two sets of x and y n-grams at Jaccard
+  similarity t or more differ in at most (x + y)(1 - t)/(1 + t) n-grams; with a few blocks more than that,
+  they agree in some whole block, whose fingerprint is the compound column. The number of blocks depends on
+  the larger size, so rows are told once for the band of sizes they lie in and once for the next one. Exact.
+* Where the bound is low blocks hold few n-grams, and there are many. With `sampled`, a compound column
+  is made of the first n-grams in a few hash orders. Each agrees with the chance t at least, and there are
+  so many columns that the chance of missing a pair at the bound is below 2**-64, that of two equal hashes.
+
+Equal sets form classes first, and one row stands for each. Links are needed up to connectivity only: in
+each list, every row is compared with the list's smallest row. Lists whose other rows still lie in several
+components then form clusters, whose rows are multiplied with each other tile by tile. Every pair
+that could matter is compared, no list of copies is multiplied out, and only links leave a tile. A row with
+very many others to compare has them dealt to several groups.
 
 Defined results: words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased; a document with 1 to n - 1
 words has its whole sequence as its one n-gram; one without words or with null text has an empty set,
-links with nothing and is its own component; repeated rows with one number count once; extra columns
-are left out; an empty table gives an empty result.
+links with nothing and is its own component; repeated rows with one number count once, and of different
+texts under one number the one of the smallest set (then hash) counts; texts of any length are taken whole;
+ties don't arise, as a component is named by its smallest number; extra columns are left out; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,17 +40,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import groups_of, hash_words, list_array, local_roots, mix, slices, stash, texts
+from millrace.llm.common import groups_of, hash_words, list_array, local_roots, mix, slices, spread, stash, texts
 from millrace.llm.components import components
 
-#: Rows of a cluster that meet in one group: two pieces at most, about.
+#: Rows of a cluster, or others of one row, that meet in one group: two pieces at most, about.
 PIECE = 256
 #: Blocks beyond the bound: a row needs as many empty blocks before empty ones have to be told.
 SPARE = 3
-#: Documents looked at for n-grams that many have, and the most such n-grams; neither grows with the input.
-SAMPLE, COMMON = 10_000, 100_000
-#: A list of at most so many rows has its pairs compared one by one.
-LIST = 64
+#: Blocks of columns of a product, and bytes of text that a task turns into n-grams at once.
+COLUMNS, TEXT = 8, 1_000_000
+#: Tables of at most so many rows of a few numbers each are broadcast; larger ones are joined by a shuffle.
+BROADCAST = 1_000_000
 _U = np.uint64
 
 
@@ -75,6 +79,24 @@ def gram_sets(strings: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     return gram[new], np.bincount(owner[new], minlength=len(strings))
 
 
+def sets_of(strings: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """gram_sets of any number of texts, by portions, so that what is held beside the result is bounded."""
+    ends = np.cumsum([len(s) for s in strings]) // TEXT
+    cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(strings)]
+    parts = [gram_sets(strings[a:b], n) for a, b in zip(cuts, cuts[1:])]
+    return np.concatenate([g for g, _ in parts]), np.concatenate([s for _, s in parts])
+
+
+def set_names(gram: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes that name each set."""
+    start = np.cumsum(size) - size
+    names = []
+    for salt in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB):
+        sums = np.concatenate([np.zeros(1, _U), np.cumsum(mix(gram ^ _U(salt)), dtype=_U)])
+        names.append((sums[start + size] - sums[start]).view(np.int64))
+    return names[0], names[1]
+
+
 class Bands:
     """Bands of set sizes, and how many blocks the rows of a band and of the one below share.
 
@@ -143,149 +165,142 @@ def fingerprints(gram: np.ndarray, size: np.ndarray, bands: Bands) -> tuple[np.n
     return np.concatenate(docs), np.concatenate(prints)
 
 
-def _common(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams that most documents of a sample have, sorted, and how many have each."""
-    share = min(1.0, SAMPLE / max(1, docs.count()))
-    some = docs.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+def sample_plan(similarity: int) -> tuple[int, int]:
+    """How many n-grams a sampled compound column joins, and how many columns a row has."""
+    t = similarity / 100
+    width = max(1, round(-1 / math.log(t))) if t < 1 else 1
+    return width, math.ceil(64 * math.log(2) / -math.log1p(-(t**width))) if t < 1 else 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            gram, count = np.unique(gram_sets(texts(batch, "text"), n)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(count)], names=["gram", "m"])
-
-    top = some.mapInArrow(run, "gram long, m long").groupBy("gram").agg(F.sum("m").alias("m")).filter("m > 2")
-    rows = top.orderBy(F.desc("m"), "gram").limit(COMMON).toPandas()
-    gram, count = rows["gram"].to_numpy(np.int64).view(_U), rows["m"].to_numpy(np.int64)
-    order = np.argsort(gram)
-    return gram[order], count[order]
-
-
-def prefixes(gram: np.ndarray, size: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document number, n-gram) of each document's first n-grams in the common order, in that order."""
-    owner = np.repeat(np.arange(len(size)), size)
-    seen = np.zeros(len(gram), np.int64)
-    if len(common[0]):
-        at = np.minimum(np.searchsorted(common[0], gram), len(common[0]) - 1)
-        seen = np.where(common[0][at] == gram, common[1][at], 0)
-    gram = gram[np.lexsort((gram, seen, owner))]
-    most = np.where(size > 0, size + (-similarity * size) // 100 + 1, 0)
-    first = np.arange(len(gram)) - np.repeat(np.cumsum(size) - size, size) < most[owner]
-    return owner[first], gram[first]
 
-
-def _rows(n: int, similarity: int, common=None):
-    """Per document: its set's size, two hashes that name the set, and its blocks' fingerprints.
-
-    With a broadcast of common n-grams, the first n-grams instead of fingerprints.
-    A task tells the fingerprints of a set once, for the first document that has it.
-    """
+def sampled_columns(gram: np.ndarray, size: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document number, name) of every compound column that joins the first n-grams in some hash orders."""
+    full = np.flatnonzero(size > 0)
+    if not full.size:
+        return np.zeros(0, np.int64), np.zeros(0, _U)
+    start = (np.cumsum(size) - size)[full]
+    short = (gram >> _U(32)).astype(np.uint32)
+    width, count = sample_plan(similarity)
+    rng = np.random.default_rng(23)
+    salts, factors = rng.integers(0, 2**32, (2, count, width), dtype=np.uint32)
+    names = np.empty((count, len(full)), _U)
+    for k in range(count):
+        name = np.full(len(full), k, _U)
+        for salt, factor in zip(salts[k], factors[k] | np.uint32(1)):
+            name = mix(name * _U(0x9E3779B97F4A7C15) + np.minimum.reduceat((short ^ salt) * factor, start))
+        names[k] = name
+    return np.tile(full, count), names.ravel()
+
+
+def _rows(n: int, similarity: int, sampled: bool):
+    """Per document: its set's size, two hashes that name the set, and its compound columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(similarity)
-        told: set[tuple[int, int]] = set()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT):
             gram, size = gram_sets(texts(batch, "text"), n)
-            start = np.cumsum(size) - size
-            names = []
-            for salt in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB):
-                sums = np.concatenate([np.zeros(1, _U), np.cumsum(mix(gram ^ _U(salt)), dtype=_U)])
-                names.append((sums[start + size] - sums[start]).view(np.int64))
-            fresh = np.zeros(len(size), bool)
-            for k, name in enumerate(zip(names[0].tolist(), names[1].tolist())):
-                if size[k] and name not in told:
-                    told.add(name)
-                    fresh[k] = True
-            some = np.repeat(fresh, size)
-            told_size = np.where(fresh, size, 0)
-            doc, prints = prefixes(gram[some], told_size, common.value, similarity) if common else fingerprints(gram[some], told_size, bands)
+            names = set_names(gram, size)
+            doc, prints = sampled_columns(gram, size, similarity) if sampled else fingerprints(gram, size, bands)
             order = np.argsort(doc, kind="stable")
             per = np.bincount(doc, minlength=len(size))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size), pa.array(names[0]), pa.array(names[1]), list_array(prints[order].view(np.int64), per)], names=["id", "n", "s1", "s2", "prints"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), *map(pa.array, names), list_array(prints[order].view(np.int64), per)], names=["id", "n", "s1", "s2", "prints"])
 
     return run
 
 
-def _bits(ids: DataFrame, expected: int) -> np.ndarray:
-    """A bit map of hashed numbers, of a fixed size for a number of them; made in the tasks, joined by bytes."""
-    size = 1 << min(29, max(16, int(expected * 16).bit_length()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(size // 8, np.uint8)
-        for batch in batches:
-            at = _slot(batch.column(0).to_numpy(), size)
-            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        on = np.flatnonzero(bits)
-        yield pa.RecordBatch.from_arrays([pa.array(on), pa.array(bits[on].astype(np.int64))], names=["at", "bits"])
-
-    rows = ids.mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
-    out = np.zeros(size // 8, np.uint8)
-    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint8)
-    return out
+def meet(df: DataFrame, key: str, few: DataFrame, other: str, how: str) -> DataFrame:
+    """df joined on a number with a written table, which is broadcast only if it has at most BROADCAST rows."""
+    return df.join(F.broadcast(few) if few.count() <= BROADCAST else few, F.col(key) == F.col(other), how)
 
 
-def _slot(ids: np.ndarray, size: int) -> np.ndarray:
-    return (mix(ids.astype(np.int64).view(_U)) & _U(size - 1)).astype(np.int64)
-
-
-def _split(df: DataFrame, key: str, ids: DataFrame, expected: int, inside: bool) -> DataFrame:
-    """The rows whose number a bit map of ids holds (all in ids, and a few others), or the rest."""
-    shared = df.sparkSession.sparkContext.broadcast(_bits(ids, expected))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch in batches:
-            at = _slot(pa.compute.fill_null(batch.column(batch.schema.get_field_index(key)), 0).to_numpy(zero_copy_only=False), len(bits) * 8)
-            yield batch.filter(pa.array(((bits[at >> 3] >> (at & 7)) & 1 == 1) == inside))
+def without(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """df without the rows of some numbers (a written table); rows whose key is null stay."""
+    return meet(df, key, ids.select(F.col(key).alias("_gone")), "_gone", "left_anti")
 
-    return df.mapInArrow(run, df.schema)
 
+def reach(gram: np.ndarray, size: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: int) -> np.ndarray:
+    """Which cells (left, right) of the product of an incidence matrix with its transpose reach the bound.
 
-def without(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """df without the rows of some numbers; only rows that a bit map can't clear are joined."""
-    n = ids.count()
-    clear = _split(df, key, ids, n, False)
-    rest = _split(df, key, ids, n, True).join(ids.select(F.col(key).alias("_gone")), F.col(key) == F.col("_gone"), "left_anti")
-    return clear.unionByName(rest)
+    gram: sorted in each row. Cells are counted by blocks of columns, and given up as soon as they can't reach
+    the overlap that the sizes of their rows ask for.
+    """
+    start = np.cumsum(size) - size
+    owner = np.repeat(np.arange(len(size)), size)
+    block = (gram >> _U(64 - COLUMNS.bit_length() + 1)).astype(np.int64)
+    per = np.bincount(owner * COLUMNS + block, minlength=len(size) * COLUMNS).reshape(-1, COLUMNS)
+    x, y = size[left], size[right]
+    need = np.maximum(1, -(-similarity * (x + y) // (100 + similarity)))
+    cells = np.flatnonzero(np.minimum(x, y) >= need)
+    shared = np.zeros(len(left), np.int64)
+    rest_x, rest_y = x.copy(), y.copy()
+    at = start.copy()
+    for c in range(COLUMNS):
+        if not cells.size:
+            break
+        rows = np.unique(left[cells])
+        # entries of the left rows, named by row and column
+        entries = np.sort(gram[spread(at[rows], per[rows, c])] ^ np.repeat(rows, per[rows, c]).astype(_U) * _U(0x9E3779B97F4A7C15))
+        many = per[right[cells], c]
+        mine = np.repeat(np.arange(len(cells)), many)
+        asked = gram[spread(at[right[cells]], many)] ^ left[cells][mine].astype(_U) * _U(0x9E3779B97F4A7C15)
+        if len(entries):
+            place = np.minimum(np.searchsorted(entries, asked), len(entries) - 1)
+            shared[cells] += np.bincount(mine[entries[place] == asked], minlength=len(cells))
+        rest_x[cells] -= per[left[cells], c]
+        rest_y[cells] -= many
+        cells = cells[shared[cells] + np.minimum(rest_x[cells], rest_y[cells]) >= need[cells]]
+        at += per[:, c]
+    out = np.zeros(len(left), bool)
+    out[cells] = True
+    return out
 
 
 def _similar(pairs: DataFrame, near: DataFrame, n: int, similarity: int) -> DataFrame:
-    """The pairs (a, b) whose n-gram sets are similar enough, by exact overlap counts."""
-    left = near.select(F.col("id").alias("x"), F.col("text").alias("ta"))
-    right = near.select(F.col("id").alias("y"), F.col("text").alias("tb"))
-    both = pairs.join(right, F.col("b") == F.col("y")).join(left, F.col("a") == F.col("x")).select("a", "b", "ta", "tb")
+    """The pairs (a, b) whose n-gram sets are similar enough.
+
+    The others of each row a meet it in groups of about PIECE, so its text is read once a group.
+    """
+    pairs = stash(pairs, "pairs")
+    key = lambda c: F.col(c).bitwiseXOR(F.lit(1))  # noqa: E731  exchanges of their own, which Spark can split at a hot row
+    pieces = pairs.groupBy("a").agg(F.count("*").alias("m")).filter(F.col("m") > PIECE).select(key("a").alias("k"), F.ceil(F.col("m") / PIECE).alias("pieces"))
+    cut = pairs.join(pieces, key("a") == F.col("k"), "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), "pieces"), F.lit(0)).alias("piece"))
+    cut = stash(cut, "cut")
+    hubs = cut.select("a", "piece").distinct().join(near, F.col("a") == F.col("id"))
+    both = hubs.unionByName(cut.join(near, F.col("b") == F.col("id")).drop("b"))
+    both = both.repartition("a", "piece").sortWithinPartitions("a", "piece", F.col("a") != F.col("id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "tb", 2_000_000):
-            a = batch.column(0).to_numpy()
-            rows = np.unique(a, return_index=True)[1]
-            at = np.searchsorted(a[rows], a)  # the left row's place among the distinct ones
-            gram, size = gram_sets(batch.column(2).take(pa.array(rows)).to_pylist() + texts(batch, "tb"), n)
-            start = np.cumsum(size) - size
-            keep = np.zeros(len(a), bool)
-            for k in range(len(a)):
-                i, j = at[k], len(rows) + k
-                x, y = gram[start[i] : start[i] + size[i]], gram[start[j] : start[j] + size[j]]
-                if 100 * min(len(x), len(y)) >= similarity * max(len(x), len(y)):
-                    place = np.minimum(np.searchsorted(x, y), max(len(x) - 1, 0))
-                    shared = int((x[place] == y).sum()) if len(x) else 0
-                    keep[k] = shared > 0 and 100 * shared >= similarity * (len(x) + len(y) - shared)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+        hub: tuple[int, int, str] | None = None
+        for batch in slices(batches, "text", TEXT):
+            a, piece, ids, s1 = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("a", "piece", "id", "s1"))
+            strings = texts(batch, "text")
+            is_hub = a == ids
+            told = hub is not None and not is_hub[0] and (a[0], piece[0]) == hub[:2]
+            gram, size = gram_sets(([hub[2]] if told else []) + strings, n)
+            # rows of a number's other texts don't count
+            valid = set_names(gram, size)[0][told:] == s1
+            at = np.maximum.accumulate(np.concatenate([[0 if told else -1], np.where(is_hub & valid, np.arange(len(a)) + told, -1)]))[1:]
+            who = np.flatnonzero(~is_hub & valid & (at >= 0))
+            of = np.concatenate([[hub[0]], a] if told else [a])
+            who = who[of[at[who]] == a[who]]
+            hit = who[reach(gram, size, at[who], who + told, similarity)]
+            yield pa.RecordBatch.from_arrays([pa.array(a[hit]), pa.array(ids[hit])], names=["a", "b"])
+            last = np.flatnonzero(is_hub & valid)
+            if last.size:
+                hub = (a[last[-1]], piece[last[-1]], strings[last[-1]])
 
     return both.mapInArrow(run, "a long, b long")
 
 
 def _products(rows: DataFrame, n: int, similarity: int) -> DataFrame:
-    """Links (a, b) within each cluster that keep its connectivity: blocks of the matrix times their transposes.
+    """Links (a, b) within each cluster that keep its connectivity, by tiles of the matrix times their transposes.
 
-    rows: id, cluster, text. A cluster is cut into pieces; each pair of pieces is a group of its own, so
+    rows: id, cluster, text, s1. A cluster is cut into pieces; each pair of pieces is a group of its own, so
     what a task holds is bounded and a large cluster spreads over many tasks.
     """
     sizes = rows.groupBy("cluster").agg(F.count("*").alias("m")).select(F.col("cluster").alias("c"), F.ceil(F.col("m") / PIECE).cast("int").alias("pieces"))
     others = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda p: F.struct(F.least(p, F.col("piece")).alias("low"), F.greatest(p, F.col("piece")).alias("high")))
     cut = rows.join(sizes, F.col("cluster") == F.col("c")).withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
-    met = cut.select("cluster", "id", "piece", "text", F.explode(others).alias("m")).select("cluster", "m.low", "m.high", "piece", "id", "text")
+    met = cut.select("cluster", "id", "piece", "text", "s1", F.explode(others).alias("m")).select("cluster", "m.low", "m.high", "piece", "id", "text", "s1")
     met = met.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,20 +308,9 @@ def _products(rows: DataFrame, n: int, similarity: int) -> DataFrame:
             if group.num_rows < 2:
                 continue
             ids, side = group.column("id").to_numpy(), group.column("piece").to_numpy()
-            gram, size = gram_sets([s or "" for s in group.column("text").to_pylist()], n)
-            _, column, count = np.unique(gram, return_inverse=True, return_counts=True)
-            owner = np.repeat(np.arange(len(size)), size)
-            shared = count[column] > 1  # a column with one entry adds to no overlap
-            owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
-            overlap = np.zeros((len(size), len(size)), np.float32)
-            order = np.argsort(column, kind="stable")
-            owner, column = owner[order], column[order]
-            for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
-                a, b = np.searchsorted(column, [start, start + 4096])
-                block = np.zeros((len(size), 4096), np.float32)
-                block[owner[a:b], column[a:b] - start] = 1
-                overlap += block @ block.T
-            linked = np.triu(100 * overlap >= similarity * (size[:, None] + size[None, :] - overlap), 1) & (overlap > 0)
+            gram, size = sets_of([s or "" for s in group.column("text").to_pylist()], n)
+            valid = set_names(gram, size)[0] == group.column("s1").to_numpy()
+            linked = _tile(gram, size, similarity) & valid[:, None] & valid[None, :]
             if group.column("low")[0].as_py() != group.column("high")[0].as_py():
                 linked &= side[:, None] != side[None, :]
             i, j = np.nonzero(linked)
@@ -318,80 +322,83 @@ def _products(rows: DataFrame, n: int, similarity: int) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90, rare: bool = False) -> DataFrame:
+def _tile(gram: np.ndarray, size: np.ndarray, similarity: int) -> np.ndarray:
+    """Which rows i < j of a few hundred reach the bound: a square of booleans.
+
+    Columns with one entry add to no overlap and are left out, as are rows that no other row's size allows.
+    """
+    rows = len(size)
+    need = np.maximum(1, -(-similarity * (size[:, None] + size[None, :]) // (100 + similarity)))
+    alive = np.triu(np.minimum(size[:, None], size[None, :]) >= need, 1)
+    owner = np.repeat(np.arange(rows), size)
+    some = (alive.any(axis=0) | alive.any(axis=1))[owner]
+    owner, (_, column, count) = owner[some], np.unique(gram[some], return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    rest = np.bincount(owner, minlength=rows)
+    overlap = np.zeros((rows, rows), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [start, start + 4096])
+        block = np.zeros((rows, 4096), np.float32)
+        block[owner[a:b], column[a:b] - start] = 1
+        overlap += block @ block.T
+        rest = rest - np.bincount(owner[a:b], minlength=rows)
+        alive &= overlap + np.minimum(rest[:, None], rest[None, :]) >= need
+        if not alive.any():
+            break
+    return alive & (overlap >= need)
+
+
+def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90, sampled: bool = False) -> DataFrame:
     """doc_id, n_shingles and component_id of every document; similarity in per cent.
 
-    rare: rows meet by their rare n-grams instead of by equal blocks; results are the same.
+    sampled: lists come from sampled compound columns instead of blocks (see above).
     """
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(column).alias("text"))
-    common = df.sparkSession.sparkContext.broadcast(_common(docs, n)) if rare else None
-    rows = stash(docs.mapInArrow(_rows(n, similarity, common), "id long, n long, s1 long, s2 long, prints array<long>"), "rows")
-    sets = rows.select("id", "n", "s1", "s2")
+    rows = stash(docs.mapInArrow(_rows(n, similarity, sampled), "id long, n long, s1 long, s2 long, prints array<long>"), "rows")
+    sets = stash(rows.groupBy("id").agg(F.min(F.struct("n", "s1", "s2")).alias("s")).select("id", "s.*"), "sets")
 
     # classes of equal sets; an empty set is in none
     # (written first: a join of two plain exchanges is one that Spark splits at a class with very many copies)
     classes = stash(sets.filter("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.count("*").alias("m")).filter("m > 1"), "copies")
-    of = stash(sets.filter("n > 0").join(classes, ["s1", "s2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "classes")
-    equal = of.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-
-    # rows that agree in a block, as (fingerprint, its smallest row, another row)
-    # (of rows that share a rare n-gram, also its places in both)
-    name = of.select(F.col("id").alias("i"), F.col("n"), "rep")
-    pa_, pb_ = (["pa"], ["pb"]) if rare else ([], [])
-    if rare:
-        told = rows.select("id", F.posexplode("prints").alias("place", "print"))
-        lists = told.groupBy("print").agg(F.min(F.struct("id", "place")).alias("h"), F.max("id").alias("top")).filter("h.id < top").select(F.col("print").alias("p"), F.col("h.id").alias("hub"), F.col("h.place").alias("pa"))
-        met = told.join(lists, F.col("print") == F.col("p")).filter("id <> hub").select("print", "hub", "pa", "id", F.col("place").alias("pb"))
-    else:
-        told = rows.select("id", F.explode("prints").alias("print"))
-        lists = told.groupBy("print").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select(F.col("print").alias("p"), "hub")
-        met = told.join(lists, F.col("print") == F.col("p")).filter("id <> hub").select("print", "hub", "id")
-    met = met.join(name, F.col("id") == F.col("i")).select("print", "hub", *pa_, F.col("rep").alias("b"), F.col("n").alias("nb"), *pb_)
-    met = met.join(name, F.col("hub") == F.col("i")).select("print", F.col("rep").alias("a"), F.col("n").alias("na"), *pa_, "b", "nb", *pb_)
-    fits = 100 * F.least("na", "nb") >= similarity * F.greatest("na", "nb")
-    if rare:  # all that two rows can share lies from the first shared n-gram on
-        fits = (100 + similarity) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= similarity * (F.col("na") + F.col("nb"))
-    met = stash(met.filter("a <> b").distinct(), "met")
-    cells = met.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    members = met.select(F.col("a").alias("id")).unionByName(met.select(F.col("b").alias("id"))).distinct()
-    members = stash(members, "members")
-    near = stash(_split(docs, "id", members, members.count(), True), "near").join(members, "id", "left_semi").dropDuplicates(["id"])
-
-    # one hub for every row, then the hubs that are still elsewhere, then pairs across a list
+    equal = stash(sets.filter("n > 0").join(classes, ["s1", "s2"]).filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")), "equal")
+
+    # rows that agree in a compound column, as (column's name, its smallest row, another row)
+    told = meet(rows.filter(F.size("prints") > 0).select("id", "prints"), "id", equal.select(F.col("a").alias("copy")), "copy", "left_anti").select("id", F.explode("prints").alias("print"))
+    lists = told.groupBy("print").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select(F.col("print").alias("p"), "hub")
+    met = stash(told.join(lists, F.col("print") == F.col("p")).filter("id <> hub").select("print", F.col("hub").alias("a"), F.col("id").alias("b")), "met")
+    size = lambda c: sets.select(F.col("id").alias(f"i{c}"), F.col("n").alias(f"n{c}"))
+    cells = met.select("a", "b").distinct().join(size("a"), F.col("a") == F.col("ia")).join(size("b"), F.col("b") == F.col("ib"))
+    cells = stash(cells.filter(100 * F.least("na", "nb") >= similarity * F.greatest("na", "nb")).select("a", "b"), "cells")
+
+    members = met.select(F.col("a").alias("i")).unionByName(met.select(F.col("b").alias("i"))).distinct()
+    members = stash(members.join(sets, F.col("i") == F.col("id")).select("i", "s1"), "members")
+    near = stash(meet(docs, "id", members, "i", "inner").select("id", "text", "s1"), "near")
+
+    # one smaller row for every row, then the others that are still elsewhere
     first = cells.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = equal.unionByName(stash(_similar(first, near, n, similarity), "links"))
     roots = components(links)
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        ra, rb = (roots.select(F.col("id").alias(f"_{c}"), F.col("root").alias(f"r{c}")) for c in "ab")
-        return pairs.join(ra, F.col("a") == F.col("_a"), "left").join(rb, F.col("b") == F.col("_b"), "left").withColumn("ra", F.coalesce("ra", "a")).withColumn("rb", F.coalesce("rb", "b")).drop("_a", "_b")
+    def root_of(df: DataFrame, c: str) -> DataFrame:
+        of = roots.select(F.col("id").alias(f"_{c}"), F.col("root").alias(f"r{c}"))
+        return df.join(of, F.col(c) == F.col(f"_{c}"), "left").withColumn(f"r{c}", F.coalesce(f"r{c}", c)).drop(f"_{c}")
 
-    second = apart(cells.join(first, ["a", "b"], "left_anti")).filter("ra <> rb").select("a", "b")
+    second = root_of(root_of(cells.join(first, ["a", "b"], "left_anti"), "a"), "b").filter("ra <> rb").select("a", "b")
     links = links.unionByName(stash(_similar(second, near, n, similarity), "links"))
     roots = components(links)
 
-    if rare:
-        # short lists that still hold several components: their pairs that fit, but for those compared
-        sides = [F.struct(F.col(c).alias("id"), F.col(f"r{c}").alias("root"), F.col(f"n{c}").alias("n"), F.col(f"p{c}").alias("place")) for c in "ab"]
-        left = apart(met).select("print", F.explode(F.array(*sides)).alias("m")).select("print", "m.*").distinct()
-        mixed = left.groupBy("print").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).filter("low < high").select(F.col("print").alias("p"), "m")
-        left = stash(left.join(mixed, F.col("print") == F.col("p")).drop("p"), "mixed")
-        short = left.filter(F.col("m") <= LIST)
-        x, y = (short.select(F.col("print").alias(f"print{c}"), F.col("id").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"), F.col("place").alias(f"p{c}")) for c in "ab")
-        third = x.join(y, (F.col("printa") == F.col("printb")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits).select("a", "b").distinct().join(cells, ["a", "b"], "left_anti")
-        links = links.unionByName(stash(_similar(third, near, n, similarity), "links"))
-        roots = components(links)
-        met = met.join(left.filter(F.col("m") > LIST).select("print").distinct(), "print", "left_semi")
-
-    # lists that still hold several components: what they connect is a cluster, multiplied out in blocks
-    split = apart(met).select("print", F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("ra").alias("root")), F.struct(F.col("b").alias("id"), F.col("rb").alias("root")))).alias("m")).select("print", "m.*").distinct()
-    mixed = split.groupBy("print").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("id").alias("first")).filter("low < high").select(F.col("print").alias("p"), "first")
-    chains = stash(split.join(mixed, F.col("print") == F.col("p")).select("id", "first").distinct(), "chains")
-    clusters = components(chains.select(F.col("id").alias("a"), F.col("first").alias("b"))).select(F.col("id").alias("i"), F.col("root").alias("cluster"))
-    products = _products(near.join(clusters, F.col("id") == F.col("i")).select("id", "cluster", "text"), n, similarity)
+    # lists whose rows but the smallest, compared by now, lie in several components: what they connect is
+    # a cluster, multiplied out in tiles
+    split = root_of(met.select("print", "b"), "b")
+    mixed = split.groupBy("print").agg(F.min("rb").alias("low"), F.max("rb").alias("high"), F.min("b").alias("first")).filter("low < high").select(F.col("print").alias("p"), "first")
+    chains = stash(split.join(mixed, F.col("print") == F.col("p")).select("b", "first").distinct(), "chains")
+    clusters = components(chains.select(F.col("b").alias("a"), F.col("first").alias("b"))).select(F.col("id").alias("i"), F.col("root").alias("cluster"))
+    products = _products(near.join(clusters, F.col("id") == F.col("i")).select("id", "cluster", "text", "s1"), n, similarity)
     links = links.unionByName(stash(products, "links"))
     roots = components(links)
 
-    out = sets.dropDuplicates(["id"]).join(roots.select(F.col("id").alias("i"), "root"), F.col("id") == F.col("i"), "left")
+    out = sets.join(roots.select(F.col("id").alias("i"), "root"), F.col("id") == F.col("i"), "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))

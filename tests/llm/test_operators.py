@@ -405,13 +405,11 @@ def test_ngrams_near_the_bound(spark, monkeypatch, n, similarity):
     assert got == brute_components(texts, n, similarity)
 
 
-@pytest.mark.parametrize("most", [2, 64])
 @pytest.mark.parametrize("n, similarity", [(5, 80), (3, 90), (1, 50)])
-def test_ngrams_met_by_rare_ones(spark, monkeypatch, n, similarity, most):
-    """As near the bound, with a passage that all long texts share, with few and with many pairs taken one by one."""
+def test_ngrams_met_by_samples(spark, monkeypatch, n, similarity):
+    """As near the bound, with a passage that all long texts share."""
     rng = np.random.default_rng(8)
     monkeypatch.setattr(ngram, "PIECE", 8)
-    monkeypatch.setattr(ngram, "LIST", most)
     common = " ".join(f"c{k}" for k in range(20))
     texts = {}
     for size in (1, 4, 5, 11, 12, 33, 60, 150):
@@ -422,14 +420,43 @@ def test_ngrams_met_by_rare_ones(spark, monkeypatch, n, similarity, most):
                 words[at] = f"x{rng.integers(500)}"
             texts[len(texts)] = " ".join(words[: size - int(rng.integers(0, 2))] + [common] * (size > 11) + [f"y{rng.integers(9)}"] * (size > 33))
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram.join(df, "doc_id", "text", n, similarity, rare=True).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram.join(df, "doc_id", "text", n, similarity, sampled=True).collect()}
     assert got == brute_components(texts, n, similarity)
 
 
-def test_rare_ngrams_of_odd_rows(odd, none):
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram.join(odd, "doc_id", "text", 5, 80, rare=True).collect()}
+@pytest.mark.parametrize("sampled", [False, True])
+def test_ngrams_shuffle_what_is_too_large_to_broadcast(spark, monkeypatch, odd, sampled):
+    monkeypatch.setattr(ngram, "BROADCAST", 0)
+    monkeypatch.setattr(ngram, "TEXT", 50)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram.join(odd, "doc_id", "text", 2, 60, sampled=sampled).collect()}
+    assert got == brute_components({r.doc_id: r.text for r in odd.collect()}, 2, 60)
+
+
+def test_cells_of_the_product_are_the_overlaps():
+    """Accumulated block by block and cut off by bounds, cells come out as from whole sets; likewise tiles."""
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.choice(rng.integers(0, 2**64, 60, dtype=np.uint64), rng.integers(1, 50))) for _ in range(40)]
+    base = np.unique(rng.integers(0, 2**64, 50, dtype=np.uint64))
+    rows += [np.sort(np.concatenate([base[k:], rng.integers(0, 2**64, k // 2, dtype=np.uint64)])) for k in range(12)]
+    gram, size = np.concatenate(rows), np.array([len(r) for r in rows])
+    i, j = np.triu_indices(len(rows), 1)
+    for bound in (50, 80, 90, 100):
+        want = np.array([100 * len(np.intersect1d(rows[a], rows[b])) >= bound * len(np.union1d(rows[a], rows[b])) for a, b in zip(i, j)])
+        assert want.any() == (bound < 100) and np.array_equal(ngram.reach(gram, size, i, j, bound), want)
+        assert np.array_equal(ngram._tile(gram, size, bound)[i, j], want)
+
+
+def test_one_number_with_two_texts(spark):
+    rows = [(1, "a b c d"), (1, "p q r s t u"), (2, "a b c d"), (3, "p q r s t u"), (3, "p q r s t u")]
+    for sampled in (False, True):
+        got = {r.doc_id: r.component_id for r in ngram.join(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", sampled=sampled).collect()}
+        assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_sampled_ngrams_of_odd_rows(odd, none):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram.join(odd, "doc_id", "text", 5, 80, sampled=True).collect()}
     assert got == brute_components({r.doc_id: r.text for r in odd.collect()}, 5, 80)
-    assert ngram.join(none, "doc_id", "text", 5, 80, rare=True).count() == 0
+    assert ngram.join(none, "doc_id", "text", 5, 80, sampled=True).count() == 0
 
 
 def test_ngrams_of_odd_rows(odd, none):
@@ -443,10 +470,13 @@ def test_without_drops_only_what_is_named(odd, spark):
     assert sorted(r.doc_id for r in ngram.without(odd, "doc_id", gone).collect()) == sorted(r.doc_id for r in odd.collect() if r.doc_id not in (1, 5))
 
 
-def test_components_of_paths_and_stars(spark):
+@pytest.mark.parametrize("small", [0, 2000])
+def test_components_of_paths_and_stars(spark, monkeypatch, small):
+    monkeypatch.setattr(components, "SMALL", small)
     edges = [(k, k + 1) for k in range(100, 140)] + [(5, k) for k in range(6, 30)] + [(7, 100), (900, 900)]
     got = {r.id: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert set(got.values()) == {5} and set(got) == set(range(100, 141)) | set(range(5, 30))
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 # ---- 9: files of ids
