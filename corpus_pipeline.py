@@ -30,7 +30,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest number of each group linked by five-word shingles at Jaccard 0.8."""
     ship(spark)
-    gone = ngram.join(docs, "doc_id", "text", n=5, similarity=80, rare=True).filter("doc_id <> component_id").select("doc_id")
+    gone = ngram.join(docs, "doc_id", "text", n=5, similarity=80, sampled=True).filter("doc_id <> component_id").select("doc_id")
     return ngram.without(docs, "doc_id", stash(gone, "gone"))
 
 
