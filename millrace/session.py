@@ -11,13 +11,17 @@ from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
-#: Used only where spark.checkpoint.dir is unset, as in tests on one machine.
+#: Used only where spark.checkpoint.dir is unset and Spark runs on one machine, as in tests.
 LOCAL_SCRATCH = "/tmp/checkpoints"
+#: Python workers live on between tasks; with these they give memory back that a task has freed.
+THRIFT = {"MALLOC_TRIM_THRESHOLD_": "1000000", "MALLOC_MMAP_THRESHOLD_": "1000000", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Let Python workers started from now on import this package."""
+    """Let Python workers started from now on import this package, and be thrifty."""
     env = spark.sparkContext.environment
+    for name, value in THRIFT.items():
+        env.setdefault(name, value)
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
@@ -25,9 +29,11 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path below the cluster's shared checkpoint folder."""
+    """A new path below the cluster's shared checkpoint folder; a cluster without one is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         # one machine: a folder of this process, gone when it ends
         base = f"{LOCAL_SCRATCH}/{os.getpid()}"
         if not os.path.isdir(base):
