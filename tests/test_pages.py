@@ -72,6 +72,32 @@ def test_equal_scores_keep_the_first_candidate():
     assert Providers([p("first"), p("second")]).best(ORIGIN + "/dentist/x-1")[0]["npi"] == "first"
 
 
+def test_order_of_preference_among_sightings():
+    """Same ZIP, then an entry for one location, then any entry, then the fuller object by itself."""
+    url = "/dentist/x-1"
+    bare = {"profileUrl": url, "npi": "bare"}
+    full = {"profileUrl": url, "npi": "full", "id": 1, "monolithId": 2, "averageRating": 5, "reviewCount": 1, "approvedLocations": [], "offersTelemedicine": True, "approvedFullName": "X"}
+    entry = {"provider": {"profileUrl": url, "npi": "entry"}}
+    one_place = {"id": "1|2", "provider": {"profileUrl": url, "npi": "one place"}}
+    near = {"provider": {"profileUrl": url, "npi": "near"}, "location": {"zip": "01234"}}
+    worst_first = [bare, full, entry, one_place, near]
+    for k in range(1, 6):
+        for order in (worst_first[:k], worst_first[:k][::-1]):
+            assert Providers(order).best(ORIGIN + url, "01234")[0]["npi"] == ["bare", "full", "entry", "one place", "near"][k - 1]
+    assert Providers([near, one_place]).best(ORIGIN + url)[0]["npi"] == "one place"
+    assert Providers(worst_first).best(ORIGIN + "/dentist/y-2") == ({}, {})
+
+
+def test_profile_places_come_before_the_fullest_object():
+    full = {"profileUrl": "/doctor/a-1", "npi": "elsewhere", "firstName": "A", "lastName": "B", "statement": "s"}
+    state = {"other": [{"profileUrl": "/doctor/a-1", "npi": "thin"}, full], "provider": {"npi": "third"}, "profile": {"provider": {"npi": "second"}}}
+    assert profile_provider(state, ORIGIN + "/doctor/a-1")["npi"] == "second"
+    del state["profile"]
+    assert profile_provider(state, ORIGIN + "/doctor/a-1")["npi"] == "third"
+    state["provider"] = {"firstName": "no identity"}
+    assert profile_provider(state, ORIGIN + "/doctor/a-1")["npi"] == "elsewhere"
+
+
 PROFILE_STATE = {
     "profile": {
         "data": {
