@@ -45,13 +45,6 @@ def page_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select("page_id", F.get("s", F.lit(0)).alias("s")).select("page_id", (F.length("s.visible") > 0).alias("has_text"), "s.title")
 
 
-@query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 1234 ELSE 7 END AS count, 'family doctor' AS specialty, CASE WHEN page_id % 2 = 0 THEN 'Springfield, XY' ELSE 'Springfield, XY (all)' END AS location FROM pages")
-def verified_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.when(F.col("page_id") % 2 == 0, "<h1>1,234 verified Family  Doctor in Springfield, XY</h1>").otherwise("<div>7 verified Family Doctor in Springfield, XY (all)</div>")
-    own = read(spark, sf_dir, "pages").select("page_id", "url", head.alias("html"))
-    return captures.verified_counts(own).select("page_id", "count", "specialty", "location")
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.event_stream(spark, sf_dir, "events.parquet", read(spark, sf_dir, "events").schema)
 
