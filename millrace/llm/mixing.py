@@ -1,32 +1,41 @@
 """Mixing sources to target weights by entropy balancing.
 
-Among all document rates that give every source its target number of words, the mix takes those
-closest to 1 in relative entropy (each word counts once). The dual problem is convex with one
-multiplier a source; its gradient and curvature need only each source's total, so Newton's steps
-run side by side in the rows of a table of sources. A document's rate is the exponential of its
-source's multiplier, at most `most`. Rates become whole copies: every document gets the rate's whole
-part, and a table of (source, size) says how many documents of each size get one more, so that the
-running total of words stays near the target from the longest sizes to the shortest; what is then
-still missing or too much is mended with documents that fit it. Which documents of a size get one
-more is settled by a hash of their number.
-
-Everything is DataFrame code. Rows of one (source, size) that hold more than a thousandth of all
-rows are split into bins first, so no source or size is ever gathered in one task.
-
-Defined results: null or empty text has size 0 and takes 0 words; a null source is a source of its
-own, last in order; an empty table gives an empty mix; repeated rows are documents of their own and,
-sharing a number, get the same fate wherever both can; other columns pass through.
+Among all document rates that give every source its target number of words, none above `most`, the mix
+takes those closest to 1 in relative entropy. The dual problem is convex with one multiplier a source: a
+document's rate is exp(multiplier * size), at most `most`, so documents are tilted by their size. Newton's
+steps on the dual run over the data: each sums words and curvature over a table of (source, size, number of
+documents) and moves all sources' multipliers at once, inside brackets that a step too far only narrows, until
+every source's words are within `TOLERANCE` of its target.
+
+Rates become whole copies: every document gets the rate's whole part, and the table of sizes says how
+many documents of each size get one more, so that the running total stays near the target from the longest
+sizes to the shortest; what is then still missing or too much is mended, from the largest size that fits it
+to the smallest. What no size can mend is reported as `residual`. Which documents of a size get one more is
+settled by a hash of their number.
+
+Everything is DataFrame code. What a source has in one place is a row for each of its sizes (and of the
+sizes' bins of HOT documents), never its documents; weights need a row for each source in one order.
+
+Defined results: null or empty text has size 0, rate 1 and takes 0 words; a null source is a source of its
+own, last in order; a source whose target is `most` times its words has that rate throughout, one without
+a target rate 0; an empty table gives an empty mix; repeated rows are documents of their own and, sharing
+a number, get the same fate wherever both can; ties of size go by hash, then number; texts of any length
+count whole; other columns are left out.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import WORD, stash, uid
 
-STEPS = 60  # Newton's steps; a multiplier moves by one a step at first, so rates down to exp(-50) are reached
-MENDS = 32  # sizes that may serve to mend a source's total
+#: How near the rates' words come to a source's target, relative to it, before they are rounded.
+TOLERANCE = 1e-9
+#: Documents of one source and size beyond which they are dealt to bins.
+HOT = 10_000
 
 
 def n_words(text: Column) -> Column:
@@ -57,65 +66,84 @@ def targets(totals: DataFrame, weights: list[float], most: float) -> DataFrame:
     return ranked.select("source", "total", target.alias("target"))
 
 
-def rates(goal: DataFrame, most: float) -> DataFrame:
-    """goal and `rate`: the exponential of the multiplier that Newton's steps on the dual find."""
-
-    def step(x: Column, _: Column) -> Column:
-        words = F.col("total") * F.exp(x)
-        return x - (words - F.col("target")) / words
+def multipliers(sizes: DataFrame, goal: DataFrame, most: float) -> DataFrame:
+    """goal with `unit` and `dual`: a document's rate is exp(dual * size / unit), at most `most`.
 
-    dual = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), F.lit(0.0), step)
-    rate = F.when((F.col("total") > 0) & (F.col("target") > 0), F.least(F.exp(dual), F.lit(float(most)))).otherwise(0.0)
+    Newton's steps solve log(words) = log(target), whose left side rises with the multiplier.
+    """
+    unit = sizes.groupBy("source").agg((F.sum(F.col("n") * F.col("size") * F.col("size")) / F.sum(F.col("n") * F.col("size"))).alias("unit"))
+    state = goal.join(unit.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    free = (F.col("target") > 0) & (F.col("target") < most * F.col("total") * (1 - TOLERANCE))
+    state = state.withColumn("unit", F.coalesce("unit", F.lit(1.0))).withColumn("dual", F.lit(0.0)).withColumn("off", F.when(free, float("inf")).otherwise(0.0))
+    state = stash(state.withColumn("low", -50 * F.col("unit")).withColumn("high", math.log(most) * F.col("unit")), "dual")
+    while (state.agg(F.max("off")).first()[0] or 0) > TOLERANCE:
+        of = state.withColumnRenamed("source", "s")
+        tilt = F.exp(F.col("dual") * F.col("size") / F.col("unit"))
+        words = F.col("n") * F.col("size") * F.least(tilt, F.lit(float(most)))
+        sums = sizes.filter("size > 0").join(of, F.col("source").eqNullSafe(F.col("s")))
+        sums = sums.groupBy("source").agg(F.sum(words).alias("words"), F.sum(F.when(tilt < most, words * F.col("size") / F.col("unit")).otherwise(0.0)).alias("slope"), *(F.first(c).alias(c) for c in state.columns if c != "source"))
+        gap = F.log(F.col("words") / F.col("target"))
+        sums = sums.withColumn("gap", F.when(F.col("off") > TOLERANCE, gap).otherwise(0.0))
+        sums = sums.withColumn("low", F.when(F.col("gap") < 0, F.col("dual")).otherwise(F.col("low"))).withColumn("high", F.when(F.col("gap") > 0, F.col("dual")).otherwise(F.col("high")))
+        newton = F.col("dual") - F.col("gap") * F.col("words") / F.col("slope")
+        inside = (F.col("slope") > 0) & (newton > F.col("low")) & (newton < F.col("high"))
+        narrow = F.col("high") - F.col("low") <= 1e-14 * F.col("unit")
+        off = F.when(narrow, 0.0).otherwise(F.abs(F.col("gap")))
+        moved = F.when(off <= TOLERANCE, F.col("dual")).when(inside, newton).otherwise((F.col("low") + F.col("high")) / 2)
+        state = stash(sums.withColumn("off", off).withColumn("dual", moved).select(*state.columns), "dual")
+    return state.select(*goal.columns, "unit", "dual")
+
+
+def rate_of(most: float) -> Column:
+    """The rate of documents of a size, from a source's row of multipliers."""
+    tilted = F.least(F.exp(F.col("dual") * F.col("size") / F.col("unit")), F.lit(float(most)))
+    full = F.col("target") >= most * F.col("total") * (1 - TOLERANCE)
+    rate = F.when(F.col("size") == 0, 1.0).when(F.col("target") <= 0, 0.0).when(full, float(most)).otherwise(tilted)
     # a rate that is whole but for rounding errors is whole
-    return goal.withColumn("rate", F.when(F.abs(rate - F.round(rate)) < 1e-9, F.round(rate)).otherwise(rate))
+    return F.when(F.abs(rate - F.round(rate)) < 1e-9, F.round(rate)).otherwise(rate)
 
 
 def _mend(groups: DataFrame, most: float) -> DataFrame:
-    """Per source: sizes and how many of their documents get one copy more or less to meet the target."""
-    off = groups.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("size") * (F.col("n") * F.col("whole") + F.col("up"))).alias("words"), F.first("whole").alias("whole"))
-    off = off.withColumn("off", F.col("target") - F.col("words"))
-    can = F.when((F.col("off") > 0) & (F.col("whole") + 1 <= most), F.col("n") - F.col("up")).when(F.col("off") < 0, F.col("up"))
+    """Per source: sizes, how many of their documents get one copy more or less to meet the target, and what is left then."""
+    off = groups.groupBy("source").agg((F.first("target") - F.sum(F.col("size") * (F.col("n") * F.col("whole") + F.col("up")))).alias("off"))
+    can = F.when((F.col("off") > 0) & (F.col("whole") + 1 <= most), F.col("n") - F.col("up")).when(F.col("off") < 0, F.col("up")).otherwise(0)
+    usable = (F.col("size") > 0) & (F.col("size") <= F.abs("off"))
     # two NULL sources match
     coins = (
         groups.join(off.select(F.col("source").alias("s"), "off"), F.col("source").eqNullSafe(F.col("s")))
-        .filter((F.col("size") > 0) & (F.col("size") <= F.abs("off")) & (can > 0))
         .groupBy("source", "size")
-        .agg(F.sum(can).alias("can"), F.first("off").alias("off"))
+        .agg(F.sum(F.when(usable, can).otherwise(0)).alias("can"), F.first("off").alias("off"))
         .groupBy("source")
-        .agg(F.reverse(F.array_sort(F.collect_list(F.struct("size", "can")))).alias("coins"), F.first("off").alias("off"))
+        .agg(F.reverse(F.array_sort(F.collect_list(F.when(F.col("can") > 0, F.struct("size", "can"))))).alias("coins"), F.first("off").alias("off"))
     )
-    start = F.struct(F.abs("off").alias("left"), F.lit(2**62).alias("last"), F.expr("CAST(array() AS array<struct<size:bigint,k:bigint>>)").alias("taken"))
+    start = F.struct(F.abs("off").alias("left"), F.expr("CAST(array() AS array<struct<size:bigint,k:bigint>>)").alias("taken"))
 
-    def pay(acc: Column, _: Column) -> Column:
-        # the largest size that fits what is left, below the last one used
-        coin = F.get(F.filter("coins", lambda c: (c["size"] < acc["last"]) & (c["size"] <= acc["left"])), F.lit(0))
+    def pay(acc: Column, coin: Column) -> Column:
         k = F.least(coin["can"], F.floor(acc["left"] / coin["size"])).cast("bigint")
-        paid = F.struct((acc["left"] - k * coin["size"]).alias("left"), coin["size"].alias("last"), F.concat(acc["taken"], F.array(F.struct(coin["size"].alias("size"), k.alias("k")))).alias("taken"))
-        return F.when(coin.isNull(), acc).otherwise(paid)
+        paid = F.struct((acc["left"] - k * coin["size"]).alias("left"), F.concat(acc["taken"], F.array(F.struct(coin["size"].alias("size"), k.alias("k")))).alias("taken"))
+        return F.when(k > 0, paid).otherwise(acc)
 
-    paid = F.aggregate(F.sequence(F.lit(1), F.lit(MENDS)), start, pay)["taken"]
-    return coins.select("source", F.signum("off").cast("long").alias("sign"), F.explode(paid).alias("c")).select("source", F.col("c.size").alias("size"), (F.col("c.k") * F.col("sign")).alias("mend"))
+    paid = coins.select("source", F.signum("off").alias("sign"), F.aggregate("coins", start, pay).alias("p"))
+    return paid.select("source", "sign", (F.col("sign") * F.col("p.left")).alias("residual"), F.explode_outer("p.taken").alias("c")).select("source", "residual", F.col("c.size").alias("size"), (F.col("c.k") * F.col("sign").cast("long")).alias("mend"))
 
 
 def mix(df: DataFrame, key: str, text: str, source: str, weights: list[float], most: float = 3.0) -> DataFrame:
-    """df's keys with source, size, source_size, target, rate and copies: the whole mix.
+    """df's keys with source, size, source_size, target, rate, copies and the source's residual: the whole mix.
 
     Only the words of a text are counted, once; the rest works on slim rows.
     """
     docs = df.select(F.col(key), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), uid(F.lit(17), F.col(key)).alias("h"))
     docs = stash(docs, "sizes")
-    sizes = docs.groupBy("source", "size").agg(F.count("*").alias("n"))
-    goal = rates(targets(sizes.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("total")), weights, most), most)
-    goal = stash(goal, "rates")
+    sizes = stash(docs.groupBy("source", "size").agg(F.count("*").alias("n")), "groups")
+    goal = stash(targets(sizes.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("total")), weights, most), "targets")
+    goal = multipliers(sizes, goal, most)
 
-    # at most 1,000 groups can hold a thousandth of all rows each
-    share = max(docs.count() / 1000, 100)
-    hot = sizes.filter(F.col("n") > share).select(F.col("source").alias("s"), F.col("size").alias("z"), F.ceil(F.col("n") / share).alias("bins"))
+    hot = stash(sizes.filter(F.col("n") > HOT).select(F.col("source").alias("s"), F.col("size").alias("z"), F.ceil(F.col("n") / HOT).alias("bins")), "hot")
     same = docs["source"].eqNullSafe(F.col("s")) & (docs["size"] == F.col("z"))
-    docs = docs.join(F.broadcast(hot), same, "left").withColumn("bin", F.coalesce(F.pmod("h", "bins"), F.lit(0)).cast("long")).drop("s", "z", "bins")
+    docs = docs.join(hot, same, "left").withColumn("bin", F.coalesce(F.pmod("h", "bins"), F.lit(0)).cast("long")).drop("s", "z", "bins")
 
     groups = docs.groupBy("source", "size", "bin").agg(F.count("*").alias("n"))
-    groups = groups.join(goal.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    groups = groups.join(goal.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("rate", rate_of(most))
     groups = groups.withColumn("whole", F.floor("rate").cast("long")).withColumn("part", F.col("n") * (F.col("rate") - F.floor("rate")))
     down = Window.partitionBy("source").orderBy(F.desc("size"), "bin")
     due = F.sum("part").over(down.rowsBetween(Window.unboundedPreceding, 0))
@@ -123,24 +151,27 @@ def mix(df: DataFrame, key: str, text: str, source: str, weights: list[float], m
     groups = groups.withColumn("up", F.least(F.greatest(F.round(due) - F.round(earlier), F.lit(0)), F.col("n")).cast("long"))
     groups = stash(groups, "groups")
 
-    mend = _mend(groups, most)
-    room = F.when(F.col("mend") > 0, F.col("n") - F.col("up")).otherwise(F.col("up"))
+    mend = stash(_mend(groups, most), "mend")
+    room = F.when(F.col("mend") > 0, F.when(F.col("whole") + 1 <= most, F.col("n") - F.col("up")).otherwise(0)).otherwise(F.col("up"))
     in_size = Window.partitionBy("source", "size").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    left = mend.groupBy(F.col("source").alias("s")).agg(F.first("residual").alias("residual"))
     # a mend goes to the bins of its size in turn, each as far as it has room
     mended = (
-        groups.join(mend.select(F.col("source").alias("s"), F.col("size").alias("z"), "mend"), F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")), "left")
+        groups.join(mend.filter("size IS NOT NULL").select(F.col("source").alias("s"), F.col("size").alias("z"), "mend"), F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")), "left")
+        .drop("s", "z")
         .withColumn("mend", F.coalesce("mend", F.lit(0)))
         .withColumn("room", room)
         .withColumn("gone", F.coalesce(F.sum("room").over(in_size), F.lit(0)))
         .withColumn("own", F.greatest(F.lit(0), F.least(F.col("room"), F.abs("mend") - F.col("gone"))) * F.signum("mend").cast("long"))
-        .select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("bin").alias("b"), "total", "target", "rate", "whole", (F.col("up") + F.col("own")).alias("up"))
+        .join(left, F.col("source").eqNullSafe(F.col("s")))
+        .select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("bin").alias("b"), "total", "target", "rate", "whole", (F.col("up") + F.col("own")).alias("up"), "residual")
     )
     match = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("bin") == F.col("b"))
     rank = F.row_number().over(Window.partitionBy("source", "size", "bin").orderBy("h", key))
     return (
         docs.join(mended, match)
         .withColumn("copies", F.col("whole") + F.when(rank <= F.col("up"), 1).otherwise(0))
-        .select(key, "source", "size", F.col("total").alias("source_size"), "target", "rate", "copies")
+        .select(key, "source", "size", F.col("total").alias("source_size"), "target", "rate", "copies", "residual")
     )
 
 
