@@ -20,7 +20,7 @@ WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
   coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
-  sum(length(role) + length(regexp_replace(text, '(<turn>|</turn>|\\)', '\\\1', 'g')) + 16)::BIGINT AS formatted_chars FROM t GROUP BY conv_id)
+  sum(length(regexp_replace(role, '(<turn>|</turn>|\\|:\n)', '\\\1', 'g')) + length(regexp_replace(text, '(<turn>|</turn>|\\)', '\\\1', 'g')) + 16)::BIGINT AS formatted_chars FROM t GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM c
 """
 
@@ -33,10 +33,10 @@ r AS (SELECT doc_id AS id, doc_id AS seen FROM s UNION SELECT r.id, e.y FROM r J
 SELECT doc_id, len(g) AS n_shingles, root AS component_id FROM s JOIN (SELECT id, min(seen) AS root FROM r GROUP BY id) ON id = doc_id
 """
 
-_SHRINK = """SELECT m.*, strength, (prior * strength + bad) / (strength + n) AS rate FROM ({rows}) m JOIN (
+_SHRINK = """SELECT *, rate * (1 - rate) / (strength + n + 1) + power(strength / (strength + n), 2) * prior_var AS var FROM (SELECT m.*, strength, (prior * strength + bad) / (strength + n) AS rate FROM ({rows}) m JOIN (
   SELECT up, CASE WHEN k < 2 THEN 10.0 WHEN between_ <= chance / 1000 THEN 1000.0 ELSE greatest(2.0, chance / between_ - 1) END AS strength FROM (
     SELECT {up} AS up, count(*) AS k, min(prior * (1 - prior)) AS chance,
-           (sum(n * power(bad / n - prior, 2)) - (count(*) - 1) * min(prior * (1 - prior))) / greatest(sum(n) - sum(n * n) / sum(n), 1e-9) AS between_ FROM ({rows}) GROUP BY 1)) g ON g.up = m.{up}"""
+           (sum(n * power(bad / n - prior, 2)) - (count(*) - 1) * min(prior * (1 - prior))) / greatest(sum(n) - sum(n * n) / sum(n), 1e-9) AS between_ FROM ({rows}) GROUP BY 1)) g ON g.up = m.{up})"""
 
 _LABELLED = r"""SELECT lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host, l.toxic = 1 OR l.quality = 0 AS bad FROM pages
   JOIN labels l ON l.doc_id = TRY_CAST(nullif(regexp_extract(url, '://[^?#]*/([0-9]+)(\.html|/)?([?#]|$)', 1), '') AS BIGINT) WHERE (l.toxic = 1 OR l.quality = 0) IS NOT NULL"""
@@ -45,11 +45,11 @@ URLS = rf"""
 WITH o AS ({_LABELLED}),
 h AS (SELECT host, regexp_extract(host, '([^.]+\.[^.]+)$', 1) AS domain, regexp_extract(host, '([^.]+)$', 1) AS suffix, count(*)::DOUBLE AS n, count(*) FILTER (bad)::DOUBLE AS bad FROM o GROUP BY 1),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY 1, 2),
-s AS (SELECT suffix, '*' AS everything, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 0.5) / (sum(n) + 1) FROM h) AS prior FROM d GROUP BY 1),
+s AS (SELECT suffix, '*' AS everything, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 0.5) / (sum(n) + 1) FROM h) AS prior, 0.0 AS prior_var FROM d GROUP BY 1),
 sr AS ({_SHRINK.format(rows="SELECT * FROM s", up="everything")}),
-dr AS ({_SHRINK.format(rows="SELECT d.*, sr.rate AS prior FROM d JOIN sr USING (suffix)", up="suffix")}),
-hr AS ({_SHRINK.format(rows="SELECT h.host, h.domain, h.n, h.bad, dr.rate AS prior FROM h JOIN dr USING (domain)", up="domain")}),
-blocked AS (SELECT host FROM hr WHERE rate - 1.645 * sqrt(rate * (1 - rate) / (strength + n + 1)) > 0.5),
+dr AS ({_SHRINK.format(rows="SELECT d.*, sr.rate AS prior, 0.0 AS prior_var, sr.rate AS expected FROM d JOIN sr USING (suffix)", up="suffix")}),
+hr AS ({_SHRINK.format(rows="SELECT h.host, h.domain, h.n, h.bad, dr.rate AS prior, dr.var AS prior_var, dr.expected FROM h JOIN dr USING (domain)", up="domain")}),
+blocked AS (SELECT host FROM hr WHERE rate - 2.326 * sqrt(var) > expected),
 p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
   coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 f AS (SELECT *, CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1' WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'

@@ -19,7 +19,7 @@ RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), "doc_id", "text", "source", [1, 2, 3])
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "rate", "copies")
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "rate", "copies", "residual")
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,8 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     number = F.expr(r"try_cast(nullif(regexp_extract(url, '://[^?#]*/([0-9]+)(\\.html|/)?([?#]|$)', 1), '') AS bigint)")
     labels = table(spark, sf_dir, "labels")
-    # a page is bad if the document that it carries is labelled toxic or of low quality
+    # an address ends in the number of the document whose text the page carries, so a page is bad if that
+    # document is labelled toxic or of low quality
     bad = labels.select(F.col("doc_id").alias("_doc"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad")).filter("bad IS NOT NULL")
     outcomes = pages.withColumn("_k", number).join(bad, F.col("_k") == F.col("_doc")).select("url", "bad")
     return reputation.judge(pages, "url", outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")

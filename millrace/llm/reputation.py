@@ -3,15 +3,19 @@
 Outcomes of labelled pages (1 bad, 0 good) are counted by host. Beta-binomial priors shrink a host's
 rate of bad pages towards its registered domain's, that one towards its public suffix's, and that one
 towards the rate of all pages; each prior's strength comes from the spread of the rates it governs, by
-the method of moments. A host is blocked if the lower bound of its posterior rate is above a limit:
-only enough bad pages can do that, so unknown and clean hosts stay allowed.
+the method of moments. A posterior's variance includes that of the prior it leans on, so that a host with few
+pages doesn't pass for certain because its domain's estimate is taken as known. A host is blocked if the lower bound of its posterior rate is above what its
+suffix lets expect, times `lift`: only enough bad pages can do that, so unknown and clean hosts stay allowed,
+and the limit fits webs of good and of bad repute alike.
 
 Everything is DataFrame code; counts are pre-aggregated, and the join back to pages is one that Spark
 can split where a host is hot.
 
 Defined results: a null URL or one without `://` has empty host and path, fits no rule and is allowed
 unless its (empty) host has earned a block; labels of unknown pages are ignored; an empty table of
-labels allows all that no rule blocks; repeated pages are judged alike; other columns pass through.
+labels allows all that no rule blocks; repeated pages are judged alike; of rules of equal length that fit,
+the greater (as host and path) wins; URLs of any length are read whole; other columns pass through, and
+ones named host, path, rule or verdict are replaced.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Second-level labels under which names are registered, as in example.co.uk.
+#: Second-level labels below two-letter suffixes under which names are registered, as in example.co.uk: a default.
 SECOND_LEVEL = ["ac", "co", "com", "edu", "gov", "net", "org"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,19 +37,19 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
+def suffix_of(host: Column, second_level: list[str] = SECOND_LEVEL) -> Column:
     """The last label, or the last two where names are registered below the second."""
     bare = F.regexp_replace(host, r":[0-9]*$", "")
     labels = F.split(bare, r"\.")
     n = F.size(labels)
-    two = (n >= 3) & (F.length(F.element_at(labels, -1)) == 2) & F.get(labels, n - 2).isin(SECOND_LEVEL)
+    two = (n >= 3) & (F.length(F.element_at(labels, -1)) == 2) & F.get(labels, n - 2).isin(second_level)
     return F.when(two, F.substring_index(bare, ".", -2)).otherwise(F.substring_index(bare, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, second_level: list[str] = SECOND_LEVEL) -> Column:
     """The suffix and the label before it."""
     bare = F.regexp_replace(host, r":[0-9]*$", "")
-    two = F.size(F.split(suffix_of(host), r"\.")) == 2
+    two = F.size(F.split(suffix_of(host, second_level), r"\.")) == 2
     return F.when(two, F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
 
 
@@ -60,7 +64,7 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
 
 
 def _shrunk(df: DataFrame, level: str, above: str) -> DataFrame:
-    """df's `rate` and `weight` at a level, shrunk to `prior`, the rate above it, by each group's own strength.
+    """df with `rate` and `var` of each group at a level, shrunk to `prior`, the rate above it, which has a variance itself.
 
     With rates p_i of n_i pages around m, the method of moments gives the prior's strength a + b from
     the rates' weighted variance in excess of what pages' chance alone would give.
@@ -73,34 +77,35 @@ def _shrunk(df: DataFrame, level: str, above: str) -> DataFrame:
     between = (F.col("spread") - (F.col("k") - 1) * F.col("chance")) / F.greatest(F.col("pages") - F.col("squares") / F.col("pages"), F.lit(1e-9))
     strength = F.when(F.col("k") < 2, 10.0).when(between <= F.col("chance") / 1000, 1000.0).otherwise(F.greatest(F.lit(2.0), F.col("chance") / between - 1))
     moments = moments.select("_up", F.coalesce(strength, F.lit(10.0)).alias("strength"))
-    a = F.col("prior") * F.col("strength") + F.col("bad")
-    b = (1 - F.col("prior")) * F.col("strength") + F.col("n") - F.col("bad")
-    return df.join(moments, F.col(above) == F.col("_up")).drop("_up").withColumn("a", a).withColumn("b", b).withColumn("rate", F.col("a") / (F.col("a") + F.col("b")))
+    total = F.col("strength") + F.col("n")
+    rate = (F.col("prior") * F.col("strength") + F.col("bad")) / total
+    var = F.col("rate") * (1 - F.col("rate")) / (total + 1) + F.pow(F.col("strength") / total, F.lit(2)) * F.col("prior_var")
+    return df.join(moments, F.col(above) == F.col("_up")).drop("_up").withColumn("rate", rate).withColumn("var", var)
 
 
-def reputations(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
-    """host, bad -> host, n, n_bad, rate and the bounds of its posterior.
+def reputations(outcomes: DataFrame, z: float = 2.326, second_level: list[str] = SECOND_LEVEL) -> DataFrame:
+    """host, bad -> host, n, n_bad, rate, the lower bound of its posterior, and the rate of its suffix.
 
-    The bound is `z` posterior standard deviations below the mean.
+    The bound is `z` posterior standard deviations below the mean; it is meant against the suffix's rate, taken as known.
     """
     hosts = outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    hosts = hosts.withColumn("domain", domain_of(F.col("host"), second_level)).withColumn("suffix", suffix_of(F.col("host"), second_level))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("all", F.lit("*"))
     # one number; the smoothing keeps the rate off 0 and 1
     n, bad = suffixes.agg(F.sum("n"), F.sum("bad")).first()
-    top = _shrunk(suffixes.withColumn("prior", F.lit(((bad or 0) + 0.5) / ((n or 0) + 1))), "suffix", "all").select(F.col("suffix").alias("_s"), F.col("rate").alias("prior"))
-    middle = _shrunk(domains.join(top, F.col("suffix") == F.col("_s")).drop("_s"), "domain", "suffix").select(F.col("domain").alias("_d"), F.col("rate").alias("prior"))
+    top = _shrunk(suffixes.withColumn("prior", F.lit(((bad or 0) + 0.5) / ((n or 0) + 1))).withColumn("prior_var", F.lit(0.0)), "suffix", "all")
+    top = top.select(F.col("suffix").alias("_s"), F.col("rate").alias("prior"), F.lit(0.0).alias("prior_var"), F.col("rate").alias("expected"))
+    middle = _shrunk(domains.join(top, F.col("suffix") == F.col("_s")).drop("_s"), "domain", "suffix").select(F.col("domain").alias("_d"), F.col("rate").alias("prior"), F.col("var").alias("prior_var"), "expected")
     own = _shrunk(hosts.join(middle, F.col("domain") == F.col("_d")).drop("_d"), "host", "domain")
-    total = F.col("a") + F.col("b")
-    bound = F.col("rate") - z * F.sqrt(F.col("a") * F.col("b") / (total * total * (total + 1)))
-    return own.select("host", "n", F.col("bad").alias("n_bad"), "rate", bound.alias("bound"))
+    bound = F.col("rate") - z * F.sqrt("var")
+    return own.select("host", "n", F.col("bad").alias("n_bad"), "rate", bound.alias("bound"), "expected")
 
 
-def judge(pages: DataFrame, url: str, outcomes: DataFrame, rules: list[tuple[str, str, str]], limit: float = 0.5, z: float = 1.645) -> DataFrame:
+def judge(pages: DataFrame, url: str, outcomes: DataFrame, rules: list[tuple[str, str, str]], lift: float = 1.0, z: float = 2.326, second_level: list[str] = SECOND_LEVEL) -> DataFrame:
     """pages with host, path, rule and verdict; outcomes: (url, bad) of labelled pages."""
     judged = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
-    known = reputations(outcomes.select(host_of(F.col("url")).alias("host"), "bad"), z).filter(F.col("bound") > limit).select(F.col("host").alias("_h"), F.lit(True).alias("_bad"))
+    known = reputations(outcomes.select(host_of(F.col("url")).alias("host"), "bad"), z, second_level).filter(F.col("bound") > lift * F.col("expected")).select(F.col("host").alias("_h"), F.lit(True).alias("_bad"))
     fit = rule_of(F.col("host"), F.col("path"), rules)
     judged = judged.join(known, F.col("host") == F.col("_h"), "left").withColumn("_fit", fit)
     verdict = F.coalesce(F.col("_fit.verdict"), F.when(F.col("_bad"), "block").otherwise("allow"))
