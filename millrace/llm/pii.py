@@ -7,20 +7,26 @@ become signs, and spelled digits become digits. The same finders run on what com
 spans are mapped back to the source. Plain spans always stay; a disguised one is added unless it lies
 inside a plain one of its kind.
 
-Offsets count code points; ends are exclusive. Finders work in time linear in the text.
-
-Defined results: null text counts as empty and has no spans; repeated rows give equal spans; other
-columns pass through, and one named `spans` is replaced.
+Offsets count code points; ends are exclusive. Finders work in time linear in the text. Addresses and
+runs of digits may be of any length; inside a disguise there are at most BLANKS blanks (or, between spelled
+digits, separators) at a stretch, as words further apart aren't one identifier. A plain word "at" makes an
+address only with a dot in words or brackets behind it, since prose says "look at example.com".
+
+Defined results: null text counts as empty and has no spans; texts of any length are read whole; repeated
+rows give equal spans; of overlapping spans of one kind in either pass the leftmost stays; other columns
+pass through, and one named `spans` is replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import html
 import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,57 +122,78 @@ class Tape:
         return (start, end) if self.spans is None else (self.spans[start][0], self.spans[end - 1][1])
 
 
+#: A character written as an HTML entity.
+ENTITY = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|commat|period|plus|hyphen|lowbar|nbsp|lpar|rpar|lbrack|rbrack);")
+
+
+def entities(text: str) -> Tape:
+    """The text with entities as the one character that each stands for."""
+    out, spans, at = [], [], 0
+    for m in ENTITY.finditer(text):
+        if len(c := html.unescape(m[0])) == 1:
+            out += [text[at : m.start()], c]
+            spans += [*((k, k + 1) for k in range(at, m.start())), m.span()]
+            at = m.end()
+    out.append(text[at:])
+    spans += [(k, k + 1) for k in range(at, len(text))]
+    return Tape("".join(out), spans)
+
+
 def letters(text: str) -> Tape:
-    """The text with look-alikes as ASCII and without invisible characters."""
-    out = text.translate(LETTERS)
-    if len(out) == len(text):
-        return Tape(out)
-    keep = [k for k, c in enumerate(text) if not GONE.match(c)]
-    return Tape(out, [(k, k + 1) for k in keep])
+    """The text with entities read, look-alikes as ASCII and without invisible characters."""
+    first = entities(text) if "&" in text and ENTITY.search(text) else Tape(text)
+    if first.text.isascii():
+        return first
+    out = first.text.translate(LETTERS)
+    if len(out) == len(first.text):
+        return Tape(out, first.spans)
+    return Tape(out, [first.at(k, k + 1) for k, c in enumerate(first.text) if not GONE.match(c)])
 
 
 # ---- the second: words and signs to signs
 
-OPEN, SHUT = r"[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]"
-BRACKET_AT = rf"\s{{0,3}}{OPEN}(?:at|@|arroba|arobase){SHUT}\s{{0,3}}"
-BRACKET_DOT = rf"\s{{0,3}}{OPEN}(?:dot|\.|punto|point|punkt){SHUT}\s{{0,3}}"
-WORD_AT, WORD_DOT = r"(?:\s{1,3}at\s{1,3}|_at_)", r"(?:\s{1,3}dot\s{1,3}|_dot_)"
-DOT = rf"(?:{BRACKET_DOT}|{WORD_DOT}|\s?\.\s?)"
-LABEL = r"[A-Za-z0-9-]{1,63}"
-#: What stands on the right of an at-sign's disguise, and on the left of it.
-AFTER_BRACKET = re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{WORD_DOT}|\.){LABEL}){{1,8}}", re.I)
-AFTER_WORD = re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{WORD_DOT}|\.){LABEL}){{0,7}}(?:{BRACKET_DOT}|{WORD_DOT}){LABEL}", re.I)
-BEFORE = re.compile(rf"[A-Za-z0-9_%+-]{{1,64}}(?:(?:{BRACKET_DOT}|{WORD_DOT}|\.)[A-Za-z0-9_%+-]{{1,64}}){{0,8}}\Z", re.I)
-AT_SIGN = re.compile(rf"({BRACKET_AT})|({WORD_AT})|@", re.I)
-ANY_DOT = re.compile(rf"{BRACKET_DOT}|{WORD_DOT}|\.", re.I)
-MAYBE_AT = re.compile(r"[(\[{<]\s{0,3}(?:at|@|arroba|arobase)\s{0,3}[)\]}>]", re.I)
-MAYBE_DOT = re.compile(r"[(\[{<]\s{0,3}(?:dot|\.|punto|point|punkt)\s{0,3}[)\]}>]|[\s_]dot[\s_]", re.I)
-
-
-def _last_dot(piece: str) -> bool:
-    """Whether the last label could end a domain: letters only, two or more."""
+#: The most blanks at a stretch inside a disguise.
+BLANKS = 3
+_B = rf"\s{{0,{BLANKS}}}"
+OPEN, SHUT = rf"[(\[{{<]{_B}", rf"{_B}[)\]}}>]"
+BRACKET_AT = rf"{_B}{OPEN}(?:at|@|arroba|arobase){SHUT}{_B}"
+BRACKET_DOT = rf"{_B}{OPEN}(?:dot|\.|punto|point|punkt){SHUT}{_B}"
+_SOME = rf"\s{{1,{BLANKS}}}"
+WORD_AT, WORD_DOT = rf"(?:{_SOME}at{_SOME}|_at_)", rf"(?:{_SOME}dot{_SOME}|_dot_)"
+SPACED_AT = rf"{_SOME}@{_B}|@{_SOME}"
+LABEL = r"[A-Za-z0-9-]++"
+#: What stands on the right of an at-sign's disguise, and on the left of it (read backwards).
+AFTER_BRACKET = re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{WORD_DOT}|\.){LABEL})++", re.I)
+AFTER_WORD = re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{WORD_DOT}|\.){LABEL})*(?:{BRACKET_DOT}|{WORD_DOT}){LABEL}", re.I)
+AFTER_SPACED = re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{WORD_DOT}|\s\.\s|\.){LABEL})++", re.I)
+BEFORE = regex.compile(rf"(?r)[A-Za-z0-9_%+-]++(?:(?:{BRACKET_DOT}|{WORD_DOT}|\.)[A-Za-z0-9_%+-]++)*", regex.I)
+AT_SIGN = re.compile(rf"({BRACKET_AT})|({WORD_AT})|({SPACED_AT})|@", re.I)
+ANY_DOT = re.compile(rf"{BRACKET_DOT}|{WORD_DOT}|\s?\.\s?", re.I)
+MAYBE_AT = re.compile(rf"{OPEN}(?:at|@|arroba|arobase){SHUT}|\s@|@\s", re.I)
+MAYBE_DOT = re.compile(rf"{OPEN}(?:dot|\.|punto|point|punkt){SHUT}|[\s_]dot[\s_]", re.I)
+
+
+def _ends_domain(piece: str, spaced: bool) -> bool:
+    """Whether the last label could end a domain: letters only, two or more; after blanks, of one case, unlike a sentence."""
     last = ANY_DOT.split(piece)[-1]
-    return len(last) > 1 and last.isalpha()
+    return len(last) > 1 and last.isalpha() and (not spaced or last.islower() or last.isupper())
 
 
 def disguised_emails(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of e-mail addresses with at-signs or dots in words or brackets."""
+    """Spans of e-mail addresses with at-signs or dots in words, brackets or blanks."""
     dots = MAYBE_DOT.search(text)
     if not dots and not MAYBE_AT.search(text):
         return
     done = 0
     for m in AT_SIGN.finditer(text):
-        if m[2] and not dots or not (m[1] or m[2] or dots):
+        if m[2] and not dots or not (m[1] or m[2] or m[3] or dots) or m.start() < done:
             continue
-        after = (AFTER_BRACKET if m[1] else AFTER_WORD).match(text, m.end())
-        if m[0] == "@" and not after and dots:
+        after = (AFTER_BRACKET if m[1] else AFTER_SPACED if m[3] else AFTER_WORD).match(text, m.end())
+        if m[0] == "@" and not after:
             after = AFTER_BRACKET.match(text, m.end())
-        if not after or not _last_dot(after[0]):
-            continue
-        low = max(done, m.start() - 400)
-        before = BEFORE.search(text[low : m.start()])
-        if before:
-            yield low + before.start(), after.end()
+        # what precedes a sign is read backwards from it, as far as it goes
+        if after and _ends_domain(after[0], bool(m[3])) and (before := BEFORE.match(text, done, m.start())):
+            yield before.start(), after.end()
             done = after.end()
 
 
@@ -175,9 +202,10 @@ NAMES = ["zero|zéro|null|cero|oh", "one|un|eins|uno", "two|deux|zwei|dos", "thr
 DIGIT = {w: str(d) for d, names in enumerate(NAMES) for w in names.split("|")}
 #: "six" is a digit in two languages, so languages may mix.
 _NAME = "|".join(sorted(DIGIT, key=len, reverse=True))
-GAP = r"[\s,./()_–-]{0,3}"
+GAP = rf"[\s,./()_–-]{{0,{BLANKS}}}"
 TOKEN = re.compile(rf"(?P<name>\b(?:{_NAME})\b)|(?P<times>\b(?:double|triple)\b)|(?P<plus>\bplus\b|\+)|(?P<dot>{BRACKET_DOT}|{WORD_DOT}|\b(?:dot|point)\b)|(?P<digits>[0-9]+)|(?P<sep>[\s,./()_–-])", re.I)
-RUN = re.compile(rf"(?:(?:\bplus\b|\+){GAP})?(?:\b(?:{_NAME}|double|triple|dot|point)\b|[0-9]{{1,64}}|{BRACKET_DOT})(?:{GAP}(?:\b(?:{_NAME}|double|triple|dot|point)\b|[0-9]{{1,64}}|{BRACKET_DOT}))+", re.I)
+_FIGURE = r"(?<![0-9])[0-9]++"  # from its first digit only, so that a long figure is looked at once
+RUN = re.compile(rf"(?:(?:\bplus\b|\+){GAP})?(?:\b(?:{_NAME}|double|triple|dot|point)\b|{_FIGURE}|{BRACKET_DOT})(?:{GAP}(?:\b(?:{_NAME}|double|triple|dot|point)\b|{_FIGURE}|{BRACKET_DOT}))+", re.I)
 _WORD = rf"(?:\b(?:{_NAME}|double|triple|dot|point)\b|{OPEN}(?:dot|\.|punto|point|punkt){SHUT})"
 #: A digit's name or a dot's word next to another or to a figure: every run that isn't figures alone has it.
 MAYBE_RUN = re.compile(rf"{_WORD}{GAP}(?:{_WORD}|[0-9])|[0-9]{GAP}{_WORD}", re.I)
@@ -216,7 +244,7 @@ def spelled(text: str) -> Iterator[Tape]:
 
 def disguised(text: str) -> list[Span]:
     """What the finders see only after rewriting, in source offsets."""
-    first = Tape(text) if text.isascii() else letters(text)
+    first = Tape(text) if text.isascii() and "&" not in text else letters(text)
     found: list[Span] = []
     if first.text is not text:
         found += [(kind, *first.at(a, b)) for kind, a, b in find(first.text)]
