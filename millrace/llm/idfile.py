@@ -4,8 +4,9 @@ A file holds the ids of consecutive documents, cut into blocks of equal numbers
 block is coded by itself: all models start afresh, and a CRC-32 of its ids guards it, so blocks
 can be read, checked and lost one by one. Inside a block three predictors work together: order-2
 and order-1 contexts each recall the id that followed last time and how often that held, and an
-order-0 model adapts to which ids occur. Their mix splits the range coder's interval; what no
-context foresaw is coded by the order-0 model.
+order-0 model gives every id a chance: it adapts to how often ids of each bin occur, bins being as wide as
+half an octave, as tokenizers number common ids first. Their mix splits the range coder's interval;
+what no context foresaw is coded by the order-0 model.
 
 All blocks of a group advance in step, one id at a time, each on a lane of arrays, so Python runs
 per step and not per id.
@@ -15,7 +16,8 @@ the documents' numbers (int64) and sizes (uint32) and the blocks' word counts an
 then the blocks' code words (uint16). Ids must be below 65,536.
 
 Defined results: null text counts as empty and gives the end id alone; documents with equal numbers
-stay side by side, in any order; null numbers come first.
+stay side by side, in the order of their texts; null numbers come first; a text of any length is encoded
+whole; other columns are left out; an empty table gives no file and no rows; an id of 65,536 or more is an error.
 """
 
 from __future__ import annotations
@@ -41,8 +43,15 @@ BLOCK = 2048
 LANES = 2048
 #: Sizes of the tables that recall an id by its order-1 and order-2 context.
 ONE, TWO = 512, 512
-#: Widths of the intervals: 16 bits for what the predictors share, 12 more for the rest of an unforeseen id.
-FULL, BITS, REST = 1 << 16, 28, 12
+#: Ids that the file can hold.
+LIMIT = 1 << 16
+#: Widths of the intervals: 16 bits for what the predictors share, 14 more for an id's place in its bin.
+FULL, BITS, REST = 1 << 16, 30, 14
+#: The order-0 model's bins: their first ids (0, 16, 32, 64, 128, 192, 256, 384, ... 49152), the bits of a place in each, and each id's bin.
+EDGES = np.array([0, 16, 32, 64, *(e << k for k in range(6, 15) for e in (2, 3))], np.int64)
+WIDTHS = np.log2(np.diff(np.append(EDGES, LIMIT))).astype(np.int64)
+BIN = np.repeat(np.arange(len(EDGES)), 1 << WIDTHS)
+BINS = len(EDGES)
 #: The order-0 model's scale, and how fast it adapts.
 SCALE, SHIFT = 1 << 14, 5
 NULL = -(2**63)
@@ -52,8 +61,8 @@ _ONE, _16, _48 = _U(1), _U(16), _U(48)
 _LOW32 = _U(2**32 - 1)
 #: From the confidence of a recollection: its share to begin with.
 _TRUST = np.array([0, 8, 20, 32, 40, 46, 50, 54], np.int32) * 1024
-#: The order-0 model's goal after each of the 16 classes; every class keeps a part.
-_GOAL = (np.arange(17) * 64 + (np.arange(17) > np.arange(16)[:, None]) * (SCALE - 16 * 64)).astype(np.int16)
+#: The order-0 model's goal after an id of each bin; every bin keeps a part.
+_GOAL = (np.arange(BINS + 1) * 64 + (np.arange(BINS + 1) > np.arange(BINS)[:, None]) * (SCALE - BINS * 64)).astype(np.int16)
 
 
 class _Model:
@@ -68,9 +77,9 @@ class _Model:
         self.tables = (np.zeros(lanes * TWO, np.int32), np.zeros(lanes * ONE, np.int32))
         self.states = self.lane * 8
         self.trust = (np.tile(_TRUST, lanes).astype(np.int64), np.tile(_TRUST, lanes).astype(np.int64))
-        self.cdf = np.tile((np.arange(17) * (SCALE // 16)).astype(np.int16), (lanes, 1))
+        self.cdf = np.tile((np.arange(BINS + 1) * SCALE // BINS).astype(np.int16), (lanes, 1))
         self.flat = self.cdf.reshape(-1)
-        self.rows = self.lane * 17
+        self.rows = self.lane * (BINS + 1)
         self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
     def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -87,7 +96,7 @@ class _Model:
         two = np.where(same, np.minimum(q2 + rest, FULL * 31 // 32), q2)
         return (*self.known, two, np.where(same, 0, rest))
 
-    def update(self, ids: np.ndarray, classes: np.ndarray) -> None:
+    def update(self, ids: np.ndarray, bins: np.ndarray) -> None:
         for k in (0, 1):
             entry, share = self.entries[k], self.shares[k]
             conf = entry & 7
@@ -96,7 +105,7 @@ class _Model:
             self.trust[k][self.at[k]] = np.where(conf > 0, share + ((hit * np.int64(FULL * 7 // 8) - share) >> 5), 0)
             kept = np.where(hit, np.minimum(conf + 1, 7), conf >> 1)
             self.tables[k][self.slots[k]] = np.where(kept > 0, entry - conf + kept, ids.astype(np.int32) * 8 + 1)
-        self.cdf += (_GOAL.take(classes, axis=0) - self.cdf) >> SHIFT
+        self.cdf += (_GOAL.take(bins, axis=0) - self.cdf) >> SHIFT
         self.one, self.two = ids, self.one
 
 
@@ -136,16 +145,17 @@ def encode_blocks(blocks: np.ndarray) -> list[np.ndarray]:
         k2, k1, two, one = model.predict()
         hit2 = (k2 == ids) & (two > 0)
         hit1 = (k1 == ids) & (one > 0) & ~hit2
-        classes = ids >> REST
+        bins = BIN.take(ids)
         base = two + one
-        a, b = (base + ((FULL - base) * model.flat.take(model.rows + classes + k).astype(np.int64) >> 14) for k in (0, 1))
-        start = np.where(hit2, 0, np.where(hit1, two << REST, (a << REST) + (b - a) * (ids & (1 << REST) - 1)))
-        freq = np.where(hit2, two << REST, np.where(hit1, one << REST, b - a))
+        a, b = (base + ((FULL - base) * model.flat.take(model.rows + bins + k).astype(np.int64) >> 14) for k in (0, 1))
+        share = (b - a) << (REST - WIDTHS.take(bins))  # of one id in its bin
+        start = np.where(hit2, 0, np.where(hit1, two << REST, (a << REST) + share * (ids - EDGES.take(bins))))
+        freq = np.where(hit2, two << REST, np.where(hit1, one << REST, share))
         r >>= _U(BITS)
         lo += r * start.view(_U)
         r *= freq.view(_U)
         _settle(lo, r, move)
-        model.update(ids, classes)
+        model.update(ids, bins)
     used = place - model.lane * (4 * n + 8)
     for k in range(4):
         out[model.lane, used + k] = (lo >> _U(48 - 16 * k)).astype(np.uint16)
@@ -164,14 +174,14 @@ def decode_blocks(words: list[np.ndarray], n: int) -> np.ndarray:
     code = np.zeros(lanes, _U)
     for k in range(4):
         code = code << _16 | data[:, k]
-    flat, place = data.reshape(-1), model.lane * width + 4
+    flat, cursor = data.reshape(-1), model.lane * width + 4
     last = model.lane * width + width - 1
     out = np.zeros((n, lanes), np.int64)
 
     def move(who: np.ndarray, _: np.ndarray) -> None:
-        at = place[who]
+        at = cursor[who]
         code[who] = code[who] << _16 | flat[at]
-        place[who] = np.minimum(at + 1, last[who])
+        cursor[who] = np.minimum(at + 1, last[who])
 
     for i in range(n):
         k2, k1, two, one = model.predict()
@@ -181,20 +191,20 @@ def decode_blocks(words: list[np.ndarray], n: int) -> np.ndarray:
         base = two + one
         hit2, miss = top < two, top >= base
         left = FULL - base
-        # the class is the last whose edge, left * cdf / SCALE, is not beyond; the same in whole numbers
+        # the bin is the last whose edge, left * cdf / SCALE, is not beyond; the same in whole numbers
         bound = np.minimum((((top - base + 1) << 14) - 1) // left, SCALE - 1).astype(np.int16)
-        classes = np.where(miss, (model.cdf[:, 1:] <= bound[:, None]).sum(axis=1), 0)
-        a, b = (base + (left * model.flat.take(model.rows + classes + k).astype(np.int64) >> 14) for k in (0, 1))
-        span = b - a
-        rest = np.where(miss, (value - (a << REST)) // np.maximum(span, 1), 0)
-        ids = np.where(hit2, k2, np.where(miss, classes << REST | rest, k1))
-        start = np.where(hit2, 0, np.where(miss, (a << REST) + span * rest, two << REST))
-        freq = np.where(hit2, two << REST, np.where(miss, span, one << REST))
+        bins = np.where(miss, (model.cdf[:, 1:] <= bound[:, None]).sum(axis=1), 0)
+        a, b = (base + (left * model.flat.take(model.rows + bins + k).astype(np.int64) >> 14) for k in (0, 1))
+        share = (b - a) << (REST - WIDTHS.take(bins))
+        place = np.where(miss, (value - (a << REST)) // np.maximum(share, 1), 0)
+        ids = np.where(hit2, k2, np.where(miss, EDGES.take(bins) + place, k1))
+        start = np.where(hit2, 0, np.where(miss, (a << REST) + share * place, two << REST))
+        freq = np.where(hit2, two << REST, np.where(miss, share, one << REST))
         lo += r * start.view(_U)
         r *= freq.view(_U)
         _settle(lo, r, move)
         out[i] = ids
-        model.update(ids, ids >> REST)
+        model.update(ids, BIN.take(ids))
     return out.T
 
 
@@ -203,16 +213,23 @@ def block_length(total: int) -> int:
     return min(BLOCK, max(64, 1 << max(0, (total // 64).bit_length())))
 
 
+def checked(ids: np.ndarray) -> np.ndarray:
+    """ids as 16-bit numbers; ValueError if one doesn't fit."""
+    if len(ids) and (ids.max() >= LIMIT or ids.min() < 0):
+        raise ValueError(f"ids must be below {LIMIT}")
+    return ids.astype(np.uint16)
+
+
 def pack(docs: np.ndarray, lens: np.ndarray, ids: np.ndarray) -> bytes:
     """A file image of documents' numbers, sizes and ids. The last block is filled up with id 0."""
     length = block_length(len(ids))
     count = -(-len(ids) // length)
-    blocks = np.zeros((count, length), np.int64)
-    blocks.reshape(-1)[: len(ids)] = ids
+    blocks = np.zeros((count, length), np.uint16)
+    blocks.reshape(-1)[: len(ids)] = checked(ids)
     words: list[np.ndarray] = []
     for a in range(0, count, LANES):
-        words += encode_blocks(blocks[a : a + LANES])
-    crcs = [zlib.crc32(b) for b in blocks.astype("<u4")]
+        words += encode_blocks(blocks[a : a + LANES].astype(np.int64))
+    crcs = [zlib.crc32(b.astype("<u4")) for b in blocks]
     index = zlib.compress(docs.astype("<i8").tobytes() + lens.astype("<u4").tobytes() + np.array([len(w) for w in words], "<u4").tobytes() + np.array(crcs, "<u4").tobytes(), 1)
     head = HEAD.pack(MAGIC, length, len(docs), len(ids), count)
     return head + struct.pack("<I", len(index)) + index + b"".join(w.astype("<u2").tobytes() for w in words)
@@ -335,7 +352,7 @@ def write_ids(df: DataFrame, key: str, column: str, path: str, folder: str, end_
             numbers = batch.column(batch.schema.get_field_index(key))
             docs.append(pa.compute.fill_null(numbers, NULL).to_numpy(zero_copy_only=False).astype(np.int64))
             lens.append(n)
-            ids.append(got.astype(np.uint16))
+            ids.append(checked(got))
         if docs:
             docs, lens, ids = map(np.concatenate, (docs, lens, ids))
             name = f"{folder}/ids-{TaskContext.get().partitionId():06d}.bin"
@@ -343,7 +360,8 @@ def write_ids(df: DataFrame, key: str, column: str, path: str, folder: str, end_
                 out.write(pack(docs, lens, ids))
             yield pa.RecordBatch.from_pydict({"file": [name], "first": [int(docs[0])], "n_docs": [len(docs)], "n_ids": [len(ids)]})
 
-    ordered = df.select(key, column).repartitionByRange(F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first())
+    order = [F.col(key).asc_nulls_first(), F.col(column).asc_nulls_first()]
+    ordered = df.select(key, column).repartitionByRange(order[0]).sortWithinPartitions(*order)
     return stash(ordered.mapInArrow(run, "file string, first long, n_docs long, n_ids long"), "idfiles")
 
 
@@ -355,7 +373,9 @@ def read_ids(files: DataFrame, with_ids: bool = True) -> DataFrame:
     rows = files.orderBy("first").collect()
     starts = np.concatenate([[0], np.cumsum([r.n_ids for r in rows], dtype=np.int64)])
     spark = files.sparkSession
-    listed = spark.createDataFrame([(r.file, int(s)) for r, s in zip(rows, starts)], "file string, base long")
+    # a task for each file
+    files = spark.sparkContext.parallelize([(r.file, int(s)) for r, s in zip(rows, starts)], max(1, len(rows)))
+    listed = spark.createDataFrame(files, "file string, base long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -377,7 +397,7 @@ def read_ids(files: DataFrame, with_ids: bool = True) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(new, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(new)])
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return listed.repartition(max(1, len(rows)), "file").mapInArrow(run, schema)
+    return listed.mapInArrow(run, schema)
 
 
 def folder(spark) -> str:
