@@ -3,14 +3,15 @@
 Every role and text is encoded by itself and put between reserved ids, which lie beyond the
 vocabulary, so no content can produce them. The loss mask follows from prefix sums of the segments'
 lengths. For use as plain text the same conversation is also rendered with control strings; where a
-text contains one, or the escape character, it is escaped, so the rendering can be parsed back.
+role or text contains one, or the escape character, it is escaped, so `parse` gives the turns back.
 
 Token layout of a turn: TURN, ids of the role, SAYS, ids of the text, END. The mask is 1 on the ids of
 an assistant's text only. Text layout: `<turn>role:\\n`, the text, `</turn>\\n`.
 
 Defined results: a null text or role is empty; turns of equal number keep the order role, text; a
-conversation whose id is null is one conversation; extra columns are left out. A conversation is a
-row of the output, so its turns are gathered in one task.
+conversation whose id is null is one conversation; repeated rows are turns of their own; texts of any length
+are taken whole; extra columns are left out; an empty table gives an empty result. A conversation is a
+row of the output, so its turns are gathered in one task; tasks work on SLICE bytes of conversations at a time.
 """
 
 from __future__ import annotations
@@ -25,12 +26,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.bpe import tokenizer
-from millrace.llm.common import list_array, spread, with_columns
+from millrace.llm.common import list_array, portions, spread, with_columns
 
 OPEN, SHUT, ESCAPE = "<turn>", "</turn>", "\\"
 #: A control string is escaped by a backslash before it; so is every backslash.
 CONTROL = regex.compile(r"<turn>|</turn>|\\")
 ESCAPED = regex.compile(r"\\(<turn>|</turn>|\\)")
+#: In a role, what ends it is escaped as well.
+ROLE_CONTROL, ROLE_ESCAPED = regex.compile(r"<turn>|</turn>|\\|:\n"), regex.compile(r"\\(<turn>|</turn>|\\|:\n)")
+SHOWN = regex.compile(r"<turn>((?:\\(?:<turn>|</turn>|\\|:\n)|[^\\<:]++|<(?!/?turn>)|:(?!\n))*+):\n((?:\\(?:<turn>|</turn>|\\)|[^\\<]++|<(?!/?turn>))*+)</turn>\n")
+SLICE = 2_000_000
 TURN, SAYS, END = 0, 1, 2  # added to the vocabulary's size
 
 SCHEMA = "conv_id long, ids array<int>, loss_mask array<byte>, formatted string"
@@ -44,6 +49,23 @@ def unescape(text: str) -> str:
     return ESCAPED.sub(lambda m: m[1], text) if ESCAPE in text else text
 
 
+def render(role: str, text: str) -> str:
+    """A turn as plain text."""
+    return f"{OPEN}{ROLE_CONTROL.sub(lambda m: ESCAPE + m[0], role)}:\n{escape(text)}{SHUT}\n"
+
+
+def parse(formatted: str) -> list[tuple[str, str]]:
+    """The roles and texts of a rendered conversation; ValueError if it isn't one."""
+    turns, at = [], 0
+    while at < len(formatted):
+        m = SHOWN.match(formatted, at)
+        if not m:
+            raise ValueError(f"no turn at {at}")
+        turns.append((ROLE_ESCAPED.sub(lambda x: x[1], m[1]), unescape(m[2])))
+        at = m.end()
+    return turns
+
+
 def _is_loss(roles: list[str]) -> np.ndarray:
     return np.array([r == "assistant" for r in roles], bool)
 
@@ -80,14 +102,15 @@ def format_chats(turns: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for whole in batches:
-            for a in range(0, whole.num_rows, 500):
-                batch = whole.slice(a, 500)
+            size = pa.compute.binary_length(whole.column(2).flatten()).to_numpy()
+            ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(pa.compute.list_value_length(whole.column(2)).to_numpy())])]
+            for batch in portions(whole, np.diff(ends) + 1, SLICE):
                 per = pa.compute.list_value_length(batch.column(1)).to_numpy()
                 roles, words = batch.column(1).flatten().to_pylist(), batch.column(2).flatten().to_pylist()
                 ids, mask, size = assemble(bpe, roles, words)
                 bounds = np.concatenate([[0], np.cumsum(per)])
                 total = np.concatenate([[0], np.cumsum(size)])[bounds]
-                shown = [f"{OPEN}{r}:\n{escape(w)}{SHUT}\n" for r, w in zip(roles, words)]
+                shown = [render(r, w) for r, w in zip(roles, words)]
                 text = ["".join(shown[x:y]) for x, y in zip(bounds, bounds[1:])]
                 lens = np.diff(total)
                 yield pa.RecordBatch.from_arrays([batch.column(0), list_array(ids, lens), list_array(mask, lens), pa.array(text)], names=["conv_id", "ids", "loss_mask", "formatted"])
@@ -101,8 +124,7 @@ def read_back(chats: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for whole in batches:
-            for a in range(0, whole.num_rows, 500):
-                batch = whole.slice(a, 500)
+            for batch in portions(whole, pa.compute.list_value_length(whole.column(whole.schema.get_field_index("ids"))).to_numpy() * 4, SLICE):
                 ids_of, mask_of = (batch.column(batch.schema.get_field_index(n)) for n in ("ids", "loss_mask"))
                 ids, mask = ids_of.flatten().to_numpy().astype(np.int64), mask_of.flatten().to_numpy().astype(bool)
                 ends = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(ids_of).to_numpy())])

@@ -62,10 +62,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2_000_000
             continue
         col = batch.column(batch.schema.get_field_index(column))
         sizes = np.nan_to_num(pa.compute.binary_length(col).to_numpy(zero_copy_only=False).astype(float))
-        group = (np.cumsum(sizes) // most).astype(np.int64)
-        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            yield batch.slice(a, b - a)
+        yield from portions(batch, sizes, most)
+
+
+def portions(batch: pa.RecordBatch, sizes: np.ndarray, most: float) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each portion's rows are of about `most` in size together, or a single row."""
+    group = (np.cumsum(sizes) // most).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
 
 
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
