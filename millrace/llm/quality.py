@@ -7,8 +7,8 @@ unseen. The classifier minimises the non-negative unbiased risk
 
 so the unlabelled text's hidden positives are taken out of the negative part, which never goes below
 zero. The class prior is estimated from the labelled documents, taken as a random draw of the text; where
-only positives are labelled, from the scores that positives themselves get (a first classifier tells
-labelled from unlabelled; its mean score on positives corrects for labelling, after Elkan and Noto).
+only positives are labelled, from a first classifier that tells positives from unlabelled text, both given
+equal weight: after Elkan and Noto, its odds on positives tend to 1 / prior.
 
 Features are statistics of the whole text, language-neutral: shares of kinds of characters, lengths and
 endings of words, repetition of words, pairs and lines. Every document's features are computed; the
@@ -17,7 +17,8 @@ hash, which reach the driver as short vectors. The bound is a parameter and does
 
 Defined results: null text counts as empty and is scored like any text; ties and repeated rows get equal
 scores; with no labelled positive every score is 0.5; other columns pass through, and one named `score`
-is replaced; rows that share a number are fitted on once.
+is replaced; rows that share a number are fitted on once, repeated labels count once; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -154,23 +155,33 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def fit(pos: np.ndarray, unl: np.ndarray, prior: float, seed: int = 5) -> Model:
-    """The minimiser of the non-negative risk under the logistic loss, by Adam on full batches.
+def risk(model: Model, zp: np.ndarray, zu: np.ndarray, prior: float | None) -> tuple[float, float, list[np.ndarray]]:
+    """The risk's positive and negative part on scaled rows, under the logistic loss, and the gradient to follow.
 
-    Where the negative part falls below zero its gradient is followed backwards, as the method has it.
+    Where the negative part falls below zero, its gradient alone is followed, backwards, as the method has it.
+    Without a prior, it is the plain risk of telling the two kinds of rows apart.
     """
+    (op, hp), (ou, hu) = model.forward(zp), model.forward(zu)
+    if prior is None:
+        grads = model.grad(zp, hp, (_sigmoid(op) - 1) / len(op)), model.grad(zu, hu, _sigmoid(ou) / len(ou))
+        return np.logaddexp(0, -op).mean(), np.logaddexp(0, ou).mean(), [a + b for a, b in zip(*grads)]
+    positive = prior * np.logaddexp(0, -op).mean()
+    negative = np.logaddexp(0, ou).mean() - prior * np.logaddexp(0, op).mean()
+    sign = 1.0 if negative >= 0 else -1.0
+    gp = (prior * (_sigmoid(op) - 1) * (sign > 0) - sign * prior * _sigmoid(op)) / len(op)
+    gu = sign * _sigmoid(ou) / len(ou)
+    return positive, negative, [a + b for a, b in zip(model.grad(zp, hp, gp), model.grad(zu, hu, gu))]
+
+
+def fit(pos: np.ndarray, unl: np.ndarray, prior: float | None, seed: int = 5) -> Model:
+    """The minimiser of the non-negative risk under the logistic loss, by Adam on full batches."""
     everything = np.concatenate([pos, unl])
     model = Model(everything.mean(0), everything.std(0) + 1e-6, np.random.default_rng(seed))
     zp, zu = model.scaled(pos), model.scaled(unl)
     decay = DECAY + min(DECAY_FEW / len(pos), 0.1)
     m, v = [np.zeros_like(p) for p in model.p], [np.zeros_like(p) for p in model.p]
     for step in range(1, STEPS + 1):
-        (op, hp), (ou, hu) = model.forward(zp), model.forward(zu)
-        negative = np.logaddexp(0, ou).mean() - prior * np.logaddexp(0, op).mean()
-        sign = 1.0 if negative >= 0 else -1.0
-        gp = (prior * (_sigmoid(op) - 1) * (sign > 0) - sign * prior * _sigmoid(op)) / len(op)
-        gu = sign * _sigmoid(ou) / len(ou)
-        total = [a + b + decay * p for a, b, p in zip(model.grad(zp, hp, gp), model.grad(zu, hu, gu), model.p)]
+        total = [g + decay * p for g, p in zip(risk(model, zp, zu, prior)[2], model.p)]
         for k, g in enumerate(total):
             m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.999 * v[k] + 0.001 * g * g
             model.p[k] = model.p[k] - RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
@@ -182,8 +193,8 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray, n_pos: int, n_neg: int) ->
     if n_neg:
         share = n_pos / (n_pos + n_neg)
         return min(max(share - math.sqrt(share * (1 - share) / (n_pos + n_neg)), 0.02), 0.98)
-    told = fit(pos, unl, 0.5)
-    return min(max(float(told.score(unl).mean() / max(told.score(pos).mean(), 1e-6)), 0.02), 0.98)
+    score = float(fit(pos, unl, None).score(pos).mean())
+    return min(max((1 - score) / max(score, 1e-6), 0.02), 0.98)
 
 
 def train(df: DataFrame, labels: DataFrame, key: str, column: str, most: int = MOST) -> Model | None:
@@ -192,7 +203,7 @@ def train(df: DataFrame, labels: DataFrame, key: str, column: str, most: int = M
     The documents to fit on are picked by their numbers' hashes first, so only their features are made.
     """
     good = labels.filter("quality = 1").select(F.col(key).alias("_k")).distinct()
-    n_pos, n_neg = labels.agg(F.count_if(F.col("quality") == 1), F.count_if(F.col("quality") == 0)).first()
+    n_pos, n_neg = labels.select(key, "quality").distinct().agg(F.count_if(F.col("quality") == 1), F.count_if(F.col("quality") == 0)).first()
     ids = df.select(key).distinct()
     first = lambda x: x.orderBy(uid(F.lit(11), F.col(key)), key).limit(most)
     pos, unl = first(ids.join(good, F.col(key) == F.col("_k"), "left_semi")), first(ids)
@@ -207,16 +218,16 @@ def train(df: DataFrame, labels: DataFrame, key: str, column: str, most: int = M
     return fit(x[is_pos], x[is_unl], estimate_prior(x[is_pos], x[is_unl], n_pos, n_neg))
 
 
-def scored(df: DataFrame, model: Model | None, column: str = "text", keep_text: bool = True, default: float = 0.5) -> DataFrame:
-    """df with `score`."""
+def scored(df: DataFrame, model: Model | None, column: str = "text", keep_text: bool = True, default: float = 0.5, out: str = "score") -> DataFrame:
+    """df with a score column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, column):
             s = model.score(features(texts(batch, column))) if model else np.full(batch.num_rows, default)
-            yield with_columns(batch, () if keep_text else (column,), score=pa.array(s))
+            yield with_columns(batch, () if keep_text else (column,), **{out: pa.array(s)})
 
-    kept = [f for f in df.schema.fields if f.name != "score" and (keep_text or f.name != column)]
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField("score", T.DoubleType())]))
+    kept = [f for f in df.schema.fields if f.name != out and (keep_text or f.name != column)]
+    return df.mapInArrow(run, T.StructType([*kept, T.StructField(out, T.DoubleType())]))
 
 
 def learnable(labels: DataFrame, key: str = "doc_id") -> DataFrame:
