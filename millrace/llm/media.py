@@ -9,7 +9,10 @@ Shards and index appear atomically, under the names of their input partitions, s
 again replaces nothing that others read.
 
 Defined results: null text counts as empty; an empty payload is padded to 64 bytes; equal texts have
-equal values; repeated rows share a member; a member that was changed is found by its digest.
+equal values; repeated rows share a member; a text of any length is one member; a null key stays null; columns
+other than the key and the text are left out, so none can clash; an empty table gives an empty index; a
+member that was changed is found by its digest. A task holds a digest and a place for each distinct
+payload of its partition until its shard is closed, as rows may only name a shard that exists.
 """
 
 from __future__ import annotations

@@ -76,6 +76,37 @@ def check_mix(rows, near):
         assert abs(taken[s] - t) <= near * t + 1, (s, t, taken[s])
 
 
+def dual(sizes, target, most):
+    """The multiplier of a source by bisection, per unit of size."""
+    words = lambda x: sum(s * min(most, math.exp(min(x * s, 700))) for s in sizes)
+    low, high = -50.0, math.log(most)
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if words(middle) < target else (low, middle)
+    return high
+
+
+def test_rates_are_the_duals(spark, tiny):
+    """Documents' rates against a plain solution of the dual; tilted by size, not one rate a source."""
+    rows = [r.asDict() for r in queries.op1_mix(spark, tiny).collect()]
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r["source"]].append(r)
+    tilted = 0
+    for docs in by_source.values():
+        target, total = docs[0]["target"], docs[0]["source_size"]
+        full = target >= 3 * total * (1 - 1e-9)
+        x = 0 if full else dual([r["size"] for r in docs], target, 3.0)
+        want = [1.0 if not r["size"] else 3.0 if full else min(3.0, math.exp(x * r["size"])) for r in docs]
+        assert np.allclose([r["rate"] for r in docs], want, rtol=1e-6)
+        assert full or abs(sum(r["size"] * r["rate"] for r in docs) - target) <= 1e-6 * target
+        assert all(r["copies"] in (math.floor(r["rate"]) - 1, math.floor(r["rate"]), math.floor(r["rate"]) + 1, math.floor(r["rate"]) + 2) for r in docs)
+        taken = sum(r["size"] * r["copies"] for r in docs)
+        assert math.isclose(target - taken, docs[0]["residual"], abs_tol=1e-6) and {r["residual"] for r in docs} == {docs[0]["residual"]}
+        tilted += len({round(r["rate"], 6) for r in docs if r["size"]}) > 1
+    assert tilted > 0
+
+
 def test_mix_meets_targets_and_repeats(spark, tiny):
     got = queries.op1_mix(spark, tiny)
     rows = [r.asDict() for r in got.collect()]
@@ -93,7 +124,8 @@ def test_mix_of_odd_rows(odd, none):
     assert mixing.mix(none, "doc_id", "text", "source", [1, 2, 3]).count() == 0
 
 
-def test_mix_splits_a_hot_size(spark):
+def test_mix_splits_a_hot_size(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "HOT", 100)
     df = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("same four words here").alias("text"), F.when(F.col("id") < 4000, "hot").otherwise("cold").alias("source"))
     rows = [r.asDict() for r in mixing.mix(df, "doc_id", "text", "source", [1, 2, 3]).collect()]
     check_mix(rows, 0.001)
@@ -198,6 +230,8 @@ def test_plain_finders_on_random_signs():
         ("five five five one two three four five six seven", "phone", "five five five one two three four five six seven"),
         ("card ４１１１ １１１１ １１１１ １１１１", "card", "４１１１ １１１１ １１１１ １１１１"),
         ("at 10 dot 0 dot 0 dot 1", "ip", "10 dot 0 dot 0 dot 1"),
+        ("write john @ example . com", "email", "john @ example . com"),
+        ("write john&#64;example.com", "email", "john&#64;example.com"),
     ],
 )
 def test_disguises(text, kind, inside):
@@ -221,7 +255,43 @@ def test_runs_are_judged_by_their_own_digits(text, kind, inside):
     assert set(alone) <= set(pii.scan(text + " and, one two three times over"))
 
 
-@pytest.mark.parametrize("text", ["look at example.com", "one two three", "he arrived at noon", "un un un un un un un un un un un", "2 at 3 dots", "the null one of two"])
+DISGUISES = {
+    "email": ["{l} (at) {d}", "{l} [at] {h} [dot] {t}", "{l} at {h} dot {t}", "{l} @ {h} . {t}", "{l}&#64;{d}", "{l}&commat;{h}&period;{t}", "{l} \uff20 {d}", "{l}_at_{h}_dot_{t}", "{l}\u200b@{d}"],
+    "ip": ["10 dot 2 dot 3 dot {n}", "10[.]2[.]3[.]{n}"],
+    "phone": ["plus four nine one two three four five six seven {n}", "\uff0b49 30 1234 56{n}"],
+    "card": ["4111 1111 1111 one one 11", "\uff14\uff11\uff11\uff11 1111 1111 1111"],
+}
+
+
+def test_recall_of_planted_disguises():
+    """Every disguise among random words: the share whose span is found, at its very place."""
+    rng = np.random.default_rng(13)
+    word = lambda n=(2, 9): "".join(rng.choice(list("bcdfgklmnprstvaeiu"), rng.integers(*n)))
+    for kind, forms in DISGUISES.items():
+        found = total = extra = 0
+        for form in forms:
+            for _ in range(60):
+                host, top = word((3, 8)), rng.choice(["com", "org", "de", "net"])
+                hidden = form.format(l=word((3, 8)) + "." + word((3, 8)), d=f"{host}.{top}", h=host, t=top, n=rng.integers(10, 99))
+                before, after = (" ".join(f"{word()}," for _ in range(5)) for _ in range(2))
+                text = f"{before} {hidden}; {after}"
+                spans = [(k, text[a:b]) for k, a, b, _ in pii.scan(text)]
+                total += 1
+                found += (kind, hidden) in spans
+                extra += sum(s != (kind, hidden) for s in spans)
+        assert found >= 0.95 * total and extra <= 0.05 * total, (kind, found, extra, total)
+
+
+def test_addresses_of_any_length():
+    for local in ("x" * 1000, ".".join(["ab"] * 20), " dot ".join(["ab"] * 20)):
+        for domain in ("example dot com", " dot ".join(["cd"] * 20) + " dot com", "q" * 500 + " (dot) org"):
+            text = f"{local} at {domain}"
+            assert ("email", 0, len(text), False) in pii.scan(f"{text}") and ("email", 4, 4 + len(text), False) in pii.scan(f"to; {text}, ok")
+    digits = "7" * 3000 + " dot 1 dot 2"
+    assert [s for s in pii.scan(digits) if s[0] == "card"] == []
+
+
+@pytest.mark.parametrize("text", ["me @ home. Then we", "AT&amp;T &#64; 5", "look at example.com", "one two three", "he arrived at noon", "un un un un un un un un un un un", "2 at 3 dots", "the null one of two"])
 def test_plain_prose_is_left_alone(text):
     assert pii.scan(text) == []
 
@@ -251,6 +321,45 @@ def test_quality_on_held_out_labels(spark, tiny):
     assert auc > 0.95
 
 
+@pytest.mark.parametrize("prior", [0.3, 0.99])
+def test_risk_and_its_gradient(prior):
+    """The parts of the risk from their definition, and the gradient by finite differences; below zero only the negative part counts, backwards."""
+    rng = np.random.default_rng(9)
+    pos, unl = rng.standard_normal((30, 4)) + 1, rng.standard_normal((50, 4))
+    model = quality.Model(np.zeros(4), np.ones(4), rng)
+    loss = lambda y, z: np.mean([math.log1p(math.exp(-y * o)) for o in model.forward(z)[0]])
+    parts = lambda: (prior * loss(1, pos), loss(-1, unl) - prior * loss(-1, pos))
+    if prior > 0.5:  # unlabelled texts that all score below the positives, and a prior too high for them
+        order = np.argsort(model.forward(pos)[0])
+        pos, unl = pos[order[-10:]], pos[order[:10]]
+    positive, negative, grad = quality.risk(model, pos, unl, prior)
+    assert np.allclose((positive, negative), parts()) and (negative < 0) == (prior > 0.5)
+    goal = (lambda: sum(parts())) if negative >= 0 else (lambda: -parts()[1])
+    for p, g in zip(model.p, grad):
+        for at in np.ndindex(p.shape):
+            kept = p[at]
+            p[at] = kept + 1e-5
+            up = goal()
+            p[at] = kept - 1e-5
+            down = goal()
+            p[at] = kept
+            assert abs((up - down) / 2e-5 - g[at]) < 1e-6
+
+
+def test_prior_is_estimated():
+    rng = np.random.default_rng(10)
+    good, poor = rng.standard_normal((2000, 3)) + 2, rng.standard_normal((2000, 3)) - 2
+    unl = np.concatenate([good[1000:1600], poor[:1400]])
+    assert abs(quality.estimate_prior(good[:1000], unl, 300, 700) - 0.3) < 0.03
+    assert abs(quality.estimate_prior(good[:1000], unl, 1000, 0) - 0.3) < 0.1
+
+
+def test_repeated_labels_count_once(spark, odd):
+    labels = spark.createDataFrame([(1, 1), (6, 1), (5, 0), (7, 0)], "doc_id long, quality int")
+    score = lambda x: {(r.doc_id, r.text): r.score for r in quality.scored(odd, quality.train(odd, x, "doc_id", "text")).select("doc_id", "text", "score").collect()}
+    assert score(labels) == score(labels.unionByName(labels.filter("quality = 1")))
+
+
 def test_quality_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (6, 1), (5, 0), (3, None), (None, 1)], "doc_id long, quality int")
     model = quality.train(odd, labels, "doc_id", "text")
@@ -288,6 +397,32 @@ def test_embeddings_against_all_pairs(spark):
     assert lsh.links(df.limit(0), "vec_id", "embedding").count() == 0
 
 
+def test_recall_of_planted_pairs(spark):
+    """Ids divisible by 100 against all rows by brute force, with planted pairs at cosines from 0.95 on and a dense group."""
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((2500, 32))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    base[::25] = base[0] + 0.04 * rng.standard_normal((100, 32))
+    noise = rng.standard_normal((2500, 32))
+    near = base + noise / np.linalg.norm(noise, axis=1)[:, None] * rng.uniform(0.05, 0.33, 2500)[:, None]
+    x = np.concatenate([base, near]).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in lsh.links(df, "vec_id", "embedding").collect()}
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    found = want = 0
+    for q in range(0, len(x), 100):
+        n = int((unit @ unit[q] >= 0.95).sum()) - 1
+        assert got[q] <= n
+        found, want = found + got[q], want + n
+    assert want > 1000 and found >= 0.999 * want
+
+
+def test_rows_without_an_id_or_with_two_vectors(spark):
+    rows = [(None, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in lsh.links(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding").collect()}
+    assert got == {None: (0, None), 1: (0, 1), 2: (1, 2), 3: (1, 2)}
+
+
 def test_large_buckets_are_cut(spark, monkeypatch):
     rng = np.random.default_rng(5)
     monkeypatch.setattr(lsh, "PIECE", 16)
@@ -318,12 +453,21 @@ def test_chat_texts_with_control_strings(spark):
     df = spark.createDataFrame([(k, j, r, t) for k in (1, 2) for j, (r, t) in enumerate((r, t) for t in texts for r in ("user", "assistant", None))], "conv_id long, turn long, role string, text string")
     chats = chat.format_chats(df.withColumn("ids", F.lit("clash")), BYTE_BPE)
     row = chat.read_back(chats, BYTE_BPE).filter("conv_id = 1").first()
-    assert row.texts == [t or "" for t in texts for _ in range(3)] and row.loss_texts == [t or "" for t in texts if t]  or row.loss_texts == [t or "" for t in texts]
-    parsed = re.findall(r"(?s)(?<!\\)<turn>([a-z]*):\n(.*?)(?<!\\)(?:\\\\)*</turn>\n", "")
-    assert parsed == [] and all(chat.unescape(chat.escape(t or "")) == (t or "") for t in texts)
+    assert row.texts == [t or "" for t in texts for _ in range(3)] and row.loss_texts == [t for t in texts if t]
+    assert chat.parse(row.formatted) == list(zip(row.roles, row.texts))
     assert chat.format_chats(df.limit(0), BYTE_BPE).count() == 0
 
 
+def test_rendered_chats_are_parsed_back():
+    rng = np.random.default_rng(11)
+    pieces = ["<turn>", "</turn>", "\\", ":\n", ":", "\n", "<", "/turn>", "a", "user", "é"]
+    for _ in range(3000):
+        turns = [tuple("".join(rng.choice(pieces, rng.integers(0, 6))) for _ in range(2)) for _ in range(rng.integers(0, 4))]
+        assert chat.parse("".join(chat.render(*t) for t in turns)) == turns
+    with pytest.raises(ValueError):
+        chat.parse("<turn>a:\nb</turn>")
+
+
 # ---- 7: media
 
 
@@ -513,6 +657,15 @@ def test_coder_round_trips_and_finds_damage():
         idfile.unpack(image[:-40] + bytes([image[-40] ^ 255]) + image[-39:])
     with pytest.raises(ValueError):
         idfile.unpack(b"other" + image[5:])
+    with pytest.raises(ValueError):
+        idfile.pack(np.array([1]), np.array([2]), np.array([5, 65_536]))
+
+
+def test_order_0_predicts_ids():
+    """Ids that no context foresees take fewer bits the more uneven they are spread."""
+    rng = np.random.default_rng(14)
+    bits = [8 * len(idfile.pack(np.array([1]), np.array([100_000]), (49_000 * rng.random(100_000) ** power).astype(np.int64))) / 100_000 for power in (1, 3, 8)]
+    assert bits[0] < 17.2 and bits[1] < bits[0] - 1 and bits[2] < bits[1] - 2, bits
 
 
 # ---- 10: URLs
@@ -547,6 +700,15 @@ def test_reputation_blocks_hosts_that_earned_it(spark):
     assert {r.verdict for r in reputation.judge(pages, "url", outcomes.limit(0), []).collect()} == {"allow"} and reputation.judge(pages.limit(0), "url", outcomes, []).count() == 0
 
 
+def test_the_bound_decides_pages_without_rules(spark):
+    """Against the rate of the suffix, not a fixed rate; without labels, or with a lift out of reach, nothing is blocked."""
+    rows = [(f"http://h{h}.example.net/{k}", k % 20 == 0) for h in range(10) for k in range(100)] + [(f"http://worse.bad.net/{k}", k % 10 < 3) for k in range(100)]
+    outcomes = spark.createDataFrame(rows, "url string, bad boolean")
+    pages = spark.createDataFrame([(0, "http://h1.example.net/x"), (1, "http://worse.bad.net/x")], "page_id int, url string")
+    verdict = lambda **x: [r.verdict for r in reputation.judge(pages, "url", outcomes, [], **x).orderBy("page_id").collect()]
+    assert verdict() == ["allow", "block"] and verdict(lift=20) == ["allow", "allow"]
+
+
 def test_rates_are_shrunk_towards_the_level_above(spark):
     rows = [("http://a.x.example/", True)] + [("http://b.x.example/", False)] * 300 + [("http://c.y.example/", True)] * 300
     rep = {r.host: r for r in reputation.reputations(spark.createDataFrame(rows, "url string, bad boolean").select(reputation.host_of(F.col("url")).alias("host"), "bad")).collect()}
