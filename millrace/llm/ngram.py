@@ -351,6 +351,13 @@ def _tile(gram: np.ndarray, size: np.ndarray, similarity: int) -> np.ndarray:
     return alive & (overlap >= need)
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with further links, given as those of their ends' components (ra, rb): a graph of components, so a small one."""
+    more = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("id").alias("i"), F.col("root").alias("r"))
+    old = roots.join(more, F.col("root") == F.col("i"), "left").select("id", F.coalesce("r", "root").alias("root"))
+    return stash(old.unionByName(more.join(roots, F.col("i") == F.col("id"), "left_anti").select(F.col("i").alias("id"), F.col("r").alias("root"))), "roots")
+
+
 def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90, sampled: bool = False) -> DataFrame:
     """doc_id, n_shingles and component_id of every document; similarity in per cent.
 
@@ -379,16 +386,14 @@ def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90,
 
     # one smaller row for every row, then the others that are still elsewhere
     first = cells.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = equal.unionByName(stash(_similar(first, near, n, similarity), "links"))
-    roots = components(links)
+    roots = components(equal.unionByName(_similar(first, near, n, similarity)))
 
     def root_of(df: DataFrame, c: str) -> DataFrame:
         of = roots.select(F.col("id").alias(f"_{c}"), F.col("root").alias(f"r{c}"))
         return df.join(of, F.col(c) == F.col(f"_{c}"), "left").withColumn(f"r{c}", F.coalesce(f"r{c}", c)).drop(f"_{c}")
 
     second = root_of(root_of(cells.join(first, ["a", "b"], "left_anti"), "a"), "b").filter("ra <> rb").select("a", "b")
-    links = links.unionByName(stash(_similar(second, near, n, similarity), "links"))
-    roots = components(links)
+    roots = _joined(roots, root_of(root_of(_similar(second, near, n, similarity), "a"), "b"))
 
     # lists whose rows but the smallest, compared by now, lie in several components: what they connect is
     # a cluster, multiplied out in tiles
@@ -397,8 +402,7 @@ def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90,
     chains = stash(split.join(mixed, F.col("print") == F.col("p")).select("b", "first").distinct(), "chains")
     clusters = components(chains.select(F.col("b").alias("a"), F.col("first").alias("b"))).select(F.col("id").alias("i"), F.col("root").alias("cluster"))
     products = _products(near.join(clusters, F.col("id") == F.col("i")).select("id", "cluster", "text", "s1"), n, similarity)
-    links = links.unionByName(stash(products, "links"))
-    roots = components(links)
+    roots = _joined(roots, root_of(root_of(products, "a"), "b"))
 
     out = sets.join(roots.select(F.col("id").alias("i"), "root"), F.col("id") == F.col("i"), "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
