@@ -46,17 +46,6 @@ def projected_seconds(left: Column, rate: Column) -> Column:
     return F.when(rate > 0, left * 60 / rate)
 
 
-def percentile_linear(x: Column | str, p: float) -> Column:
-    """Aggregate: interpolates between ranks."""
-    return F.percentile(x, F.lit(p))
-
-
-def percentile_nearest(x: Column, p: float) -> Column:
-    """Aggregate: the value of rank (n - 1) p, rounded half to even."""
-    ordered = F.array_sort(F.collect_list(x))
-    return F.get(ordered, F.bround((F.size(ordered) - 1) * F.lit(p)).cast("int"))
-
-
 def split_limit(total: int, parts: int) -> list[int]:
     """A limit in fair parts; the first ones get the remainder."""
     whole, rest = divmod(total, parts)

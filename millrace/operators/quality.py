@@ -76,11 +76,11 @@ def profile_unavailable_reason(text: Column, final_path: Column) -> Column:
 
 
 def contiguity_gate(pages: DataFrame, target: list[str], page: str, valid: Column, n_items: Column) -> DataFrame:
-    """Per target: n_pages, max_page and `complete`: pages 1..max all there, all valid, none but the last empty."""
-    last = pages.groupBy(*target).agg(F.max(page).alias("max_page"))
-    joined = pages.join(last, target)
-    full = (F.count_distinct(page) == F.first("max_page")) & (F.min(page) == 1) & F.bool_and(valid) & F.bool_and((F.col(page) == F.col("max_page")) | (n_items > 0)) & (F.first("max_page") <= MAX_PAGES)
-    return joined.groupBy(*target).agg(F.count_distinct(page).alias("n_pages"), F.first("max_page").alias("max_page"), full.alias("complete"))
+    """Per target: n_pages, max_page and `complete`: pages 1..max all there, all valid, none but the last empty. One pass."""
+    empty = F.min(F.when(n_items <= 0, F.col(page)))
+    found = pages.groupBy(*target).agg(F.count_distinct(page).alias("n_pages"), F.max(page).alias("max_page"), F.min(page).alias("_min"), F.bool_and(valid).alias("_valid"), empty.alias("_empty"))
+    full = (F.col("n_pages") == F.col("max_page")) & (F.col("_min") == 1) & F.col("_valid") & (F.coalesce("_empty", "max_page") == F.col("max_page")) & (F.col("max_page") <= MAX_PAGES)
+    return found.withColumn("complete", full).drop("_min", "_valid", "_empty")
 
 
 def missing_pages(pages: DataFrame, target: list[str], page: str) -> DataFrame:

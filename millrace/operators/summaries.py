@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.measures import per_minute, percentile_linear, percentile_nearest, projected_seconds
+from millrace.functions.measures import per_minute, projected_seconds
 
 PAGE_STATUSES = ("saved", "valid_empty", "unavailable", "pending", "retry_pending", "review", "blocked", "timeout")
 
@@ -47,13 +47,41 @@ def column_qa(df: DataFrame, columns: list[str], empty_list_counts: bool = False
     return one.select("_n", pairs.alias("m")).select("m.column_name", "m.n_filled", share.alias("pct_filled"))
 
 
+def _ranked(events: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Each distinct value of a group, how often it occurs, and the running count up to it.
+
+    Values are counted before they are ordered, and the running count streams, so no group is gathered.
+    """
+    counts = events.groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    up = Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)
+    return counts.withColumn("_top", F.sum(known).over(up)).withColumn("_n", F.sum(known).over(Window.partitionBy(*by)))
+
+
+def _value_at(rank: Column) -> Column:
+    """Aggregate over ranked values: the value of a rank, counted from 0."""
+    return F.min(F.when((F.col("_top") > rank) & F.col("_v").isNotNull(), F.col("_v")))
+
+
+def _linear(p: float) -> Column:
+    """Aggregate: interpolates between ranks."""
+    place = (F.col("_n") - 1) * F.lit(p)
+    low, high = _value_at(F.floor(place)), _value_at(F.ceil(place))
+    return low + (high - low) * F.max(place - F.floor(place))
+
+
+def _mean() -> Column:
+    return F.sum(F.col("_v") * F.col("_c")) / F.max("_n")
+
+
 def latency_summary(events: DataFrame, by: list[str], value: str) -> DataFrame:
-    return events.groupBy(*by).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), percentile_linear(value, 0.5).alias("p50"), percentile_linear(value, 0.95).alias("p95"))
+    """Count, mean and percentiles between ranks."""
+    return _ranked(events, by, value).groupBy(*by).agg(F.sum("_c").alias("n"), _mean().alias("mean"), _linear(0.5).alias("p50"), _linear(0.95).alias("p95"))
 
 
 def timing_summary(events: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Mean and nearest-rank 95th percentile. A group's values are gathered: for groups of bounded size."""
-    return events.groupBy(*by).agg(F.avg(value).alias("mean"), percentile_nearest(F.col(value), 0.95).alias("p95_nearest"))
+    """Mean and nearest-rank 95th percentile: the value of rank (n - 1) 0.95, rounded half to even."""
+    return _ranked(events, by, value).groupBy(*by).agg(_mean().alias("mean"), _value_at(F.bround((F.col("_n") - 1) * F.lit(0.95))).alias("p95_nearest"))
 
 
 def throughput(n: Column, elapsed: Column, longest: Column) -> Column:

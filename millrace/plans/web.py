@@ -74,5 +74,6 @@ s AS (SELECT user_id, ts, sum(fresh::INT) OVER (PARTITION BY user_id ORDER BY ts
 SELECT user_id, min(ts)::TIMESTAMP AS start, count(*) AS n FROM s GROUP BY user_id, g
 """)
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return ingest.session_counts(events, "ts", "6 hours", ["user_id"]).select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+    """Sessions of a stream: whole ones, as all rows are there when the stream is drained."""
+    sessions = ingest.session_counts(_events(spark, sf_dir), "ts", "6 hours", ["user_id"])
+    return _drained(spark, sessions, "sessions", "complete").select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")

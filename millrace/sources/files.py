@@ -11,9 +11,10 @@ import json
 import posixpath
 import uuid
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from xml.sax.saxutils import escape
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 from millrace import schema
 from millrace.functions import url as U
 from millrace.functions import values as V
+from millrace.session import ship
 
 
 def filesystem(uri: str):
@@ -32,13 +34,14 @@ def filesystem(uri: str):
     return (fs.LocalFileSystem(), uri) if "://" not in uri else fs.FileSystem.from_uri(uri)
 
 
-def write_bytes(uri: str, data: bytes) -> None:
-    """A file that appears whole or not at all."""
+def write_bytes(uri: str, data: bytes | Iterable[bytes]) -> None:
+    """A file, given whole or in portions, that appears whole or not at all."""
     fs, path = filesystem(uri)
     fs.create_dir(posixpath.dirname(path), recursive=True)
     part = f"{path}.{uuid.uuid4().hex}.partial"
     with fs.open_output_stream(part) as out:
-        out.write(data)
+        for portion in [data] if isinstance(data, bytes) else data:
+            out.write(portion)
     fs.move(part, path)
 
 
@@ -139,12 +142,23 @@ def write_csv(df: DataFrame, columns: list[str], path: str) -> None:
     as_cells(df, columns).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
-def csv_bytes(rows: Iterable[Iterable[str]], columns: list[str]) -> bytes:
-    out = io.StringIO(newline="")
-    writer = csv.writer(out)
+def csv_chunks(rows: Iterable[Iterable[str]], columns: list[str]) -> Iterator[bytes]:
+    """A CSV file with a byte order mark, in portions of a thousand rows."""
+    buffer = io.StringIO(newline="")
+    writer = csv.writer(buffer)
+    buffer.write("﻿")
     writer.writerow(columns)
-    writer.writerows(rows)
-    return ("﻿" + out.getvalue()).encode()
+    for n, row in enumerate(rows, 1):
+        writer.writerow(row)
+        if n % 1000 == 0:
+            yield buffer.getvalue().encode()
+            buffer.seek(0)
+            buffer.truncate()
+    yield buffer.getvalue().encode()
+
+
+def csv_bytes(rows: Iterable[Iterable[str]], columns: list[str]) -> bytes:
+    return b"".join(csv_chunks(rows, columns))
 
 
 def write_single_csv(df: DataFrame, columns: list[str], uri: str) -> int:
@@ -157,7 +171,7 @@ def write_single_csv(df: DataFrame, columns: list[str], uri: str) -> int:
             n += 1
             yield list(r)
 
-    write_bytes(uri, csv_bytes(rows(), columns))
+    write_bytes(uri, csv_chunks(rows(), columns))
     return n
 
 
@@ -220,11 +234,56 @@ def zip_bytes(files: dict[str, bytes]) -> bytes:
     return out.getvalue()
 
 
-def manifest(spark: SparkSession, pattern: str, **counts: int) -> bytes:
-    """Names, sizes and SHA-256 of files, with summary counts, as JSON."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
-    rows = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("sha256")).filter(~F.col("name").startswith("_")).orderBy("name").collect()
-    return json.dumps({"files": [r.asDict() for r in rows], "summary": counts}, sort_keys=True, indent=1).encode()
+def digest(uri: str) -> tuple[int, str]:
+    """Size and SHA-256 of a file of any size, read in portions."""
+    fs, path = filesystem(uri)
+    h, n = hashlib.sha256(), 0
+    with fs.open_input_stream(path) as f:
+        while portion := f.read(1 << 20):
+            h.update(portion)
+            n += len(portion)
+    return n, h.hexdigest()
+
+
+def listed(folder: str) -> list[str]:
+    """The files below a folder, as paths in it; names that begin with _ or . are left out."""
+    from pyarrow.fs import FileSelector
+
+    fs, path = filesystem(folder)
+    found = fs.get_file_info(FileSelector(path, recursive=True, allow_not_found=True))
+    return sorted(f.path[len(path) :].lstrip("/") for f in found if f.is_file and not f.base_name.startswith(("_", ".")))
+
+
+def manifest(spark: SparkSession, folder: str, **counts: int) -> bytes:
+    """Names, sizes and SHA-256 of a folder's files, or of one file, with summary counts, as JSON. Files are read by the tasks, in portions."""
+    ship(spark)
+    fs, path = filesystem(folder.rstrip("/"))
+    single = fs.get_file_info(path).is_file
+    uri, names = (posixpath.dirname(folder), [posixpath.basename(path)]) if single else (folder.rstrip("/"), listed(folder))
+    sizes = spark.createDataFrame([(n,) for n in names], "name string").repartition(max(1, min(len(names), 64))).mapInArrow(lambda b: _digests(b, uri), "name string, length long, sha256 string").orderBy("name").collect()
+    return json.dumps({"files": [r.asDict() for r in sizes], "summary": counts}, sort_keys=True, indent=1).encode()
+
+
+def _digests(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = batch.column(0).to_pylist()
+        got = [digest(f"{folder}/{n}") for n in names]
+        yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string()), "length": pa.array([g[0] for g in got], pa.int64()), "sha256": pa.array([g[1] for g in got], pa.string())})
+
+
+def write_zip(folder: str, uri: str) -> list[str]:
+    """A ZIP archive of a folder's files, in order, written in portions; returns their names. A closed archive appears whole."""
+    fs, path = filesystem(uri)
+    part = f"{path}.{uuid.uuid4().hex}.partial"
+    names = listed(folder)
+    with fs.open_output_stream(part) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, allowZip64=True) as z:
+        for n in names:
+            source, inner = filesystem(f"{folder.rstrip('/')}/{n}")
+            with source.open_input_stream(inner) as f, z.open(zipfile.ZipInfo(n), "w", force_zip64=True) as member:
+                while portion := f.read(1 << 20):
+                    member.write(portion)
+    fs.move(part, path)
+    return names
 
 
 def append_upgraded(spark: SparkSession, uri: str, columns: list[str], rows: list[list[str]]) -> None:
@@ -237,10 +296,6 @@ def append_upgraded(spark: SparkSession, uri: str, columns: list[str], rows: lis
     write_bytes(uri, csv_bytes([*fit, *rows], columns))
 
 
-def digest(uri: str) -> str:
-    return hashlib.sha256(read_bytes(uri)).hexdigest()
-
-
 def declared(df: DataFrame, name: str) -> DataFrame:
     """df under a state table's declared schema: known columns cast, missing ones null, others kept at the end."""
     want = schema.STATE_TABLES[name]

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.sources import captures, files
-from millrace.sources.store import Conflict, Lease, TableStore
+from millrace.sources.store import Append, Conflict, Lease, TableStore, create, first_write
 from millrace.streaming import ingest
 
 
@@ -28,6 +28,42 @@ def test_store_versions_and_conflicts(spark, tmp_path):
         store.read("t", 9)
 
 
+def test_commits_change_tables_together(spark, tmp_path, monkeypatch):
+    store, other = TableStore(spark, str(tmp_path)), TableStore(spark, str(tmp_path))
+    one = spark.range(1).toDF("id")
+    assert store.commit({"a": one, "b": one}) == 1 and store.commit({"a": Append(one), "b": one.filter("false")}) == 2
+    assert store.read("a").count() == 2 and store.read("b").count() == 0 and store.read("b", 1).count() == 1
+    # two writers who saw the same commit: the second gets a conflict, and nothing of its tables shows
+    monkeypatch.setattr(other, "commit_number", lambda: 2)
+    store.write("a", one)
+    with pytest.raises(Conflict):
+        other.commit({"a": one.filter("false"), "b": one})
+    assert store.commit_number() == 3 and store.read("a").count() == 1 and store.read("b").count() == 0
+    assert store.restore(1) == 4 and store.read("b").count() == 1
+    assert len(store.vacuum(keep=1)) == 3 and store.read("a").count() == 1
+    # an append writes its own rows only, until there are too many folders
+    before = store.state()["a"]["parts"]
+    store.append("a", one)
+    assert store.state()["a"]["parts"][:-1] == before
+    monkeypatch.setattr("millrace.sources.store.MOST_PARTS", 2)
+    store.append("a", one)
+    assert len(store.state()["a"]["parts"]) == 1 and store.read("a").count() == 3
+
+
+def test_first_write_wins(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    merge = first_write(store, "t", ["k"])
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, v string")
+    for batch in (rows((1, "a"), (2, "b")), rows((1, "a"), (2, "b")), rows((2, "late"), (3, "c"), (3, "c"))):
+        merge(batch, 0)
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_a_file_is_created_once(tmp_path):
+    uri = str(tmp_path / "x" / "f")
+    assert create(uri, b"1") and not create(uri, b"2") and open(uri, "rb").read() == b"1" and len(list((tmp_path / "x").iterdir())) == 1
+
+
 def test_lease_keeps_a_second_writer_out(tmp_path):
     with Lease(str(tmp_path)):
         with pytest.raises(Conflict), Lease(str(tmp_path)):
@@ -64,7 +100,7 @@ def test_single_csv_workbook_and_archive(spark, tmp_path):
     assert '<t xml:space="preserve">00501</t>' in book.read("xl/worksheets/sheet1.xml").decode() and "<v>3</v>" in book.read("xl/worksheets/sheet2.xml").decode()
     assert zipfile.ZipFile(io.BytesIO(files.zip_bytes({"a": b"1"}))).read("a") == b"1"
     listed = json.loads(files.manifest(spark, str(tmp_path / "one.csv"), rows=2))
-    assert listed["summary"] == {"rows": 2} and listed["files"][0]["sha256"] == files.digest(uri)
+    assert listed["summary"] == {"rows": 2} and listed["files"][0]["sha256"] == files.digest(uri)[1]
 
 
 def test_log_header_is_upgraded(spark, tmp_path):
