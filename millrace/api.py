@@ -15,11 +15,12 @@ from pyspark.sql import types as T
 from millrace import schema
 from millrace.functions import url as U
 from millrace.functions.measures import row_fingerprint, rows_fingerprint
-from millrace.operators import dedup, diff, merge, quality, queue, summaries, trace
+from millrace.operators import dedup, diff, merge, quality, queue, repairs, summaries, trace
 from millrace.plans import providers, reports
 from millrace.sources import captures as C
 from millrace.sources import files
-from millrace.sources.store import Lease, TableStore
+from millrace.sources.store import Append, Lease, TableStore
+from millrace.upkeep import Upkeep
 
 _TS = T.TimestampType()
 DOCTORS = schema.struct(**schema.texts("doctor_url", "doctor_name", "first_seen_page_url", "first_seen_location_url", "first_seen_specialty_url", "first_seen_specialty_name"), first_seen_at=_TS, last_seen_at=_TS)
@@ -27,18 +28,24 @@ SPECIALTIES = schema.struct(**schema.texts("specialty_url", "specialty_name", "s
 TARGETS = schema.struct(**schema.texts("listing_url", "specialty_url", "specialty_slug", "state_group", "location"), is_active=T.BooleanType(), first_seen_at=_TS, last_seen_at=_TS)
 TRACE = T.StructType([T.StructField(c, schema.APPEARANCE[c].dataType if c in schema.APPEARANCE.names else T.IntegerType() if c == "listing_page_no" else T.StringType()) for c in schema.TRACE_COLUMNS])
 EVENTS = schema.struct(run_id=T.LongType(), **schema.texts("specialty_slug", "location_url", "doctor_url", "event_type", "old_value", "new_value"), event_at=_TS)
-CANONICAL = schema.struct(doctor_url=T.StringType(), doctor_name=T.StringType(), is_active=T.BooleanType(), profile_sha256=T.StringType(), profile_updated_at=_TS, first_seen_at=_TS, last_seen_at=_TS, inactive_at=_TS)
+CANONICAL = schema.struct(doctor_url=T.StringType(), doctor_name=T.StringType(), is_active=T.BooleanType(), profile_data=T.StringType(), profile_sha256=T.StringType(), profile_updated_at=_TS, first_seen_at=_TS, last_seen_at=_TS, inactive_at=_TS)
 SNAPSHOTS = schema.struct(**schema.texts("specialty_slug", "location_url"), n=T.IntegerType(), checked_at=_TS)
 RUN_LOCATIONS = schema.struct(run_id=T.LongType(), **schema.texts("specialty_slug", "location_url", "status"), n_pages=T.LongType(), n_members=T.LongType(), fingerprint=T.StringType(), **dict.fromkeys(("n_added", "n_reactivated", "n_removed", "n_removal_pending"), T.LongType()))
 JOBS = schema.struct(run_id=T.LongType(), doctor_url=T.StringType(), reason=T.StringType(), status=T.StringType(), attempts=T.IntegerType())
 REFRESH = schema.struct(**schema.texts("specialty_slug", "location_url", "reason", "status"), queued_at=_TS)
+RUNS = schema.struct(run_id=T.LongType(), status=T.StringType(), started_at=_TS, finished_at=_TS, error=T.StringType(), **dict.fromkeys(("completed", "failed", "pending", "n_added", "n_removed", "jobs_failed", "jobs_pending"), T.LongType()), collection_resolved=T.BooleanType())
+SOURCES = schema.struct(**schema.texts("doctor_url", "page_url", "specialty_url", "specialty_name", "location_url"), seen_at=_TS)
+LANDING_JOBS = schema.struct(**schema.texts("specialty_url", "specialty_name", "specialty_slug", "status"), queued_at=_TS)
+OVERRIDES = schema.struct(**schema.texts("alias", "group_id", "doctor_url"), reviewed_at=_TS)
+QUARANTINE = schema.struct(**schema.texts("url", "reason"), rejected_at=_TS)
+PROGRESS = schema.struct(event_at=_TS, **schema.texts("command", "event", "counts"))
 TABLES = {
     "pages": schema.PAGES, "doctors": DOCTORS, "specialties": SPECIALTIES, "targets": TARGETS, "trace": TRACE, "profiles": schema.PROFILES, "memberships": schema.MEMBERSHIPS, "events": EVENTS,
-    "canonical": CANONICAL, "snapshots": SNAPSHOTS, "run_locations": RUN_LOCATIONS, "jobs": JOBS, "refresh_queue": REFRESH,
+    "canonical": CANONICAL, "snapshots": SNAPSHOTS, "run_locations": RUN_LOCATIONS, "jobs": JOBS, "refresh_queue": REFRESH, "runs": RUNS, "doctor_sources": SOURCES, "landing_jobs": LANDING_JOBS, "overrides": OVERRIDES, "quarantine": QUARANTINE, "progress": PROGRESS,
 }
 
 
-class Workspace:
+class Workspace(Upkeep):
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root, self.store = spark, root.rstrip("/"), TableStore(spark, root)
 
@@ -46,19 +53,21 @@ class Workspace:
 
     def init(self) -> None:
         """Empty state tables, where there are none yet."""
-        for name, kind in TABLES.items():
-            if not self.store.version(name):
-                self.store.write(name, self.spark.createDataFrame([], kind))
+        have = self.store.state()
+        if missing := {name: self.spark.createDataFrame([], kind) for name, kind in TABLES.items() if name not in have}:
+            self.store.commit(missing)
 
     def read(self, name: str) -> DataFrame:
         return self.store.read(name)
 
-    def _write(self, **tables: DataFrame) -> None:
-        """New versions of tables; all are computed from versions that stay readable."""
+    def _write(self, **tables: DataFrame | Append) -> None:
+        """New versions of tables, or more rows of them, in one commit; all are computed from versions that stay readable."""
+
+        def fit(name: str, df: DataFrame) -> DataFrame:
+            return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in TABLES[name].fields))
+
         with Lease(self.root):
-            for name, df in tables.items():
-                kind = TABLES[name]
-                self.store.write(name, df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields)))
+            self.store.commit({n: Append(fit(n, t.df)) if isinstance(t, Append) else fit(n, t) for n, t in tables.items()})
 
     @staticmethod
     def _at(now: datetime.datetime) -> Column:
@@ -78,7 +87,10 @@ class Workspace:
         got = C.catalog(capture).cache()
         if bad := got.filter("error IS NOT NULL").first():
             raise ValueError(bad.error)
-        self._write(specialties=merge.soft_delete(self.read("specialties"), got.drop("url", "error"), ["specialty_url"], {}, self._at(now)))
+        known = merge.soft_delete(self.read("specialties"), got.drop("url", "error"), ["specialty_url"], {}, self._at(now))
+        # every active specialty's landing page is to be captured; one that is queued keeps its state
+        jobs = known.filter("is_active AND entity_type = 'provider_specialty'").select("specialty_url", "specialty_name", "specialty_slug", F.lit("pending").alias("status"), self._at(now).alias("queued_at"))
+        self._write(specialties=known, landing_jobs=merge.merge(self.read("landing_jobs"), jobs, ["specialty_url"], {"specialty_name": "overwrite", "specialty_slug": "overwrite"}))
         return self.read("specialties").orderBy(F.lower("specialty_name"), "specialty_url")
 
     def discover_targets(self, captured: DataFrame, now: datetime.datetime) -> DataFrame:
@@ -89,7 +101,8 @@ class Workspace:
         listing = F.col("listing_url")
         first = got.select(listing.alias("url"), U.base_location_url(listing).alias("base_location_url"), "state_group", "location", F.lit(1).alias("page_no"), F.lit("seed").alias("source"), F.lit("pending").alias("status"), "specialty_url", "specialty_slug", F.lit(0).alias("retry_count"), self._at(now).alias("discovered_at"))
         rules = dict.fromkeys(("state_group", "location", "specialty_url", "specialty_slug"), "overwrite")
-        self._write(targets=targets, pages=merge.merge(self.read("pages"), first, ["url"], rules))
+        landed = got.select("specialty_url").distinct().withColumn("status", F.lit("done"))
+        self._write(targets=targets, pages=merge.merge(self.read("pages"), first, ["url"], rules), landing_jobs=merge.merge(self.read("landing_jobs"), landed, ["specialty_url"], {"status": "overwrite"}, insert=False))
         return got.groupBy("specialty_slug").agg(F.count_distinct("state_group").alias("n_states"), F.count("*").alias("n_locations")).orderBy(F.desc("n_locations"), F.lower("specialty_slug"))
 
     def ingest_listings(self, captured: DataFrame, now: datetime.datetime, force: bool = False) -> DataFrame:
@@ -113,11 +126,13 @@ class Workspace:
         more = results.select(F.explode("pagination_urls").alias("url"), "state_group", "location", "specialty_url", "specialty_name", "specialty_slug").dropDuplicates(["url"])
         found = more.select("*", U.base_location_url(F.col("url")).alias("base_location_url"), U.page_number(F.col("url")).alias("page_no"), F.lit("pagination").alias("source"), F.lit("pending").alias("status"), F.lit(0).alias("retry_count"), self._at(now).alias("discovered_at"))
         seen = trace.doctors(rows, self._at(now))
+        bridge = repairs.sources(rows, self._at(now))
         jobs = seen.select("doctor_url", "doctor_name", F.lit("pending").alias("status"), F.lit(0).alias("attempt_count"), self._at(now).alias("discovered_at"))
         self._write(
             pages=merge.insert_missing(merge.merge(pages, update, ["url"], rules, insert=False), found, ["url"]),
             trace=trace.ingest(self.read("trace"), rows),
             doctors=merge.merge(self.read("doctors"), seen, ["doctor_url"], trace.DOCTOR_RULES),
+            doctor_sources=merge.merge(self.read("doctor_sources"), bridge, ["doctor_url", "page_url"], {"location_url": "overwrite", "seen_at": "overwrite", "specialty_url": "overwrite_if_nonblank", "specialty_name": "overwrite_if_nonblank"}),
             profiles=merge.merge(self.read("profiles"), jobs, ["doctor_url"], {"doctor_name": "backfill_blank"}),
         )
         return results.select("url", "class", "reason", "n_doctors", "advertised_total")
@@ -164,20 +179,8 @@ class Workspace:
         """Final rows, the datasets derived from them, ZIP inputs and a quality report."""
         providers.guard(self.read("pages"), self.read("profiles"), allow_partial)
         final = providers.final_rows(self.provider_rows(captured, source_zip))
-        return {"final_providers": final, **providers.derive(final), **{f"zip_{k}": v for k, v in providers.zip_inputs(final).items()}, "column_qa": summaries.column_qa(files.as_cells(final, schema.FINAL_COLUMNS), schema.FINAL_COLUMNS)}
-
-    def export_delivery(self, captured: DataFrame, folder: str) -> dict[str, bool]:
-        """Per specialty a CSV and JSON pair under ready/ or needs-review/; returns which are ready."""
-        t = self.read("trace")
-        cohort = t.select(F.col("listing_specialty_slug").alias("specialty_slug"), "doctor_url")
-        open_pages = self.read("pages").filter(~F.col("status").isin(*queue.DONE)).select("specialty_slug", "url")
-        missing = cohort.distinct().join(self.read("profiles").filter("status IN ('saved', 'unavailable')").select("doctor_url"), "doctor_url", "left_anti").select("specialty_slug", "doctor_url")
-        out = providers.delivery(cohort, self.provider_rows(captured), open_pages, missing)
-        rows = out["rows"].cache()
-        ready = {r.specialty_slug: r.ready for r in out["summary"].collect()}
-        for slug, fine in ready.items():
-            files.write_pair(rows.filter(F.col("specialty_slug") == slug), schema.FINAL_COLUMNS, f"{folder}/{'ready' if fine else 'needs-review'}", slug or "none")
-        return ready
+        errors = C.profiles(captured.select(F.col("url").alias("doctor_url"), "url", "html")).filter("error IS NOT NULL").select("doctor_url", "error")
+        return {"final_providers": final, "errors": errors, **providers.derive(final), **{f"zip_{k}": v for k, v in providers.zip_inputs(final).items()}, "column_qa": summaries.column_qa(files.as_cells(final, schema.FINAL_COLUMNS), schema.FINAL_COLUMNS)}
 
     # ---- change tracking
 
@@ -225,14 +228,19 @@ class Workspace:
         bases = passed.select(F.col("location_url").alias("base_location_url")).distinct().withColumn("_gated", F.lit(True))
         pages = pages.join(current, "url", "left").join(bases, "base_location_url", "left").withColumn("status", F.when(F.coalesce("_gated", F.lit(False)) & F.col("_now").isNull(), "retired").otherwise(F.col("status"))).drop("_now", "_gated")
         kept = self.read("trace").join(pages.filter("status = 'retired'").select(F.col("url").alias("listing_url")), "listing_url", "left_anti")
+        # a target that is run again in the same run, as when it is resumed, has its row replaced
+        again = merge.replace_groups(self.read("run_locations"), result.select(*RUN_LOCATIONS.names), ["run_id", *target])
+        started = self.spark.createDataFrame([(run_id, "running", now)], "run_id long, status string, started_at timestamp")
         self._write(
             memberships=moved.memberships,
-            events=self.read("events").unionByName(events.select(*EVENTS.names)),
+            events=Append(events),
             canonical=diff.deactivate(canonical, moved.memberships, "doctor_url", at),
-            run_locations=self.read("run_locations").unionByName(result.select(*RUN_LOCATIONS.names)),
+            run_locations=again,
+            runs=merge.merge(self.read("runs"), started, ["run_id"], {"status": "overwrite"}),
             pages=pages,
             trace=trace.ingest(kept, rows),
         )
+        self.finalize_run(run_id, now)
         return result
 
     def prepare_profile_jobs(self, run_id: int, now: datetime.datetime, refresh_days: int = 30) -> DataFrame:
@@ -253,14 +261,14 @@ class Workspace:
         """Parsed profiles into the canonical table; a changed content hash is an event. Unnamed ones are left out."""
         at = self._at(now)
         rows = self.provider_rows(captured).filter(F.trim("full_name") != "")
-        hashed = rows.groupBy("doctor_url").agg(F.min("full_name").alias("doctor_name"), rows_fingerprint(*schema.FINAL_COLUMNS).alias("profile_sha256"))
+        hashed = rows.groupBy("doctor_url").agg(F.min("full_name").alias("doctor_name"), rows_fingerprint(*schema.FINAL_COLUMNS).alias("profile_sha256")).join(providers.payloads(rows), "doctor_url")
         changes = diff.hash_changes(self.read("canonical"), hashed, "doctor_url", "profile_sha256").cache()
-        new = changes.select("doctor_url", "doctor_name", "profile_sha256", at.alias("profile_updated_at"), F.lit(True).alias("is_active"), at.alias("first_seen_at"), at.alias("last_seen_at"))
+        new = changes.select("doctor_url", "doctor_name", "profile_data", "profile_sha256", at.alias("profile_updated_at"), F.lit(True).alias("is_active"), at.alias("first_seen_at"), at.alias("last_seen_at"))
         events = changes.filter("event_type IS NOT NULL").select(F.lit(run_id).cast("long").alias("run_id"), F.lit("").alias("specialty_slug"), F.lit("").alias("location_url"), "doctor_url", "event_type", "old_value", F.col("profile_sha256").alias("new_value"), at.alias("event_at"))
         done = changes.select("doctor_url", F.lit("saved").alias("status"), at.alias("saved_at"))
         self._write(
-            canonical=merge.merge(self.read("canonical"), new, ["doctor_url"], {"doctor_name": "overwrite_if_nonblank", "profile_sha256": "overwrite", "profile_updated_at": "overwrite"}),
-            events=self.read("events").unionByName(events),
+            canonical=merge.merge(self.read("canonical"), new, ["doctor_url"], {"doctor_name": "overwrite_if_nonblank", "profile_data": "overwrite", "profile_sha256": "overwrite", "profile_updated_at": "overwrite"}),
+            events=Append(events),
             profiles=merge.merge(self.read("profiles"), done, ["doctor_url"], {"status": "overwrite", "saved_at": "overwrite"}),
             jobs=self._jobs_done(changes.select("doctor_url"), run_id),
         )
@@ -273,10 +281,15 @@ class Workspace:
     def migrate_profiles(self, csv: str, now: datetime.datetime) -> dict[str, int]:
         """Profiles of an older export into canonical rows that have none; counts by outcome."""
         rows = files.read_text_csv(self.spark, csv, ["profile_url", "full_name"])
-        clean = rows.withColumn("doctor_url", F.when(F.trim("profile_url") != "", U.normalize_url(F.col("profile_url"))).otherwise("")).filter("TRUE").withColumn("_h", row_fingerprint(*rows.columns))
-        judged = merge.classify_import(dedup.keep_first(clean, ["doctor_url"], ["_h"]), self.read("canonical"), "doctor_url", "profile_sha256").cache()
-        new = judged.filter("outcome = 'import'").select("doctor_url", F.col("full_name").alias("doctor_name"), F.col("_h").alias("profile_sha256"), self._at(now).alias("profile_updated_at"))
-        self._write(canonical=merge.merge(self.read("canonical"), new, ["doctor_url"], {"doctor_name": "backfill_blank", "profile_sha256": "overwrite", "profile_updated_at": "overwrite"}, insert=False))
+        url = F.when(F.trim("profile_url") != "", U.normalize_url(F.col("profile_url"))).otherwise("")
+        named = rows.withColumn("doctor_url", F.when(F.trim("full_name") != "", url).otherwise("")).withColumn("_h", row_fingerprint(*rows.columns))
+        # a provider's rows, one a location, make one payload; rows without a URL or a name are counted one by one
+        blank = named.filter("doctor_url = ''").select("doctor_url", "full_name", F.lit("").alias("profile_data"), "_h")
+        whole = providers.payloads(providers.typed(named.filter("doctor_url <> ''")), "_h")
+        whole = named.filter("doctor_url <> ''").groupBy("doctor_url").agg(F.min("full_name").alias("full_name"), F.sha2(F.array_join(F.array_sort(F.collect_set("_h")), ""), 256).alias("_h")).join(whole, "doctor_url")
+        judged = merge.classify_import(whole.unionByName(blank), self.read("canonical"), "doctor_url", "profile_sha256").cache()
+        new = judged.filter("outcome = 'import'").select("doctor_url", F.col("full_name").alias("doctor_name"), "profile_data", F.col("_h").alias("profile_sha256"), self._at(now).alias("profile_updated_at"))
+        self._write(canonical=merge.merge(self.read("canonical"), new, ["doctor_url"], {"doctor_name": "backfill_blank", "profile_data": "overwrite", "profile_sha256": "overwrite", "profile_updated_at": "overwrite"}, insert=False))
         return {r.outcome: r["count"] for r in judged.groupBy("outcome").count().collect()}
 
     def snapshot_counts(self, counts: DataFrame, now: datetime.datetime) -> DataFrame:
@@ -286,9 +299,16 @@ class Workspace:
         waiting = self.read("refresh_queue").filter("status IN ('pending', 'processing') AND reason = 'count_changed'")
         judged = diff.count_changes(latest, counts, keys, waiting).cache()
         jobs = judged.filter("verdict = 'changed'").select(*keys, F.lit("count_changed").alias("reason"), F.lit("pending").alias("status"), self._at(now).alias("queued_at"))
-        self._write(snapshots=self.read("snapshots").unionByName(counts.select(*keys, F.col("n").cast("int").alias("n"), self._at(now).alias("checked_at"))), refresh_queue=self.read("refresh_queue").unionByName(jobs))
+        # first pages show the count that their target advertises now
+        shown = counts.select(F.col("location_url").alias("url"), F.col("n").cast("int").alias("advertised_total")).dropDuplicates(["url"])
+        self._write(
+            snapshots=Append(counts.select(*keys, F.col("n").cast("int").alias("n"), self._at(now).alias("checked_at"))),
+            refresh_queue=Append(jobs),
+            pages=merge.merge(self.read("pages"), shown, ["url"], {"advertised_total": "overwrite"}, insert=False),
+        )
         return judged
 
     def sync_status(self, limit: int = 10) -> dict[str, DataFrame]:
         runs = self.read("run_locations").groupBy(F.col("run_id").alias("id")).agg(F.count("*").alias("targets"), F.count_if(F.col("status") == "complete").alias("complete"))
+        runs = runs.join(self.read("runs").select(F.col("run_id").alias("id"), "status", "collection_resolved"), "id", "left")
         return reports.sync_status(runs, self.read("memberships"), self.read("canonical"), limit)

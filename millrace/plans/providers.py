@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import schema
 from millrace.functions import values as V
@@ -113,16 +114,88 @@ def zip_inputs(df: DataFrame) -> dict[str, DataFrame]:
     return {"long": pairs.orderBy("state", "zip"), "conflicts": conflicts, "wide": wide, "counts": pairs.groupBy("state").agg(F.count_distinct("zip").alias("n_zips"))}
 
 
-def expand_stored(stored: DataFrame, payload: str = "profile_data") -> DataFrame:
-    """Stored profiles (arrays of provider structs) as flat rows; `error` says what is wrong with a payload.
+def typed(df: DataFrame) -> DataFrame:
+    """Rows of a published CSV file, all text, with the published types; columns that it lacks are null or blank."""
+    def cell(f) -> Column:
+        if f.name not in df.columns:
+            return F.lit(None).cast(f.dataType) if f.dataType != T.StringType() else F.lit("")
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.ArrayType):
+            return F.coalesce(F.from_json(F.nullif(F.trim(c), F.lit("")), f.dataType), F.array().cast(f.dataType))
+        if isinstance(f.dataType, T.BooleanType):
+            return V.tri_bool(c)
+        return F.expr(f"try_cast(`{f.name}` AS int)") if isinstance(f.dataType, T.IntegerType) else V.text(c)
 
-    A row that has a location of its own passes; one that only nests `locations` gives a row for each.
+    return df.select(*(c for c in df.columns if c not in schema.FINAL.names), *(cell(f).alias(f.name) for f in schema.FINAL.fields))
+
+
+def payloads(rows: DataFrame, order: str = "loc_seq") -> DataFrame:
+    """doctor_url and `profile_data`: a provider's rows as one JSON text, in order. A provider has few rows."""
+    row = F.struct(F.col(order).alias("_order"), *schema.FINAL_COLUMNS)
+    data = F.transform(F.array_sort(F.collect_list(row)), lambda r: F.struct(*(r[c].alias(c) for c in schema.FINAL_COLUMNS)))
+    return rows.groupBy("doctor_url").agg(F.to_json(data, {"ignoreNullFields": "false"}).alias("profile_data"))
+
+
+def from_payloads(stored: DataFrame) -> DataFrame:
+    """Stored profiles as published rows: doctor_url, loc_seq, the 35 columns and `error`.
+
+    A row that has a location of its own passes; one that only nests `locations` gives a row for each. What can't
+    be used is a row with an error: unreadable, empty, unnamed or without a location.
     """
-    rows = stored.select("doctor_url", F.explode_outer(payload).alias("r"))
-    nested = rows.select("doctor_url", "r", F.explode_outer(F.when(F.coalesce(F.col("r.location_id"), F.lit("")) == "", F.col("r.locations"))).alias("l"))
-    inner = lambda c: V.first_nonempty(F.col(f"r.{c}"), F.col(f"l.{c}"))
-    error = F.when(F.col("r").isNull(), "empty profile").when(V.text(F.col("r.full_name")) == "", "unnamed provider").when((inner("location_id") == "") & F.col("l").isNull(), "no locations")
-    return nested.select("doctor_url", "r.full_name", "r.provider_id", "r.hospital_affiliations", *(inner(c).alias(c) for c in ("location_id", "postal_code", "state")), F.coalesce("r.is_virtual_location", "l.is_virtual_location").alias("is_virtual_location"), error.alias("error"))
+    parsed = stored.select("doctor_url", "profile_data", F.from_json("profile_data", T.ArrayType(schema.FINAL)).alias("rows"))
+    flat = parsed.select("doctor_url", F.col("rows").isNull().alias("_bad"), F.posexplode_outer("rows").alias("_seq", "r"))
+    own = F.exists(F.array(*(V.text(F.col(f"r.{c}")) for c in ("location_id", "address_line_1", "city", "postal_code"))), lambda x: x != "")
+    inner = F.when(~F.coalesce(own, F.lit(False)) & (F.size("r.locations") > 0), F.col("r.locations"))
+    nested = flat.withColumn("_own", own).select("*", F.posexplode_outer(inner).alias("_place", "l"))
+    level = set(schema.LOCATION_LEVEL) & set(schema.LOCATION.names + ["provider_location_key"])
+    column = lambda c: F.when(F.col("l").isNotNull(), F.col(f"l.{c}")).otherwise(F.col(f"r.{c}")) if c in level else F.col(f"r.{c}")
+    error = (
+        F.when(F.col("_bad"), "unreadable profile")
+        .when(F.col("r").isNull(), "empty profile")
+        .when(F.trim(V.text(F.col("r.full_name"))) == "", "unnamed provider")
+        .when(~F.coalesce("_own", F.lit(False)) & F.col("l").isNull(), "no locations")
+    )
+    out = nested.select("doctor_url", (F.coalesce("_seq", F.lit(0)) * 1000 + F.coalesce("_place", F.lit(0))).alias("loc_seq"), *(column(c).alias(c) for c in schema.FINAL_COLUMNS), error.alias("error"))
+    return out.withColumn("loc_seq", F.row_number().over(Window.partitionBy("doctor_url").orderBy("loc_seq")) - 1)
+
+
+def reviewed(cohort: DataFrame, overrides_: DataFrame) -> DataFrame:
+    """A cohort with reviewed aliases replaced by the provider that stands for them. overrides_: alias, doctor_url."""
+    instead = overrides_.select(F.col("alias").alias("_a"), F.col("doctor_url").alias("_d"))
+    return cohort.join(instead, F.col("doctor_url") == F.col("_a"), "left").withColumn("doctor_url", F.coalesce("_d", "doctor_url")).drop("_a", "_d").distinct()
+
+
+def upsert_sql(table: str, staging: str, columns: list[str], keys: list[str], least: tuple[str, ...] = (), insert_only: bool = False) -> str:
+    """The statement that merges a staging table into one of PostgreSQL, in one transaction with the others."""
+    q = lambda c: f'"{c}"'
+    sets = [f"{q(c)} = LEAST({table}.{q(c)}, EXCLUDED.{q(c)})" if c in least else f"{q(c)} = EXCLUDED.{q(c)}" for c in columns if c not in keys]
+    action = f"DO UPDATE SET {', '.join(sets)}" if sets and not insert_only else "DO NOTHING"
+    names = ", ".join(map(q, columns))
+    return f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} ON CONFLICT ({', '.join(map(q, keys))}) {action}"
+
+
+def publish_jdbc(batch: dict[str, tuple[DataFrame, list[str]]], url: str, properties: dict[str, str], prefix: str = "") -> list[str]:
+    """Write a projection to PostgreSQL: staging tables by all executors, then one transaction that merges them in key order.
+
+    Returns the statements. Needs the database's JDBC driver on the class path.
+    """
+    statements = []
+    spark = next(iter(batch.values()))[0].sparkSession
+    for name, (df, keys) in batch.items():
+        df.write.mode("overwrite").jdbc(url, f"{prefix}staging_{name}", properties=properties)
+        statements.append(upsert_sql(prefix + name, f"{prefix}staging_{name}", df.columns, keys, ("first_seen_at",), name == "events"))
+    settings = spark._jvm.java.util.Properties()
+    for k, v in properties.items():
+        settings.setProperty(k, v)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, settings)
+    try:
+        connection.setAutoCommit(False)
+        for s in statements:
+            connection.createStatement().execute(s)
+        connection.commit()
+    finally:
+        connection.close()
+    return statements
 
 
 def delivery(cohort: DataFrame, rows: DataFrame, open_pages: DataFrame, review: DataFrame) -> dict[str, DataFrame]:

@@ -31,7 +31,7 @@ APPEARANCE = struct(
     **dict.fromkeys([*LISTING_FLAGS, *STRUCTURED_FLAGS], _B),
 )
 PAGE_COLUMNS = ["listing_url", "listing_state_group", "listing_location", "listing_page_no", "listing_file", "listing_specialty_url", "listing_specialty_name", "listing_specialty_slug"]
-#: The 29 columns of the trace: whose listing, then the appearance.
+#: The 29 columns of the trace: whose listing, then the appearance.
 TRACE_COLUMNS = [*PAGE_COLUMNS, *APPEARANCE.names]
 
 #: What a listing parser says of the page.
@@ -43,19 +43,27 @@ LANDING = struct(**texts("specialty_url", "specialty_slug", "specialty_id", "pro
 
 PROFILE_TEXTS = ["profile_url", "full_name", "first_name", "last_name", "prenominal", "postnominal", "specialty_name", "practice_name", "npi", "provider_id", "monolith_id", "average_rating", "review_count", "bio", "photo_url"]
 PROFILE_FLAGS = ["state_found", "provider_found", "accepts_new_patients", "offers_telemedicine", "has_virtual_locations", "only_sees_children", "is_bookable", "is_preview", "marketplace_enabled", "has_new_patient_availability"]
-#: What a profile parser says, before evidence from listings.
+#: What a profile parser says, before evidence from listings (fixed values: its names).
 PROFILE = struct(
     **texts(*PROFILE_TEXTS), **dict.fromkeys(PROFILE_FLAGS, _B), hospital_affiliations=T.ArrayType(_S),
     locations=T.ArrayType(T.StructType([*LOCATION.fields, T.StructField("profile_key", _S)])),
 )
 
 LOCATION_LEVEL = ["state", "address_line_1", "address_line_2", "city", "postal_code", "phone", "location_id", "location_name", "can_have_appointments", "is_virtual_location", "has_new_patient_availability", "provider_location_key", "source_zip", "source_zip_state"]
-#: The 35 columns of a provider at a location, in their published order.
+#: The 35 columns of a provider at a location, in their published order.
 FINAL_COLUMNS = [
     "state", "full_name", "specialty_name", "practice_name", "npi", "provider_id", "monolith_id", "first_name", "last_name", "prenominal", "postnominal", "average_rating", "review_count", "profile_url",
     "accepts_new_patients", "offers_telemedicine", "only_sees_children", "hospital_affiliations", "bio", "num_locations", "address_line_1", "address_line_2", "city", "postal_code", "phone", "location_id",
     "location_name", "can_have_appointments", "is_virtual_location", "has_new_patient_availability", "photo_url", "provider_location_key", "locations", "source_zip", "source_zip_state",
 ]
+#: Their types; everything that isn't named here is text.
+FINAL = T.StructType([
+    T.StructField(c, {
+        "hospital_affiliations": T.ArrayType(_S), "locations": T.ArrayType(T.StructType([*LOCATION.fields, T.StructField("provider_location_key", _S)])), "num_locations": _I,
+        **dict.fromkeys(["accepts_new_patients", "offers_telemedicine", "only_sees_children", "can_have_appointments", "is_virtual_location", "has_new_patient_availability"], _B),
+    }.get(c, _S))
+    for c in FINAL_COLUMNS
+])
 UNIQUE_COLUMNS = [c for c in FINAL_COLUMNS if c not in LOCATION_LEVEL]
 
 PAGES = struct(**texts("url", "base_location_url", "state_group", "location"), page_no=_I, **texts("source", "status"), advertised_total=_I, **texts("specialty_url", "specialty_name", "specialty_slug", "provider_set_hash", "trace_status"), retry_count=_I, discovered_at=_TS, saved_at=_TS)

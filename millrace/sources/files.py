@@ -90,6 +90,13 @@ def latest_per_file(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("file").agg(F.max_by(F.struct(*(c for c in metrics.columns if c != "file")), "seq").alias("r")).select("file", "r.*")
 
 
+def read_runtime(spark: SparkSession, pattern: str, slug: str | None = None) -> DataFrame:
+    """Rows of the runtime log: specialty_slug, seconds, processed; of one specialty if it is named."""
+    df = spark.read.option("header", True).csv(pattern)
+    out = df.select("specialty_slug", F.expr("try_cast(seconds AS double)").alias("seconds"), F.expr("try_cast(processed AS bigint)").alias("processed"))
+    return out.filter(F.col("specialty_slug") == slug) if slug else out
+
+
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
     """A JSON file of reviewed groups of URLs: one row an alias."""
     df = spark.read.option("multiLine", True).schema("group_id string, urls array<string>").json(path)

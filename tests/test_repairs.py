@@ -1,10 +1,12 @@
 """Upkeep operators on a handful of rows."""
 
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import schema
 from millrace.functions import url as U
 from millrace.operators import repairs
 from millrace.plans import providers, reports
@@ -73,13 +75,30 @@ def test_repairs_of_profiles(spark):
 
 
 def test_stored_profiles_expand(spark):
-    place = "location_id string, postal_code string, state string, is_virtual_location boolean"
-    ddl = f"doctor_url string, profile_data array<struct<full_name:string,provider_id:string,hospital_affiliations:array<string>,location_id:string,postal_code:string,state:string,is_virtual_location:boolean,locations:array<struct<{place.replace(' ', ':').replace(',:', ',')}>>>>"
-    flat = ("Ann", "1", ["H"], "l1", "00501", "XY", True, None)
-    nested = ("Bob", "2", [], None, None, None, None, [("l2", "1", "XY", False), ("l3", "2", "XY", None)])
-    rows = df(spark, ddl, ("a", [flat]), ("b", [nested]), ("c", []), ("d", [("", "3", [], "l", None, None, None, None)]), ("e", [("Eve", "4", [], None, None, None, None, [])]))
-    out = providers.expand_stored(rows)
-    assert got(out, "doctor_url", "location_id", "error") == {("a", "l1", None), ("b", "l2", None), ("b", "l3", None), ("c", "", "empty profile"), ("d", "l", "unnamed provider"), ("e", "", "no locations")}
+    row = lambda **x: json.dumps([x])
+    places = [{"location_id": "l2", "postal_code": "1", "is_virtual_location": False}, {"location_id": "l3", "postal_code": "2"}]
+    stored = df(
+        spark, "doctor_url string, profile_data string",
+        ("a", row(full_name="Ann", location_id="l1", is_virtual_location=True, hospital_affiliations=["H"])), ("b", row(full_name="Bob", locations=places)), ("c", "[]"),
+        ("d", row(full_name=" ", location_id="l")), ("e", row(full_name="Eve", locations=[])), ("f", "{broken"),
+    )
+    out = providers.from_payloads(stored)
+    want = {("a", 0, "l1", True, None), ("b", 0, "l2", False, None), ("b", 1, "l3", None, None), ("c", 0, None, None, "empty profile"), ("d", 0, "l", None, "unnamed provider"), ("e", 0, None, None, "no locations"), ("f", 0, None, None, "unreadable profile")}
+    assert got(out, "doctor_url", "loc_seq", "location_id", "is_virtual_location", "error") == want and out.columns[2:-1] == schema.FINAL_COLUMNS
+
+
+def test_payloads_come_back(spark):
+    rows = providers.typed(df(spark, "doctor_url string, loc_seq int, full_name string, location_id string, is_virtual_location string, hospital_affiliations string, num_locations string", ("a", 1, "Ann", "l2", "", "[]", "2"), ("a", 0, "Ann", "l1", "True", '["H"]', "2")))
+    back = providers.from_payloads(providers.payloads(rows))
+    keep = ["doctor_url", "loc_seq", *schema.FINAL_COLUMNS]
+    assert sorted(map(repr, rows.select(*keep).collect())) == sorted(map(repr, back.select(*keep).collect())) and back.filter("error IS NOT NULL").count() == 0
+
+
+def test_reviewed_aliases_and_statements(spark):
+    cohort = df(spark, "specialty_slug string, doctor_url string", ("s", "old"), ("s", "new"), ("s", "else"))
+    assert got(providers.reviewed(cohort, df(spark, "alias string, doctor_url string", ("old", "new"), ("new", "new"))), "doctor_url") == {("new",), ("else",)}
+    assert providers.upsert_sql("t", "s", ["k", "first_seen_at", "n"], ["k"], ("first_seen_at",)) == 'INSERT INTO t ("k", "first_seen_at", "n") SELECT "k", "first_seen_at", "n" FROM s ON CONFLICT ("k") DO UPDATE SET "first_seen_at" = LEAST(t."first_seen_at", EXCLUDED."first_seen_at"), "n" = EXCLUDED."n"'
+    assert providers.upsert_sql("t", "s", ["k", "n"], ["k"], insert_only=True).endswith("DO NOTHING")
 
 
 def test_projection_keeps_earliest_times_and_events_once(spark):

@@ -46,7 +46,8 @@ def test_seed_ingest_export(spark, tmp_path):
         w.export(captured)
     out = w.export(captured, allow_partial=True)
     assert out["final_providers"].count() == 2 and out["unique_providers"].count() == 1 and out["column_qa"].count() == 35
-    assert w.export_delivery(captured, str(tmp_path / "out")) == {"dentists": False}
+    assert out["errors"].count() == 0
+    assert w.export_delivery(str(tmp_path / "out"), captured) == {"dentists": False}
     assert w.store_profiles(captured, 1, T1).first().event_type == "profile_added" and w.store_profiles(captured, 2, T2).first().event_type is None
     assert w.status()["trace"].first().providers == 3
 
