@@ -1,10 +1,13 @@
 """A workspace from seed to delivery, and two generations of a daily run, on invented pages."""
 
 import datetime
+import json
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.__main__ import main
 from millrace.api import Workspace
 from millrace.functions import url as U
 from tests.test_pages import LISTING, ORIGIN, PAGE, PROFILE_STATE, card, state_script
@@ -100,3 +103,82 @@ def test_rejected_captures(spark, tmp_path):
     w = Workspace(spark, str(tmp_path))
     df = spark.createDataFrame([("a", "<p>Verify you are human</p>"), ("b", '<h1 data-test="provider-name">Ann</h1> unusual activity'), ("c", "Not found. Redirecting to /404"), ("d", '<iframe src="https://x.captcha-delivery.com/c"></iframe>')], "url string, html string")
     assert {r.url: r.reason for r in w.rejected(df).collect()} == {"a": "human-verification message", "c": "profile returned /404", "d": "challenge frame"}
+
+
+@pytest.fixture(scope="module")
+def delivered(spark, tmp_path_factory):
+    """A workspace with one listing traced in a daily run, and its one profile stored."""
+    root = tmp_path_factory.mktemp("delivered")
+    w = Workspace(spark, str(root / "w"))
+    w.init()
+    w.daily(spark.createDataFrame([(PAGE, card("/doctor/grace-hopper-md-5", "Grace Hopper"), "dentists")], "url string, html string, specialty_slug string"), 1, T1)
+    w.store_profiles(spark.createDataFrame([(ORIGIN + "/doctor/grace-hopper-md-5", "x")], "url string, html string").filter("false"), 1, T1)
+    return w, root
+
+
+def test_delivery_from_stored_profiles(spark, delivered):
+    w, root = delivered
+    url = ORIGIN + "/doctor/grace-hopper-md-5"
+    assert w.export_delivery(str(root / "early")) == {"dentists": False}
+    early = root / "early" / "needs-review" / "dentists"
+    assert "profile is not collected" in "".join(p.read_text() for p in (early / "exceptions.csv").glob("*.csv"))
+    profiles = spark.createDataFrame([(url, "Grace Hopper", "pending")], "doctor_url string, doctor_name string, status string")
+    w._write(profiles=profiles)
+    captured = spark.createDataFrame([(url, state_script(PROFILE_STATE))], "url string, html string")
+    assert w.store_profiles(captured, 1, T2).first().event_type == "profile_added"
+    assert w.stored_rows().count() == 2 and w.stored_rows().filter("error IS NOT NULL").count() == 0
+    assert w.export_delivery(str(root / "out")) == {"dentists": True}
+    folder = root / "out" / "ready" / "dentists"
+    listed = json.loads((folder / "manifest.json").read_text())
+    assert listed["summary"]["rows"] == 2 and {f["name"].split("/")[0] for f in listed["files"]} == {"providers.csv", "providers.json", "column_qa.csv", "exceptions.csv"}
+    with zipfile.ZipFile(root / "out.zip") as z:
+        assert z.testzip() is None and "ready/dentists/manifest.json" in z.namelist()
+    data, found = w.smoke(state_script(PROFILE_STATE), url)
+    assert found == {"error": None, "state_found": True, "provider_found": True, "n_locations": 2} and data.decode("utf-8-sig").count("\n") == 3
+
+
+def test_runs_are_finalized_and_reconciled(spark, tmp_path):
+    w = Workspace(spark, str(tmp_path))
+    w.init()
+    w.daily(batch(spark, (2, ["ann-1"])), 1, T1)
+    run = w.read("runs").first()
+    assert (run.status, run.completed, run.failed, run.collection_resolved) == ("failed", 0, 1, True)
+    assert w.reconcile_run(1).first().proposed == "failed" and w.read("runs").first().status == "failed"
+    resumed = w.resume(batch(spark, (1, ["ann-1"])), 1, T2)
+    assert resumed.first().status == "complete" and w.read("runs").first().status == "complete" and w.read("run_locations").count() == 1
+    assert w.resume(batch(spark, (1, ["ann-1"])), 1, T2).count() == 0
+    w.daily(batch(spark, (1, ["ann-1"])), 2, T3)
+    with pytest.raises(ValueError):
+        w.resume(batch(spark, (1, ["ann-1"])), 1, T3)
+    jobs = w.prepare_profile_jobs(2, T3)
+    assert jobs.count() == 1 and w.open_run() == 2
+    assert w.finalize_run(2, T3).first().collection_resolved is False and w.normalize_jobs(2).first().status == "pending"
+
+
+def test_repairs_and_cleaning_up(spark, tmp_path):
+    w = Workspace(spark, str(tmp_path / "w"))
+    w.init()
+    folder = tmp_path / "html"
+    folder.mkdir()
+    pages_ = {PAGE: LISTING, PAGE + "/2": "<p>Not found. Redirecting to /404</p>", PAGE + "/3": "<p>shell</p>"}
+    for u, html in pages_.items():
+        (folder / slug(spark, u)).write_text(html)
+    (tmp_path / "seed.csv").write_text("url,specialty_slug\n" + "".join(f"{u},dentists\n" for u in pages_))
+    cli = lambda *a: main(["--workspace", str(tmp_path / "w"), "--now", "2024-01-01", *a], spark)
+    assert cli("seed", str(tmp_path / "seed.csv")) == 0 and cli("trace", str(folder)) == 0
+    status = lambda: {r.url[len(PAGE):]: r.status for r in w.read("pages").collect()}
+    assert status()[""] == "saved" and status()["/3"] == "retry_pending"
+    assert w.read("doctor_sources").count() == w.read("doctors").count() == 2
+    assert cli("cleanup-listing-html", str(folder)) == 0 and len(list(folder.iterdir())) == 3
+    assert cli("cleanup-listing-html", str(folder), "--apply") == 0 and not (folder / slug(spark, PAGE)).exists()
+    # the page's capture went after its trace was committed; an audit finds nothing wrong with the others
+    assert cli("retry-zero-listings", str(folder)) == 0
+    w.mark_parsed(spark.createDataFrame([], "file string"))
+    assert w.quarantine(spark.createDataFrame([("u", "<p>Verify you are human</p>")], "url string, html string"), T1).count() == 1
+    w.progress("trace", "done", T1, pages=3)
+    assert json.loads(w.read("progress").first().counts) == {"pages": 3}
+    assert cli("export-delivery", str(tmp_path / "out")) == 2 and cli("seed", str(tmp_path / "missing.csv")) == 1
+    with pytest.raises(ValueError):
+        w.guard_space(1 << 60)
+    (tmp_path / "log.csv").write_text("specialty_slug,seconds,processed\ndentists,60,2\nother,5,1\n")
+    assert w.specialty_runtime(str(tmp_path / "log.csv"), "dentists").first().rate == 2.0
