@@ -6,7 +6,9 @@ never merges across their border. All pairs of a batch are checked at once with
 with a failing pair go through the exact merge loop.
 
 Defined results: null text counts as empty and gives an empty list of ids; other columns pass
-through; a column of the output's name is replaced; repeated rows give equal results.
+through; a column of the output's name is replaced; repeated rows give equal results; texts and words of any
+length are encoded whole, as the exact merge loop keeps a heap of pairs; no two merges tie, as ranks differ and
+equal pairs merge from the left; an empty table gives an empty result.
 """
 
 from __future__ import annotations

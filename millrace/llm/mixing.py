@@ -35,7 +35,7 @@ from millrace.llm.common import WORD, stash, uid
 #: How near the rates' words come to a source's target, relative to it, before they are rounded.
 TOLERANCE = 1e-9
 #: Documents of one source and size beyond which they are dealt to bins.
-HOT = 10_000
+HOT = 500
 
 
 def n_words(text: Column) -> Column:
