@@ -45,6 +45,7 @@ def listing_class(text: Column, title: Column, visible: Column, n_doctors: Colum
     """(class, reason) of a listing capture; the order of tests matters. text, title: lower-cased."""
     wall, gone = wall_reason(visible, n_doctors > 0), unavailable_reason(text, title)
     empty, restricted = first_marker(text, EMPTY_MARKERS), first_marker(text, RESTRICTION_MARKERS)
+    # fixed values: the reasons' wording, which stored results are compared by
     pair = lambda k, r: F.struct(F.lit(k).alias("class"), r.alias("reason"))
     return (
         F.when(wall.isNotNull(), pair("restriction_like", wall))
