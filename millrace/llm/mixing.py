@@ -10,8 +10,8 @@ every source's words are within `TOLERANCE` of its target.
 Rates become whole copies: every document gets the rate's whole part, and the table of sizes says how
 many documents of each size get one more, so that the running total stays near the target from the longest
 sizes to the shortest; what is then still missing or too much is mended, from the largest size that fits it
-to the smallest. What no size can mend is reported as `residual`. Which documents of a size get one more is
-settled by a hash of their number.
+to the smallest, and last by the one exchange of two sizes that comes nearest. What is left is reported as
+`residual`. Which documents of a size get one more is settled by a hash of their number.
 
 Everything is DataFrame code. What a source has in one place is a row for each of its sizes (and of the
 sizes' bins of HOT documents), never its documents; weights need a row for each source in one order.
@@ -127,6 +127,34 @@ def _mend(groups: DataFrame, most: float) -> DataFrame:
     return paid.select("source", "sign", (F.col("sign") * F.col("p.left")).alias("residual"), F.explode_outer("p.taken").alias("c")).select("source", "residual", F.col("c.size").alias("size"), (F.col("c.k") * F.col("sign").cast("long")).alias("mend"))
 
 
+def _exchange(groups: DataFrame, mend: DataFrame, most: float) -> DataFrame:
+    """mend's rows and, where it helps, a document of one size more and of another size less, either of which may be none.
+
+    For every size that can be taken more often, the size nearest to what the exchange would have to give back is
+    met in a sorted run of both, so a source's sizes are gone through once in each direction.
+    """
+    same = F.col("source").eqNullSafe(F.col("s"))
+    per = groups.filter("size > 0").groupBy("source", "size").agg(F.sum("n").alias("n"), F.sum("up").alias("up"), F.first("whole").alias("whole"))
+    own = mend.filter("size IS NOT NULL").select(F.col("source").alias("s"), F.col("size").alias("z"), "mend")
+    left = mend.groupBy(F.col("source").alias("s")).agg(F.first("residual").alias("residual"))
+    now = per.join(own, same & (F.col("size") == F.col("z")), "left").withColumn("up", F.col("up") + F.coalesce("mend", F.lit(0))).drop("s", "z").join(left, same).drop("s")
+    side = lambda more, size, value: F.struct(F.lit(more).alias("more"), size.cast("long").alias("size"), value.cast("double").alias("value"))
+    more = F.when((F.col("whole") + 1 <= most) & (F.col("n") > F.col("up")), side(True, F.col("size"), F.col("size") - F.col("residual")))
+    less = F.when(F.col("up") > 0, side(False, F.col("size"), F.col("size")))
+    none = left.select(F.col("s").alias("source"), "residual", F.array(side(True, F.lit(0), -F.col("residual")), side(False, F.lit(0), F.lit(0))).alias("sides"))
+    sides = now.select("source", "residual", F.array(more, less).alias("sides")).unionByName(none).select("source", "residual", F.explode("sides").alias("x")).filter("x IS NOT NULL").select("source", "residual", "x.*")
+    given = F.when(~F.col("more"), F.col("size"))
+    up, down = (Window.partitionBy("source").orderBy(o, "more").rowsBetween(Window.unboundedPreceding, Window.currentRow) for o in (F.asc("value"), F.desc("value")))
+    near = sides.withColumn("below", F.last(given, True).over(up)).withColumn("above", F.last(given, True).over(down)).filter("more")
+    pairs = near.select("source", "residual", F.col("size").alias("a"), F.explode(F.array("below", "above")).alias("b")).filter("b IS NOT NULL")
+    best = pairs.groupBy("source").agg(F.min(F.struct(F.abs(F.col("residual") - F.col("a") + F.col("b")).alias("gap"), "a", "b")).alias("x"), F.first("residual").alias("residual"))
+    best = best.withColumn("helps", F.col("x.gap") < F.abs("residual") - 1e-6)
+    after = best.select(F.col("source").alias("s"), F.when(F.col("helps"), F.col("residual") - F.col("x.a") + F.col("x.b")).otherwise(F.col("residual")).alias("left"))
+    changes = best.filter("helps").select("source", F.explode(F.array(F.struct(F.col("x.a").alias("size"), F.lit(1).cast("long").alias("mend")), F.struct(F.col("x.b").alias("size"), F.lit(-1).cast("long").alias("mend")))).alias("c")).select("source", "c.*").filter("size > 0")
+    total = mend.select("source", "size", "mend").unionByName(changes).groupBy("source", "size").agg(F.sum("mend").alias("mend"))
+    return total.join(after, same).select("source", F.col("left").alias("residual"), "size", "mend")
+
+
 def mix(df: DataFrame, key: str, text: str, source: str, weights: list[float], most: float = 3.0) -> DataFrame:
     """df's keys with source, size, source_size, target, rate, copies and the source's residual: the whole mix.
 
@@ -151,7 +179,7 @@ def mix(df: DataFrame, key: str, text: str, source: str, weights: list[float], m
     groups = groups.withColumn("up", F.least(F.greatest(F.round(due) - F.round(earlier), F.lit(0)), F.col("n")).cast("long"))
     groups = stash(groups, "groups")
 
-    mend = stash(_mend(groups, most), "mend")
+    mend = stash(_exchange(groups, stash(_mend(groups, most), "mend"), most), "mend")
     room = F.when(F.col("mend") > 0, F.when(F.col("whole") + 1 <= most, F.col("n") - F.col("up")).otherwise(0)).otherwise(F.col("up"))
     in_size = Window.partitionBy("source", "size").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     left = mend.groupBy(F.col("source").alias("s")).agg(F.first("residual").alias("residual"))
