@@ -49,7 +49,8 @@ def test_stages_against_brute_force(spark, tiny):
         totals[r["source"]] += size[i]
         taken[r["source"]] += size[i] * copies[i]
     for source, target in level(totals, [1, 2, 3], 3).items():
-        assert abs(taken[source] - target) <= 0.1 * target + 1
+        # whole documents of a source with a few can't come nearer than half of its longest
+        assert abs(taken[source] - target) <= max(0.05 * target, max(size[i] for i, r in texts.items() if r["source"] == source) / 2) + 1
 
     # tokens: the library's
     library = Tokenizer.from_file(BYTE_BPE)
