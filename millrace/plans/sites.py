@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schema
+from millrace.functions import url as U
 from millrace.functions.url import DEFAULT_SITE
-from millrace.operators import quality, repairs, trace
+from millrace.operators import quality, queue, repairs, trace
 from millrace.plans import providers, reports
 from millrace.plans.registry import query, read
 from millrace.sources import captures, state
@@ -557,4 +558,110 @@ def newest_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.join(s, F.col("_id") == F.col("k").cast("string")).select("doctor_url", F.regexp_replace("file_by_id", r"^v(\d+)-(\d+)--.*$", "supplier-$2-$1.html").alias("file"))
 
 
+# ---- queues of pages and profiles
+
+
+def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as pages: a third each retry_pending, saved and pending, some retried already."""
+    k = F.col("c_custkey")
+    status = F.when(k % 3 == 0, "retry_pending").when(k % 3 == 1, "saved").otherwise("pending")
+    return read(spark, sf_dir, "customer").select(k.alias("k"), _say(ORIGIN + "/dentists/t-", _key("c_custkey"), "pm").alias("url"), status.alias("status"), (k % 4).cast("int").alias("retry_count"), F.when(k % 2 == 0, "parsed").alias("trace_status"), F.col("c_mktsegment").alias("specialty_slug"))
+
+
+C = "SELECT c_custkey AS k, 'https://www.example.org/dentists/t-' || c_custkey || 'pm' AS url, CASE c_custkey % 3 WHEN 0 THEN 'retry_pending' WHEN 1 THEN 'saved' ELSE 'pending' END AS status, c_custkey % 4 AS retry_count, c_custkey % 2 = 0 AS traced, c_mktsegment AS slug FROM customer"
+
+
+@query(f"SELECT url, CASE WHEN status = 'retry_pending' THEN 'pending' ELSE status END AS status FROM ({C})")
+def activated_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queue.activate_retries(_queue(spark, sf_dir)).select("url", "status")
+
+
+@query(f"SELECT url, CASE WHEN k % 5 = 0 AND status IN ('pending', 'retry_pending') THEN 'saved' ELSE status END AS status FROM ({C}) WHERE status <> 'retry_pending'")
+def reconciled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Waiting pages whose files have turned up count as saved."""
+    pages_ = _queue(spark, sf_dir).filter("status <> 'retry_pending'").withColumn("_slug", U.safe_slug(F.col("url")))
+    return queue.reconcile(pages_, pages_.filter("k % 5 = 0").select(F.col("_slug").alias("file")), "_slug").select("url", "status")
+
+
+@query(f"SELECT url FROM ({C}) WHERE NOT traced AND k % 3 = 0")
+def pages_to_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a capture that aren't traced yet."""
+    pages_ = _queue(spark, sf_dir)
+    return trace.unparsed(pages_, pages_.filter("k % 3 = 0").select(U.safe_slug(F.col("url")).alias("file"))).select("url")
+
+
+@query(f"SELECT count(*) AS n, sum(k) AS bytes FROM ({C}) WHERE traced AND status = 'saved'")
+def captures_to_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures that may go: those of saved pages whose trace is committed."""
+    pages_ = _queue(spark, sf_dir)
+    return trace.cleanup(pages_, pages_.select(U.safe_slug(F.col("url")).alias("file"), F.col("k").alias("bytes"))).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+
+
+@query(f"SELECT url, CASE WHEN k % 6 = 1 THEN CASE WHEN k % 4 >= 2 THEN 'exhausted' ELSE 'missing_capture' END ELSE 'retry_zero' END AS finding FROM ({C}) WHERE status = 'saved' AND k % 6 IN (1, 4) AND (k % 6 = 1 OR k % 7 > 0)")
+def audited_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved pages without a capture, or whose capture holds no provider."""
+    pages_ = _queue(spark, sf_dir)
+    held = pages_.filter("k % 6 <> 1").select(U.safe_slug(F.col("url")).alias("file"))
+    results = pages_.select("url", F.when(F.col("k") % 7 > 0, "retry_zero").otherwise("valid").alias("class"))
+    return repairs.audit_empty(pages_, results, held).select("url", "finding")
+
+
+@query(f"SELECT url, CASE WHEN traced AND k % 3 = 0 OR traced THEN 'parsed' WHEN k % 3 = 1 THEN 'parsed' END AS trace_status FROM ({C})")
+def pages_marked_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traced pages whose capture is gone."""
+    pages_ = _queue(spark, sf_dir)
+    t = pages_.filter("k % 3 < 2").select(F.col("url").alias("listing_url"))
+    held = pages_.filter("k % 3 <> 1").select(U.safe_slug(F.col("url")).alias("file"))
+    return repairs.mark_parsed(pages_, t, held).select("url", "trace_status")
+
+
+@query(f"SELECT slug AS specialty_slug, url AS location_url FROM ({C}) WHERE k % 4 > 0")
+def targets_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets that a run has not completed."""
+    targets = _queue(spark, sf_dir).select("k", "specialty_slug", F.col("url").alias("location_url"))
+    done = targets.select(F.lit(7).cast("long").alias("run_id"), "specialty_slug", "location_url", F.when(F.col("k") % 4 == 0, "complete").otherwise("failed").alias("status"))
+    return repairs.remaining_targets(targets.drop("k"), done, 7)
+
+
+@query(f"SELECT slug AS specialty_slug, url AS location_url FROM ({C}) WHERE lower(slug) = 'building' AND k % 2 = 0")
+def chosen_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets of a specialty that have a snapshot."""
+    declared = _queue(spark, sf_dir).select("k", "specialty_slug", F.col("specialty_slug").alias("specialty_name"), F.col("url").alias("location_url"))
+    return repairs.select_targets(declared, declared.filter("k % 2 = 0").select("location_url"), [" Building"], True).select("specialty_slug", "location_url")
+
+
+@query(f"SELECT url AS doctor_url FROM ({S}) WHERE k % 2 = 0 AND slug = 'dentists'")
+def active_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Providers with an active membership in a specialty."""
+    s = suppliers(spark, sf_dir).select("k", "r", _say(ORIGIN, _path("k")).alias("doctor_url"))
+    members = s.select("doctor_url", (F.col("k") % 2 == 0).alias("is_active"), F.when(F.col("r") % 2 == 0, "dentists").otherwise("doctors").alias("specialty_slug"))
+    return trace.by_membership(s.select("doctor_url"), members, ["dentists"])
+
+
+@query(f"SELECT url AS doctor_url, CASE WHEN k % 3 = 0 THEN 'own' WHEN k % 3 = 1 THEN 'other-' || k || '--0123abcd.html' END AS file FROM ({S})")
+def profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capture of a profile: the one under its slug, else the newest one with its number."""
+    s = suppliers(spark, sf_dir).select("k", _say(ORIGIN, _path("k")).alias("doctor_url"))
+    own = s.filter("k % 3 = 0").select(U.safe_slug(F.col("doctor_url")).alias("file"), F.lit(0).alias("captured_at"))
+    other = s.filter("k % 3 = 1").select(_say("other-", _key("k"), "--0123abcd.html").alias("file"), F.lit(1).alias("captured_at"))
+    got = captures.profile_captures(s.select("doctor_url"), own.unionByName(other))
+    return got.select("doctor_url", F.when(F.col("file") == U.safe_slug(F.col("doctor_url")), "own").otherwise(F.col("file")).alias("file"))
+
+
+@query(f"SELECT url || 'x' AS requested, url || 'x-' || (k + 1000) AS canonical FROM ({S}) WHERE k % 2 = 0")
+def redirected_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested profiles and the one captured URL that they redirect to; where there are two, none."""
+    s = suppliers(spark, sf_dir).select("k", _say(ORIGIN, _path("k"), "x").alias("doctor_url"))
+    to = lambda more: _say(F.col("doctor_url"), "-", (F.col("k") + more).cast("string"))
+    found = s.select(to(1000).alias("url"), _say("f", _key("k")).alias("file")).unionByName(s.filter("k % 2 = 1").select(to(2000).alias("url"), _say("g", _key("k")).alias("file")))
+    return captures.redirects(s.select("doctor_url"), found).select("requested", "canonical")
+
+
+@query(f"SELECT 'p' || k AS provider_id, j::INTEGER AS place, lkey AS provider_location_key FROM ({L})")
+def stored_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles stored as JSON and expanded again."""
+    back = providers.from_payloads(providers.payloads(rows(spark, sf_dir)))
+    return back.filter("error IS NULL").select("provider_id", F.col("loc_seq").cast("int").alias("place"), "provider_location_key")
+
+
 __all__ = ["appearances", "listing_pages", "profile_pages", "rows"]
