@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.sources import captures, files
-from millrace.sources.store import Append, Conflict, Lease, TableStore, create, first_write
+from millrace.sources.store import Append, Conflict, Lease, TableStore, create, first_write, rename_new
 from millrace.streaming import ingest
 
 
@@ -64,6 +64,14 @@ def test_a_file_is_created_once(tmp_path):
     assert create(uri, b"1") and not create(uri, b"2") and open(uri, "rb").read() == b"1" and len(list((tmp_path / "x").iterdir())) == 1
 
 
+def test_a_rename_does_not_overwrite(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / name).write_text(name)
+    to = f"file://{tmp_path}/c"
+    assert rename_new(spark, f"file://{tmp_path}/a", to) and not rename_new(spark, f"file://{tmp_path}/b", to)
+    assert (tmp_path / "c").read_text() == "a" and (tmp_path / "b").exists()
+
+
 def test_lease_keeps_a_second_writer_out(tmp_path):
     with Lease(str(tmp_path)):
         with pytest.raises(Conflict), Lease(str(tmp_path)):
