@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.session import scratch, ship
 from millrace.sources.files import filesystem
 
-__all__ = ["AtomicFile", "filesystem", "scratch", "ship", "slices", "stash", "table", "texts"]
+__all__ = ["AtomicFile", "filesystem", "pinned", "scratch", "ship", "slices", "stash", "table", "texts"]
 
 #: The characters that part words, as a Spark regular expression: space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +28,14 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """Checkpoint df reliably: its partitions, and their rows' order, are the same each time it is read."""
+    context, path = df.sparkSession.sparkContext, scratch(df.sparkSession, "pinned")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
+    return df.checkpoint()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, idfile, lsh, media, mixing, ngram, oracles, pii, quality, reputation
-from millrace.llm.common import stash, table
+from millrace.llm import bpe, chat, exact, idfile, lsh, media, mixing, ngram, oracles, pii, quality, repair, reputation, trie
+from millrace.llm.common import scratch, stash, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -91,8 +91,23 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(pages, "url", outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(trie.grafted(trie.sequences(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))))
+
+
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema, path, home = table(spark, sf_dir, "documents").schema, f"{sf_dir}/documents.parquet", scratch(spark, "exact")
+    exact.ingest(spark, path, schema, home)
+    return exact.resolve(spark, path, schema, home).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repaired_digests(repair.damaged(turns), turns)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix, op2_bpe, op3_pii, op4_quality, op5_embeddings, op6_chat, op7_media, op8_ngrams, op9_ids, op10_urls)}
+    return {f.__name__: f for f in (op1_mix, op2_bpe, op3_pii, op4_quality, op5_embeddings, op6_chat, op7_media, op8_ngrams, op9_ids, op10_urls, op11_trie, op12_exact, op13_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
