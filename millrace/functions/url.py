@@ -59,21 +59,28 @@ def normalize_url(url: Column) -> Column:
     return F.concat(F.when(kind != "", F.concat(kind, F.lit(":"))).otherwise(""), F.when(host != "", F.concat(F.lit("//"), host)).otherwise(""), path)
 
 
+def without_dots(path: Column) -> Column:
+    """A path without `.` and `..` segments: each `..` takes the segment before it away, if there is one."""
+    parts = F.split(path, "/")
+    inner = F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda s: s != ".")
+    back = lambda kept, s: F.when(s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.array_append(kept, s))
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(inner, F.array().cast("array<string>"), back), "/"))
+
+
 def absolute_url(value: Column, base: Column | str = DEFAULT_SITE.origin) -> Column:
-    """The normalised target of a link on a page; blank stays blank. Handles `.` and `..` segments one level deep."""
+    """The normalised target of a link on a page; blank stays blank. Paths are resolved as RFC 3986 says, those of full URLs stay."""
     base = F.lit(base) if isinstance(base, str) else base
     link = _tidy(value)
     root = F.concat(scheme(base), F.lit("://"), netloc(base))
+    path = F.regexp_extract(link, "^([^?#]*)", 1)
     folder = F.regexp_replace(raw_path(base), "[^/]*$", "")
-    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
-    bare = F.regexp_replace(link, "^(?:\\./)+", "")
+    # empty segments go where a relative path is joined to a folder
+    below = F.regexp_replace(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path), "/{2,}", "/")
     joined = (
         F.when(link.rlike(_SCHEME), link)
         .when(link.startswith("//"), F.concat(scheme(base), F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(root, link))
-        .when(link.startswith("?") | link.startswith("#"), F.concat(root, raw_path(base)))
-        .when(link.startswith("../"), F.concat(root, F.regexp_replace(folder, "[^/]*/$", ""), F.substr(link, F.lit(4))))
-        .otherwise(F.concat(root, folder, bare))
+        .when(path == "", F.concat(root, raw_path(base)))
+        .otherwise(F.concat(root, without_dots(F.when(path.startswith("/"), path).otherwise(below))))
     )
     return F.when(link == "", F.lit("")).otherwise(normalize_url(joined))
 

@@ -77,13 +77,16 @@ def url_trailing_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT page_id, '/p/' || CAST(page_id AS VARCHAR) AS link,
        regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || '/p/' || CAST(page_id AS VARCHAR) AS target,
-       regexp_extract(url, '^([a-z]+)', 1) || '://cdn.example.net/x' AS other_host
+       regexp_extract(url, '^([a-z]+)', 1) || '://cdn.example.net/x' AS other_host, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || '/b/c' || page_id AS climbed,
+       regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || coalesce(nullif(regexp_replace(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '[^/]*$', ''), '[^/]*/$', ''), ''), '/') || 'd' AS sibling
 FROM pages
 """)
 def url_absolute(spark: SparkSession, sf_dir: str) -> DataFrame:
     link = F.concat(F.lit("/p/"), F.col("page_id").cast("string"))
     pages = read(spark, sf_dir, "pages")
-    return pages.select("page_id", link.alias("link"), url.absolute_url(F.concat(link, F.lit("/?q=1#f")), F.col("url")).alias("target"), url.absolute_url(F.lit("//cdn.example.net/x/"), F.col("url")).alias("other_host"))
+    return pages.select(
+        "page_id", link.alias("link"), url.absolute_url(F.concat(link, F.lit("/?q=1#f")), F.col("url")).alias("target"), url.absolute_url(F.lit("//cdn.example.net/x/"), F.col("url")).alias("other_host"),
+        url.absolute_url(F.concat(F.lit("/a/../../b/./x/../c"), F.col("page_id").cast("string"), F.lit("/?q=../..")), F.col("url")).alias("climbed"), url.absolute_url(F.lit("./.././e/../d"), F.col("url")).alias("sibling"))
 
 
 @query("""

@@ -1,7 +1,8 @@
 """Captured directory pages made from the driver's tables, and every parser, export and report over them.
 
-Suppliers stand for providers, nations for listings of a town, regions for specialties. Pages are written as
-HTML with native expressions and read back by the parsers, so that SQL on the tables says what must come out.
+Suppliers stand for providers, those of a nation among RANGE numbers for the listing of a town, regions for specialties.
+Pages are written as HTML with native expressions and read back by the parsers, so that SQL on the tables says what must
+come out. There are more pages where there are more suppliers, and none grows.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from millrace.sources.dom import parse, select
 
 ORIGIN = DEFAULT_SITE.origin
 NOW = "2024-06-01 00:00:00"
+#: Numbers of suppliers that share the towns of 25 nations: some twenty suppliers a listing.
+RANGE = 500
 
 
 def _say(*parts: Column | str) -> Column:
@@ -45,13 +48,13 @@ def _path(c: str) -> Column:
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """k, name, n (the nation) and r (the region) of every supplier."""
+    """k, name, n (the nation), r (the region) and t (the town) of every supplier."""
     nation = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("n"), F.col("n_regionkey").alias("r"))
-    return read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("n")).join(F.broadcast(nation), "n")
+    return read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("n"), (F.floor(F.col("s_suppkey") / RANGE) * 25 + F.col("s_nationkey")).cast("long").alias("t")).join(F.broadcast(nation), "n")
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A listing for each nation: url, html, specialty_slug, specialty_name, state_group, location."""
+    """A listing for each town: url, html, specialty_slug, specialty_name, state_group, location."""
     item = lambda name, value: _say(f'<span itemprop="{name}">', value, "</span>")
     card = _say(
         '<article data-test="search-result-item"><a data-test="doctor-card-info-name" href="', _path("k"), '">', F.col("name"), '</a><div data-test="doctor-card-info-location">',
@@ -60,9 +63,9 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     provider = F.struct(_path("k").alias("profileUrl"), _say("p", _key("k")).alias("id"), (F.col("k") % 3 == 0).alias("acceptsNewPatients"))
     entry = F.struct(_say("p", _key("k"), "|", _key("n")).alias("id"), provider.alias("provider"), F.struct(_key("n").alias("id"), _zip("k").alias("zipCode")).alias("location"))
-    shown = suppliers(spark, sf_dir).select("n", "r", F.struct("k", card.alias("card"), entry.alias("entry")).alias("s"))
-    town = shown.groupBy("n", "r").agg(F.array_sort(F.collect_list("s")).alias("s"))
-    address = _say(ORIGIN + "/dentists/town", _key("n"), "-", _key("n"), "pm")
+    shown = suppliers(spark, sf_dir).select("t", "n", "r", F.struct("k", card.alias("card"), entry.alias("entry")).alias("s"))
+    town = shown.groupBy("t", "n", "r").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    address = _say(ORIGIN + "/dentists/town", _key("t"), "-", _key("t"), "pm")
     html = _say(
         "<html><title>Dentists</title><body>", '<div data-test="selection-criteria-header"><h1>', F.size("s").cast("string"), " verified Dentists in Town ", _key("n"), ", XY</h1></div>", F.array_join("s.card", ""),
         '<nav data-test="search-results-pagination"><a href="', address, '/3">3</a><a href="', address, '/2">2</a><a href="/other/town-6pm/2">x</a></nav>', _script(F.to_json(F.struct(F.col("s.entry").alias("listing")))), "</body></html>",
@@ -108,7 +111,7 @@ def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: What SQL knows of providers, of their appearances and of their locations.
-S = "SELECT s_suppkey AS k, s_name AS name, s_nationkey AS n, n_regionkey AS r, 'https://www.example.org/dentist/supplier-' || s_suppkey AS url, CASE WHEN n_regionkey % 2 = 0 THEN 'dentists' ELSE 'doctors' END AS slug, 'https://www.example.org/dentists/town' || s_nationkey || '-' || s_nationkey || 'pm' AS page, lpad((s_suppkey % 100000)::VARCHAR, 5, '0') AS zip FROM supplier JOIN nation ON n_nationkey = s_nationkey"
+S = "SELECT s_suppkey AS k, s_name AS name, s_nationkey AS n, n_regionkey AS r, s_suppkey // 500 * 25 + s_nationkey AS t, 'https://www.example.org/dentist/supplier-' || s_suppkey AS url, CASE WHEN n_regionkey % 2 = 0 THEN 'dentists' ELSE 'doctors' END AS slug, 'https://www.example.org/dentists/town' || (s_suppkey // 500 * 25 + s_nationkey) || '-' || (s_suppkey // 500 * 25 + s_nationkey) || 'pm' AS page, lpad((s_suppkey % 100000)::VARCHAR, 5, '0') AS zip FROM supplier JOIN nation ON n_nationkey = s_nationkey"
 L = f"SELECT *, 'l' || k || '-' || j AS location_id, lpad(((k + j * 1000) % 100000)::VARCHAR, 5, '0') AS postal, CASE n % 3 WHEN 0 THEN 'OH' WHEN 1 THEN 'IA' ELSE 'TX' END AS st, CASE WHEN j < 2 THEN j = 1 END AS virtual, CASE WHEN j = 0 THEN 'p' || k || '|' || n ELSE 'p' || k || '|l' || k || '-' || j END AS lkey FROM (SELECT *, unnest(range(0, k % 3 + 1)) AS j FROM ({S}))"
 
 
@@ -326,7 +329,7 @@ def zip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT slug AS specialty_slug, count(DISTINCT k) AS n_profiles, 0::BIGINT AS n_conflicts, count(DISTINCT n) FILTER (n % 9 = 0) AS n_open_pages, 0::BIGINT AS n_review, count(DISTINCT n) FILTER (n % 9 = 0) = 0 AS ready FROM ({S}) GROUP BY slug
+SELECT slug AS specialty_slug, count(DISTINCT k) AS n_profiles, 0::BIGINT AS n_conflicts, count(DISTINCT t) FILTER (t % 9 = 0) AS n_open_pages, 0::BIGINT AS n_review, count(DISTINCT t) FILTER (t % 9 = 0) = 0 AS ready FROM ({S}) GROUP BY slug
 """)
 def delivery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which specialties can be delivered: none with an open page."""
@@ -344,15 +347,14 @@ def delivery_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT c_nationkey AS group_id, 'u' || max(c_custkey) AS doctor_url, count(DISTINCT c_mktsegment) = 1 AS agreed FROM customer WHERE c_custkey % 3 = 0 OR c_mktsegment = 'BUILDING' GROUP BY c_nationkey
+SELECT c_custkey // 3 AS group_id, 'u' || max(c_custkey) AS doctor_url, count(DISTINCT c_nationkey % 2) = 1 AND count(DISTINCT c_mktsegment = 'BUILDING') = 1 AND count(DISTINCT CASE WHEN c_custkey % 4 > 0 THEN c_custkey % 8 < 4 END) = 1 AS agreed FROM customer GROUP BY 1
 """)
 def reviewed_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of each reviewed group of URLs the newest, and whether the group agrees on who it is."""
-    c = read(spark, sf_dir, "customer").filter("c_custkey % 3 = 0 OR c_mktsegment = 'BUILDING'").withColumn("doctor_url", _say("u", _key("c_custkey")))
-    facts = c.select("doctor_url", F.col("c_mktsegment").alias("provider_id"), F.lit("").alias("npi"), F.col("c_custkey").alias("saved_at"), F.array(F.lit("office")).alias("offices"))
-    # no NPI is told, so the offices and ids alone can disagree
-    got = providers.overrides(c.select(F.col("c_nationkey").alias("group_id"), "doctor_url"), facts.withColumn("npi", F.lit("1")))
-    return got
+    """Of each reviewed group of three URLs the newest, and whether provider, NPI (some don't say) and offices agree."""
+    c = read(spark, sf_dir, "customer").withColumn("doctor_url", _say("u", _key("c_custkey")))
+    npi = F.when(F.col("c_custkey") % 4 == 0, "").when(F.col("c_custkey") % 8 < 4, "1").otherwise("2")
+    facts = c.select("doctor_url", (F.col("c_nationkey") % 2).alias("provider_id"), npi.alias("npi"), F.col("c_custkey").alias("saved_at"), F.array((F.col("c_mktsegment") == "BUILDING").cast("string")).alias("offices"))
+    return providers.overrides(c.select(F.floor(F.col("c_custkey") / 3).alias("group_id"), "doctor_url"), facts)
 
 
 @query(f"SELECT url AS doctor_url, name AS doctor_name, page AS first_seen_page_url, CASE slug WHEN 'dentists' THEN 'Dentists' ELSE 'Doctors' END AS first_seen_specialty_name FROM ({S})")
@@ -392,16 +394,18 @@ def provider_set_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as pages of towns: ten a town, in several states of work."""
-    o = read(spark, sf_dir, "orders").filter("o_orderkey < 250")
-    town = (F.col("o_orderkey") % 25).cast("int")
-    page = (F.floor(F.col("o_orderkey") / 25) + 1).cast("int")
+    """Orders as pages of towns: forty a town, in several states of work."""
+    town, page = F.floor(F.col("o_orderkey") / 40), (F.col("o_orderkey") % 40 + 1).cast("int")
     base = _say(ORIGIN + "/dentists/town", town.cast("string"), "-", town.cast("string"), "pm")
     status = F.when(F.col("o_orderkey") % 11 == 0, "pending").when(F.col("o_orderkey") % 13 == 0, "unavailable").otherwise("saved")
-    return o.select(F.when(page == 1, base).otherwise(_say(base, "/", page.cast("string"))).alias("url"), base.alias("base_location_url"), page.alias("page_no"), status.alias("status"), _say("kind-", (town % 5).cast("string")).alias("specialty_slug"), F.when(F.col("o_orderkey") % 2 == 0, "parsed").alias("trace_status"), F.when(page == 1, "seed").otherwise("pagination").alias("source"), F.col("o_orderdate").alias("saved_at"), F.col("o_orderdate").alias("discovered_at"), F.lit("Kind").alias("specialty_name"), town.cast("string").alias("location"), F.lit("g").alias("state_group"))
+    return read(spark, sf_dir, "orders").select(
+        F.when(page == 1, base).otherwise(_say(base, "/", page.cast("string"))).alias("url"), base.alias("base_location_url"), page.alias("page_no"), status.alias("status"), _say("kind-", (town % 5).cast("string")).alias("specialty_slug"),
+        F.when(F.col("o_orderkey") % 2 == 0, "parsed").alias("trace_status"), F.when(page == 1, "seed").otherwise("pagination").alias("source"), F.col("o_orderdate").alias("saved_at"), F.col("o_orderdate").alias("discovered_at"),
+        F.lit("Kind").alias("specialty_name"), town.cast("string").alias("location"), F.lit("g").alias("state_group"),
+    )
 
 
-Q = "SELECT o_orderkey AS k, (o_orderkey % 25)::INTEGER AS town, (o_orderkey // 25 + 1)::INTEGER AS page_no, CASE WHEN o_orderkey % 11 = 0 THEN 'pending' WHEN o_orderkey % 13 = 0 THEN 'unavailable' ELSE 'saved' END AS status, 'kind-' || (o_orderkey % 25 % 5) AS slug, 'https://www.example.org/dentists/town' || (o_orderkey % 25) || '-' || (o_orderkey % 25) || 'pm' AS base, o_orderdate AS at FROM orders WHERE o_orderkey < 250"
+Q = "SELECT o_orderkey AS k, o_orderkey // 40 AS town, (o_orderkey % 40 + 1)::INTEGER AS page_no, CASE WHEN o_orderkey % 11 = 0 THEN 'pending' WHEN o_orderkey % 13 = 0 THEN 'unavailable' ELSE 'saved' END AS status, 'kind-' || (o_orderkey // 40 % 5) AS slug, 'https://www.example.org/dentists/town' || (o_orderkey // 40) || '-' || (o_orderkey // 40) || 'pm' AS base, o_orderdate AS at FROM orders"
 
 
 @query(f"SELECT CASE WHEN page_no = 1 THEN 'seed' ELSE 'pagination' END AS source, status, count(*) AS n FROM ({Q}) GROUP BY 1, 2")
@@ -427,7 +431,7 @@ def page_of_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def update_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared targets first, then bases that only pages know."""
     seen = _page_queue(spark, sf_dir)
-    declared = seen.filter((F.col("location").cast("int") % 2 == 0) & (F.col("page_no") == 1)).select("specialty_slug", F.col("base_location_url").alias("listing_url"), F.lit("declared").alias("specialty_name"), "location", "state_group", F.lit(True).alias("is_active"))
+    declared = seen.filter((F.col("location").cast("long") % 2 == 0) & (F.col("page_no") == 1)).select("specialty_slug", F.col("base_location_url").alias("listing_url"), F.lit("declared").alias("specialty_name"), "location", "state_group", F.lit(True).alias("is_active"))
     return providers.update_targets(declared, seen).select("specialty_slug", "location_url", "specialty_name")
 
 

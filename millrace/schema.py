@@ -37,8 +37,6 @@ TRACE_COLUMNS = [*PAGE_COLUMNS, *APPEARANCE.names]
 #: What a listing parser says of the page.
 LISTING = struct(doctors=T.ArrayType(struct(**texts("doctor_url", "doctor_name"))), pagination_urls=T.ArrayType(_S), advertised_total=_I)
 SIGNALS = struct(**texts("text", "title", "visible"), has_name=_B, has_provider=_B, has_frame=_B)
-COUNT = struct(specialty=_S, location=_S, count=_I)
-CATALOG_ENTRY = struct(**texts("specialty_name", "specialty_slug", "specialty_url", "entity_type"))
 LANDING = struct(**texts("specialty_url", "specialty_slug", "specialty_id", "procedure_id", "search_query"), locations=T.ArrayType(struct(**texts("state_group", "location", "listing_url"))))
 
 PROFILE_TEXTS = ["profile_url", "full_name", "first_name", "last_name", "prenominal", "postnominal", "specialty_name", "practice_name", "npi", "provider_id", "monolith_id", "average_rating", "review_count", "bio", "photo_url"]

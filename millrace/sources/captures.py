@@ -11,14 +11,26 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schema
 from millrace.functions import url as U
+from millrace.functions import values as V
 from millrace.sources import pages
 
+#: A catalog of fewer entries can't be whole.
+CATALOG_LEAST = 10
+LINK = schema.struct(place=T.IntegerType(), listed=T.BooleanType(), above=T.BooleanType(), **schema.texts("href", "name"))
+HEADER = schema.struct(rank=T.IntegerType(), place=T.IntegerType(), text=T.StringType())
+#: How listings state their count, strictest wording first.
+COUNTS = [
+    r"(?i)\b([0-9][0-9,]*)\s+verified\s+(.+?)\s+in\s+(.+?)\s*$",
+    r"(?i)\b([0-9][0-9,]*)\s+verified\s+(.+?)\s+in\s+([A-Za-z0-9 .'\-]+,\s*[A-Z]{2})\b",
+    r"(?i)\b([0-9][0-9,]*)\s+verified\s+(.+?)\s+in\s+(.+?)(?=\s+(?:Sort by|Book|Find|Search|Filter|Availability|Patients|All filters)\b|$)",
+]
+
 
 def read_captures(spark: SparkSession, folder: str, page_type: str | None = None) -> DataFrame:
     """Files of a folder as file, html, bytes, captured_at; one row a file."""
@@ -93,10 +105,26 @@ def profile_signals(df: DataFrame) -> DataFrame:
     return parsed(df, lambda html, _: pages.signals(html), schema.SIGNALS, "s").withColumn("s", F.get("s", F.lit(0)))
 
 
-def catalog(df: DataFrame) -> DataFrame:
-    """Catalog entries; incomplete catalogs give one row with an error and no entry."""
-    out = parsed(df, lambda html, url: pages.catalog(html, url), schema.CATALOG_ENTRY, "rows")
-    return out.select("url", "error", F.explode_outer("rows").alias("r")).select("url", "error", "r.*")
+def catalog(df: DataFrame, least: int = CATALOG_LEAST) -> DataFrame:
+    """Catalog entries; a page without the heading, or with fewer than `least` entries, gives one row with an error and no entry.
+
+    Links of the first list under the heading, if it has enough of them, else all above the footer; of links to one
+    address the first one's name stays.
+    """
+    out = parsed(df, lambda html, _: pages.catalog_links(html), LINK, "links")
+    listed = F.filter("links", lambda x: x["listed"])
+    chosen = F.when(F.size(listed) >= least, listed).otherwise(F.filter("links", lambda x: x["above"]))
+    links = out.select("url", "error", F.explode_outer(chosen).alias("x")).select("url", "error", "x.place", V.collapse(F.col("x.name")).alias("name"), U.absolute_url(F.col("x.href"), F.col("url")).alias("to"))
+    fits = (F.col("name") != "") & U.is_catalog_url(F.col("to"))
+    entry = F.struct(F.col("name").alias("specialty_name"), U.specialty_slug(F.col("to")).alias("specialty_slug"), F.col("to").alias("specialty_url"), V.entity_type(F.col("name")).alias("entity_type"))
+    firsts = links.groupBy("url", "error", F.when(fits, F.col("to")).alias("to")).agg(F.min_by(F.when(fits, entry), "place").alias("r"))
+    n = F.count("to").over(Window.partitionBy("url"))
+    error = F.coalesce("error", F.when(n < least, F.concat(F.lit("only "), n.cast("string"), F.lit(" catalog entries"))))
+    told = firsts.withColumn("n", n).withColumn("error", error)
+    # one row for a page that is refused, none for what isn't an entry elsewhere
+    first = F.row_number().over(Window.partitionBy("url").orderBy(F.col("to").asc_nulls_first())) == 1
+    told = told.withColumn("first", first).filter("error IS NULL AND to IS NOT NULL OR error IS NOT NULL AND first")
+    return told.select("url", "error", F.when(F.col("error").isNull(), F.col("r")).alias("r")).select("url", "error", "r.*")
 
 
 def landings(df: DataFrame) -> DataFrame:
@@ -106,8 +134,16 @@ def landings(df: DataFrame) -> DataFrame:
 
 
 def verified_counts(df: DataFrame) -> DataFrame:
-    out = parsed(df, lambda html, _: pages.verified_count(html), schema.COUNT, "c").withColumn("c", F.get("c", F.lit(0)))
-    return out.select(*(c for c in out.columns if c != "c"), "c.*")
+    """`N verified <specialty> in <location>`: of all matches that name both, the one of the likeliest place and strictest wording."""
+    out = parsed(df, lambda html, _: pages.headers(html), HEADER, "said")
+
+    def hits(said: Column) -> Column:
+        group = lambda wording, k: F.regexp_extract(said["text"], wording, k)
+        return F.array(*(F.struct(said["rank"], said["place"], F.lit(strict).alias("strict"), group(w, 1).alias("n"), V.normalize_specialty(group(w, 2)).alias("specialty"), V.normalize_location(group(w, 3)).alias("location")) for strict, w in enumerate(COUNTS)))
+
+    named = F.filter(F.flatten(F.transform("said", hits)), lambda h: (h["specialty"] != "") & (h["location"] != ""))
+    best = F.array_min(named)
+    return out.withColumn("c", best).select(*(c for c in out.columns if c != "said"), "c.specialty", "c.location", F.regexp_replace("c.n", ",", "").cast("int").alias("count"))
 
 
 # ---- finding captures

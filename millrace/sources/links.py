@@ -44,7 +44,3 @@ def is_profile(url: str, site: Site = DEFAULT_SITE) -> bool:
         return False
     return parts[0].lower() not in site.non_profile_routes and not re.search(r"-[0-9]+pm$", parts[1], re.I)
 
-
-def is_catalog(url: str, site: Site = DEFAULT_SITE) -> bool:
-    p, parts = urlsplit(normal(url)), parts_of(url)
-    return p.scheme in ("http", "https") and p.netloc.lower() in site.hosts and len(parts) == 1 and "/" + parts[0].lower() != site.index_path

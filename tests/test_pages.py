@@ -3,8 +3,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from millrace.sources import links, pages
+from millrace.functions import url as U
+from millrace.sources import captures, links, pages
 from millrace.sources.dom import first, parse, select
 from millrace.sources.state import Providers, embedded_state, profile_provider
 
@@ -132,15 +134,22 @@ def test_provider_of_another_page_is_not_taken():
     assert profile_provider(state, ORIGIN + "/doctor/jo-doe") == {}
 
 
-def test_catalog_is_bounded_and_refuses_fragments():
-    items = "".join(f'<li><a href="/kind-{k}">Kind {k}</a></li>' for k in range(10)) + '<li><a href="/eye-clinics">Eye Clinics</a></li>'
-    html = f'<header><a href="/login">x</a></header><h2>Browse All Specialties</h2><ul>{items}</ul><footer><a href="/about">y</a></footer>'
-    rows = pages.catalog(html, ORIGIN + "/specialty")
-    assert len(rows) == 11 and {r["entity_type"] for r in rows} == {"facility_or_clinic", "provider_specialty"}
-    with pytest.raises(ValueError):
-        pages.catalog(html.replace("</ul>", "</ul>").replace(items, items[:60]), ORIGIN + "/specialty")
-    with pytest.raises(ValueError):
-        pages.catalog("<p>nothing</p>", ORIGIN)
+def _pages(spark, *htmls):
+    return spark.createDataFrame([(f"{ORIGIN}/specialty?{k}", h) for k, h in enumerate(htmls)], "url string, html string")
+
+
+def test_catalog_is_bounded_and_refuses_fragments(spark):
+    items = [f'<li><a href="/kind-{k}">Kind {k}</a></li>' for k in range(10)] + ['<li><a href="/eye-clinics">Eye  Clinics</a></li>', '<li><a href="/kind-3?again">Other name</a></li>', '<li><a href="/a/b">Two</a><a href="/none"> </a></li>']
+    page = lambda inside: f'<header><a href="/login">x</a></header><h2>Browse All Specialties</h2>{inside}<footer><a href="/about">y</a></footer>'
+    whole, spread = page(f"<ul>{''.join(items)}</ul><a href='/after'>z</a>"), page(f"<ul>{items[0]}</ul>" + "".join(items[1:]))
+    got = captures.catalog(_pages(spark, whole, spread, page("".join(items[:9])), "<p>nothing</p>", None)).collect()
+    of = lambda k: [r for r in got if r.url.endswith(f"?{k}")]
+    for k in (0, 1):
+        assert {r.specialty_slug for r in of(k)} == {*(f"kind-{i}" for i in range(10)), "eye-clinics"} and len(of(k)) == 11 and not any(r.error for r in of(k))
+        assert {r.specialty_slug: r.specialty_name for r in of(k)}["kind-3"] == "Kind 3"
+        assert [r.specialty_name for r in of(k) if r.entity_type == "facility_or_clinic"] == ["Eye Clinics"]
+    assert [(r.error, r.specialty_url) for r in of(2)] == [("only 9 catalog entries", None)]
+    assert all(len(of(k)) == 1 and "heading" in of(k)[0].error for k in (3, 4))
 
 
 def test_landing_by_state_and_fallback():
@@ -154,9 +163,27 @@ def test_landing_by_state_and_fallback():
         pages.landing("", ORIGIN + "/specialty")
 
 
-def test_verified_count():
-    assert pages.verified_count("<h1>1,305 verified  Eye Doctors in Springfield, XY </h1>") == {"specialty": "eye doctors", "location": "Springfield, XY", "count": 1305}
-    assert pages.verified_count("<script>3 verified A in B</script><p>nothing</p>") is None
+def test_verified_counts(spark):
+    """The likeliest place first, then the strictest wording; what is hidden or names nothing doesn't count."""
+    htmls = [
+        "<h1>1,305 verified  Eye Doctors in Springfield, XY </h1>",
+        "<script>3 verified A in B</script><p>nothing</p>",
+        "<title>9 verified Other in Place, QQ</title><h2>8 verified Dentists in Town, XY</h2><p>7 verified X in Y</p>",
+        "<p>5 verified Dentists in Springfield, XY Sort by distance</p><b>4 verified Y in Z</b>",
+        '<div data-test="selection-criteria-header">2 verified ,. in Q</div><h1>6 verified Doctors in R.</h1>',
+        "<p>11 verified</p> <p>Dentists in</p> <p>Far Town Book now</p>",
+    ]
+    got = {int(r.url[-1]): (r["specialty"], r["location"], r["count"]) for r in captures.verified_counts(_pages(spark, *htmls)).collect()}
+    assert got == {
+        0: ("eye doctors", "Springfield, XY", 1305), 1: (None, None, None), 2: ("dentists", "Town, XY", 8), 3: ("dentists", "Springfield, XY Sort by distance", 5), 4: ("doctors", "R", 6), 5: ("dentists", "Far Town Book now", 11),
+    }
+
+
+def test_dot_segments_go_as_in_python(spark):
+    base = "https://www.example.org/a/b/c?q=1"
+    hrefs = ["../d", "../../../d/", "./e/./f", "/x/../../y/./z", "g/../..", "?k=/../v", "#f", "//other.org/p/../q", "http://h.org/a/../b", "h//i/../j", "..", ".", "/", "a/../../b/./c", "mailto:x@y.z"]
+    df = spark.createDataFrame([(h,) for h in hrefs], "h string").select("h", U.absolute_url(F.col("h"), F.lit(base)).alias("u"))
+    assert {r.h: r.u for r in df.collect()} == {h: links.absolute(h, base) for h in hrefs}
 
 
 def test_links_algebra():
