@@ -34,6 +34,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # many small stores: don't reserve megabytes of log for each
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 PRINTS = "digest string, doc_id long, size int, file string, row long"
