@@ -99,11 +99,12 @@ def mismatches(spark: SparkSession, path: str, schema, state: DataFrame, number:
     """The digests under which some row's bytes differ from the kept one's. state: current(), written."""
     hits = state.filter("n > 1").select("digest", F.col("best.file").alias("kept_file"), F.bitwise_not("best.row").alias("kept_row"))
     texts = _read(spark.read, path, schema, number, text, bits).select("digest", "norm", "file", "row")
-    found = texts.join(hits, "digest")
     is_kept = (F.col("file") == F.col("kept_file")) & (F.col("row") == F.col("kept_row"))
-    kept = found.filter(is_kept).select("digest", F.col("norm").alias("kept"))
+    # written, as both sides of the comparison need it and plain exchanges let hot digests be split
+    found = stash(texts.join(hits, "digest").select("digest", "norm", is_kept.alias("is_kept")), "hits")
+    kept = found.filter("is_kept").select("digest", F.col("norm").alias("kept"))
     # a kept row that isn't where its locator says counts as different
-    return found.filter(~is_kept).join(kept, "digest", "left").filter("kept IS NULL OR norm <> kept").select("digest").distinct()
+    return found.filter("NOT is_kept").join(kept, "digest", "left").filter("kept IS NULL OR norm <> kept").select("digest").distinct()
 
 
 def resolve(spark: SparkSession, path: str, schema, home: str, number: str = "doc_id", text: str = "text", bits: int = 256) -> DataFrame:
