@@ -36,7 +36,7 @@ def parser() -> argparse.ArgumentParser:
         for o, kind in options.items():
             p.add_argument(f"--{o.replace('_', '-')}", type=kind)
 
-    for name in ("init", "status", "updater-status", "updater-profiles", "retry"):
+    for name in ("init", "status", "updater-status", "updater-profiles", "updater-queue", "retry"):
         command(name)
     command("seed", "csv")
     for name in ("specialties", "discover-targets", "updater-daily", "updater-snapshot"):
@@ -46,6 +46,10 @@ def parser() -> argparse.ArgumentParser:
     for name in ("cleanup-listing-html", "repair-trace-partials", "retry-zero-listings", "repair-profile-challenges", "repair-profile-redirects", "repair-listing-unavailable"):
         command(name, "captures", flags=("apply",))
     command("export", "captures", "out", flags=("allow-partial",), source_zip=str)
+    command("export-pages", "out")
+    command("updater-check", "captures")
+    command("updater-daemon", "captures", "checkpoint", flags=("once",), seconds=int)
+    command("interrupt", "run_id")
     command("export-delivery", "out", captures=str)
     command("derive", "csv", "out")
     command("zip-input", "csv", "out")
@@ -93,6 +97,21 @@ def run(w: Workspace, a: argparse.Namespace) -> int:
         _show(w.sync_status())
     elif c == "updater-profiles":
         _show({"jobs": w.normalize_jobs(w.open_run() or 0)})
+    elif c == "updater-queue":
+        _show({"queue": w.refresh_targets()})
+    elif c == "updater-check":
+        # what a snapshot would say, without keeping it
+        counts = captures.verified_counts(_urls(w, a.captures).select("url", "html", "specialty_slug"))
+        judged = w.check_counts(counts.filter("count IS NOT NULL").select("specialty_slug", F.col("url").alias("location_url"), F.col("count").alias("n")))
+        _show(judged)
+        return 0 if judged.filter("verdict = 'changed'").limit(1).count() == 0 else 2
+    elif c == "updater-daemon":
+        w.daemon(a.captures, a.checkpoint, None if a.once else a.seconds or 60)
+    elif c == "interrupt":
+        w.interrupt(int(a.run_id), now)
+    elif c == "export-pages":
+        for name, df in w.page_outputs().items():
+            files.write_csv(df, df.columns, f"{a.out}/{name}.csv")
     elif c == "retry":
         w.activate_retries()
     elif c == "seed":

@@ -20,6 +20,7 @@ from millrace.plans import providers, reports
 from millrace.sources import captures as C
 from millrace.sources import files
 from millrace.sources.store import Append, Lease, TableStore
+from millrace.streaming.ingest import ingest
 from millrace.upkeep import Upkeep
 
 _TS = T.TimestampType()
@@ -236,11 +237,10 @@ class Workspace(Upkeep):
             events=Append(events),
             canonical=diff.deactivate(canonical, moved.memberships, "doctor_url", at),
             run_locations=again,
-            runs=merge.merge(self.read("runs"), started, ["run_id"], {"status": "overwrite"}),
+            runs=self._finalized(merge.merge(self.read("runs"), started, ["run_id"], {"status": "overwrite"}), again, run_id, now),
             pages=pages,
             trace=trace.ingest(kept, rows),
         )
-        self.finalize_run(run_id, now)
         return result
 
     def prepare_profile_jobs(self, run_id: int, now: datetime.datetime, refresh_days: int = 30) -> DataFrame:
@@ -292,12 +292,26 @@ class Workspace(Upkeep):
         self._write(canonical=merge.merge(self.read("canonical"), new, ["doctor_url"], {"doctor_name": "backfill_blank", "profile_data": "overwrite", "profile_sha256": "overwrite", "profile_updated_at": "overwrite"}, insert=False))
         return {r.outcome: r["count"] for r in judged.groupBy("outcome").count().collect()}
 
-    def snapshot_counts(self, counts: DataFrame, now: datetime.datetime) -> DataFrame:
-        """Check advertised counts against the latest snapshots; every check is a snapshot, changes are queued once."""
+    def check_counts(self, counts: DataFrame) -> DataFrame:
+        """Advertised counts (specialty_slug, location_url, n) against the latest snapshots; nothing is kept."""
         keys = ["specialty_slug", "location_url"]
         latest = dedup.keep_first(self.read("snapshots"), keys, [F.desc("checked_at"), F.desc("n")])
         waiting = self.read("refresh_queue").filter("status IN ('pending', 'processing') AND reason = 'count_changed'")
-        judged = diff.count_changes(latest, counts, keys, waiting).cache()
+        return diff.count_changes(latest, counts, keys, waiting)
+
+    def daemon(self, folder: str, checkpoint: str, seconds: int | None) -> None:
+        """Take in captured listings as they arrive, each file once; None: what is there now, then stop."""
+        def take(batch: DataFrame, _: int) -> None:
+            at = batch.agg(F.max("captured_at")).first()[0]
+            if at is not None:
+                self.ingest_listings(batch.select("file", "html"), at)
+
+        ingest(self.spark, folder, checkpoint, take, seconds).awaitTermination()
+
+    def snapshot_counts(self, counts: DataFrame, now: datetime.datetime) -> DataFrame:
+        """Check advertised counts against the latest snapshots; every check is a snapshot, changes are queued once."""
+        keys = ["specialty_slug", "location_url"]
+        judged = self.check_counts(counts).cache()
         jobs = judged.filter("verdict = 'changed'").select(*keys, F.lit("count_changed").alias("reason"), F.lit("pending").alias("status"), self._at(now).alias("queued_at"))
         # first pages show the count that their target advertises now
         shown = counts.select(F.col("location_url").alias("url"), F.col("n").cast("int").alias("advertised_total")).dropDuplicates(["url"])

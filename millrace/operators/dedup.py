@@ -74,9 +74,3 @@ def ragged_pivot(df: DataFrame, group: str, value: str, columns: list[str]) -> D
     """A column for each group, its values top down in order; shorter ones end in nulls."""
     rn = F.row_number().over(Window.partitionBy(group).orderBy(value))
     return df.select(group, value).distinct().withColumn("rn", rn).groupBy("rn").pivot(group, columns).agg(F.first(value))
-
-
-def number_items(df: DataFrame, array: str, alias: str, index: str) -> DataFrame:
-    """One row an item, numbered from 1."""
-    kept = [c for c in df.columns if c != array]
-    return df.select(*kept, F.posexplode(array).alias(index, alias)).withColumn(index, F.col(index) + 1)

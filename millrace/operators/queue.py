@@ -80,10 +80,23 @@ def run_status(completed: Column, failed: Column, pending: Column, error: Column
     return F.when((completed == 0) & ((failed > 0) | (F.coalesce(error, F.lit("")) != "")), "failed").when((failed > 0) | (pending > 0), "partial").otherwise("complete")
 
 
-def claim_order(jobs: DataFrame, order: list[str | Column], limit: int | None = None) -> DataFrame:
-    """Pending jobs in order, the first few where a limit is asked for."""
-    out = jobs.filter("status = 'pending'").orderBy(*order)
-    return out if limit is None else out.limit(limit)
+def rounds(jobs: DataFrame, target: list[str], order: list[str | Column], after: tuple | None = None) -> DataFrame:
+    """Pending jobs with `round`: each target's first job is in round 1, its second in round 2, so no target waits for a larger one.
+
+    Inside a round targets follow each other; `later` is true for those up to `after`, the target served last, whose turn
+    comes after the others'. Jobs in the order (round, later, target) take up a schedule where it stopped.
+    """
+    place = F.row_number().over(Window.partitionBy(*target).orderBy(*order))
+    later = F.lit(False) if after is None else F.struct(*target) <= F.struct(*(F.lit(v).cast(jobs.schema[t].dataType).alias(t) for t, v in zip(target, after)))
+    return jobs.filter("status = 'pending'").withColumn("round", place).withColumn("later", later)
+
+
+def next_turns(jobs: DataFrame, target: list[str], order: list[str | Column], n: int, after: tuple | None = None) -> tuple[DataFrame, tuple | None]:
+    """The next n jobs of a fair schedule, and the target served last, to be kept as the next call's `after`."""
+    turn = ["round", "later", *target]
+    chosen = rounds(jobs, target, order, after).orderBy(*turn).limit(n)
+    last = chosen.orderBy(*(F.desc(c) for c in turn)).limit(1).select(*target).first()
+    return chosen, after if last is None else tuple(last)
 
 
 def reconcile(pages: DataFrame, captures: DataFrame, slug: str) -> DataFrame:

@@ -118,7 +118,3 @@ def repaired_challenges(profiles: DataFrame, rejected: DataFrame) -> DataFrame:
     out = profiles.join(bad, F.col("doctor_url") == F.col("_u"), "left")
     status = F.when(F.col("reason").isNull(), F.col("status")).when(F.col("reason").contains("404") | F.col("reason").contains("not found"), "unavailable").otherwise("pending")
     return out.withColumn("status", status).withColumn("last_error", F.coalesce("reason", "last_error")).drop("_u", "reason")
-
-
-def merged_targets(declared: DataFrame, seen: DataFrame) -> DataFrame:
-    return union_priority([declared, seen], ["specialty_slug", "location_url"])

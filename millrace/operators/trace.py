@@ -90,15 +90,6 @@ def by_specialty(df: DataFrame, trace: DataFrame, specialties: list[str], key: s
     return df.join(hits, F.col(key) == F.col("_d"), "left_semi")
 
 
-def by_page_specialty(pages: DataFrame, specialties: list[str]) -> DataFrame:
-    return pages.filter(matches_selector(specialties, F.col("specialty_url"), F.col("specialty_name"), F.col("specialty_slug")))
-
-
-def by_first_seen(df: DataFrame, registry: DataFrame, specialties: list[str], key: str = "doctor_url") -> DataFrame:
-    hits = registry.filter(matches_selector(specialties, F.col("first_seen_specialty_url"), F.col("first_seen_specialty_name"))).select(F.col("doctor_url").alias("_d"))
-    return df.join(hits, F.col(key) == F.col("_d"), "left_semi")
-
-
 def by_membership(df: DataFrame, memberships: DataFrame, specialties: list[str], key: str = "doctor_url") -> DataFrame:
     hits = memberships.filter(F.col("is_active") & matches_selector(specialties, F.col("specialty_slug"))).select(F.col("doctor_url").alias("_d")).distinct()
     return df.join(hits, F.col(key) == F.col("_d"), "left_semi")

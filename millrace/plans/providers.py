@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from millrace import schema
 from millrace.functions import values as V
+from millrace.functions import variants as X
 from millrace.functions.measures import row_fingerprint
 from millrace.operators import dedup, quality, trace
 
@@ -139,10 +140,12 @@ def payloads(rows: DataFrame, order: str = "loc_seq") -> DataFrame:
 def from_payloads(stored: DataFrame) -> DataFrame:
     """Stored profiles as published rows: doctor_url, loc_seq, the 35 columns and `error`.
 
-    A row that has a location of its own passes; one that only nests `locations` gives a row for each. What can't
+    A payload is an array of rows or one row, as JSON text or such a text quoted once more. A row that has a location of its own passes; one that only nests `locations` gives a row for each. What can't
     be used is a row with an error: unreadable, empty, unnamed or without a location.
     """
-    parsed = stored.select("doctor_url", "profile_data", F.from_json("profile_data", T.ArrayType(schema.FINAL)).alias("rows"))
+    held = X.payload(F.col("profile_data"))
+    array = F.when(X.shape(held) == "object", F.concat(F.lit("["), F.to_json(held), F.lit("]"))).otherwise(F.to_json(held))
+    parsed = stored.select("doctor_url", "profile_data", F.from_json(array, T.ArrayType(schema.FINAL)).alias("rows"))
     flat = parsed.select("doctor_url", F.col("rows").isNull().alias("_bad"), F.posexplode_outer("rows").alias("_seq", "r"))
     own = F.exists(F.array(*(V.text(F.col(f"r.{c}")) for c in ("location_id", "address_line_1", "city", "postal_code"))), lambda x: x != "")
     inner = F.when(~F.coalesce(own, F.lit(False)) & (F.size("r.locations") > 0), F.col("r.locations"))
@@ -165,39 +168,6 @@ def reviewed(cohort: DataFrame, overrides_: DataFrame) -> DataFrame:
     return cohort.join(instead, F.col("doctor_url") == F.col("_a"), "left").withColumn("doctor_url", F.coalesce("_d", "doctor_url")).drop("_a", "_d").distinct()
 
 
-def upsert_sql(table: str, staging: str, columns: list[str], keys: list[str], least: tuple[str, ...] = (), insert_only: bool = False) -> str:
-    """The statement that merges a staging table into one of PostgreSQL, in one transaction with the others."""
-    q = lambda c: f'"{c}"'
-    sets = [f"{q(c)} = LEAST({table}.{q(c)}, EXCLUDED.{q(c)})" if c in least else f"{q(c)} = EXCLUDED.{q(c)}" for c in columns if c not in keys]
-    action = f"DO UPDATE SET {', '.join(sets)}" if sets and not insert_only else "DO NOTHING"
-    names = ", ".join(map(q, columns))
-    return f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} ON CONFLICT ({', '.join(map(q, keys))}) {action}"
-
-
-def publish_jdbc(batch: dict[str, tuple[DataFrame, list[str]]], url: str, properties: dict[str, str], prefix: str = "") -> list[str]:
-    """Write a projection to PostgreSQL: staging tables by all executors, then one transaction that merges them in key order.
-
-    Returns the statements. Needs the database's JDBC driver on the class path.
-    """
-    statements = []
-    spark = next(iter(batch.values()))[0].sparkSession
-    for name, (df, keys) in batch.items():
-        df.write.mode("overwrite").jdbc(url, f"{prefix}staging_{name}", properties=properties)
-        statements.append(upsert_sql(prefix + name, f"{prefix}staging_{name}", df.columns, keys, ("first_seen_at",), name == "events"))
-    settings = spark._jvm.java.util.Properties()
-    for k, v in properties.items():
-        settings.setProperty(k, v)
-    connection = spark._jvm.java.sql.DriverManager.getConnection(url, settings)
-    try:
-        connection.setAutoCommit(False)
-        for s in statements:
-            connection.createStatement().execute(s)
-        connection.commit()
-    finally:
-        connection.close()
-    return statements
-
-
 def delivery(cohort: DataFrame, rows: DataFrame, open_pages: DataFrame, review: DataFrame) -> dict[str, DataFrame]:
     """Per specialty: rows without duplicates, conflicting duplicates counted, and whether all is ready.
 

@@ -95,8 +95,8 @@ def stream_first_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = TableStore(spark, scratch(spark, "first"))
     for attempt in ("a", "b"):
         events = ingest.event_stream(spark, sf_dir, "events.parquet", read(spark, sf_dir, "events").schema)
-        merged = first_write(store, "t", ["user_id"])
-        first = lambda batch, n, merged=merged: merged(batch.groupBy("user_id").agg(F.min("event_id").alias("event_id")), n)
+        merged = first_write(store, "t", ["user_id"], ["event_id"])
+        first = lambda batch, n, merged=merged: merged(batch.select("user_id", "event_id"), n)
         events.writeStream.foreachBatch(first).option("checkpointLocation", scratch(spark, f"first-{attempt}")).trigger(availableNow=True).start().awaitTermination()
     return store.read("t")
 

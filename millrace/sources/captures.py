@@ -149,6 +149,20 @@ def verified_counts(df: DataFrame) -> DataFrame:
 # ---- finding captures
 
 
+def write_index(captures: DataFrame, path: str, tasks: int = 32) -> None:
+    """Captures as a table to look names up in: ranges of names, sorted, with a bloom filter for each row group.
+
+    A name is then read from the one or two row groups that can hold it, instead of a listing of the whole folder.
+    """
+    options = {"parquet.bloom.filter.enabled#file": "true", "parquet.bloom.filter.expected.ndv#file": "100000", "parquet.block.size": str(16 << 20)}
+    captures.repartitionByRange(tasks, "file").sortWithinPartitions("file").write.mode("overwrite").options(**options).parquet(path)
+
+
+def looked_up(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """The captures of a few names from an index: the filter reaches the files, whose footers and bloom filters skip the rest."""
+    return spark.read.parquet(path).filter(F.col("file").isin(names) if len(names) > 1 else F.col("file") == names[0])
+
+
 def listing_captures(pages_df: DataFrame, captures: DataFrame) -> DataFrame:
     """pages with the capture under their slug, where there is one."""
     return pages_df.withColumn("_slug", U.safe_slug(F.col("url"))).join(captures.withColumnRenamed("file", "_file"), F.col("_slug") == F.col("_file"), "left").drop("_slug").withColumnRenamed("_file", "file")

@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,10 +81,24 @@ def read_manifests(spark: SparkSession, pattern: str) -> DataFrame:
 
 def read_metrics(spark: SparkSession, pattern: str, command: str | None = None) -> DataFrame:
     """Metrics rows with the file they came from and their place in it."""
-    df = spark.read.option("header", True).csv(pattern).withColumn("file", F.col("_metadata.file_name")).withColumn("seq", F.monotonically_increasing_id())
+    df = in_place(spark.read.option("header", True).csv(pattern), "seq")
     return df.filter(F.col("command") == command) if command else df
 
 
+def in_place(df: DataFrame, place: str, file: str = "file") -> DataFrame:
+    """Rows of text files with their file's name and their place in it, from 0, however the files were split and dealt out.
+
+    Rows of one split come in order, so a row's place in it is known by itself; the splits before it are counted. df must
+    read files and nothing else. A file's splits are few, so their running count is no work.
+    """
+    told = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias(file), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"))
+    splits = told.groupBy("_path", "_start").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(F.col("_path").alias("_p"), F.col("_start").alias("_s"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = told.join(splits, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
+    return placed.withColumn(place, F.col("_id") - F.col("_first") + F.col("_before")).drop("_path", "_start", "_id", "_p", "_s", "_first", "_before")
+
+
 def latest_per_file(metrics: DataFrame) -> DataFrame:
     """The last row of each file."""
     return metrics.groupBy("file").agg(F.max_by(F.struct(*(c for c in metrics.columns if c != "file")), "seq").alias("r")).select("file", "r.*")
@@ -188,19 +202,22 @@ def write_pair(df: DataFrame, columns: list[str], folder: str, name: str) -> int
     Nested values are JSON text in CSV and stay nested in JSON; NaN is not allowed.
     """
     spark = df.sparkSession
-    data = df.select(*columns)
+    data, seen = df.select(*columns), Observation()
     numbers = [f.name for f in data.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    for c in numbers:
-        if data.filter(F.isnan(c)).limit(1).count():
-            raise ValueError(f"{c} holds NaN")
-    write_csv(data, columns, f"{folder}/{name}.csv")
+    # what is written is counted as it is written
+    written = data.observe(seen, F.count(F.lit(1)).alias("n"), *(F.count_if(F.isnan(c)).alias(c) for c in numbers))
+    write_csv(written, columns, f"{folder}/{name}.csv")
+    if bad := [c for c in numbers if seen.get[c]]:
+        raise ValueError(f"{', '.join(bad)} holds NaN")
     data.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{name}.json")
     as_text = read_text_csv(spark, f"{folder}/{name}.csv").select(*columns)
     back = as_cells(spark.read.schema(data.schema).json(f"{folder}/{name}.json"), columns)
-    n = data.count()
-    if as_text.exceptAll(back).limit(1).count() or back.exceptAll(as_text).limit(1).count() or as_text.count() != n:
+    # rows of both, counted and summed by two hashes, in whatever order
+    mark = lambda rows: rows.agg(F.count("*"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.sum(F.hash(*columns).cast("long")))
+    sides = mark(as_text).unionAll(mark(back)).collect()
+    if sides[0] != sides[1] or sides[0][0] != seen.get["n"]:
         raise ValueError(f"{name}: the two files differ")
-    return n
+    return sides[0][0]
 
 
 def xlsx_bytes(sheets: dict[str, list[list[str | int | None]]]) -> bytes:

@@ -6,7 +6,8 @@ that is run again changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,19 @@ def deduplicated(events: DataFrame, keys: list[str]) -> DataFrame:
     return events.dropDuplicatesWithinWatermark(keys)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings of a session for what starts inside; streams keep those that they started with."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def drain(df: DataFrame, checkpoint: str, out: str, mode: str = "append") -> None:
     """Process all that is there now, then stop; append writes Parquet, complete replaces it."""
     if mode == "append":
@@ -42,9 +56,13 @@ def drain(df: DataFrame, checkpoint: str, out: str, mode: str = "append") -> Non
     query.awaitTermination()
 
 
-def ingest(spark: SparkSession, folder: str, checkpoint: str, merge: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    """New HTML files as batches of file, html, bytes, captured_at, each handed to merge once it is complete."""
+def ingest(spark: SparkSession, folder: str, checkpoint: str, merge: Callable[[DataFrame, int], None], seconds: int | None = None) -> StreamingQuery:
+    """New HTML files as batches of file, html, bytes, captured_at, each handed to merge once it is complete.
+
+    seconds: look for files that often until the query is stopped; None: what is there now.
+    """
     files = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.html").load(folder)
     meta = F.col("_metadata")
     rows = files.select(meta["file_name"].alias("file"), F.col("value").alias("html"), meta["file_size"].alias("bytes"), meta["file_modification_time"].alias("captured_at"))
-    return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    trigger = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
+    return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -5,22 +5,25 @@ Repairs only say what they would change unless `apply` is given.
 
 from __future__ import annotations
 
-import csv
 import datetime
-import io
 import json
 import shutil
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace import schema
 from millrace.functions import url as U
 from millrace.operators import merge, queue, repairs, summaries, trace
+from millrace.operators.buckets import BucketedTable
 from millrace.plans import providers, reports
 from millrace.sources import captures as C
 from millrace.sources import files
 from millrace.sources.store import Append
+from millrace.streaming.progress import Counted, Event, counted
 
 
 class Upkeep:
@@ -90,16 +93,22 @@ class Upkeep:
         sheet = lambda df: [list(df.columns), *([None if v is None else v if isinstance(v, int) else str(v) for v in r] for r in df.collect())]
         files.write_bytes(uri, files.xlsx_bytes({"zip_input": sheet(got["wide"]), "counts": sheet(got["counts"]), "conflicts": sheet(got["conflicts"])}))
 
-    def publish(self, run_uuid: str, folder: str) -> dict[str, DataFrame]:
-        """Merge the workspace's state into a warehouse of Parquet tables; a PostgreSQL one is `providers.publish_jdbc` on the same batch."""
-        from millrace.sources.store import TableStore
+    def publish(self, run_uuid: str, folder: str, buckets: int = 64) -> dict[str, DataFrame]:
+        """Merge the workspace's state into a warehouse of bucketed tables; a database's is `sources.jdbc.publish` on the same batch.
 
-        warehouse = TableStore(self.spark, folder)
-        batch = self.projection(run_uuid)
-        have = warehouse.state()
-        after = providers.project({n: warehouse.read(n) for n in batch if n in have}, batch)
-        warehouse.commit(after)
-        return {n: warehouse.read(n) for n in batch}
+        Tables are merged in the order that foreign keys ask for; a publication that was interrupted is run again.
+        """
+        out = {}
+        for name, (df, keys) in self.projection(run_uuid).items():
+            table = BucketedTable(self.spark, f"{folder.rstrip('/')}/{name}", keys, buckets)
+            if not table.exists():
+                table.create(df)
+            elif name == "events":
+                table.insert_missing(df)
+            else:
+                table.upsert(df, {c: "least" if c == "first_seen_at" else "overwrite" for c in df.columns if c not in keys})
+            out[name] = table.read()
+        return out
 
     def projection(self, run_uuid: str) -> dict[str, tuple[DataFrame, list[str]]]:
         """The five warehouse tables with their keys, in the order that foreign keys ask for."""
@@ -111,13 +120,16 @@ class Upkeep:
 
     def finalize_run(self, run_id: int, now: datetime.datetime, error: str | None = None) -> DataFrame:
         """A run's counts, status and whether all that could be collected was."""
-        base = self.read("runs")
-        one = base.filter(F.col("run_id") == run_id).select("run_id", F.lit(error).cast("string").alias("error"))
-        done = reports.finalize(one, self.read("run_locations").na.fill(0), self.read("jobs")).withColumn("finished_at", self._at(now))
-        rules = dict.fromkeys(("status", "finished_at", "error", "completed", "failed", "pending", "n_added", "n_removed", "jobs_failed", "jobs_pending", "collection_resolved"), "overwrite")
-        self._write(runs=merge.merge(base, done, ["run_id"], rules, insert=False))
+        self._write(runs=self._finalized(self.read("runs"), self.read("run_locations"), run_id, now, error))
         return self.read("runs").filter(F.col("run_id") == run_id)
 
+    def _finalized(self, runs: DataFrame, locations: DataFrame, run_id: int, now: datetime.datetime, error: str | None = None) -> DataFrame:
+        """runs with what the targets' results and the jobs say of one of them."""
+        one = runs.filter(F.col("run_id") == run_id).select("run_id", F.lit(error).cast("string").alias("error"))
+        done = reports.finalize(one, locations.na.fill(0), self.read("jobs")).withColumn("finished_at", self._at(now))
+        rules = dict.fromkeys(("status", "finished_at", "error", "completed", "failed", "pending", "n_added", "n_removed", "jobs_failed", "jobs_pending", "collection_resolved"), "overwrite")
+        return merge.merge(runs, done, ["run_id"], rules, insert=False)
+
     def reconcile_run(self, run_id: int, apply: bool = False) -> DataFrame:
         """What an interrupted run reached; with apply its status says so. Nothing is declared complete here."""
         base = self.read("runs")
@@ -178,6 +190,25 @@ class Upkeep:
         row = self.spark.createDataFrame([(now, command, event, json.dumps(counts, sort_keys=True))], "event_at timestamp, command string, event string, counts string")
         self._write(progress=Append(row))
 
+    @contextmanager
+    def watched(self, command: str, now: datetime.datetime) -> Iterator[Counted]:
+        """Frames that are watched inside are counted by Spark as they are used; the events go to the progress table in one commit."""
+        events: list[Event] = []
+        try:
+            with counted(command, events.append) as work:
+                yield work
+        finally:
+            rows = [(now, command, e["event"], json.dumps({k: v for k, v in e.items() if k not in ("command", "event")}, sort_keys=True)) for e in events]
+            self._write(progress=Append(self.spark.createDataFrame(rows, "event_at timestamp, command string, event string, counts string")))
+
+    def page_outputs(self) -> dict[str, DataFrame]:
+        """Page queue, provider links, location summary and profile queue."""
+        return providers.page_outputs(self.read("pages"), self.read("doctors"), self.read("doctor_sources"), self.read("profiles"))
+
+    def refresh_targets(self) -> DataFrame:
+        """Targets whose advertised counts changed, oldest first, as the queue has them."""
+        return self.read("refresh_queue").filter("status IN ('pending', 'processing')").orderBy("queued_at", "specialty_slug", "location_url")
+
     def log(self, uri: str, columns: list[str], rows: list[list[str]]) -> None:
         """Append to a small CSV log (captures, redirects, runtimes), whose header may be older."""
         files.append_upgraded(self.spark, uri, columns, rows)
@@ -304,8 +335,3 @@ class Upkeep:
         cells = [list(r) for r in files.as_cells(rows, schema.FINAL_COLUMNS).collect()]
         p = parsed.select("error", "profile.state_found", "profile.provider_found", F.size("profile.locations").alias("n_locations")).first()
         return files.csv_bytes(cells, schema.FINAL_COLUMNS), p.asDict()
-
-
-def parse_log(data: bytes) -> list[dict[str, str]]:
-    """Rows of a small CSV log."""
-    return list(csv.DictReader(io.StringIO(data.decode("utf-8-sig"), newline="")))

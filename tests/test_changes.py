@@ -181,3 +181,17 @@ def test_unique_match_drops_ambiguity(spark):
     right = spark.createDataFrame([("x-1",), ("y-1",), ("y-2",)], "b string")
     got = summaries.unique_match(left, right, F.col("a"), F.substring_index("b", "-", 1), "b").collect()
     assert [(r.a, r.matched_b) for r in got] == [("x", "x-1")]
+
+
+def test_fair_rounds_take_up_where_they_stopped(spark):
+    """A target with many jobs waits for the others in every round; the next run goes on after the target served last."""
+    jobs = spark.createDataFrame([("big", k, "pending") for k in range(6)] + [("mid", k, "pending") for k in range(2)] + [("one", 0, "pending"), ("one", 1, "saved")], "t string, k int, status string")
+    first, after = queue.next_turns(jobs, ["t"], ["k"], 2)
+    assert [(r.t, r.k) for r in first.collect()] == [("big", 0), ("mid", 0)] and after == ("mid",)
+    left = jobs.join(first.select("t", "k"), ["t", "k"], "left_anti")
+    second, after = queue.next_turns(left, ["t"], ["k"], 4, after)
+    assert [(r.t, r.k) for r in second.collect()] == [("one", 0), ("big", 1), ("mid", 1), ("big", 2)] and after == ("big",)
+    left = left.join(second.select("t", "k"), ["t", "k"], "left_anti")
+    third, again = queue.next_turns(left, ["t"], ["k"], 10, after)
+    assert [(r.t, r.k) for r in third.collect()] == [("big", 3), ("big", 4), ("big", 5)] and again == ("big",)
+    assert queue.next_turns(left.limit(0), ["t"], ["k"], 3, again)[1] == ("big",)

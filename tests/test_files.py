@@ -52,7 +52,7 @@ def test_commits_change_tables_together(spark, tmp_path, monkeypatch):
 
 def test_first_write_wins(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
-    merge = first_write(store, "t", ["k"])
+    merge = first_write(store, "t", ["k"], ["v"])
     rows = lambda *r: spark.createDataFrame(list(r), "k int, v string")
     for batch in (rows((1, "a"), (2, "b")), rows((1, "a"), (2, "b")), rows((2, "late"), (3, "c"), (3, "c"))):
         merge(batch, 0)
@@ -155,3 +155,39 @@ def test_captures_are_ingested_once(spark, tmp_path):
 def test_declared_schema_fills_and_keeps(spark):
     df = files.declared(spark.createDataFrame([("u", "2", "x")], "url string, page_no string, extra string"), "pages")
     assert df.columns[-1] == "extra" and df.first().page_no == 2 and df.first().status is None
+
+
+def test_rows_know_their_place_in_a_split_file(spark, tmp_path):
+    """Two files, each in many splits, several of them in a task; the last row is the last one."""
+    for name, n in (("a", 4000), ("b", 2500)):
+        (tmp_path / f"{name}.csv").write_text("v,w\n" + "".join(f"{k},{'x' * (k % 50)}\n" for k in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        df = files.in_place(spark.read.option("header", True).csv(str(tmp_path / "*.csv")), "seq")
+        rows = df.withColumn("split", F.spark_partition_id()).collect()
+        last = files.latest_per_file(files.read_metrics(spark, str(tmp_path / "*.csv"))).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 6500 and all(int(r.v) == r.seq for r in rows) and {r.file for r in rows} == {"a.csv", "b.csv"}
+    assert {(r.file, r.v) for r in last} == {("a.csv", "3999"), ("b.csv", "2499")}
+
+
+def test_names_are_looked_up_in_few_row_groups(spark, tmp_path):
+    """The rows that a scan hands on are those of the groups that can hold the name; a name that isn't there reads none."""
+    held = spark.range(60_000).select(F.concat(F.lit("page-"), F.sha2(F.col("id").cast("string"), 256), F.lit(".html")).alias("file"), F.col("id").alias("k"))
+    captures.write_index(held, str(tmp_path / "i"), 6)
+    one = held.filter("k = 77").first().file
+
+    def scanned(names):
+        df = captures.looked_up(spark, str(tmp_path / "i"), names)
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return rows, leaf.metrics().get("numOutputRows").get().value(), plan
+
+    rows, n, plan = scanned([one])
+    assert [r.k for r in rows] == [77] and 0 < n <= 20_000 and "PushedFilters: [IsNotNull(file), EqualTo(file" in plan
+    rows, n, _ = scanned(["page-" + "0" * 64 + ".html"])
+    assert rows == [] and n == 0
+    assert {r.k for r in scanned([one, held.filter("k = 59999").first().file])[0]} == {77, 59999}

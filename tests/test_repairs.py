@@ -94,11 +94,9 @@ def test_payloads_come_back(spark):
     assert sorted(map(repr, rows.select(*keep).collect())) == sorted(map(repr, back.select(*keep).collect())) and back.filter("error IS NOT NULL").count() == 0
 
 
-def test_reviewed_aliases_and_statements(spark):
+def test_reviewed_aliases(spark):
     cohort = df(spark, "specialty_slug string, doctor_url string", ("s", "old"), ("s", "new"), ("s", "else"))
     assert got(providers.reviewed(cohort, df(spark, "alias string, doctor_url string", ("old", "new"), ("new", "new"))), "doctor_url") == {("new",), ("else",)}
-    assert providers.upsert_sql("t", "s", ["k", "first_seen_at", "n"], ["k"], ("first_seen_at",)) == 'INSERT INTO t ("k", "first_seen_at", "n") SELECT "k", "first_seen_at", "n" FROM s ON CONFLICT ("k") DO UPDATE SET "first_seen_at" = LEAST(t."first_seen_at", EXCLUDED."first_seen_at"), "n" = EXCLUDED."n"'
-    assert providers.upsert_sql("t", "s", ["k", "n"], ["k"], insert_only=True).endswith("DO NOTHING")
 
 
 def test_projection_keeps_earliest_times_and_events_once(spark):

@@ -182,3 +182,74 @@ def test_repairs_and_cleaning_up(spark, tmp_path):
         w.guard_space(1 << 60)
     (tmp_path / "log.csv").write_text("specialty_slug,seconds,processed\ndentists,60,2\nother,5,1\n")
     assert w.specialty_runtime(str(tmp_path / "log.csv"), "dentists").first().rate == 2.0
+
+
+def test_publications_merge_into_bucketed_tables(spark, tmp_path):
+    """The second publication rewrites what changed, keeps the earliest sightings, and adds events once."""
+    w = Workspace(spark, str(tmp_path / "w"))
+    w.init()
+    w.daily(batch(spark, (1, ["ann-1", "bob-2"])), 1, T1, confirmations=1)
+    first = w.publish("u1", str(tmp_path / "house"), 8)
+    assert first["providers"].count() == 2 and first["events"].count() == 2
+    w.daily(batch(spark, (1, ["ann-1", "cy-3"])), 2, T2, confirmations=1)
+    again = w.publish("u2", str(tmp_path / "house"), 8)
+    got = {r.doctor_url.rsplit("/", 1)[1]: (r.is_active, r.first_seen_at) for r in again["providers"].collect()}
+    assert got == {"ann-1": (True, T1), "bob-2": (False, T1), "cy-3": (True, T2)}
+    n = again["events"].count()
+    assert w.publish("u2", str(tmp_path / "house"), 8)["events"].count() == n and again["runs"].count() == 2
+    assert main(["--workspace", str(tmp_path / "w"), "publish", str(tmp_path / "house"), "u2"], spark) == 0
+
+
+def test_a_daily_run_is_one_commit(spark, tmp_path):
+    w = Workspace(spark, str(tmp_path))
+    w.init()
+    before = w.store.commit_number()
+    w.daily(batch(spark, (1, ["ann-1"])), 1, T1)
+    assert w.store.commit_number() == before + 1
+    run = w.read("runs").first()
+    assert (run.run_id, run.status, run.completed, run.finished_at) == (1, "complete", 1, T1)
+
+
+def test_watched_commands_leave_their_counts(spark, tmp_path):
+    w = Workspace(spark, str(tmp_path))
+    w.init()
+    with w.watched("export", T1) as work:
+        work.watch(spark.range(42), "rows").count()
+    with pytest.raises(RuntimeError), w.watched("export", T2):
+        raise RuntimeError
+    said = [(r.event, json.loads(r.counts).get("rows"), json.loads(r.counts).get("error")) for r in w.read("progress").orderBy("event_at", F.desc("event")).collect()]
+    assert sorted(said, key=str) == sorted([("start", None, None), ("batch", 42, None), ("done", 42, None), ("start", None, None), ("failed", None, "RuntimeError")], key=str)
+
+
+def test_checks_queue_and_daemon(spark, tmp_path, capsys):
+    """A check keeps nothing; a snapshot queues what changed; the daemon takes each file once, also after a restart."""
+    root, held = str(tmp_path / "w"), tmp_path / "held"
+    w = Workspace(spark, root)
+    w.init()
+    (tmp_path / "seed.csv").write_text(f"url,state_group,location,specialty_slug\n{PAGE},XY,Springfield,dentists\n")
+    w.seed(str(tmp_path / "seed.csv"), T1)
+    held.mkdir()
+    name = slug(spark, PAGE)
+    (held / name).write_text(LISTING)
+    run = lambda *a: main(["--workspace", root, "--now", "2024-01-05T00:00:00", *a], spark)
+    assert run("updater-check", str(held)) == 0 and w.read("snapshots").count() == 0
+    assert run("updater-snapshot", str(held)) == 0 and w.read("snapshots").count() == 1
+    (held / name).write_text(LISTING.replace("12 verified", "14 verified"))
+    assert run("updater-check", str(held)) == 2 and w.read("refresh_queue").count() == 0
+    assert run("updater-snapshot", str(held)) == 0 and [r.location_url for r in w.refresh_targets().collect()] == [PAGE]
+    capsys.readouterr()
+    assert run("updater-queue") == 0 and "count_changed" in capsys.readouterr().out
+    assert run("updater-daemon", str(held), str(tmp_path / "c"), "--once") == 0 and w.read("trace").count() == 2
+    commits = w.store.commit_number()
+    assert run("updater-daemon", str(held), str(tmp_path / "c"), "--once") == 0 and w.store.commit_number() == commits
+    assert run("export-pages", str(tmp_path / "pages")) == 0
+    queue_rows = (tmp_path / "pages" / "page_queue.csv").glob("part-*.csv")
+    assert sum(len(p.read_text().splitlines()) - 1 for p in queue_rows) == w.read("pages").count() == 3
+
+
+def test_interrupted_runs_are_marked(spark, tmp_path):
+    w = Workspace(spark, str(tmp_path))
+    w.init()
+    w._write(runs=spark.createDataFrame([(5, "running", T1), (4, "complete", T1)], "run_id long, status string, started_at timestamp"))
+    assert main(["--workspace", str(tmp_path), "--now", "2024-01-05T00:00:00", "interrupt", "5"], spark) == 0
+    assert {r.run_id: r.status for r in w.read("runs").collect()} == {5: "interrupted", 4: "complete"}
