@@ -52,10 +52,10 @@ class Workspace(Upkeep):
 
     # ---- tables
 
-    def init(self) -> None:
-        """Empty state tables, where there are none yet."""
+    def init(self, *names: str) -> None:
+        """Empty state tables, where there are none yet: all, or those that are named."""
         have = self.store.state()
-        if missing := {name: self.spark.createDataFrame([], kind) for name, kind in TABLES.items() if name not in have}:
+        if missing := {name: self.spark.createDataFrame([], kind) for name, kind in TABLES.items() if name not in have and (not names or name in names)}:
             self.store.commit(missing)
 
     def read(self, name: str) -> DataFrame:
