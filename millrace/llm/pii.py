@@ -19,6 +19,7 @@ pass through, and one named `spans` is replaced; an empty table gives an empty r
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 import unicodedata
@@ -122,15 +123,16 @@ class Tape:
         return (start, end) if self.spans is None else (self.spans[start][0], self.spans[end - 1][1])
 
 
-#: A character written as an HTML entity.
-ENTITY = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|commat|period|plus|hyphen|lowbar|nbsp|lpar|rpar|lbrack|rbrack);")
+#: A character written as an HTML entity; zeros may lead its number, and no character has one of more figures than these.
+ENTITY = re.compile(r"&(?:#0*(?P<ten>[0-9]{1,7})|#[xX]0*(?P<hex>[0-9A-Fa-f]{1,6})|(?P<name>commat|period|plus|hyphen|lowbar|nbsp|lpar|rpar|lbrack|rbrack));")
 
 
 def entities(text: str) -> Tape:
     """The text with entities as the one character that each stands for."""
     out, spans, at = [], [], 0
     for m in ENTITY.finditer(text):
-        if len(c := html.unescape(m[0])) == 1:
+        short = f"&#{m['ten']};" if m["ten"] else f"&#x{m['hex']};" if m["hex"] else m[0]
+        if len(c := html.unescape(short)) == 1:
             out += [text[at : m.start()], c]
             spans += [*((k, k + 1) for k in range(at, m.start())), m.span()]
             at = m.end()
@@ -156,21 +158,33 @@ def letters(text: str) -> Tape:
 BLANKS = 3
 _B = rf"\s{{0,{BLANKS}}}"
 OPEN, SHUT = rf"[(\[{{<]{_B}", rf"{_B}[)\]}}>]"
-BRACKET_AT = rf"{_B}{OPEN}(?:at|@|arroba|arobase){SHUT}{_B}"
-BRACKET_DOT = rf"{_B}{OPEN}(?:dot|\.|punto|point|punkt){SHUT}{_B}"
+#: What an at-sign and a dot are called, by language. Where neither is in brackets both must be of one language: "at this point in" is no address.
+LANGUAGES = {"English": ("at", "dot"), "Spanish": ("arroba", "punto"), "French": ("arobase", "point"), "German": ("at", "punkt")}
+AT_WORDS, DOT_WORDS = ("|".join(dict.fromkeys(words)) for words in zip(*LANGUAGES.values()))
+DOTS_OF = {at: "|".join(dot for a, dot in LANGUAGES.values() if a == at) for at in AT_WORDS.split("|")}
+BRACKET_AT = rf"{_B}{OPEN}(?:@|{AT_WORDS}){SHUT}{_B}"
+BRACKET_DOT = rf"{_B}{OPEN}(?:\.|{DOT_WORDS}){SHUT}{_B}"
 _SOME = rf"\s{{1,{BLANKS}}}"
-WORD_AT, WORD_DOT = rf"(?:{_SOME}at{_SOME}|_at_)", rf"(?:{_SOME}dot{_SOME}|_dot_)"
+
+
+def _bare(words: str) -> str:
+    """One of some words between blanks or underscores."""
+    return rf"(?:{_SOME}(?:{words}){_SOME}|_(?:{words})_)"
+
+
+WORD_AT, WORD_DOT = _bare(AT_WORDS), _bare(DOT_WORDS)
 SPACED_AT = rf"{_SOME}@{_B}|@{_SOME}"
 LABEL = r"[A-Za-z0-9-]++"
-#: What stands on the right of an at-sign's disguise, and on the left of it (read backwards).
-AFTER_BRACKET = re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{WORD_DOT}|\.){LABEL})++", re.I)
-AFTER_WORD = re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{WORD_DOT}|\.){LABEL})*(?:{BRACKET_DOT}|{WORD_DOT}){LABEL}", re.I)
-AFTER_SPACED = re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{WORD_DOT}|\s\.\s|\.){LABEL})++", re.I)
-BEFORE = regex.compile(rf"(?r)[A-Za-z0-9_%+-]++(?:(?:{BRACKET_DOT}|{WORD_DOT}|\.)[A-Za-z0-9_%+-]++)*", regex.I)
+#: What stands on the right of an at-sign's disguise, and on the left of it (read backwards), by the word for the sign.
+AFTER_BRACKET = {at: re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{_bare(dots)}|\.){LABEL})++", re.I) for at, dots in DOTS_OF.items()}
+AFTER_WORD = {at: re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{_bare(dots)}|\.){LABEL})*(?:{BRACKET_DOT}|{_bare(dots)}){LABEL}", re.I) for at, dots in DOTS_OF.items()}
+AFTER_SPACED = re.compile(rf"{LABEL}(?:(?:{BRACKET_DOT}|{_bare(DOTS_OF['at'])}|\s\.\s|\.){LABEL})++", re.I)
+BEFORE = {at: regex.compile(rf"(?r)[A-Za-z0-9_%+-]++(?:(?:{BRACKET_DOT}|{_bare(dots)}|\.)[A-Za-z0-9_%+-]++)*", regex.I) for at, dots in DOTS_OF.items()}
+AT_NAME = re.compile(AT_WORDS, re.I)
 AT_SIGN = re.compile(rf"({BRACKET_AT})|({WORD_AT})|({SPACED_AT})|@", re.I)
 ANY_DOT = re.compile(rf"{BRACKET_DOT}|{WORD_DOT}|\s?\.\s?", re.I)
-MAYBE_AT = re.compile(rf"{OPEN}(?:at|@|arroba|arobase){SHUT}|\s@|@\s", re.I)
-MAYBE_DOT = re.compile(rf"{OPEN}(?:dot|\.|punto|point|punkt){SHUT}|[\s_]dot[\s_]", re.I)
+MAYBE_AT = re.compile(rf"{OPEN}(?:@|{AT_WORDS}){SHUT}|\s@|@\s", re.I)
+MAYBE_DOT = re.compile(rf"{OPEN}(?:\.|{DOT_WORDS}){SHUT}|[\s_](?:{DOT_WORDS})[\s_]", re.I)
 
 
 def _ends_domain(piece: str, spaced: bool) -> bool:
@@ -188,11 +202,12 @@ def disguised_emails(text: str) -> Iterator[tuple[int, int]]:
     for m in AT_SIGN.finditer(text):
         if m[2] and not dots or not (m[1] or m[2] or m[3] or dots) or m.start() < done:
             continue
-        after = (AFTER_BRACKET if m[1] else AFTER_SPACED if m[3] else AFTER_WORD).match(text, m.end())
+        at = named[0].lower() if (named := AT_NAME.search(m[0])) else "at"
+        after = (AFTER_BRACKET[at] if m[1] else AFTER_SPACED if m[3] else AFTER_WORD[at]).match(text, m.end())
         if m[0] == "@" and not after:
-            after = AFTER_BRACKET.match(text, m.end())
+            after = AFTER_BRACKET[at].match(text, m.end())
         # what precedes a sign is read backwards from it, as far as it goes
-        if after and _ends_domain(after[0], bool(m[3])) and (before := BEFORE.match(text, done, m.start())):
+        if after and _ends_domain(after[0], bool(m[3])) and (before := BEFORE[at].match(text, done, m.start())):
             yield before.start(), after.end()
             done = after.end()
 
@@ -206,7 +221,7 @@ GAP = rf"[\s,./()_–-]{{0,{BLANKS}}}"
 TOKEN = re.compile(rf"(?P<name>\b(?:{_NAME})\b)|(?P<times>\b(?:double|triple)\b)|(?P<plus>\bplus\b|\+)|(?P<dot>{BRACKET_DOT}|{WORD_DOT}|\b(?:dot|point)\b)|(?P<digits>[0-9]+)|(?P<sep>[\s,./()_–-])", re.I)
 _FIGURE = r"(?<![0-9])[0-9]++"  # from its first digit only, so that a long figure is looked at once
 RUN = re.compile(rf"(?:(?:\bplus\b|\+){GAP})?(?:\b(?:{_NAME}|double|triple|dot|point)\b|{_FIGURE}|{BRACKET_DOT})(?:{GAP}(?:\b(?:{_NAME}|double|triple|dot|point)\b|{_FIGURE}|{BRACKET_DOT}))+", re.I)
-_WORD = rf"(?:\b(?:{_NAME}|double|triple|dot|point)\b|{OPEN}(?:dot|\.|punto|point|punkt){SHUT})"
+_WORD = rf"(?:\b(?:{_NAME}|double|triple|dot|point)\b|{OPEN}(?:\.|{DOT_WORDS}){SHUT})"
 #: A digit's name or a dot's word next to another or to a figure: every run that isn't figures alone has it.
 MAYBE_RUN = re.compile(rf"{_WORD}{GAP}(?:{_WORD}|[0-9])|[0-9]{GAP}{_WORD}", re.I)
 
@@ -262,10 +277,12 @@ def disguised(text: str) -> list[Span]:
 
 def scan(text: str) -> list[tuple[str, int, int, bool]]:
     """All spans as (kind, start, end, plain), by kind as listed, then start, then end."""
-    base = find(text)
-    out = {(k, a, b): True for k, a, b in base}
+    base = sorted(find(text))
+    out = {s: True for s in base}
     for kind, a, b in disguised(text):
-        if not any(k == kind and x <= a and b <= y for k, x, y in base):
+        # plain spans of a kind don't overlap, so only the last that begins no later can hold this one
+        near = bisect.bisect_right(base, (kind, a, len(text) + 1)) - 1
+        if near < 0 or base[near][0] != kind or base[near][2] < b:
             out.setdefault((kind, a, b), False)
     return sorted(((*s, plain) for s, plain in out.items()), key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
