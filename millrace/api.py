@@ -17,6 +17,7 @@ from millrace.functions import url as U
 from millrace.functions.measures import row_fingerprint, rows_fingerprint
 from millrace.operators import dedup, diff, merge, quality, queue, repairs, summaries, trace
 from millrace.plans import providers, reports
+from millrace.session import written
 from millrace.sources import captures as C
 from millrace.sources import files
 from millrace.sources.store import Append, Lease, TableStore
@@ -85,7 +86,7 @@ class Workspace(Upkeep):
 
     def refresh_specialties(self, capture: DataFrame, now: datetime.datetime) -> DataFrame:
         """The catalog's entries; absent ones go inactive. ValueError if the capture isn't a whole catalog."""
-        got = C.catalog(capture).cache()
+        got = written(C.catalog(capture))
         if bad := got.filter("error IS NOT NULL").first():
             raise ValueError(bad.error)
         known = merge.soft_delete(self.read("specialties"), got.drop("url", "error"), ["specialty_url"], {}, self._at(now))
@@ -115,7 +116,7 @@ class Workspace(Upkeep):
         todo = trace.unparsed(pages, captured, force)
         todo = todo.select("url", "state_group", "location", "specialty_url", "specialty_name", "specialty_slug", "retry_count")
         held = todo.join(captured.select(F.col("file").alias("_f"), "html"), U.safe_slug(F.col("url")) == F.col("_f"))
-        results = trace.page_results(C.listings(held), self._at(now)).cache()
+        results = written(trace.page_results(C.listings(held), self._at(now)))
         said = queue.page_transition(F.col("class"), F.coalesce("retry_count", F.lit(0)))
         rows = C.trace_rows(held.withColumnRenamed("_f", "file")).join(results.filter("class IN ('valid', 'valid_empty')").select(F.col("url").alias("listing_url")), "listing_url", "left_semi")
         lacking = trace.coverage(results, rows).filter("status = 'trace_partial'").select(F.col("listing_url").alias("_l"), F.lit(True).alias("_partial"))
@@ -209,11 +210,11 @@ class Workspace(Upkeep):
         """
         at = self._at(now)
         target = ["specialty_slug", "location_url"]
-        parsed = trace.page_results(C.listings(captured), at).withColumn("location_url", U.base_location_url(F.col("url"))).withColumn("page", U.page_number(F.col("url"))).cache()
-        gates = quality.contiguity_gate(parsed, target, "page", F.col("class").isin("valid", "valid_empty"), F.col("n_doctors")).cache()
+        parsed = written(trace.page_results(C.listings(captured), at).withColumn("location_url", U.base_location_url(F.col("url"))).withColumn("page", U.page_number(F.col("url"))))
+        gates = written(quality.contiguity_gate(parsed, target, "page", F.col("class").isin("valid", "valid_empty"), F.col("n_doctors")))
         passed = gates.filter("complete").select(*target)
         rows = C.trace_rows(captured).withColumn("location_url", U.base_location_url(F.col("listing_url"))).withColumnRenamed("listing_specialty_slug", "specialty_slug").join(passed, target, "left_semi").withColumnRenamed("specialty_slug", "listing_specialty_slug").drop("location_url")
-        members = self._members(rows).cache()
+        members = written(self._members(rows))
         moved = diff.membership_diff(self.read("memberships"), members, target, "doctor_url", at, confirmations, passed)
         events = moved.events.withColumn("run_id", F.lit(run_id))
         seen = members.groupBy("doctor_url").agg(F.min("name").alias("doctor_name")).select("doctor_url", "doctor_name", F.lit(True).alias("is_active"), at.alias("first_seen_at"), at.alias("last_seen_at"))
@@ -262,7 +263,7 @@ class Workspace(Upkeep):
         at = self._at(now)
         rows = self.provider_rows(captured).filter(F.trim("full_name") != "")
         hashed = rows.groupBy("doctor_url").agg(F.min("full_name").alias("doctor_name"), rows_fingerprint(*schema.FINAL_COLUMNS).alias("profile_sha256")).join(providers.payloads(rows), "doctor_url")
-        changes = diff.hash_changes(self.read("canonical"), hashed, "doctor_url", "profile_sha256").cache()
+        changes = written(diff.hash_changes(self.read("canonical"), hashed, "doctor_url", "profile_sha256"))
         new = changes.select("doctor_url", "doctor_name", "profile_data", "profile_sha256", at.alias("profile_updated_at"), F.lit(True).alias("is_active"), at.alias("first_seen_at"), at.alias("last_seen_at"))
         events = changes.filter("event_type IS NOT NULL").select(F.lit(run_id).cast("long").alias("run_id"), F.lit("").alias("specialty_slug"), F.lit("").alias("location_url"), "doctor_url", "event_type", "old_value", F.col("profile_sha256").alias("new_value"), at.alias("event_at"))
         done = changes.select("doctor_url", F.lit("saved").alias("status"), at.alias("saved_at"))
@@ -287,7 +288,7 @@ class Workspace(Upkeep):
         blank = named.filter("doctor_url = ''").select("doctor_url", "full_name", F.lit("").alias("profile_data"), "_h")
         whole = providers.payloads(providers.typed(named.filter("doctor_url <> ''")), "_h")
         whole = named.filter("doctor_url <> ''").groupBy("doctor_url").agg(F.min("full_name").alias("full_name"), F.sha2(F.array_join(F.array_sort(F.collect_set("_h")), ""), 256).alias("_h")).join(whole, "doctor_url")
-        judged = merge.classify_import(whole.unionByName(blank), self.read("canonical"), "doctor_url", "profile_sha256").cache()
+        judged = written(merge.classify_import(whole.unionByName(blank), self.read("canonical"), "doctor_url", "profile_sha256"))
         new = judged.filter("outcome = 'import'").select("doctor_url", F.col("full_name").alias("doctor_name"), "profile_data", F.col("_h").alias("profile_sha256"), self._at(now).alias("profile_updated_at"))
         self._write(canonical=merge.merge(self.read("canonical"), new, ["doctor_url"], {"doctor_name": "backfill_blank", "profile_data": "overwrite", "profile_sha256": "overwrite", "profile_updated_at": "overwrite"}, insert=False))
         return {r.outcome: r["count"] for r in judged.groupBy("outcome").count().collect()}
@@ -311,7 +312,7 @@ class Workspace(Upkeep):
     def snapshot_counts(self, counts: DataFrame, now: datetime.datetime) -> DataFrame:
         """Check advertised counts against the latest snapshots; every check is a snapshot, changes are queued once."""
         keys = ["specialty_slug", "location_url"]
-        judged = self.check_counts(counts).cache()
+        judged = written(self.check_counts(counts))
         jobs = judged.filter("verdict = 'changed'").select(*keys, F.lit("count_changed").alias("reason"), F.lit("pending").alias("status"), self._at(now).alias("queued_at"))
         # first pages show the count that their target advertises now
         shown = counts.select(F.col("location_url").alias("url"), F.col("n").cast("int").alias("advertised_total")).dropDuplicates(["url"])

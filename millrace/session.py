@@ -7,7 +7,7 @@ import os
 import shutil
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -43,6 +43,13 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, tag: str = "written") -> DataFrame:
+    """df written to the scratch folder and read back, for what is used more than once: computed once, whatever executors are lost."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local(cores: int | str = "*", partitions: int = 8, memory: str = "4g", **conf: str) -> SparkSession:
     """A session for one machine: UTC, adaptive plans, few shuffle partitions."""
     builder = SparkSession.builder.master(f"local[{cores}]").config("spark.driver.memory", memory).config("spark.sql.shuffle.partitions", partitions)

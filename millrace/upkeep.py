@@ -20,6 +20,7 @@ from millrace.functions import url as U
 from millrace.operators import merge, queue, repairs, summaries, trace
 from millrace.operators.buckets import BucketedTable
 from millrace.plans import providers, reports
+from millrace.session import written
 from millrace.sources import captures as C
 from millrace.sources import files
 from millrace.sources.store import Append
@@ -42,7 +43,7 @@ class Upkeep:
         office = F.concat_ws("|", "location_id", "address_line_1", "city", "state", "postal_code")
         who = stored.groupBy("doctor_url").agg(F.min("provider_id").alias("provider_id"), F.min("npi").alias("npi"), F.collect_set(office).alias("offices"))
         who = who.join(self.read("canonical").select("doctor_url", F.col("profile_updated_at").alias("saved_at")), "doctor_url")
-        judged = providers.overrides(aliases, who).cache()
+        judged = written(providers.overrides(aliases, who))
         agreed = judged.filter("agreed").select("group_id", "doctor_url")
         rows = aliases.withColumnRenamed("doctor_url", "alias").join(agreed, "group_id").withColumn("reviewed_at", self._at(now))
         self._write(overrides=merge.merge(self.read("overrides"), rows, ["alias"], {"doctor_url": "overwrite", "group_id": "overwrite", "reviewed_at": "overwrite"}))
@@ -57,13 +58,13 @@ class Upkeep:
         cohort = providers.reviewed(t.select(F.col("listing_specialty_slug").alias("specialty_slug"), "doctor_url").distinct(), self.read("overrides"))
         open_pages = self.read("pages").filter(~F.col("status").isin(*queue.DONE)).select("specialty_slug", "url")
         rows = self.provider_rows(captured).withColumn("error", F.lit(None).cast("string")) if captured is not None else self.stored_rows()
-        rows = rows.cache()
+        rows = written(rows)
         finished = self.read("profiles").filter("status IN ('saved', 'unavailable')").select("doctor_url")
         waiting = cohort.join(finished, "doctor_url", "left_anti").withColumn("reason", F.lit("profile is not collected"))
         bad = cohort.join(rows.filter("error IS NOT NULL").select("doctor_url", F.col("error").alias("reason")).distinct(), "doctor_url")
-        review = waiting.unionByName(bad).select("specialty_slug", "doctor_url", "reason").cache()
+        review = written(waiting.unionByName(bad).select("specialty_slug", "doctor_url", "reason"))
         out = providers.delivery(cohort, rows.filter("error IS NULL").drop("error"), open_pages, review)
-        kept = out["rows"].cache()
+        kept = written(out["rows"])
         summary = {r.specialty_slug: r for r in out["summary"].collect()}
         for slug, s in summary.items():
             where = f"{folder}/{'ready' if s.ready else 'needs-review'}/{slug or 'none'}"
@@ -133,7 +134,7 @@ class Upkeep:
     def reconcile_run(self, run_id: int, apply: bool = False) -> DataFrame:
         """What an interrupted run reached; with apply its status says so. Nothing is declared complete here."""
         base = self.read("runs")
-        found = reports.reconcile(base.filter(F.col("run_id") == run_id).select("run_id", "status"), self.read("run_locations")).cache()
+        found = written(reports.reconcile(base.filter(F.col("run_id") == run_id).select("run_id", "status"), self.read("run_locations")))
         if apply:
             self._write(runs=merge.merge(base, found.select("run_id", F.col("proposed").alias("status")), ["run_id"], {"status": "overwrite"}, insert=False))
         return found
@@ -224,7 +225,7 @@ class Upkeep:
         """Store profiles whose captures are there already. captured: file, html, captured_at. Counts by outcome."""
         active = self.read("memberships").filter("is_active").select("doctor_url").distinct()
         found = C.profile_captures(active, captured.select("file", "captured_at"))
-        said = repairs.local_import(self.read("memberships"), self.read("profiles"), self.read("canonical"), found).cache()
+        said = written(repairs.local_import(self.read("memberships"), self.read("profiles"), self.read("canonical"), found))
         if apply:
             ready = said.filter("outcome = 'import'").join(captured.select("file", "html"), "file").select(F.col("doctor_url").alias("url"), "html")
             self.store_profiles(ready, run_id, now)
@@ -251,7 +252,7 @@ class Upkeep:
 
     def ensure_pages(self, urls: DataFrame, now: datetime.datetime) -> DataFrame:
         """Make pages of URLs that aren't any yet."""
-        new = repairs.ensure_pages(self.read("pages"), urls, self._at(now)).cache()
+        new = written(repairs.ensure_pages(self.read("pages"), urls, self._at(now)))
         self._write(pages=merge.insert_missing(self.read("pages"), new, ["url"]))
         return new
 
@@ -260,7 +261,7 @@ class Upkeep:
         pages = self.read("pages")
         held = pages.select("url").join(captured.select(F.col("file").alias("_f"), "html"), U.safe_slug(F.col("url")) == F.col("_f")).drop("_f")
         results = trace.page_results(C.listings(held), self._at(now))
-        found = repairs.audit_empty(pages, results, captured.select("file")).cache()
+        found = written(repairs.audit_empty(pages, results, captured.select("file")))
         if apply:
             self._pages_changed(found.select("url", "status", "retry_count"))
         return found
@@ -269,8 +270,8 @@ class Upkeep:
         """Pages whose trace lacks providers that their capture shows: traced anew."""
         partial = self.read("pages").filter("trace_status = 'trace_partial'").select("url", "specialty_slug")
         held = partial.join(captured.select(F.col("file").alias("_f"), "html"), U.safe_slug(F.col("url")) == F.col("_f")).withColumnRenamed("_f", "file")
-        rows = C.trace_rows(held).cache()
-        state = trace.coverage(C.listings(held.select("url", "html")), rows).cache()
+        rows = written(C.trace_rows(held))
+        state = written(trace.coverage(C.listings(held.select("url", "html")), rows))
         if apply:
             fixed = state.filter("status = 'parsed'").select(F.col("listing_url").alias("url"))
             mended = rows.join(fixed.withColumnRenamed("url", "listing_url"), "listing_url", "left_semi")
@@ -284,14 +285,14 @@ class Upkeep:
 
     def repair_profile_challenges(self, captured: DataFrame, now: datetime.datetime, apply: bool = False) -> DataFrame:
         """Saved profiles whose capture is a verification or missing page: to be collected again, or gone; the captures go to quarantine."""
-        bad = self.rejected(captured.join(self.read("profiles").filter("status = 'saved'").select(F.col("doctor_url").alias("url")), "url", "left_semi")).select("url", "reason").cache()
+        bad = written(self.rejected(captured.join(self.read("profiles").filter("status = 'saved'").select(F.col("doctor_url").alias("url")), "url", "left_semi")).select("url", "reason"))
         if apply:
             self._write(profiles=repairs.repaired_challenges(self.read("profiles"), bad), quarantine=Append(bad.withColumn("rejected_at", self._at(now))))
         return bad
 
     def repair_profile_redirects(self, captured: DataFrame, apply: bool = False) -> DataFrame:
         """Waiting profiles whose capture came under the URL that they redirect to. captured: url, file."""
-        found = C.redirects(self.read("profiles").filter("status <> 'saved'").select("doctor_url"), captured).cache()
+        found = written(C.redirects(self.read("profiles").filter("status <> 'saved'").select("doctor_url"), captured))
         if apply:
             self._write(profiles=repairs.repaired_redirects(self.read("profiles"), found))
         return found
@@ -301,7 +302,7 @@ class Upkeep:
         self.guard_space(0)
         pages = self.read("pages").filter(~F.col("status").isin(*queue.DONE)).select("url")
         held = pages.join(captured.select(F.col("file").alias("_f"), "html"), U.safe_slug(F.col("url")) == F.col("_f")).drop("_f")
-        gone = trace.page_results(C.listings(held), self._at(now)).filter("class = 'unavailable'").select("url", "reason").cache()
+        gone = written(trace.page_results(C.listings(held), self._at(now)).filter("class = 'unavailable'").select("url", "reason"))
         if apply:
             self._pages_changed(gone.select("url", F.lit("unavailable").alias("status")))
         return gone
@@ -314,7 +315,7 @@ class Upkeep:
 
     def delete_parsed(self, folder: str, captured: DataFrame, apply: bool = False) -> dict[str, int]:
         """Raw captures of pages whose trace is committed: their number and bytes; with apply they are deleted by the tasks."""
-        gone = self.cleanup(captured).cache()
+        gone = written(self.cleanup(captured))
         n, size = gone.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
         if apply:
             def run(batches):
