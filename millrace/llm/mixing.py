@@ -170,14 +170,18 @@ def mix(df: DataFrame, key: str, text: str, source: str, weights: list[float], m
     same = docs["source"].eqNullSafe(F.col("s")) & (docs["size"] == F.col("z"))
     docs = docs.join(hot, same, "left").withColumn("bin", F.coalesce(F.pmod("h", "bins"), F.lit(0)).cast("long")).drop("s", "z", "bins")
 
+    # running totals of the parts due in two levels: over a source's sizes, then over a size's bins; counts are whole, so reruns agree
+    levels = sizes.join(goal.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("rate", rate_of(most))
+    levels = levels.withColumn("whole", F.floor("rate").cast("long")).withColumn("part", F.col("rate") - F.floor("rate"))
+    larger = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    levels = levels.withColumn("start", F.coalesce(F.sum(F.col("n") * F.col("part")).over(larger), F.lit(0.0)))
+    levels = levels.withColumnsRenamed({"source": "s", "size": "z"}).drop("n")
     groups = docs.groupBy("source", "size", "bin").agg(F.count("*").alias("n"))
-    groups = groups.join(goal.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("rate", rate_of(most))
-    groups = groups.withColumn("whole", F.floor("rate").cast("long")).withColumn("part", F.col("n") * (F.col("rate") - F.floor("rate")))
-    down = Window.partitionBy("source").orderBy(F.desc("size"), "bin")
-    due = F.sum("part").over(down.rowsBetween(Window.unboundedPreceding, 0))
-    earlier = F.coalesce(F.sum("part").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    groups = groups.withColumn("up", F.least(F.greatest(F.round(due) - F.round(earlier), F.lit(0)), F.col("n")).cast("long"))
-    groups = stash(groups, "groups")
+    groups = groups.join(levels, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))).drop("s", "z")
+    upto = F.sum("n").over(Window.partitionBy("source", "size").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    due, earlier = F.col("start") + F.col("upto") * F.col("part"), F.col("start") + (F.col("upto") - F.col("n")) * F.col("part")
+    groups = groups.withColumn("upto", upto).withColumn("up", F.least(F.greatest(F.round(due) - F.round(earlier), F.lit(0)), F.col("n")).cast("long"))
+    groups = stash(groups.drop("upto", "start", "part"), "groups")
 
     mend = stash(_exchange(groups, stash(_mend(groups, most), "mend"), most), "mend")
     room = F.when(F.col("mend") > 0, F.when(F.col("whole") + 1 <= most, F.col("n") - F.col("up")).otherwise(0)).otherwise(F.col("up"))
