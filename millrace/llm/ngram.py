@@ -374,7 +374,8 @@ def join(df: DataFrame, key: str, column: str, n: int = 3, similarity: int = 90,
 
     # rows that agree in a compound column, as (column's name, its smallest row, another row)
     told = meet(rows.filter(F.size("prints") > 0).select("id", "prints"), "id", equal.select(F.col("a").alias("copy")), "copy", "left_anti").select("id", F.explode("prints").alias("print"))
-    lists = told.groupBy("print").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select(F.col("print").alias("p"), "hub")
+    # (written first, as the classes are, for a column that very many near copies share)
+    lists = stash(told.groupBy("print").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").select(F.col("print").alias("p"), "hub"), "lists")
     met = stash(told.join(lists, F.col("print") == F.col("p")).filter("id <> hub").select("print", F.col("hub").alias("a"), F.col("id").alias("b")), "met")
     size = lambda c: sets.select(F.col("id").alias(f"i{c}"), F.col("n").alias(f"n{c}"))
     cells = met.select("a", "b").distinct().join(size("a"), F.col("a") == F.col("ia")).join(size("b"), F.col("b") == F.col("ib"))
