@@ -210,7 +210,9 @@ def train(df: DataFrame, labels: DataFrame, key: str, column: str, most: int = M
     # 2 * most numbers at the most
     chosen = pos.withColumn("_pos", F.lit(1)).join(unl.withColumn("_unl", F.lit(1)), key, "full")
     rows = df.select(key, column).join(F.broadcast(chosen), key)
-    got = featured(rows, column).dropDuplicates([key]).orderBy(key).toPandas()
+    # of several texts with one number the smallest, so reruns agree
+    rows = rows.groupBy(key).agg(F.min(F.coalesce(column, F.lit(""))).alias(column), F.max("_pos").alias("_pos"), F.max("_unl").alias("_unl"))
+    got = featured(rows, column).orderBy(key).toPandas()
     x, is_pos, is_unl = got["features"], got["_pos"].notna().to_numpy(), got["_unl"].notna().to_numpy()
     if not is_pos.any():
         return None
