@@ -104,7 +104,7 @@ def mismatches(spark: SparkSession, path: str, schema, state: DataFrame, number:
     found = stash(texts.join(hits, "digest").select("digest", "norm", is_kept.alias("is_kept")), "hits")
     kept = found.filter("is_kept").select("digest", F.col("norm").alias("kept"))
     # a kept row that isn't where its locator says counts as different
-    return found.filter("NOT is_kept").join(kept, "digest", "left").filter("kept IS NULL OR norm <> kept").select("digest").distinct()
+    return found.filter("NOT is_kept").join(kept, "digest", "left").filter("kept IS NULL OR norm <> kept").select("digest")
 
 
 def resolve(spark: SparkSession, path: str, schema, home: str, number: str = "doc_id", text: str = "text", bits: int = 256) -> DataFrame:
