@@ -115,7 +115,7 @@ class Workspace(Upkeep):
         pages = self.read("pages")
         todo = trace.unparsed(pages, captured, force)
         todo = todo.select("url", "state_group", "location", "specialty_url", "specialty_name", "specialty_slug", "retry_count")
-        held = todo.join(captured.select(F.col("file").alias("_f"), "html"), U.safe_slug(F.col("url")) == F.col("_f"))
+        held = U.slugged(todo).join(captured.select(F.col("file").alias("_f"), "html"), F.col("_slug") == F.col("_f")).drop("_slug")
         results = written(trace.page_results(C.listings(held), self._at(now)))
         said = queue.page_transition(F.col("class"), F.coalesce("retry_count", F.lit(0)))
         rows = C.trace_rows(held.withColumnRenamed("_f", "file")).join(results.filter("class IN ('valid', 'valid_empty')").select(F.col("url").alias("listing_url")), "listing_url", "left_semi")

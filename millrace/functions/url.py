@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: First path segments that never lead to a provider's page.
@@ -94,6 +94,11 @@ def safe_slug(url: Column) -> Column:
     return F.concat(slug, F.lit("--"), F.substr(F.sha1(clean.cast("binary")), F.lit(1), F.lit(8)), F.lit(".html"))
 
 
+def slugged(df: DataFrame, url: str = "url") -> DataFrame:
+    """df with `_slug`, a column to join captures by: as a join's key the expression itself would be worked out at every comparison of its sort."""
+    return df.withColumn("_slug", safe_slug(F.col(url)))
+
+
 def base_location_url(url: Column) -> Column:
     """The normalised URL without one trailing page number; a page of the root keeps an empty path."""
     return F.regexp_replace(normalize_url(url), "/[0-9]+$|(?<=[^/:])/$", "")

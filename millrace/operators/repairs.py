@@ -31,9 +31,9 @@ def mark_parsed(pages: DataFrame, trace: DataFrame, captures: DataFrame) -> Data
     """Pages whose trace is there and whose capture is gone count as parsed."""
     traced = trace.select(F.col("listing_url").alias("_t")).distinct()
     held = captures.select(F.col("file").alias("_f")).distinct()
-    out = pages.join(traced, F.col("url") == F.col("_t"), "left").join(held, U.safe_slug(F.col("url")) == F.col("_f"), "left")
+    out = U.slugged(pages).join(traced, F.col("url") == F.col("_t"), "left").join(held, F.col("_slug") == F.col("_f"), "left")
     gone = F.col("_t").isNotNull() & F.col("_f").isNull() & (text(F.col("trace_status")) != "parsed")
-    return out.withColumn("trace_status", F.when(gone, "parsed").otherwise(F.col("trace_status"))).drop("_t", "_f")
+    return out.withColumn("trace_status", F.when(gone, "parsed").otherwise(F.col("trace_status"))).drop("_t", "_f", "_slug")
 
 
 def audit_empty(pages: DataFrame, results: DataFrame, captures: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def audit_empty(pages: DataFrame, results: DataFrame, captures: DataFrame) -> Da
     results: url, class of captures read again. A page without a capture is retried until its retries are used up.
     """
     held = captures.select(F.col("file").alias("_f")).distinct()
-    doubtful = pages.filter("status = 'saved'").join(results.select("url", F.col("class").alias("_class")), "url", "left").join(held, U.safe_slug(F.col("url")) == F.col("_f"), "left")
+    doubtful = U.slugged(pages.filter("status = 'saved'")).join(results.select("url", F.col("class").alias("_class")), "url", "left").join(held, F.col("_slug") == F.col("_f"), "left")
     kind = F.when(F.col("_f").isNull(), "retry_zero").otherwise(F.col("_class"))
     said = queue.page_transition(kind, F.coalesce("retry_count", F.lit(0)))
     finding = F.when(F.col("_f").isNull() & (F.coalesce("retry_count", F.lit(0)) >= queue.MAX_RETRIES), "exhausted").when(F.col("_f").isNull(), "missing_capture").otherwise(F.col("_class"))

@@ -116,7 +116,7 @@ def cleanup(pages: DataFrame, captures: DataFrame) -> DataFrame:
 def unparsed(pages: DataFrame, captures: DataFrame, force: bool = False, limit: int | None = None) -> DataFrame:
     """Pages with a capture that are not traced yet."""
     todo = pages if force else pages.filter(F.coalesce("trace_status", F.lit("")) != "parsed")
-    out = todo.join(captures.select(F.col("file").alias("_f")), U.safe_slug(F.col("url")) == F.col("_f"), "left_semi").orderBy("url")
+    out = U.slugged(todo).join(captures.select(F.col("file").alias("_f")), F.col("_slug") == F.col("_f"), "left_semi").drop("_slug").orderBy("url")
     return out if limit is None else out.limit(limit)
 
 

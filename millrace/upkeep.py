@@ -259,7 +259,7 @@ class Upkeep:
     def retry_zero_listings(self, captured: DataFrame, now: datetime.datetime, apply: bool = False) -> DataFrame:
         """Saved pages whose capture is gone or holds no provider, with what to do with them. captured: file, html."""
         pages = self.read("pages")
-        held = pages.select("url").join(captured.select(F.col("file").alias("_f"), "html"), U.safe_slug(F.col("url")) == F.col("_f")).drop("_f")
+        held = U.slugged(pages.select("url")).join(captured.select(F.col("file").alias("_f"), "html"), F.col("_slug") == F.col("_f")).drop("_f", "_slug")
         results = trace.page_results(C.listings(held), self._at(now))
         found = written(repairs.audit_empty(pages, results, captured.select("file")))
         if apply:
@@ -269,7 +269,7 @@ class Upkeep:
     def repair_trace_partials(self, captured: DataFrame, now: datetime.datetime, apply: bool = False) -> DataFrame:
         """Pages whose trace lacks providers that their capture shows: traced anew."""
         partial = self.read("pages").filter("trace_status = 'trace_partial'").select("url", "specialty_slug")
-        held = partial.join(captured.select(F.col("file").alias("_f"), "html"), U.safe_slug(F.col("url")) == F.col("_f")).withColumnRenamed("_f", "file")
+        held = U.slugged(partial).join(captured.select(F.col("file").alias("_f"), "html"), F.col("_slug") == F.col("_f")).drop("_slug").withColumnRenamed("_f", "file")
         rows = written(C.trace_rows(held))
         state = written(trace.coverage(C.listings(held.select("url", "html")), rows))
         if apply:
@@ -301,7 +301,7 @@ class Upkeep:
         """Pages that are still open although their capture says that they are gone. The state before stays as an earlier commit."""
         self.guard_space(0)
         pages = self.read("pages").filter(~F.col("status").isin(*queue.DONE)).select("url")
-        held = pages.join(captured.select(F.col("file").alias("_f"), "html"), U.safe_slug(F.col("url")) == F.col("_f")).drop("_f")
+        held = U.slugged(pages).join(captured.select(F.col("file").alias("_f"), "html"), F.col("_slug") == F.col("_f")).drop("_f", "_slug")
         gone = written(trace.page_results(C.listings(held), self._at(now)).filter("class = 'unavailable'").select("url", "reason"))
         if apply:
             self._pages_changed(gone.select("url", F.lit("unavailable").alias("status")))

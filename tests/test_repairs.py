@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace import schema
 from millrace.functions import url as U
-from millrace.operators import repairs
+from millrace.operators import repairs, trace
 from millrace.plans import providers, reports
 
 O = "https://www.example.org"  # noqa: E741
@@ -124,3 +124,20 @@ def test_reports(spark):
     timed = df(spark, "run string, status string, total_seconds double, elapsed double, parse double", ("r1", "saved", 2.0, 2.0, 1.0), ("r2", "saved", 2.0, 2.0, None))
     perf = reports.performance(timed, ["parse"])
     assert reports.combined(perf.select("n", "pages_per_minute", F.col("avg_parse").alias("parse")), ["parse"]).first().pages_per_minute == 60.0
+
+
+def test_captures_are_joined_by_a_column(spark):
+    """A slug is worked out once a page, not at every comparison of the join's sort."""
+    url = "https://www.example.org/dentists/t-1pm"
+    pages = spark.createDataFrame([(url, "saved", None, 0), (url + "/2", "saved", "parsed", 0)], "url string, status string, trace_status string, retry_count int")
+    held = U.slugged(pages).select(F.col("_slug").alias("file"))
+    results = pages.select("url", F.lit("valid").alias("class"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (trace.unparsed(pages, held), repairs.mark_parsed(pages, pages.select(F.col("url").alias("listing_url")), held), repairs.audit_empty(pages, results, held)):
+            joins = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin" in x]
+            assert joins and not any("regexp" in x for x in joins) and "_slug" not in df.columns
+        assert [r.url for r in trace.unparsed(pages, held).collect()] == [url]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
