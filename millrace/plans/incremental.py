@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
+import atexit
+import shutil
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,9 +66,11 @@ def bucketed_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers published to a database, half of them again, and read back by ranges of the key.
 
-    The database is an embedded one in the driver's memory, so this runs where driver and executors are one process.
+    The database is an embedded one on the driver's disk; executors of other processes meet it by files.
     """
-    db = jdbc.Database(f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true")
+    home = tempfile.mkdtemp(prefix="derby-")
+    atexit.register(shutil.rmtree, home, ignore_errors=True)
+    db = jdbc.Database(f"jdbc:derby:{home}/db;create=true")
     c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_custkey").alias("first_seen_at"), F.col("c_acctbal").alias("balance"))
     jdbc.publish({"customers": (c, ["k"])}, db)
     again = c.filter("k % 2 = 0").select("k", F.lit("new").alias("name"), F.lit(5).cast("long").alias("first_seen_at"), "balance")

@@ -3,15 +3,26 @@
 Executors write a batch into staging tables; then the driver asks the database to merge them all in one transaction, so
 readers see either the batch or nothing of it, and no row passes through the driver. The merging statement is the database's own:
 `INSERT ... ON CONFLICT` for PostgreSQL, `MERGE INTO` for the others.
+
+An embedded database lives in the driver's process, where executors of a cluster can't connect to it. There they write and
+read files in the shared folder, which the database loads and unloads itself, one at a time.
 """
 
 from __future__ import annotations
 
+import math
+import os
+import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
+from millrace.session import scratch
 
 STAGING = "staging_"
 #: Derby: texts that can be compared are bounded. They are staged as large objects, as Spark writes them.
@@ -31,11 +42,23 @@ class Database:
     def dialect(self) -> str:
         return self.url.split(":")[1]
 
+    def apart(self, spark: SparkSession) -> bool:
+        """Whether the database is one in the driver's process, and executors are others."""
+        return self.dialect == "derby" and not self.url.startswith("jdbc:derby://") and spark.sparkContext.master.split("[")[0] != "local"
+
 
 def quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+def quoted_column(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _said(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def merge_sql(db: Database, name: str, columns: list[str], keys: list[str], texts: tuple[str, ...] = ()) -> str:
     """The statement that merges a table's staging table into it. texts: columns that Derby stages as large objects."""
     into, staged = quoted(name), quoted(STAGING + name)
@@ -71,11 +94,16 @@ def transaction(spark: SparkSession, db: Database) -> Iterator[object]:
 
 def write_table(df: DataFrame, db: Database, name: str, tasks: int = 8, batch: int = 5_000, mode: str = "overwrite") -> None:
     """df as a table, by at most so many connections."""
+    if db.apart(df.sparkSession):
+        df.limit(0).write.mode(mode).jdbc(db.url, quoted(name), properties=db.properties)
+        return _load(df, db, name)
     df.write.mode(mode).options(numPartitions=tasks, batchsize=batch).jdbc(db.url, quoted(name), properties=db.properties)
 
 
 def read_table(spark: SparkSession, db: Database, name: str, key: str | None = None, tasks: int = 8, where: str = "1 = 1") -> DataFrame:
     """A table, by ranges of a numeric key between its least and greatest value; filters and columns go to the database."""
+    if db.apart(spark):
+        return _unload(spark, db, name, key, tasks, where)
     if key is None:
         return spark.read.jdbc(db.url, quoted(name), properties=db.properties)
     k = quoted(key)
@@ -87,6 +115,62 @@ def read_table(spark: SparkSession, db: Database, name: str, key: str | None = N
     return got if where == "1 = 1" else got.filter(where)
 
 
+def _load(df: DataFrame, db: Database, name: str) -> None:
+    """Append df to a table by files that executors write and the database reads."""
+
+    def cell(c: str, kind: str) -> Column:
+        v = F.hex(quoted_column(c)) if kind == "binary" else F.col(quoted_column(c)).cast("string")
+        return F.coalesce(F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+
+    spark, folder = df.sparkSession, scratch(df.sparkSession, "load")
+    df.select(F.concat_ws(",", *(cell(c, kind) for c, kind in df.dtypes)).alias("value")).write.text(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    with tempfile.TemporaryDirectory() as own:
+        for part in store.listStatus(path(folder)):
+            if part.getPath().getName().startswith("part-") and part.getLen():
+                store.copyToLocalFile(False, part.getPath(), path(f"file://{own}/part"), True)
+                with transaction(spark, db) as statement:
+                    statement.execute(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(NULL, {_said(name)}, {_said(own + '/part')}, ',', '\"', 'UTF-8', 0)")
+    store.delete(path(folder), True)
+
+
+def _unload(spark: SparkSession, db: Database, name: str, key: str | None, tasks: int, where: str) -> DataFrame:
+    """A table's rows from files that the database writes, one for each range of the key, and executors read."""
+    schema, folder = spark.read.jdbc(db.url, quoted(name), properties=db.properties).schema, scratch(spark, "unload")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path(folder))
+    with tempfile.TemporaryDirectory() as own, transaction(spark, db) as statement:
+        for n, part in enumerate(_ranges(statement, name, key, tasks, where)):
+            statement.execute(f"CALL SYSCS_UTIL.SYSCS_EXPORT_QUERY({_said(f'SELECT * FROM {quoted(name)} WHERE ({where}) AND {part}')}, {_said(own + '/part')}, ',', '\"', 'UTF-8')")
+            store.copyFromLocalFile(False, True, path(f"file://{own}/part"), path(f"{folder}/part-{n:05d}.csv"))
+            os.remove(f"{own}/part")
+    texts = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+    # nothing between commas is null, two quotes are an empty text; a name that no text has tells them apart
+    got = spark.read.schema(texts).csv(folder, nullValue=uuid.uuid4().hex, emptyValue="", multiLine=True, escape='"', encoding="UTF-8", maxCharsPerColumn=-1)
+    kind = lambda f: f.dataType.simpleString()
+    return got.select(*(F.unhex(quoted_column(f.name)).alias(f.name) if kind(f) == "binary" else F.col(quoted_column(f.name)).cast(f.dataType).alias(f.name) for f in schema))
+
+
+def _ranges(statement: object, name: str, key: str | None, tasks: int, where: str) -> list[str]:
+    """Conditions that part a table by a numeric key; nulls are in the first."""
+    if key is None:
+        return ["1 = 1"]
+    k = quoted(key)
+    ends = statement.executeQuery(f"SELECT MIN({k}), MAX({k}) FROM {quoted(name)} WHERE {where}")
+    ends.next()
+    low, high = ends.getString(1), ends.getString(2)
+    ends.close()
+    if low is None:
+        return ["1 = 1"]
+    first, last = (math.floor(Decimal(x)) for x in (low, high))
+    cuts = sorted({first + (last + 1 - first) * i // tasks for i in range(1, tasks)} - {first})
+    if not cuts:
+        return ["1 = 1"]
+    return [f"({k} < {cuts[0]} OR {k} IS NULL)", *(f"{k} >= {a} AND {k} < {b}" for a, b in zip(cuts, cuts[1:])), f"{k} >= {cuts[-1]}"]
+
+
 def tables(spark: SparkSession, db: Database) -> set[str]:
     """The names of the database's tables."""
     with transaction(spark, db) as statement:

@@ -1,5 +1,8 @@
 """Databases: merges in one transaction, reads by ranges; an embedded database in the driver's memory stands for any."""
 
+import os
+import subprocess
+import sys
 import uuid
 
 import pytest
@@ -7,6 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace.sources import jdbc
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 @pytest.fixture
 def db():
@@ -83,3 +88,33 @@ def test_ranges_of_a_key_are_read_in_parallel(spark, db, capsys):
     assert "PushedFilters" in shown and "EqualTo(v,3)" in shown
     jdbc.write_table(spark.range(0).toDF("k"), db, "none")
     assert jdbc.read_table(spark, db, "none", "k").count() == 0
+
+
+def test_files_carry_what_connections_carry(spark, db, monkeypatch):
+    """An embedded database and executors of other processes: rows go by files, whatever they hold."""
+    monkeypatch.setattr(jdbc.Database, "apart", lambda *_: True)
+    rows = [("", 'a "b", c\nd\\', at(1), -5), ("é ", "", None, None), (" x", None, at(2), 7), ("z", ",", at(3), 2**31 - 1)]
+    jdbc.publish({"people": (people(spark, *rows), ["doctor_url"])}, db, tasks=2)
+    jdbc.publish({"people": (people(spark, ("z", "'", at(2), 1)), ["doctor_url"])}, db)
+    expected = [*rows[:3], ("z", "'", at(2), 1)]
+    assert set(map(tuple, jdbc.read_table(spark, db, "people").collect())) == set(expected)
+    assert set(map(tuple, jdbc.read_table(spark, db, "people", "n", tasks=3).collect())) == set(expected)
+    assert [r.n for r in jdbc.read_table(spark, db, "people", "n", where='"n" > 1').collect()] == [7]
+    jdbc.write_table(spark.range(0).toDF("k"), db, "none")
+    assert jdbc.read_table(spark, db, "none", "k").count() == 0
+
+
+def test_round_trip_on_executors_of_their_own(tiny, tmp_path):
+    """The query on a cluster of two processes beside the driver's."""
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.executor.memory", "700m").config("spark.driver.host", "127.0.0.1").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
+from millrace.plans import catalogue
+got = catalogue.QUERIES["jdbc_round_trip"](spark, {tiny!r})
+assert got.count() == spark.read.parquet("{tiny}/customer.parquet").count() > 0 and got.filter("name = 'new' AND k % 2 = 0 AND first_seen_at = least(k, 5)").count() == got.filter("k % 2 = 0").count() > 0
+print("whole")
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=tmp_path)
+    assert done.stdout.strip().endswith("whole"), done.stderr[-2000:]
