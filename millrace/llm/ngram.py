@@ -117,8 +117,8 @@ class Bands:
     def of(self, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each size's band, and the blocks of that band and of the next."""
         if size.size:
+            # up to the end of the band after the largest size's, however often sizes are asked for
             self._grow(int(size.max()))
-            self._grow(int(self.edges[-1]))
         band = np.searchsorted(self.edges, size, side="right") - 1
         return band, self.blocks(band), self.blocks(band + 1)
 

@@ -731,3 +731,17 @@ def test_queries_with_sql_match_it(spark, tiny):
         names = [d[0] for d in want.description]
         assert sorted(got.columns) == sorted(names)
         assert sorted(map(repr, (tuple(r[n] for n in names) for r in got.collect()))) == sorted(map(repr, want.fetchall())), name
+
+
+def test_bands_of_sizes_dont_grow_with_the_batches():
+    """A task may cut its texts into any number of batches."""
+    import numpy as np
+
+    sizes = np.array([1, 2, 9, 10, 11, 500, 19_998])
+    bands = ngram.Bands(90)
+    first = bands.of(sizes)
+    edges = len(bands.edges)
+    for _ in range(1_000):
+        again = bands.of(sizes)
+    assert len(bands.edges) == edges and all((a == b).all() for a, b in zip(first, again))
+    assert (bands.edges[first[0]] <= sizes).all() and (sizes < bands.edges[first[0] + 1]).all()
