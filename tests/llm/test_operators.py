@@ -2,12 +2,15 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -668,6 +671,49 @@ def test_order_0_predicts_ids():
     assert bits[0] < 17.2 and bits[1] < bits[0] - 1 and bits[2] < bits[1] - 2, bits
 
 
+def test_order_0_knows_each_id():
+    """Ids scattered over the whole range take little more than their own frequencies tell."""
+    rng = np.random.default_rng(15)
+    ids = rng.permutation(49_000)[(200 * rng.random(200_000) ** 3).astype(np.int64)]
+    share = np.bincount(ids)[np.unique(ids)] / len(ids)
+    image = idfile.pack(np.array([1]), np.array([len(ids)]), ids)
+    assert np.array_equal(idfile.unpack(image)[2], ids)
+    assert 8 * len(image) / len(ids) < -(share * np.log2(share)).sum() + 0.5
+
+
+def test_blocks_of_many_sizes_and_rare_ids():
+    rng = np.random.default_rng(16)
+    for n in (1, 63, 64, 65, 1024, 70_001):
+        for top in (1, 2, 300, 65_536):
+            ids = np.where(rng.random(n) < 0.999, 7, rng.integers(0, top, n))
+            assert np.array_equal(idfile.unpack(idfile.pack(np.array([1]), np.array([n]), ids))[2], ids)
+
+
+def test_ids_of_stretches():
+    """Marks, letters, contractions, blanks of all kinds and added tokens have the library's ids, however they meet."""
+    lib, own = Tokenizer.from_file(WORD_BPE), idfile.Chunks(WORD_BPE)
+    rng = random.Random(17)
+    parts = list("abcXYZ'strdvml.,;:!?()\"-_<>|/\\ \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2003éÈÖßİıſŉĲ×÷ª\u0301\u030c\u0345ǅΣςẞ\u212a한012²½€“–…\x00\x7f\u200b😀")
+    parts += ["<|startoftext|>", "<|endoftext|>", "</w>", "'ll", "don't", "Word", "(word", "WORD!", "été,"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(20_000)]
+    texts += [f"{a}{chr(k)}{b}" for k in range(33, 0x250) for a in ("", "ab", "(") for b in ("", "cd", "!")]
+    ids, lens = own.encode(pa.array([None, *texts], pa.string()))
+    ends = np.cumsum(lens)
+    assert lens[0] == 0
+    for text, n, end in zip(texts, lens[1:], ends[1:]):
+        assert ids[end - n : end].tolist() == lib.encode(text, add_special_tokens=False).ids, text
+
+
+def test_library_is_asked_once_for_a_word_with_marks():
+    own = idfile.Chunks(WORD_BPE)
+    asked = []
+    for name in ("library", "merges"):
+        setattr(own, name, SimpleNamespace(encode_batch_fast=lambda strings, _=getattr(own, name), **kw: asked.extend(strings) or _.encode_batch_fast(strings, **kw)))
+    own.encode(pa.array(["(élan! Élan*** ÉLAN", "élan, stop", "Stop) (stop***"]))
+    words = [w for s in asked for w in s.split()]
+    assert sorted(w for w in words if w.isalpha()) == ["stop", "élan"] and len(words) == len(set(words))
+
+
 # ---- 10: URLs
 
 
