@@ -26,7 +26,7 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ MAGIC = b"IDMIX2\0\0"
 HEAD = struct.Struct("<8sIIQI")
 BLOCK = 1024
 LANES = 8192
+#: Ids after which a task begins a new file. Bounds memory.
+FILE = LANES * BLOCK
 #: Most entries of the tables that recall an id by its order-1 and order-2 context.
 ONE, TWO = 1 << 12, 1 << 15
 #: Ids looked at for an entry: of all that follow its context, then of those that the first one isn't.
@@ -74,7 +76,7 @@ def _recalled(slots: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
     total = np.bincount(slots, minlength=size)
     best, most = np.full(size, LIMIT, np.int64), np.zeros(size, np.int64)
     for k in range(ROUNDS):
-        seen = np.full(size, LIMIT, np.int64)
+        seen = np.full(size, LIMIT, np.uint32)
         seen[slots] = ids
         hit = seen.take(slots) == ids
         count = np.bincount(slots[hit], minlength=size)
@@ -432,30 +434,36 @@ def chunks(path: str) -> Chunks:
     return Chunks(path)
 
 
-def write_ids(df: DataFrame, key: str, column: str, path: str, folder: str, end_id: int | None) -> DataFrame:
-    """Write the ids of a text column in ascending order of key, one file for each sorted partition.
+def write_ids(df: DataFrame, key: str, column: str, path: str, folder: str, end_id: int | None, most: int = FILE) -> DataFrame:
+    """Write the ids of a text column in ascending order of key, in files of about `most` ids or fewer for each sorted partition.
 
-    Returns the files: `file`, `first` (its first key), `n_docs`, `n_ids`; one row each.
+    Returns the files: `file`, `first` (its first key), `n_docs`, `n_ids`; one row each. Names ascend with keys.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, lens, ids = [], [], []
-        for batch in slices(batches, column, PORTION):
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        names = (f"{folder}/ids-{TaskContext.get().partitionId():06d}-{k:06d}.bin" for k in count())
+
+        def written() -> pa.RecordBatch:
+            docs, lens, ids = map(np.concatenate, zip(*held))
+            held.clear()
+            name = next(names)
+            with AtomicFile(name) as out:
+                out.write(pack(docs, lens, ids))
+            return pa.RecordBatch.from_pydict({"file": [name], "first": [int(docs[0])], "n_docs": [len(docs)], "n_ids": [len(ids)]})
+
+        for batch in slices(batches, column, min(PORTION, most)):
             got, n = chunks(path).encode(batch.column(batch.schema.get_field_index(column)))
             if end_id is not None:
                 ends = np.cumsum(n)
                 got = np.insert(got, ends, end_id)
                 n = n + 1
             numbers = batch.column(batch.schema.get_field_index(key))
-            docs.append(pa.compute.fill_null(numbers, NULL).to_numpy(zero_copy_only=False).astype(np.int64))
-            lens.append(n)
-            ids.append(checked(got))
-        if docs:
-            docs, lens, ids = map(np.concatenate, (docs, lens, ids))
-            name = f"{folder}/ids-{TaskContext.get().partitionId():06d}.bin"
-            with AtomicFile(name) as out:
-                out.write(pack(docs, lens, ids))
-            yield pa.RecordBatch.from_pydict({"file": [name], "first": [int(docs[0])], "n_docs": [len(docs)], "n_ids": [len(ids)]})
+            held.append((pa.compute.fill_null(numbers, NULL).to_numpy(zero_copy_only=False).astype(np.int64), n, checked(got)))
+            if sum(len(ids) for *_, ids in held) >= most:
+                yield written()
+        if held:
+            yield written()
 
     order = [F.col(key).asc_nulls_first(), F.col(column).asc_nulls_first()]
     ordered = df.select(key, column).repartitionByRange(order[0]).sortWithinPartitions(*order)
@@ -467,7 +475,7 @@ def read_ids(files: DataFrame, with_ids: bool = True) -> DataFrame:
 
     The driver sees one row for each file; the tasks read the files.
     """
-    rows = files.orderBy("first").collect()
+    rows = files.orderBy("first", "file").collect()
     starts = np.concatenate([[0], np.cumsum([r.n_ids for r in rows], dtype=np.int64)])
     spark = files.sparkSession
     # a task for each file

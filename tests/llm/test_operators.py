@@ -648,6 +648,20 @@ def test_id_files_of_odd_rows(odd, none):
     assert idfile.read_ids(idfile.write_ids(none, "doc_id", "text", WORD_BPE, idfile.folder(odd.sparkSession), 1)).count() == 0
 
 
+def test_id_files_of_a_long_partition(spark):
+    """A partition goes to several files, also where one number's rows do."""
+    lib = Tokenizer.from_file(WORD_BPE)
+    rows = [(5 if k % 3 else k, f"word {k:03d} of many " * (k % 5)) for k in range(300)]
+    files = idfile.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", WORD_BPE, idfile.folder(spark), 1, most=200)
+    sizes = [r.n_ids for r in files.collect()]
+    assert len(sizes) > 10 and max(sizes) < 500
+    got, start = idfile.read_ids(files).orderBy("start").collect(), 0
+    for r, (number, text) in zip(got, sorted(rows), strict=True):
+        ids = lib.encode(text, add_special_tokens=False).ids + [1]
+        assert (r.doc_id, r.start, r.ids) == (number, start, ids)
+        start += len(ids)
+
+
 def test_coder_round_trips_and_finds_damage():
     rng = np.random.default_rng(7)
     for ids in (rng.integers(0, 65536, 5000), np.zeros(3000, np.int64), np.tile(rng.integers(0, 49408, 40), 200), np.arange(10), np.zeros(0, np.int64)):
